@@ -116,3 +116,13 @@ def with_display_name(products: DataFrame, name_col: str = "produit", out: str =
     name = F.when((F.col("_nb_prix") > 1) & F.col(variation_col).isNotNull(),
                   F.concat(F.col(name_col), F.lit(" - "), F.col(variation_col))).otherwise(F.col(name_col))
     return joined.withColumn(out, name).drop("_nb_prix")
+
+
+def round_ratio(x: Column, digits: int = 2) -> Column:
+    """Round a DOUBLE half-up through its decimal form, then back to DOUBLE."""
+    return F.round(x.cast("double").cast("decimal(38,10)"), digits).cast("double")
+
+
+def safe_ratio(num: Column, den: Column) -> Column:
+    """SAFE_DIVIDE on DOUBLE: NULL when the denominator is 0 or NULL."""
+    return F.try_divide(num.cast("double"), den.cast("double"))

@@ -1,12 +1,22 @@
-"""Sales KPIs (the reference's Ventes_* models)."""
+"""Sales KPIs (the reference's Ventes_* models).
+
+Every function takes a `Star` and returns a lazy DataFrame with the
+reference's output columns.  Shared shapes:
+
+* promotion-aware revenue = pre-aggregated (product, day) units priced
+  against the product's promotions (plans/common.py);
+* product display names = 'name - variation' for names with several prices.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.functions.pricing import money, round_money
-from vitrine.plans.common import priced_with_promotions, units_by_product_day
+from vitrine.functions.pricing import (money, not_cancelled, price, promo_period_label, round_money,
+                                       round_ratio, safe_ratio, with_display_name, effective_price)
+from vitrine.plans.common import (order_lines, orders_with_date, priced_with_promotions,
+                                  promotions_with_dates, units_by_product_day)
 from vitrine.star import Star
 
 
@@ -21,3 +31,314 @@ def sales_daily_revenue(star: Star) -> DataFrame:
         F.dayofmonth("date").cast("long").alias("jour"),
         round_money(F.col("_ca")).alias("chiffre_affaires"),
     ).orderBy("periode")
+
+
+def sales_top_products(star: Star) -> DataFrame:
+    """Revenue and units per category, display name and catalogue price (no LIMIT)."""
+    prods = with_display_name(star.dim_produits, out="nom_affiche")
+    priced = priced_with_promotions(units_by_product_day(star), star, prods)
+    return (priced.groupBy("categorie", F.col("nom_affiche").alias("produit"), "prix")
+            .agg(F.sum("qty").alias("total_vendus"),
+                 round_money(F.sum(money(F.col("qty"), F.col("unit_price")))).alias("chiffre_affaires"))
+            .orderBy(F.desc("chiffre_affaires")))
+
+
+def sales_unsold_products(star: Star) -> DataFrame:
+    """Catalogue products without any order line."""
+    # Distinct product ids first: partial aggregation shrinks a hot product before the shuffle.
+    sold = star.details.select(F.col("id_details_produits").alias("id_produit")).distinct()
+    return (star.dim_produits.join(sold, "id_produit", "left_anti")
+            .select("produit", F.lit(0).cast("long").alias("total_vendus"),
+                    F.lit("jamais_vendu").alias("type_resultat")))
+
+
+def sales_least_sold(star: Star) -> DataFrame:
+    """Units per product name (cancelled orders included), > 0, ascending."""
+    per_product = star.details.groupBy("id_details_produits").agg(F.sum("quantite").alias("_q"))
+    prods = star.dim_produits.select("id_produit", "produit")
+    return (per_product.join(prods, per_product.id_details_produits == prods.id_produit)
+            .groupBy("produit").agg(F.sum("_q").alias("total_vendus"))
+            .where(F.col("total_vendus") > 0)
+            .select("produit", "total_vendus", F.lit("moins_vendus").alias("type_resultat"))
+            .orderBy("total_vendus"))
+
+
+def _month_index(star: Star) -> DataFrame:
+    """Observed months (any non-cancelled order) with their rank.
+
+    The table has at most one row per calendar month, a bound fixed by the
+    calendar parameters, so the ordered window over it runs on one small task.
+    """
+    months = (orders_with_date(star).select(F.trunc("date", "month").alias("mois")).distinct())
+    return months.select("mois", F.row_number().over(Window.orderBy("mois")).alias("k"))
+
+
+def sales_declining_products(star: Star, run: int = 5) -> DataFrame:
+    """Products whose monthly promotion-aware revenue fell `run` months in a row.
+
+    The reference zero-fills product x observed-month with a cross join and
+    takes LAG 1..5.  A qualifying row needs m1 > ... > m5 > ca >= 0, so the
+    five previous observed months are months *with* sales; only the current
+    month may be a zero-filled one.  The plan therefore works on the sparse
+    (product, month) revenue rows only: for each sales row, look at the
+    previous `run` sales rows of the product (a window per product, at most
+    one row per month) and emit
+      * the row itself when it continues the run, and
+      * the following observed month with revenue 0 when that month has no
+        sales and the run ends at this row.
+    No product x month grid is materialised.
+    """
+    units = units_by_product_day(star)
+    priced = priced_with_promotions(units, star)
+    monthly = (priced.groupBy("id_produit", "categorie", F.trunc("date", "month").alias("mois"))
+               .agg(F.round(F.sum(money(F.col("qty"), F.col("unit_price"))), 2).alias("_ca")))
+    midx = _month_index(star)
+    last_k = midx.select(F.max("k")).scalar()
+    sparse = (monthly.join(F.broadcast(midx), "mois")
+              .select("id_produit", "categorie", "mois", "k", F.coalesce("_ca", F.lit(0)).alias("ca")))
+    w = Window.partitionBy("id_produit").orderBy("k")
+    lag_k = [F.lag("k", i).over(w) for i in range(1, run + 1)]
+    lag_v = [F.lag("ca", i).over(w) for i in range(1, run + 1)]
+    lagged = sparse.select(
+        "id_produit", "categorie", "mois", "k", "ca",
+        F.lead("k", 1).over(w).alias("next_k"),
+        *[c.alias(f"lk{i}") for i, c in enumerate(lag_k, 1)],
+        *[c.alias(f"lv{i}") for i, c in enumerate(lag_v, 1)],
+    )
+
+    def consecutive(vals, ks, k0):
+        """vals[0] < vals[1] < ... and ks[i] == k0 - i - 1 (previous observed months)."""
+        cond = F.lit(True)
+        for i, kk in enumerate(ks):
+            cond = cond & (kk == k0 - (i + 1))
+        for a, b in zip(vals, vals[1:]):
+            cond = cond & (a < b)
+        return cond
+
+    lv = [F.col(f"lv{i}") for i in range(1, run + 1)]
+    lk = [F.col(f"lk{i}") for i in range(1, run + 1)]
+    # (a) the sales month itself ends a run of `run` strictly larger previous months.
+    cur = lagged.where(consecutive([F.col("ca")] + lv, lk, F.col("k"))).select(
+        "id_produit", "categorie", "mois", F.col("ca").alias("ca_mensuel"),
+        *[F.col(f"lv{i}").alias(f"m{i}") for i in range(1, run + 1)])
+    # (b) the next observed month has no sales (value 0) and this row is its m1.
+    nxt_ok = (F.col("k") < F.lit(last_k)) & (F.col("next_k").isNull() | (F.col("next_k") != F.col("k") + 1))
+    zero_run = consecutive([F.lit(0).cast(lagged.schema["ca"].dataType), F.col("ca")] + lv[: run - 1],
+                           [F.col("k")] + lk[: run - 1], F.col("k") + 1)
+    nxt = (lagged.where(nxt_ok & zero_run)
+           .select("id_produit", "categorie", (F.col("k") + 1).alias("k1"),
+                   F.lit(0).cast(lagged.schema["ca"].dataType).alias("ca_mensuel"),
+                   F.col("ca").alias("m1"), *[F.col(f"lv{i}").alias(f"m{i + 1}") for i in range(1, run)]))
+    nxt = (nxt.join(F.broadcast(midx.select(F.col("k").alias("k1"), "mois")), "k1")
+           .select("id_produit", "categorie", "mois", "ca_mensuel", *[f"m{i}" for i in range(1, run + 1)]))
+    out = cur.unionByName(nxt)
+    return out.select("id_produit", "categorie", "mois",
+                      F.col("ca_mensuel").cast("double").alias("ca_mensuel"),
+                      *[F.col(f"m{i}").cast("double").alias(f"m{i}") for i in range(1, run + 1)]
+                      ).orderBy("id_produit", "mois")
+
+
+def age_band(age: F.Column) -> F.Column:
+    return (F.when(age.between(18, 25), "18-25").when(age.between(26, 35), "26-35")
+            .when(age.between(36, 45), "36-45").when(age.between(46, 60), "46-60").otherwise("60+"))
+
+
+def sales_by_age_band(star: Star) -> DataFrame:
+    """Units and promotion-aware revenue per age band, display name and category."""
+    clients = star.dim_clients.select(F.col("id_client").alias("_cl"), age_band(F.col("age")).alias("tranche_age"))
+    orders = orders_with_date(star).select("id_commande", "date", "id_client")
+    orders = orders.join(clients, orders.id_client == clients._cl).select("id_commande", "date", "tranche_age")
+    lines = star.details.select("id_commande", "id_details_produits", "quantite").join(orders, "id_commande")
+    units = lines.groupBy("id_details_produits", "date", "tranche_age").agg(F.sum("quantite").alias("qty"))
+    prods = with_display_name(star.dim_produits, out="nom_affiche")
+    priced = priced_with_promotions(units, star, prods)
+    return (priced.groupBy("tranche_age", F.col("nom_affiche").alias("produit"), "categorie")
+            .agg(F.sum("qty").alias("quantite_vendue"),
+                 round_money(F.sum(money(F.col("qty"), F.col("unit_price")))).alias("chiffre_affaires"))
+            .orderBy("tranche_age", F.desc("quantite_vendue")))
+
+
+def wishlist_product_id(fav: F.Column) -> F.Column:
+    """'P12' -> 'P00012' (LPAD also truncates to 5 characters, as in the reference)."""
+    return F.concat(F.lit("P"), F.lpad(F.substr(fav, F.lit(2)), 5, "0"))
+
+
+def sales_wishlist_counts(star: Star) -> DataFrame:
+    """Wishlist additions per product."""
+    # Count per rebuilt id first (map-side combined), then join the catalogue.
+    counts = (star.dim_favoris.where(F.col("id_client").isNotNull())
+              .groupBy(wishlist_product_id(F.col("favoris")).alias("_pid"))
+              .agg(F.count(F.lit(1)).alias("nb_fois_ajoute")))
+    prods = star.dim_produits.select("id_produit", "produit")
+    return (prods.join(counts, prods.id_produit == counts._pid)
+            .groupBy("id_produit", "produit").agg(F.sum("nb_fois_ajoute").alias("nb_fois_ajoute"))
+            .select("produit", "nb_fois_ajoute")
+            .orderBy(F.desc("nb_fois_ajoute")))
+
+
+def sales_product_pairs(star: Star) -> DataFrame:
+    """Pairs of display names bought by one client on one day, seen more than once.
+
+    The reference self-joins order lines on (client, day).  Here lines are
+    first reduced to one row per (client, day, display name) holding the
+    multiplicity and the smallest product id / category of that name; the
+    self-join then emits one row per pair of *distinct names* in a basket,
+    weighted by the product of multiplicities.  That is exactly the set of
+    (pair, basket) contributions the result is made of; duplicate lines of a
+    name are never paired.  A very large basket is a skewed join key, which
+    AQE's skew-join handling splits across tasks.
+    """
+    prods = with_display_name(star.dim_produits, out="nom_produit").select("id_produit", "categorie", "nom_produit")
+    orders = star.facts_commandes.select("id_commande", "id_client", "id_date_commande")
+    lines = star.details.select("id_commande", "id_details_produits").join(orders, "id_commande")
+    lines = lines.join(prods, lines.id_details_produits == prods.id_produit)
+    basket = (lines.groupBy("id_client", "id_date_commande", "nom_produit")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("id_produit").alias("pid"), F.min("categorie").alias("cat")))
+    a = basket.select(F.col("id_client").alias("c"), F.col("id_date_commande").alias("d"),
+                      F.col("nom_produit").alias("produit_A"), F.col("n").alias("nA"),
+                      F.col("pid").alias("pidA"), F.col("cat").alias("catA"))
+    b = basket.select(F.col("id_client").alias("c2"), F.col("id_date_commande").alias("d2"),
+                      F.col("nom_produit").alias("produit_B"), F.col("n").alias("nB"),
+                      F.col("pid").alias("pidB"), F.col("cat").alias("catB"))
+    pairs = a.join(b, (a.c == b.c2) & (a.d == b.d2) & (a.produit_A < b.produit_B))
+    return (pairs.groupBy("produit_A", "produit_B")
+            .agg(F.min("pidA").alias("id_produit_A"), F.min("catA").alias("categorie_A"),
+                 F.min("pidB").alias("id_produit_B"), F.min("catB").alias("categorie_B"),
+                 F.sum(F.col("nA") * F.col("nB")).alias("nb_occurrences"))
+            .where(F.col("nb_occurrences") > 1)
+            .select("produit_A", "id_produit_A", "categorie_A", "produit_B", "id_produit_B", "categorie_B",
+                    "nb_occurrences")
+            .orderBy(F.desc("nb_occurrences")))
+
+
+def sales_month_peaks(star: Star) -> DataFrame:
+    """Monthly catalogue-price revenue against the mean of all months."""
+    units = units_by_product_day(star)
+    prods = star.dim_produits.select("id_produit", "prix")
+    x = units.join(prods, units.id_details_produits == prods.id_produit)
+    monthly = (x.groupBy(F.year("date").alias("annee"), F.month("date").alias("mois"))
+               .agg(F.round(F.sum(money(F.col("qty"), price(F.col("prix")))), 2).alias("ca")))
+    # AVG() OVER () of the reference: a one-row aggregate used as a scalar subquery.
+    stats = monthly.agg(F.sum("ca").alias("s"), F.count(F.lit(1)).alias("n"))
+    s, n = stats.select("s").scalar(), stats.select("n").scalar()
+    # ca > avg * 1.3  <=>  ca * n > sum * 1.3  (exact in DECIMAL, n > 0)
+    variation = (F.when(F.col("ca") * n > s * F.lit(1.3).cast("decimal(2,1)"), "Mois fort")
+                 .when(F.col("ca") * n < s * F.lit(0.7).cast("decimal(2,1)"), "Mois faible")
+                 .otherwise("Normal"))
+    return monthly.select(
+        F.concat(F.col("annee").cast("string"), F.lit("-"), F.lpad(F.col("mois").cast("string"), 2, "0")).alias("periode"),
+        F.col("ca").cast("double").alias("chiffre_affaires"),
+        round_ratio(safe_ratio(F.lit(s), F.lit(n))).alias("moyenne_globale"),
+        variation.alias("variation"),
+    ).orderBy("periode")
+
+
+PERIOD_RANK = {"Avant promo": 1, "Pendant promo": 2, "Après promo": 3}
+
+
+def _promo_lines(star: Star, days_before: int, days_after: int) -> DataFrame:
+    """Non-cancelled order lines joined to the promotions of their product, kept when
+    the order day lies in [start - days_before, end + days_after]."""
+    lines = order_lines(star)
+    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
+    promos = promos.select(F.col("id_produit").alias("_pp"), "id_promotion", "valeur_promotion",
+                           "date_debut", "date_fin")
+    x = lines.join(promos, (lines.id_details_produits == promos._pp)
+                   & lines.date.between(F.date_sub(promos.date_debut, days_before),
+                                        F.date_add(promos.date_fin, days_after)))
+    return x.drop("_pp")
+
+
+def sales_promo_impact_7d(star: Star, days: int = 7) -> DataFrame:
+    """Catalogue revenue, units and orders before / during / after each promotion (7 days)."""
+    x = _promo_lines(star, days, days)
+    prods = star.dim_produits.select("id_produit", "produit", "prix")
+    x = x.join(prods, x.id_details_produits == prods.id_produit)
+    label = promo_period_label(F.col("date"), F.col("date_debut"), F.col("date_fin"), days,
+                               ("Avant promo", "Pendant promo", "Après promo"), "Hors période")
+    out = (x.groupBy(label.alias("periode_analyse"), "produit", F.col("date_debut").alias("debut_promo"),
+                     F.col("date_fin").alias("fin_promo"), F.col("date").alias("date_commande"))
+           .agg(round_money(F.sum(money(F.col("quantite"), price(F.col("prix"))))).alias("chiffre_affaires"),
+                F.sum("quantite").alias("quantite_vendue"),
+                F.countDistinct("id_commande").alias("nb_commandes")))
+    rank = F.coalesce(*[F.when(F.col("periode_analyse") == k, v) for k, v in PERIOD_RANK.items()], F.lit(4))
+    return out.orderBy("produit", rank)
+
+
+def sales_promo_variation_30d(star: Star, days: int = 30) -> DataFrame:
+    """Per product x promotion: revenue and units before / during / after (30 days), and the
+    % change of 'during' against the mean of 'before' and 'after'."""
+    units = units_by_product_day(star)
+    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
+    promos = promos.select(F.col("id_produit").alias("_pp"), "id_promotion", "valeur_promotion",
+                           "date_debut", "date_fin")
+    x = units.join(promos, (units.id_details_produits == promos._pp)
+                   & units.date.between(F.date_sub(promos.date_debut, days), F.date_add(promos.date_fin, days)))
+    prods = star.dim_produits.select("id_produit", "produit", "variation", "prix")
+    x = x.join(prods, x.id_details_produits == prods.id_produit)
+    periode = promo_period_label(F.col("date"), F.col("date_debut"), F.col("date_fin"), days)
+    unit = effective_price(F.col("prix"), F.col("valeur_promotion"), F.col("date"), F.col("date_debut"), F.col("date_fin"))
+    agr = (x.groupBy("id_produit", "produit", "variation", "prix", "id_promotion", periode.alias("periode"))
+           .agg(F.sum(money(F.col("qty"), unit)).cast("double").alias("ca"), F.sum("qty").alias("q")))
+
+    def pick(p, c):
+        return F.max(F.when(F.col("periode") == p, F.col(c)).otherwise(F.lit(0).cast(agr.schema[c].dataType)))
+
+    comp = (agr.groupBy("id_produit", "produit", "variation", "prix", "id_promotion")
+            .agg(pick("avant", "ca").alias("ca_avant"), pick("pendant", "ca").alias("ca_pendant"),
+                 pick("apres", "ca").alias("ca_apres"), pick("avant", "q").alias("qte_avant"),
+                 pick("pendant", "q").alias("qte_pendant"), pick("apres", "q").alias("qte_apres")))
+    # COUNT(DISTINCT prix) OVER (PARTITION BY produit) over the surviving rows.
+    nb = comp.groupBy("produit").agg(F.countDistinct("prix").alias("_nb"))
+    comp = comp.join(nb, "produit")
+    name = F.when((F.col("_nb") > 1) & F.col("variation").isNotNull(),
+                  F.concat(F.col("produit"), F.lit(" - "), F.col("variation"))).otherwise(F.col("produit"))
+
+    def pct(during, before, after):
+        mean = (F.col(before).cast("double") + F.col(after).cast("double")) / 2
+        return round_ratio(safe_ratio(F.col(during).cast("double") - mean, mean) * 100)
+
+    return comp.select(
+        "id_produit", name.alias("produit_final"), "id_promotion",
+        "ca_avant", "ca_pendant", "ca_apres", "qte_avant", "qte_pendant", "qte_apres",
+        pct("ca_pendant", "ca_avant", "ca_apres").alias("variation_ca_pct_moy"),
+        pct("qte_pendant", "qte_avant", "qte_apres").alias("variation_qte_pct_moy"),
+    ).orderBy(F.desc("ca_pendant"))
+
+
+def sales_promo_sensitivity(star: Star, days: int = 30, before_end: str = "promo_end") -> DataFrame:
+    """Per product: catalogue revenue and units before vs during promotions.
+
+    As in the reference, "before" runs from start - 30 to **end - 1** and the
+    first matching label wins, so "during" is only the promotion's last day.
+    `before_end="promo_start"` ends "before" at start - 1 instead.
+    """
+    units = units_by_product_day(star)
+    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
+    promos = promos.select(F.col("id_produit").alias("_pp"), "date_debut", "date_fin")
+    x = units.join(promos, (units.id_details_produits == promos._pp)
+                   & units.date.between(F.date_sub(promos.date_debut, days), promos.date_fin))
+    prods = star.dim_produits.select("id_produit", "produit", "prix")
+    x = x.join(prods, x.id_details_produits == prods.id_produit)
+    b_end = F.date_sub(F.col("date_fin"), 1) if before_end == "promo_end" else F.date_sub(F.col("date_debut"), 1)
+    periode = (F.when(F.col("date").between(F.date_sub(F.col("date_debut"), days), b_end), "avant")
+               .when(F.col("date").between(F.col("date_debut"), F.col("date_fin")), "pendant").otherwise("autre"))
+    x = x.withColumn("periode", periode).withColumn("_m", money(F.col("qty"), price(F.col("prix"))))
+    # Both periods in one aggregation (the reference self-joins the per-period aggregate).
+    comp = (x.groupBy("id_produit", "produit")
+            .agg(F.sum(F.when(F.col("periode") == "avant", F.col("_m"))).cast("double").alias("ca_avant"),
+                 F.sum(F.when(F.col("periode") == "pendant", F.col("_m"))).cast("double").alias("ca_pendant"),
+                 F.sum(F.when(F.col("periode") == "avant", F.col("qty"))).alias("qte_avant"),
+                 F.sum(F.when(F.col("periode") == "pendant", F.col("qty"))).alias("qte_pendant"),
+                 F.max((F.col("periode") == "avant").cast("int")).alias("_has_avant"),
+                 F.max((F.col("periode") == "pendant").cast("int")).alias("_has_pendant"))
+            .where((F.col("_has_avant") == 1) & (F.col("_has_pendant") == 1)))
+    r_ca = safe_ratio(F.col("ca_pendant") - F.col("ca_avant"), F.col("ca_avant"))
+    r_q = safe_ratio(F.col("qte_pendant") - F.col("qte_avant"), F.col("qte_avant"))
+    interp = (F.when(r_ca >= 0.3, "Réagit très bien à la promo").when(r_ca <= 0.1, "Insensible à la promo")
+              .otherwise("Effet modéré"))
+    return comp.select(
+        "produit", "ca_avant", "ca_pendant", round_ratio(r_ca * 100).alias("variation_CA_pct"),
+        "qte_avant", "qte_pendant", round_ratio(r_q * 100).alias("variation_qte_pct"),
+        interp.alias("interpretation"),
+    ).orderBy(F.desc("variation_CA_pct"))

@@ -25,4 +25,15 @@ def _kpi(fn) -> Query:
 
 QUERIES: dict[str, Query] = {
     "sales_daily_revenue": _kpi(sales.sales_daily_revenue),
+    "sales_top_products": _kpi(sales.sales_top_products),
+    "sales_unsold_products": _kpi(sales.sales_unsold_products),
+    "sales_least_sold": _kpi(sales.sales_least_sold),
+    "sales_declining_products": _kpi(sales.sales_declining_products),
+    "sales_by_age_band": _kpi(sales.sales_by_age_band),
+    "sales_wishlist_counts": _kpi(sales.sales_wishlist_counts),
+    "sales_product_pairs": _kpi(sales.sales_product_pairs),
+    "sales_month_peaks": _kpi(sales.sales_month_peaks),
+    "sales_promo_impact_7d": _kpi(sales.sales_promo_impact_7d),
+    "sales_promo_variation_30d": _kpi(sales.sales_promo_variation_30d),
+    "sales_promo_sensitivity": _kpi(sales.sales_promo_sensitivity),
 }
