@@ -1,6 +1,8 @@
 """Independent DuckDB formulations of the registered queries."""
 
-from oracle.sql_kpis import SQL as _KPI
+from oracle.sql_kpis import SQL as _SALES
+from oracle.sql_kpis2 import SQL as _OTHER_KPIS
 
 ORACLE_SQL: dict[str, str] = {}
-ORACLE_SQL.update(_KPI)
+ORACLE_SQL.update(_SALES)
+ORACLE_SQL.update(_OTHER_KPIS)

@@ -10,9 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.plans import sales
+from vitrine.plans import logistics, marketing, sales, satisfaction
+from vitrine.plans.satisfaction import sat_by_delivery_state
 from vitrine.star import testdata_star
 
+# CURRENT_DATE of the delivery-state KPI, fixed so results are reproducible.
+AS_OF = "2000-01-01"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -36,4 +40,26 @@ QUERIES: dict[str, Query] = {
     "sales_promo_impact_7d": _kpi(sales.sales_promo_impact_7d),
     "sales_promo_variation_30d": _kpi(sales.sales_promo_variation_30d),
     "sales_promo_sensitivity": _kpi(sales.sales_promo_sensitivity),
+    "mkt_clicks_by_channel": _kpi(marketing.mkt_clicks_by_channel),
+    "mkt_cpc_cpa_by_channel": _kpi(marketing.mkt_cpc_cpa_by_channel),
+    "mkt_cpa_converting": _kpi(marketing.mkt_cpa_converting),
+    "mkt_promo_days_vs_others": _kpi(marketing.mkt_promo_days_vs_others),
+    "mkt_monthly_promo_vs_budget": _kpi(marketing.mkt_monthly_promo_vs_budget),
+    "mkt_promo_effectiveness": _kpi(marketing.mkt_promo_effectiveness),
+    "mkt_sentiment_daily": _kpi(marketing.mkt_sentiment_daily),
+    "mkt_peaks_vs_sales": _kpi(marketing.mkt_peaks_vs_sales),
+    "mkt_peaks_vs_satisfaction": _kpi(marketing.mkt_peaks_vs_satisfaction),
+    "sat_best_rated": _kpi(satisfaction.sat_best_rated),
+    "sat_worst_rated": _kpi(satisfaction.sat_worst_rated),
+    "sat_monthly_trend": _kpi(satisfaction.sat_monthly_trend),
+    "sat_by_complaint": _kpi(satisfaction.sat_by_complaint),
+    "sat_by_response_time": _kpi(satisfaction.sat_by_response_time),
+    "sat_keywords_3": _kpi(satisfaction.sat_keywords_3),
+    "sat_keywords_8": _kpi(satisfaction.sat_keywords_8),
+    "sat_by_delivery_state": _kpi(lambda star: sat_by_delivery_state(star, as_of=AS_OF)),
+    "log_downtime_by_warehouse": _kpi(logistics.log_downtime_by_warehouse),
+    "log_orders_by_warehouse": _kpi(logistics.log_orders_by_warehouse),
+    "log_breakdown_impact": _kpi(logistics.log_breakdown_impact),
+    "log_reported_delays": _kpi(logistics.log_reported_delays),
+    "log_volume_by_warehouse": _kpi(logistics.log_volume_by_warehouse),
 }
