@@ -2,7 +2,9 @@
 
 from oracle.sql_kpis import SQL as _SALES
 from oracle.sql_kpis2 import SQL as _OTHER_KPIS
+from oracle.sql_star import SQL as _STAR
 
 ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL.update(_STAR)
 ORACLE_SQL.update(_SALES)
 ORACLE_SQL.update(_OTHER_KPIS)

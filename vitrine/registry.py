@@ -63,3 +63,19 @@ QUERIES: dict[str, Query] = {
     "log_reported_delays": _kpi(logistics.log_reported_delays),
     "log_volume_by_warehouse": _kpi(logistics.log_volume_by_warehouse),
 }
+
+
+def _star_table(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = testdata_star(spark, sf_dir)
+        if name == "dim_details_commandes":
+            return star.dim_details_commandes()
+        return getattr(star, name)
+    run.__name__ = name
+    return run
+
+
+STAR_KEYS = ("dim_date", "dim_canal", "dim_clients", "dim_details_commandes", "dim_entrepots", "dim_favoris",
+             "dim_machine", "dim_produits", "dim_promotions", "dim_satisfaction", "facts_campaigns",
+             "facts_commandes", "facts_entrepots_machine", "facts_posts")
+QUERIES.update({k: _star_table(k) for k in STAR_KEYS})
