@@ -79,3 +79,26 @@ STAR_KEYS = ("dim_date", "dim_canal", "dim_clients", "dim_details_commandes", "d
              "dim_machine", "dim_produits", "dim_promotions", "dim_satisfaction", "facts_campaigns",
              "facts_commandes", "facts_entrepots_machine", "facts_posts")
 QUERIES.update({k: _star_table(k) for k in STAR_KEYS})
+
+
+def star_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    star = testdata_star(spark, sf_dir)
+    models = {k: getattr(star, k) for k in STAR_KEYS if k != "dim_details_commandes"}
+    models["dim_details_commandes"] = star.dim_details_commandes()
+    return models
+
+
+def _dq(test: str | None) -> Query:
+    from vitrine.operators.quality import dq_report
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return dq_report(star_models(spark, sf_dir), test=test)
+    return run
+
+
+QUERIES.update({
+    "dq_unique": _dq("unique"),
+    "dq_not_null": _dq("not_null"),
+    "dq_relationships": _dq("relationships"),
+    "dq_report": _dq(None),
+})
