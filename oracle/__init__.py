@@ -4,9 +4,11 @@ from oracle.sql_kpis import SQL as _SALES
 from oracle.sql_kpis2 import SQL as _OTHER_KPIS
 from oracle.sql_star import SQL as _STAR
 from oracle.sql_quality import SQL as _DQ
+from oracle.sql_staging import SQL as _STG
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_STAR)
 ORACLE_SQL.update(_SALES)
 ORACLE_SQL.update(_OTHER_KPIS)
 ORACLE_SQL.update(_DQ)
+ORACLE_SQL.update(_STG)

@@ -102,3 +102,96 @@ QUERIES.update({
     "dq_relationships": _dq("relationships"),
     "dq_report": _dq(None),
 })
+
+
+# --- staging: raw dirty tables derived from the test tables -> cleaned tables --------------
+
+def _staging(name: str) -> Query:
+    from vitrine.operators.staging import STAGING_MODELS
+    from vitrine.sources.raw_fixtures import raw_table
+
+    raw_name, fn = STAGING_MODELS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(raw_table(spark, sf_dir, raw_name))
+    run.__name__ = name
+    return run
+
+
+def _dedup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in and rows kept by dedup_by_completeness, for each staging model."""
+    from pyspark.sql import functions as F
+
+    from vitrine.operators.staging import STAGING_MODELS
+    from vitrine.sources.raw_fixtures import raw_table
+
+    parts = []
+    for name, (raw_name, fn) in STAGING_MODELS.items():
+        raw = raw_table(spark, sf_dir, raw_name)
+        raw_n = raw.select(F.count(F.lit(1))).scalar()
+        kept_n = fn(raw).select(F.count(F.lit(1))).scalar()
+        parts.append(spark.range(1).select(F.lit(name).alias("model"), raw_n.alias("raw_rows"),
+                                           kept_n.alias("kept_rows")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _strip_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.cleaning import strip_variation_suffix
+    from vitrine.sources.raw_fixtures import raw_table
+
+    raw = raw_table(spark, sf_dir, "carttrend_produits")
+    return raw.select("id", "produit", "variation",
+                      strip_variation_suffix(F.col("produit"), F.col("variation")).alias("produit_nettoye"))
+
+
+def _safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.cleaning import safe_date, safe_double, safe_long
+    from vitrine.sources.raw_fixtures import raw_table
+
+    raw = raw_table(spark, sf_dir, "carttrend_campaigns")
+    return raw.select("id_campagne", safe_date(F.col("date")).alias("date"), safe_double(F.col("budget")).alias("budget"),
+                      safe_long(F.col("impressions")).alias("impressions"), safe_long(F.col("clics")).alias("clics"),
+                      safe_long(F.col("conversions")).alias("conversions"), safe_double(F.col("ctr")).alias("ctr"))
+
+
+def _yes_no(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.cleaning import yes_no_to_boolean
+    from vitrine.sources.raw_fixtures import raw_table
+
+    raw = raw_table(spark, sf_dir, "carttrend_details_commandes")
+    return raw.select("id_commande", "id_produit", "emballage_special",
+                      yes_no_to_boolean(F.col("emballage_special")).alias("emballage_bool"))
+
+
+def _year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.cleaning import is_year_month, year_month_split
+    from vitrine.sources.raw_fixtures import raw_table
+
+    raw = raw_table(spark, sf_dir, "carttrend_entrepots_machine")
+    valid = is_year_month(F.col("mois"))
+    mois, annee = year_month_split(F.col("mois"))
+    return raw.select("id", F.col("mois").alias("mois_brut"), valid.alias("mois_valide"),
+                      F.when(valid, mois).alias("mois"), F.when(valid, annee).alias("annee"))
+
+
+STAGING_KEYS = ("stg_campaigns", "stg_clients", "stg_commandes", "stg_details_commandes", "stg_entrepots",
+                "stg_entrepots_machine", "stg_posts", "stg_produits", "stg_promotions", "stg_satisfaction")
+QUERIES.update({k: _staging(k) for k in STAGING_KEYS})
+QUERIES.update({
+    "dedup_by_completeness": _dedup_summary,
+    "strip_variation_suffix": _strip_variation,
+    "safe_cast": _safe_cast,
+    "yes_no_to_boolean": _yes_no,
+    "year_month_split": _year_month,
+})
