@@ -5,6 +5,7 @@ from oracle.sql_kpis2 import SQL as _OTHER_KPIS
 from oracle.sql_star import SQL as _STAR
 from oracle.sql_quality import SQL as _DQ
 from oracle.sql_staging import SQL as _STG
+from oracle.sql_ingest import SQL as _INGEST
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_STAR)
@@ -12,3 +13,4 @@ ORACLE_SQL.update(_SALES)
 ORACLE_SQL.update(_OTHER_KPIS)
 ORACLE_SQL.update(_DQ)
 ORACLE_SQL.update(_STG)
+ORACLE_SQL.update(_INGEST)

@@ -195,3 +195,98 @@ QUERIES.update({
     "yes_no_to_boolean": _yes_no,
     "year_month_split": _year_month,
 })
+
+
+# --- ingest and sinks: export the raw tables as CSV files, load them back ------------------
+
+# Fixed export headers for two files (they normalise back to the raw names); other files
+# use the title-cased raw name surrounded by blanks.
+EXPORT_HEADERS = {
+    "carttrend_clients": ("ID.Client", "Prénom_Client", "Nom_Client", "Email", "Age", "Genre", "Fréquence_Visites",
+                          "Numéro_Téléphone", "Favoris", "Adresse.IP"),
+    "carttrend_produits": ("ID", "Catégorie", "Marque", "Produit", "Prix", "Sous-Catégorie", "Variation"),
+}
+
+
+def export_raw_csv(spark: SparkSession, sf_dir: str, table: str, folder: str) -> str:
+    from vitrine.sources.ingest import write_csv
+    from vitrine.sources.raw_fixtures import RAW_SPECS, raw_table
+
+    headers = EXPORT_HEADERS.get(table) or tuple(f" {c.title()} " for c in RAW_SPECS[table].columns)
+    path = f"{folder}/{table}.csv"
+    write_csv(raw_table(spark, sf_dir, table).toDF(*headers), path)
+    return path
+
+
+def _ingest_one(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from vitrine.sources.ingest import ingest_csv, scratch_dir
+
+        return ingest_csv(spark, export_raw_csv(spark, sf_dir, table, scratch_dir(spark, "export")))
+    return run
+
+
+def _overwrite_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.sources.ingest import ingest_overwrite_sink, scratch_dir
+    from vitrine.sources.raw_fixtures import raw_table
+
+    target = scratch_dir(spark, "sink") + "/carttrend_details_commandes"
+    ingest_overwrite_sink(raw_table(spark, sf_dir, "carttrend_entrepots"), target)        # previous content
+    ingest_overwrite_sink(raw_table(spark, sf_dir, "carttrend_details_commandes"), target)  # replaces it
+    return spark.read.parquet(target)
+
+
+def _load_all(spark: SparkSession, sf_dir: str, missing: bool = False) -> tuple[DataFrame, str]:
+    from vitrine.sources.ingest import ingest_batch_log, scratch_dir
+    from vitrine.sources.raw_fixtures import RAW_SPECS
+
+    exports = scratch_dir(spark, "export")
+    files = {t.capitalize(): export_raw_csv(spark, sf_dir, t, exports) for t in RAW_SPECS}
+    if missing:
+        files["Carttrend_Manquant"] = f"{exports}/carttrend_manquant.csv"
+    raw_dir = scratch_dir(spark, "raw")
+    return ingest_batch_log(spark, files, raw_dir), raw_dir
+
+
+def _batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    log, _ = _load_all(spark, sf_dir, missing=True)
+    return log.select("table_name", "status", "rows",
+                      F.regexp_extract("error", r"^\[([A-Z_]+)\]", 1).alias("error_class"))
+
+
+def _source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vitrine.sources.catalogue import DESCRIPTIONS, SOURCES, register_sources
+
+    _, raw_dir = _load_all(spark, sf_dir)
+    views = register_sources(spark, raw_dir)
+    parts = [spark.sql(f"SELECT COUNT(*) AS rows FROM {t}").select(
+        F.lit(t).alias("table_name"), F.lit(DESCRIPTIONS[t]).alias("description"),
+        F.lit(len(views[t].columns)).cast("long").alias("n_columns"), "rows") for t in SOURCES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _stg_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.operators.staging import stg_produits
+    from vitrine.sources.ingest import ingest_csv, scratch_dir, stg_table_sink
+
+    raw = ingest_csv(spark, export_raw_csv(spark, sf_dir, "carttrend_produits", scratch_dir(spark, "export")))
+    target = scratch_dir(spark, "staging") + "/stg_produits"
+    stg_table_sink(stg_produits(raw), target)
+    return spark.read.parquet(target)
+
+
+QUERIES.update({
+    "ingest_csv": _ingest_one("carttrend_clients"),
+    "ingest_normalize_headers": _ingest_one("carttrend_produits"),
+    "ingest_overwrite_sink": _overwrite_sink,
+    "ingest_batch_log": _batch_log,
+    "source_catalogue": _source_catalogue,
+    "stg_table_sink": _stg_sink,
+})
