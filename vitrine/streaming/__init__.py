@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a daily batch (full reload of the exports, then rebuild of
+every model); it has no stream source, watermark, window or state.  The daily
+run is `vitrine.daily.run_daily`, a batch job.  Nothing is added here so as not
+to build operators the reference does not have.
+"""
