@@ -88,14 +88,22 @@ def dim_produits(stg_produits: DataFrame) -> DataFrame:
     return stg_produits.select(F.col("id").alias("id_produit"), "produit", "categorie", "prix", "variation")
 
 
-def dim_promotions(stg_promotions: DataFrame, cal: DataFrame) -> DataFrame:
+def promotions_dated(stg_promotions: DataFrame, cal: DataFrame) -> DataFrame:
+    """Promotions with both calendar ids and the calendar's dates (NULL outside the calendar)."""
     d1 = cal.select(F.col("date").alias("_d1"), F.col("id_date").alias("id_date_debut"))
     d2 = cal.select(F.col("date").alias("_d2"), F.col("id_date").alias("id_date_fin"))
-    return (stg_promotions
-            .join(d1, stg_promotions.date_debut == d1._d1, "left")
-            .join(d2, stg_promotions.date_fin == d2._d2, "left")
+    return (stg_promotions.withColumnRenamed("date_debut", "_debut").withColumnRenamed("date_fin", "_fin")
+            .join(d1, F.col("_debut") == d1._d1, "left")
+            .join(d2, F.col("_fin") == d2._d2, "left")
             .select("id_promotion", "type_promotion", "valeur_promotion", "responsable_promotion",
-                    "id_date_debut", "id_date_fin", "id_produit"))
+                    "id_date_debut", "id_date_fin", "id_produit",
+                    F.col("_d1").alias("date_debut"), F.col("_d2").alias("date_fin")))
+
+
+def dim_promotions(stg_promotions: DataFrame, cal: DataFrame) -> DataFrame:
+    return promotions_dated(stg_promotions, cal).select(
+        "id_promotion", "type_promotion", "valeur_promotion", "responsable_promotion",
+        "id_date_debut", "id_date_fin", "id_produit")
 
 
 def dim_satisfaction(stg_satisfaction: DataFrame) -> DataFrame:
@@ -117,7 +125,8 @@ def facts_campaigns(stg_campaigns: DataFrame, canal: DataFrame, cal: DataFrame)
                     F.col("id_canal").alias("id_canal_dim_canal"), "id_date"))
 
 
-def facts_commandes(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
+def orders_dated(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
+    """Orders inside the calendar, with their calendar ids and dates (inner joins, as the fact)."""
     d1 = cal.select(F.col("date").alias("_d1"), F.col("id_date").alias("id_date_commande"))
     d2 = cal.select(F.col("date").alias("_d2"), F.col("id_date").alias("id_date_livraison"))
     return (stg_commandes
@@ -127,7 +136,12 @@ def facts_commandes(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
                     F.col("id_promotion_appliquee").alias("id_promotion"),
                     "mode_de_paiement", F.col("numero_tracking").alias("id_tracking"),
                     "id_client", F.col("id_entrepot_depart").alias("id_entrepot"),
-                    "id_date_commande", "id_date_livraison"))
+                    "id_date_commande", "id_date_livraison",
+                    F.col("_d1").alias("date_commande"), F.col("_d2").alias("date_livraison")))
+
+
+def facts_commandes(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
+    return orders_dated(stg_commandes, cal).drop("date_commande", "date_livraison")
 
 
 def facts_entrepots_machine(stg_machine: DataFrame) -> DataFrame:

@@ -24,11 +24,11 @@ from vitrine.star import Star
 
 
 def orders_with_date(star: Star, exclude_cancelled: bool = True, date_name: str = "date") -> DataFrame:
-    c = star.facts_commandes
+    """facts_commandes (optionally without cancelled orders) with the order date from the calendar."""
+    c = star.orders_dated.drop("date_livraison").withColumnRenamed("date_commande", date_name)
     if exclude_cancelled:
         c = c.where(not_cancelled(F.col("statut_commande")))
-    cal = star.cal.select(F.col("id_date").alias("_id_date"), F.col("date").alias(date_name))
-    return c.join(cal, c.id_date_commande == cal._id_date).drop("_id_date")
+    return c
 
 
 def order_lines(star: Star, exclude_cancelled: bool = True, order_cols: tuple[str, ...] = ()) -> DataFrame:
@@ -46,13 +46,8 @@ def units_by_product_day(star: Star, exclude_cancelled: bool = True, extra: tupl
 
 
 def promotions_with_dates(star: Star) -> DataFrame:
-    """dim_promotions with the real start / end dates (left joins: ids outside the calendar give NULL)."""
-    pr = star.dim_promotions
-    d1 = star.cal.select(F.col("id_date").alias("_i1"), F.col("date").alias("date_debut"))
-    d2 = star.cal.select(F.col("id_date").alias("_i2"), F.col("date").alias("date_fin"))
-    return (pr.join(d1, pr.id_date_debut == d1._i1, "left")
-            .join(d2, pr.id_date_fin == d2._i2, "left")
-            .drop("_i1", "_i2"))
+    """dim_promotions with the calendar dates of its start / end ids (NULL outside the calendar)."""
+    return star.promotions_dated
 
 
 def with_products(units: DataFrame, products: DataFrame) -> DataFrame:

@@ -80,62 +80,59 @@ def sales_declining_products(star: Star, run: int = 5) -> DataFrame:
     takes LAG 1..5.  A qualifying row needs m1 > ... > m5 > ca >= 0, so the
     five previous observed months are months *with* sales; only the current
     month may be a zero-filled one.  The plan therefore works on the sparse
-    (product, month) revenue rows only: for each sales row, look at the
-    previous `run` sales rows of the product (a window per product, at most
-    one row per month) and emit
-      * the row itself when it continues the run, and
-      * the following observed month with revenue 0 when that month has no
-        sales and the run ends at this row.
+    (product, month) revenue rows only, with one window pass per product (at
+    most one row per month, so a hot product stays small):
+      * a sales month k qualifies when the `run` previous sales months are
+        k-1 .. k-run (one check: lag(k, run) = k - run, since k increases) and
+        the values strictly increase going back;
+      * the observed month k+1 qualifies with revenue 0 when it has no sales
+        and months k .. k-run+1 form such a run.
+    Both candidates come out of the same pass (explode), and the month of a
+    candidate index is looked up in the observed-month table, which also drops
+    k+1 past the last observed month.  Revenue is compared as integer cents.
     No product x month grid is materialised.
     """
     units = units_by_product_day(star)
     priced = priced_with_promotions(units, star)
-    monthly = (priced.groupBy("id_produit", "categorie", F.trunc("date", "month").alias("mois"))
+    # Partition by product once: the monthly aggregate and the window then need no further shuffle.
+    monthly = (priced.repartition("id_produit")
+               .groupBy("id_produit", "categorie", F.trunc("date", "month").alias("mois"))
                .agg(F.round(F.sum(money(F.col("qty"), F.col("unit_price"))), 2).alias("_ca")))
     midx = _month_index(star)
-    last_k = midx.select(F.max("k")).scalar()
     sparse = (monthly.join(F.broadcast(midx), "mois")
-              .select("id_produit", "categorie", "mois", "k", F.coalesce("_ca", F.lit(0)).alias("ca")))
+              .select("id_produit", "categorie", "k",
+                      (F.coalesce(F.col("_ca"), F.lit(0)) * 100).cast("long").alias("c")))
     w = Window.partitionBy("id_produit").orderBy("k")
-    lag_k = [F.lag("k", i).over(w) for i in range(1, run + 1)]
-    lag_v = [F.lag("ca", i).over(w) for i in range(1, run + 1)]
-    lagged = sparse.select(
-        "id_produit", "categorie", "mois", "k", "ca",
-        F.lead("k", 1).over(w).alias("next_k"),
-        *[c.alias(f"lk{i}") for i, c in enumerate(lag_k, 1)],
-        *[c.alias(f"lv{i}") for i, c in enumerate(lag_v, 1)],
-    )
-
-    def consecutive(vals, ks, k0):
-        """vals[0] < vals[1] < ... and ks[i] == k0 - i - 1 (previous observed months)."""
+    lv = [F.lag("c", i).over(w) for i in range(1, run + 1)]
+    lagged = sparse.select("id_produit", "categorie", "k", "c",
+                           F.lag("k", run).over(w).alias("k_run"), F.lag("k", run - 1).over(w).alias("k_run1"),
+                           F.lead("k", 1).over(w).alias("next_k"),
+                           *[x.alias(f"v{i}") for i, x in enumerate(lv, 1)])
+    v = [F.col(f"v{i}") for i in range(1, run + 1)]
+
+    def increasing(vals):
         cond = F.lit(True)
-        for i, kk in enumerate(ks):
-            cond = cond & (kk == k0 - (i + 1))
         for a, b in zip(vals, vals[1:]):
             cond = cond & (a < b)
         return cond
 
-    lv = [F.col(f"lv{i}") for i in range(1, run + 1)]
-    lk = [F.col(f"lk{i}") for i in range(1, run + 1)]
-    # (a) the sales month itself ends a run of `run` strictly larger previous months.
-    cur = lagged.where(consecutive([F.col("ca")] + lv, lk, F.col("k"))).select(
-        "id_produit", "categorie", "mois", F.col("ca").alias("ca_mensuel"),
-        *[F.col(f"lv{i}").alias(f"m{i}") for i in range(1, run + 1)])
-    # (b) the next observed month has no sales (value 0) and this row is its m1.
-    nxt_ok = (F.col("k") < F.lit(last_k)) & (F.col("next_k").isNull() | (F.col("next_k") != F.col("k") + 1))
-    zero_run = consecutive([F.lit(0).cast(lagged.schema["ca"].dataType), F.col("ca")] + lv[: run - 1],
-                           [F.col("k")] + lk[: run - 1], F.col("k") + 1)
-    nxt = (lagged.where(nxt_ok & zero_run)
-           .select("id_produit", "categorie", (F.col("k") + 1).alias("k1"),
-                   F.lit(0).cast(lagged.schema["ca"].dataType).alias("ca_mensuel"),
-                   F.col("ca").alias("m1"), *[F.col(f"lv{i}").alias(f"m{i + 1}") for i in range(1, run)]))
-    nxt = (nxt.join(F.broadcast(midx.select(F.col("k").alias("k1"), "mois")), "k1")
-           .select("id_produit", "categorie", "mois", "ca_mensuel", *[f"m{i}" for i in range(1, run + 1)]))
-    out = cur.unionByName(nxt)
-    return out.select("id_produit", "categorie", "mois",
-                      F.col("ca_mensuel").cast("double").alias("ca_mensuel"),
-                      *[F.col(f"m{i}").cast("double").alias(f"m{i}") for i in range(1, run + 1)]
-                      ).orderBy("id_produit", "mois")
+    k = F.col("k")
+    cur_ok = (F.col("k_run") == k - run) & increasing([F.col("c")] + v)
+    nxt_ok = ((F.col("next_k").isNull() | (F.col("next_k") != k + 1))
+              & (F.col("k_run1") == k - (run - 1)) & increasing([F.lit(0).cast("long"), F.col("c")] + v[: run - 1]))
+    fields = ["k_out", "cents"] + [f"m{i}" for i in range(1, run + 1)]
+    cur = F.when(cur_ok, F.struct(*[x.alias(n) for x, n in zip([k, F.col("c")] + v, fields)]))
+    nxt = F.when(nxt_ok, F.struct(*[x.alias(n) for x, n in
+                                    zip([k + 1, F.lit(0).cast("long"), F.col("c")] + v[: run - 1], fields)]))
+    cand = (lagged.where(cur_ok | nxt_ok)
+            .select("id_produit", "categorie", F.explode(F.array(cur, nxt)).alias("o"))
+            .where(F.col("o").isNotNull())
+            .select("id_produit", "categorie", "o.*"))
+    months = F.broadcast(midx.select(F.col("k").alias("k_out"), "mois"))
+    return (cand.join(months, "k_out")
+            .select("id_produit", "categorie", "mois", (F.col("cents") / 100.0).alias("ca_mensuel"),
+                    *[(F.col(f"m{i}") / 100.0).alias(f"m{i}") for i in range(1, run + 1)])
+            .orderBy("id_produit", "mois"))
 
 
 def age_band(age: F.Column) -> F.Column:

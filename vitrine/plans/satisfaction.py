@@ -96,14 +96,10 @@ def sat_by_delivery_state(star: Star, as_of: str | dt.date | None = None) -> Dat
     run reproducible (default: today).
     """
     today = F.lit(str(as_of)).cast("date") if as_of is not None else F.current_date()
-    c = star.facts_commandes
-    cal = star.cal
-    d_order = cal.select(F.col("id_date").alias("_io"), F.col("date").alias("_do"))
-    d_deliv = cal.select(F.col("id_date").alias("_il"), F.col("date").alias("_dl"))
+    c = star.orders_dated.select("id_commande", "statut_commande", F.col("date_commande").alias("_do"),
+                                 F.col("date_livraison").alias("_dl"))
     sat = star.dim_satisfaction.where(F.col("note_client").isNotNull()).select("id_commande", "note_client")
-    x = (c.join(sat, "id_commande")
-         .join(d_order, c.id_date_commande == d_order._io)
-         .join(d_deliv, c.id_date_livraison == d_deliv._il))
+    x = c.join(sat, "id_commande")
     status = F.lower(F.col("statut_commande"))
     situation = (F.when((status == "en transit") & (F.col("_dl") < today), "Retard probable")
                  .when(status == "annulée", "Annulée").otherwise("Dans les délais ou terminée"))

@@ -65,9 +65,14 @@ class Star:
     def dim_produits(self) -> DataFrame:
         return marts.dim_produits(self.stg["stg_produits"])
 
+    @cached_property
+    def promotions_dated(self) -> DataFrame:
+        """dim_promotions plus the calendar dates of its two ids (internal)."""
+        return marts.promotions_dated(self.stg["stg_promotions"], self.cal)
+
     @cached_property
     def dim_promotions(self) -> DataFrame:
-        return marts.dim_promotions(self.stg["stg_promotions"], self.cal)
+        return self.promotions_dated.drop("date_debut", "date_fin")
 
     @cached_property
     def dim_satisfaction(self) -> DataFrame:
@@ -78,9 +83,14 @@ class Star:
     def facts_campaigns(self) -> DataFrame:
         return marts.facts_campaigns(self.stg["stg_campaigns"], self.dim_canal, self.cal)
 
+    @cached_property
+    def orders_dated(self) -> DataFrame:
+        """facts_commandes plus the calendar dates of its two ids (internal)."""
+        return marts.orders_dated(self.stg["stg_commandes"], self.cal)
+
     @cached_property
     def facts_commandes(self) -> DataFrame:
-        return marts.facts_commandes(self.stg["stg_commandes"], self.cal)
+        return self.orders_dated.drop("date_commande", "date_livraison")
 
     @cached_property
     def facts_entrepots_machine(self) -> DataFrame:
