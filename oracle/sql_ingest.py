@@ -17,20 +17,20 @@ def _roundtrip(table: str) -> str:
 
 
 SQL = {
-    "ingest_csv": _roundtrip("carttrend_clients"),
-    "ingest_normalize_headers": _roundtrip("carttrend_produits"),
-    "ingest_overwrite_sink": with_raw("carttrend_details_commandes") + "SELECT * FROM carttrend_details_commandes",
+    "ingest_csv": _roundtrip("raw_clients"),
+    "ingest_normalize_headers": _roundtrip("raw_produits"),
+    "ingest_overwrite_sink": with_raw("raw_details_commandes") + "SELECT * FROM raw_details_commandes",
 }
 
 _ALL = list(RAW_SPECS)
 SQL["ingest_batch_log"] = with_raw(*_ALL) + "\nUNION ALL\n".join(
     [f"SELECT '{t}' AS table_name, 'success' AS status, COUNT(*) AS rows, '' AS error_class FROM {t}" for t in _ALL]
-    + ["SELECT 'carttrend_manquant', 'failed', CAST(0 AS BIGINT), 'PATH_NOT_FOUND'"])
+    + ["SELECT 'raw_manquant', 'failed', CAST(0 AS BIGINT), 'PATH_NOT_FOUND'"])
 
 SQL["source_catalogue"] = with_raw(*_ALL) + "\nUNION ALL\n".join(
     "SELECT '{t}' AS table_name, '{d}' AS description, CAST({n} AS BIGINT) AS n_columns, COUNT(*) AS rows FROM {t}"
     .format(t=t, d=DESCRIPTIONS[t].replace("'", "''"), n=len(RAW_SPECS[t].columns)) for t in _ALL)
 
 _stg_raw, _stg_body = STG["stg_produits"]
-SQL["stg_table_sink"] = with_raw("carttrend_produits", extra=[
-    _csv_view("carttrend_produits")]) + _stg_body.replace("FROM carttrend_produits WHERE", "FROM carttrend_produits_csv WHERE")
+SQL["stg_table_sink"] = with_raw("raw_produits", extra=[
+    _csv_view("raw_produits")]) + _stg_body.replace("FROM raw_produits WHERE", "FROM raw_produits_csv WHERE")

@@ -51,17 +51,17 @@ def q(name: str) -> str:
 
 # --- raw tables: base rows as strings ------------------------------------------------------
 BASES = {
-    "carttrend_campaigns": (("campaign_src",), """
+    "raw_campaigns": (("campaign_src",), """
         SELECT id_campagne, CAST(date AS VARCHAR) AS date, evenement_oui_non, evenement_type, canal,
                CAST(budget AS VARCHAR) AS budget, CAST(impressions AS VARCHAR) AS impressions,
                CAST(clics AS VARCHAR) AS clics, CAST(conversions AS VARCHAR) AS conversions,
                CAST(ctr AS VARCHAR) AS ctr
         FROM campaign_src"""),
-    "carttrend_clients": (("dim_clients",), """
+    "raw_clients": (("dim_clients",), """
         SELECT id_client, prenom_client, nom_client, email, CAST(age AS VARCHAR) AS age, genre,
                CAST(frequence_visite AS VARCHAR) AS frequence_visites, numero_telephone, favoris, adresse_ip
         FROM dim_clients"""),
-    "carttrend_commandes": ((), """
+    "raw_commandes": ((), """
         SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS id_commande, 'CL' || CAST(o_custkey AS VARCHAR) AS id_client,
                'E' || CAST(o_orderkey % 10 AS VARCHAR) AS id_entrepot_depart,
                CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date_commande,
@@ -73,16 +73,16 @@ BASES = {
                CAST(CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 + 1 AS INTEGER) AS DATE) AS VARCHAR)
                    AS date_livraison_estimee
         FROM orders"""),
-    "carttrend_details_commandes": (("dim_details_commandes",), """
+    "raw_details_commandes": (("dim_details_commandes",), """
         SELECT id_commande, id_details_produits AS id_produit, CAST(quantite AS VARCHAR) AS quantite,
                CASE WHEN emballage_special THEN 'oui' ELSE 'non' END AS emballage_special
         FROM dim_details_commandes"""),
-    "carttrend_entrepots": (("dim_entrepots",), """
+    "raw_entrepots": (("dim_entrepots",), """
         SELECT id_entrepot, localisation, CAST(capacite_max AS VARCHAR) AS capacite_max,
                CAST(volume_stocke AS VARCHAR) AS volume_stocke, CAST(taux_remplissage AS VARCHAR) AS taux_remplissage,
                CAST(temp_moyenne AS VARCHAR) AS temperature_moyenne_entrepot
         FROM dim_entrepots"""),
-    "carttrend_entrepots_machine": (("machine_src",), """
+    "raw_entrepots_machine": (("machine_src",), """
         SELECT 'I' || CAST(m AS VARCHAR) || '-' || CAST(mo AS VARCHAR) || '-' || CAST(yr AS VARCHAR) AS id,
                'M' || CAST(m AS VARCHAR) AS id_machine, 'E' || CAST(m % 10 AS VARCHAR) AS id_entrepot,
                CASE m % 3 WHEN 0 THEN 'Convoyeur' WHEN 1 THEN 'Trieuse' ELSE 'Chariot' END AS type_machine,
@@ -90,22 +90,22 @@ BASES = {
                CAST(CAST(arret AS BIGINT) AS VARCHAR) AS temps_d_arret, CAST(CAST(vol AS BIGINT) AS VARCHAR) AS volume_traite,
                CAST(yr AS VARCHAR) || '-' || lpad(CAST(mo AS VARCHAR), 2, '0') AS mois
         FROM machine_src"""),
-    "carttrend_posts": (("posts_src",), """
+    "raw_posts": (("posts_src",), """
         SELECT id_post, CAST(date_post AS VARCHAR) AS date_post, canal_social,
                CAST(volume_mentions AS VARCHAR) AS volume_mentions, sentiment_global, contenu_post
         FROM posts_src"""),
-    "carttrend_produits": ((), """
+    "raw_produits": ((), """
         SELECT printf('P%05d', p_partkey) AS id, p_type AS categorie, p_brand AS marque,
                CASE WHEN p_partkey % 3 = 0 AND p_partkey % 10 <> 0 THEN p_name || ' - V' || CAST(p_size AS VARCHAR)
                     ELSE p_name END AS produit,
                CAST(p_retailprice AS VARCHAR) AS prix, p_type AS "sous-categorie",
                CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 'V' || CAST(p_size AS VARCHAR) END AS variation
         FROM part"""),
-    "carttrend_promotions": (("promo_src",), """
+    "raw_promotions": (("promo_src",), """
         SELECT id_promotion, id_produit, type_promotion, valeur_promotion, CAST(date_debut AS VARCHAR) AS date_debut,
                CAST(date_fin AS VARCHAR) AS date_fin, responsable_promotion
         FROM promo_src"""),
-    "carttrend_satisfaction": (("dim_satisfaction",), """
+    "raw_satisfaction": (("dim_satisfaction",), """
         SELECT id_satisfaction, id_commande, CAST(note_client AS VARCHAR) AS note_client, commentaire, plainte,
                CAST(temps_de_reponse AS VARCHAR) AS temps_reponse_support, type_plainte, employe_support
         FROM dim_satisfaction"""),
@@ -182,8 +182,8 @@ def nb(x):
 
 STG: dict[str, tuple[str, str]] = {}
 
-STG["stg_campaigns"] = ("carttrend_campaigns", staging_sql(
-    "carttrend_campaigns", f"{nb('id_campagne')} AND date IS NOT NULL", [tr("id_campagne")],
+STG["stg_campaigns"] = ("raw_campaigns", staging_sql(
+    "raw_campaigns", f"{nb('id_campagne')} AND date IS NOT NULL", [tr("id_campagne")],
     [filled("date"), filled("evenement_oui_non"), filled_text("evenement_type"), filled_text("canal"),
      filled("budget"), filled("impressions"), filled("clics"), filled("conversions"), filled("ctr")],
     [(tr("id_campagne"), "id_campagne"), (s_date("date"), "date"), (tr("evenement_oui_non"), "evenement_oui_non"),
@@ -191,8 +191,8 @@ STG["stg_campaigns"] = ("carttrend_campaigns", staging_sql(
      (s_long("impressions"), "impressions"), (s_long("clics"), "clics"), (s_long("conversions"), "conversions"),
      (s_double("ctr"), "CTR")]))
 
-STG["stg_clients"] = ("carttrend_clients", staging_sql(
-    "carttrend_clients", "id_client IS NOT NULL AND prenom_client IS NOT NULL AND nom_client IS NOT NULL",
+STG["stg_clients"] = ("raw_clients", staging_sql(
+    "raw_clients", "id_client IS NOT NULL AND prenom_client IS NOT NULL AND nom_client IS NOT NULL",
     ["CAST(id_client AS VARCHAR)"],
     [filled_nb("prenom_client"), filled_nb("nom_client"), filled_nb("email"), filled("age"), filled_nb("genre"),
      filled("frequence_visites"), filled_nb("numero_telephone"), filled_nb("favoris"), filled_nb("adresse_ip")],
@@ -206,8 +206,8 @@ def _fu(x):
     return f"IF({x} IS NOT NULL AND {x} != '', 1, 0)"
 
 
-STG["stg_commandes"] = ("carttrend_commandes", staging_sql(
-    "carttrend_commandes", nb("id_commande"), [tr("id_commande")],
+STG["stg_commandes"] = ("raw_commandes", staging_sql(
+    "raw_commandes", nb("id_commande"), [tr("id_commande")],
     [_fu("id_client"), _fu("id_entrepot_depart"), filled("date_commande"), _fu("statut_commande"),
      _fu("id_promotion_appliquee"), _fu("mode_de_paiement"), _fu("numero_tracking"), filled("date_livraison_estimee")],
     [(tr("id_commande"), "id_commande"), (tr("id_client"), "id_client"), (tr("id_entrepot_depart"), "id_entrepot_depart"),
@@ -215,14 +215,14 @@ STG["stg_commandes"] = ("carttrend_commandes", staging_sql(
      (tr("id_promotion_appliquee"), "id_promotion_appliquee"), (tr("mode_de_paiement"), "mode_de_paiement"),
      (tr("numero_tracking"), "numero_tracking"), (s_date("date_livraison_estimee"), "date_livraison_estimee")]))
 
-STG["stg_details_commandes"] = ("carttrend_details_commandes", staging_sql(
-    "carttrend_details_commandes", "id_commande IS NOT NULL AND id_produit IS NOT NULL",
+STG["stg_details_commandes"] = ("raw_details_commandes", staging_sql(
+    "raw_details_commandes", "id_commande IS NOT NULL AND id_produit IS NOT NULL",
     [tr("id_commande"), tr("id_produit")], [filled("quantite"), filled("emballage_special")],
     [(tr("id_commande"), "id_commande"), (tr("id_produit"), "id_produit"), (s_long("quantite"), "quantite"),
      (yes_no("emballage_special"), "emballage_special")]))
 
-STG["stg_entrepots"] = ("carttrend_entrepots", staging_sql(
-    "carttrend_entrepots", nb("id_entrepot"), [tr("id_entrepot")],
+STG["stg_entrepots"] = ("raw_entrepots", staging_sql(
+    "raw_entrepots", nb("id_entrepot"), [tr("id_entrepot")],
     [filled_text("localisation"), filled("capacite_max"), filled("volume_stocke"), filled("taux_remplissage"),
      filled("temperature_moyenne_entrepot")],
     [(tr("id_entrepot"), "id_entrepot"), (tr("localisation"), "localisation"), (s_long("capacite_max"), "capacite_max"),
@@ -233,8 +233,8 @@ _YM = f"(mois IS NOT NULL AND regexp_matches({tr('mois')}, '^[0-9]{{4}}-[0-9]{{2
 _MOIS = s_long(f"substr({tr('mois')}, 6, 2)")
 _ANNEE = s_long(f"substr({tr('mois')}, 1, 4)")
 
-STG["stg_entrepots_machine"] = ("carttrend_entrepots_machine", staging_sql(
-    "carttrend_entrepots_machine", f"{nb('id')} AND {nb('id_machine')} AND {nb('id_entrepot')} AND {_YM}", [tr("id")],
+STG["stg_entrepots_machine"] = ("raw_entrepots_machine", staging_sql(
+    "raw_entrepots_machine", f"{nb('id')} AND {nb('id_machine')} AND {nb('id_entrepot')} AND {_YM}", [tr("id")],
     [filled_nb("id_machine"), filled_nb("id_entrepot"), filled_nb("type_machine"), filled_nb("etat_machine"),
      filled("temps_d_arret"), filled("volume_traite"), f"IF({_YM}, 1, 0)"],
     [(tr("id"), "id"), (tr("id_machine"), "id_machine"), (tr("id_entrepot"), "id_entrepot"),
@@ -243,32 +243,32 @@ STG["stg_entrepots_machine"] = ("carttrend_entrepots_machine", staging_sql(
      (_MOIS, "mois"), (_ANNEE, "annee")],
     tiebreak=[(_ANNEE, "DESC"), (_MOIS, "DESC")]))
 
-STG["stg_posts"] = ("carttrend_posts", staging_sql(
-    "carttrend_posts", nb("id_post"), [tr("id_post")],
+STG["stg_posts"] = ("raw_posts", staging_sql(
+    "raw_posts", nb("id_post"), [tr("id_post")],
     [filled("date_post"), filled_text("canal_social"), filled("volume_mentions"), filled_text("sentiment_global"),
      filled_text("contenu_post")],
     [(tr("id_post"), "id_post"), (s_date("date_post"), "date_post"), (tr("canal_social"), "canal_social"),
      (s_long("volume_mentions"), "volume_mentions"), (tr("sentiment_global"), "sentiment_global"),
      (tr("contenu_post"), "contenu_post")]))
 
-STG["stg_produits"] = ("carttrend_produits", staging_sql(
-    "carttrend_produits", f"{nb('id')} AND {nb('produit')} AND prix IS NOT NULL", [tr("id")],
+STG["stg_produits"] = ("raw_produits", staging_sql(
+    "raw_produits", f"{nb('id')} AND {nb('produit')} AND prix IS NOT NULL", [tr("id")],
     [filled_nb("id"), filled_nb("categorie"), filled_nb("marque"), filled_nb("produit"), filled("prix"),
      filled_nb(q("sous-categorie")), filled_nb("variation")],
     [(tr("id"), "id"), (tr("categorie"), "categorie"), (tr("marque"), "marque"),
      (strip_suffix("produit", "variation"), "produit"), (s_double("prix"), "prix"),
      (tr(q("sous-categorie")), "sous_categorie"), (tr("variation"), "variation")]))
 
-STG["stg_promotions"] = ("carttrend_promotions", staging_sql(
-    "carttrend_promotions", f"{nb('id_promotion')} AND {nb('id_produit')}", [tr("id_promotion"), tr("id_produit")],
+STG["stg_promotions"] = ("raw_promotions", staging_sql(
+    "raw_promotions", f"{nb('id_promotion')} AND {nb('id_produit')}", [tr("id_promotion"), tr("id_produit")],
     [filled_text("type_promotion"), filled("valeur_promotion"), filled("date_debut"), filled("date_fin"),
      filled_text("responsable_promotion")],
     [(tr("id_promotion"), "id_promotion"), (tr("id_produit"), "id_produit"), (tr("type_promotion"), "type_promotion"),
      ("CAST(valeur_promotion AS VARCHAR)", "valeur_promotion"), (s_date("date_debut"), "date_debut"),
      (s_date("date_fin"), "date_fin"), (tr("responsable_promotion"), "responsable_promotion")]))
 
-STG["stg_satisfaction"] = ("carttrend_satisfaction", staging_sql(
-    "carttrend_satisfaction", f"{nb('id_satisfaction')} AND {nb('id_commande')}", [tr("id_satisfaction")],
+STG["stg_satisfaction"] = ("raw_satisfaction", staging_sql(
+    "raw_satisfaction", f"{nb('id_satisfaction')} AND {nb('id_commande')}", [tr("id_satisfaction")],
     [filled_text("id_commande"), filled("note_client"), filled_text("commentaire"), filled("plainte"),
      filled("temps_reponse_support"), filled_text("type_plainte"), filled_text("employe_support")],
     [(tr("id_satisfaction"), "id_satisfaction"), (tr("id_commande"), "id_commande"),
@@ -283,23 +283,23 @@ SQL["dedup_by_completeness"] = with_raw(*[raw for raw, _ in STG.values()], extra
     f"SELECT '{name}' AS model, (SELECT COUNT(*) FROM {raw}) AS raw_rows, (SELECT COUNT(*) FROM {name}_out) AS kept_rows"
     for name, (raw, _) in STG.items())
 
-SQL["strip_variation_suffix"] = with_raw("carttrend_produits") + f"""
-SELECT id, produit, variation, {strip_suffix("produit", "variation")} AS produit_nettoye FROM carttrend_produits
+SQL["strip_variation_suffix"] = with_raw("raw_produits") + f"""
+SELECT id, produit, variation, {strip_suffix("produit", "variation")} AS produit_nettoye FROM raw_produits
 """
 
-SQL["safe_cast"] = with_raw("carttrend_campaigns") + f"""
+SQL["safe_cast"] = with_raw("raw_campaigns") + f"""
 SELECT id_campagne, {s_date("date")} AS date, {s_double("budget")} AS budget, {s_long("impressions")} AS impressions,
        {s_long("clics")} AS clics, {s_long("conversions")} AS conversions, {s_double("ctr")} AS ctr
-FROM carttrend_campaigns
+FROM raw_campaigns
 """
 
-SQL["yes_no_to_boolean"] = with_raw("carttrend_details_commandes") + f"""
+SQL["yes_no_to_boolean"] = with_raw("raw_details_commandes") + f"""
 SELECT id_commande, id_produit, emballage_special, {yes_no("emballage_special")} AS emballage_bool
-FROM carttrend_details_commandes
+FROM raw_details_commandes
 """
 
-SQL["year_month_split"] = with_raw("carttrend_entrepots_machine") + f"""
+SQL["year_month_split"] = with_raw("raw_entrepots_machine") + f"""
 SELECT id, mois AS mois_brut, {_YM} AS mois_valide,
        CASE WHEN {_YM} THEN {_MOIS} END AS mois, CASE WHEN {_YM} THEN {_ANNEE} END AS annee
-FROM carttrend_entrepots_machine
+FROM raw_entrepots_machine
 """

@@ -176,16 +176,16 @@ def stg_satisfaction(raw: DataFrame) -> DataFrame:
 
 
 STAGING_MODELS = {
-    "stg_campaigns": ("carttrend_campaigns", stg_campaigns),
-    "stg_clients": ("carttrend_clients", stg_clients),
-    "stg_commandes": ("carttrend_commandes", stg_commandes),
-    "stg_details_commandes": ("carttrend_details_commandes", stg_details_commandes),
-    "stg_entrepots": ("carttrend_entrepots", stg_entrepots),
-    "stg_entrepots_machine": ("carttrend_entrepots_machine", stg_entrepots_machine),
-    "stg_posts": ("carttrend_posts", stg_posts),
-    "stg_produits": ("carttrend_produits", stg_produits),
-    "stg_promotions": ("carttrend_promotions", stg_promotions),
-    "stg_satisfaction": ("carttrend_satisfaction", stg_satisfaction),
+    "stg_campaigns": ("raw_campaigns", stg_campaigns),
+    "stg_clients": ("raw_clients", stg_clients),
+    "stg_commandes": ("raw_commandes", stg_commandes),
+    "stg_details_commandes": ("raw_details_commandes", stg_details_commandes),
+    "stg_entrepots": ("raw_entrepots", stg_entrepots),
+    "stg_entrepots_machine": ("raw_entrepots_machine", stg_entrepots_machine),
+    "stg_posts": ("raw_posts", stg_posts),
+    "stg_produits": ("raw_produits", stg_produits),
+    "stg_promotions": ("raw_promotions", stg_promotions),
+    "stg_satisfaction": ("raw_satisfaction", stg_satisfaction),
 }
 
 

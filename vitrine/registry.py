@@ -145,7 +145,7 @@ def _strip_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.functions.cleaning import strip_variation_suffix
     from vitrine.sources.raw_fixtures import raw_table
 
-    raw = raw_table(spark, sf_dir, "carttrend_produits")
+    raw = raw_table(spark, sf_dir, "raw_produits")
     return raw.select("id", "produit", "variation",
                       strip_variation_suffix(F.col("produit"), F.col("variation")).alias("produit_nettoye"))
 
@@ -156,7 +156,7 @@ def _safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.functions.cleaning import safe_date, safe_double, safe_long
     from vitrine.sources.raw_fixtures import raw_table
 
-    raw = raw_table(spark, sf_dir, "carttrend_campaigns")
+    raw = raw_table(spark, sf_dir, "raw_campaigns")
     return raw.select("id_campagne", safe_date(F.col("date")).alias("date"), safe_double(F.col("budget")).alias("budget"),
                       safe_long(F.col("impressions")).alias("impressions"), safe_long(F.col("clics")).alias("clics"),
                       safe_long(F.col("conversions")).alias("conversions"), safe_double(F.col("ctr")).alias("ctr"))
@@ -168,7 +168,7 @@ def _yes_no(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.functions.cleaning import yes_no_to_boolean
     from vitrine.sources.raw_fixtures import raw_table
 
-    raw = raw_table(spark, sf_dir, "carttrend_details_commandes")
+    raw = raw_table(spark, sf_dir, "raw_details_commandes")
     return raw.select("id_commande", "id_produit", "emballage_special",
                       yes_no_to_boolean(F.col("emballage_special")).alias("emballage_bool"))
 
@@ -179,7 +179,7 @@ def _year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.functions.cleaning import is_year_month, year_month_split
     from vitrine.sources.raw_fixtures import raw_table
 
-    raw = raw_table(spark, sf_dir, "carttrend_entrepots_machine")
+    raw = raw_table(spark, sf_dir, "raw_entrepots_machine")
     valid = is_year_month(F.col("mois"))
     mois, annee = year_month_split(F.col("mois"))
     return raw.select("id", F.col("mois").alias("mois_brut"), valid.alias("mois_valide"),
@@ -203,9 +203,9 @@ QUERIES.update({
 # Fixed export headers for two files (they normalise back to the raw names); other files
 # use the title-cased raw name surrounded by blanks.
 EXPORT_HEADERS = {
-    "carttrend_clients": ("ID.Client", "Prénom_Client", "Nom_Client", "Email", "Age", "Genre", "Fréquence_Visites",
+    "raw_clients": ("ID.Client", "Prénom_Client", "Nom_Client", "Email", "Age", "Genre", "Fréquence_Visites",
                           "Numéro_Téléphone", "Favoris", "Adresse.IP"),
-    "carttrend_produits": ("ID", "Catégorie", "Marque", "Produit", "Prix", "Sous-Catégorie", "Variation"),
+    "raw_produits": ("ID", "Catégorie", "Marque", "Produit", "Prix", "Sous-Catégorie", "Variation"),
 }
 
 
@@ -231,9 +231,9 @@ def _overwrite_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.sources.ingest import ingest_overwrite_sink, scratch_dir
     from vitrine.sources.raw_fixtures import raw_table
 
-    target = scratch_dir(spark, "sink") + "/carttrend_details_commandes"
-    ingest_overwrite_sink(raw_table(spark, sf_dir, "carttrend_entrepots"), target)        # previous content
-    ingest_overwrite_sink(raw_table(spark, sf_dir, "carttrend_details_commandes"), target)  # replaces it
+    target = scratch_dir(spark, "sink") + "/raw_details_commandes"
+    ingest_overwrite_sink(raw_table(spark, sf_dir, "raw_entrepots"), target)        # previous content
+    ingest_overwrite_sink(raw_table(spark, sf_dir, "raw_details_commandes"), target)  # replaces it
     return spark.read.parquet(target)
 
 
@@ -244,7 +244,7 @@ def _load_all(spark: SparkSession, sf_dir: str, missing: bool = False) -> tuple[
     exports = scratch_dir(spark, "export")
     files = {t.capitalize(): export_raw_csv(spark, sf_dir, t, exports) for t in RAW_SPECS}
     if missing:
-        files["Carttrend_Manquant"] = f"{exports}/carttrend_manquant.csv"
+        files["Raw_Manquant"] = f"{exports}/raw_manquant.csv"
     raw_dir = scratch_dir(spark, "raw")
     return ingest_batch_log(spark, files, raw_dir), raw_dir
 
@@ -277,15 +277,15 @@ def _stg_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.operators.staging import stg_produits
     from vitrine.sources.ingest import ingest_csv, scratch_dir, stg_table_sink
 
-    raw = ingest_csv(spark, export_raw_csv(spark, sf_dir, "carttrend_produits", scratch_dir(spark, "export")))
+    raw = ingest_csv(spark, export_raw_csv(spark, sf_dir, "raw_produits", scratch_dir(spark, "export")))
     target = scratch_dir(spark, "staging") + "/stg_produits"
     stg_table_sink(stg_produits(raw), target)
     return spark.read.parquet(target)
 
 
 QUERIES.update({
-    "ingest_csv": _ingest_one("carttrend_clients"),
-    "ingest_normalize_headers": _ingest_one("carttrend_produits"),
+    "ingest_csv": _ingest_one("raw_clients"),
+    "ingest_normalize_headers": _ingest_one("raw_produits"),
     "ingest_overwrite_sink": _overwrite_sink,
     "ingest_batch_log": _batch_log,
     "source_catalogue": _source_catalogue,

@@ -13,16 +13,16 @@ from vitrine.sources.raw_fixtures import RAW_SPECS
 
 # Descriptions declared for the raw sources.
 DESCRIPTIONS = {
-    "carttrend_produits": "Contient la liste des produits référencés avec leurs caractéristiques",
-    "carttrend_clients": "Données clients : identifiants, infos personnelles et localisation",
-    "carttrend_campaigns": "Historique des campagnes marketing et publicitaires",
-    "carttrend_entrepots": "Liste des entrepôts d’expédition ou de stockage",
-    "carttrend_details_commandes": "Détail des produits associés à chaque commande (lignes de commande)",
-    "carttrend_commandes": "",
-    "carttrend_entrepots_machine": "Association entre les machines industrielles et les entrepôts",
-    "carttrend_promotions": "Historique des promotions appliquées sur les produits",
-    "carttrend_posts": "Mentions sociales et sentiment analysis des publications sur les réseaux",
-    "carttrend_satisfaction": "Données de satisfaction client collectées suite aux commandes.",
+    "raw_produits": "Contient la liste des produits référencés avec leurs caractéristiques",
+    "raw_clients": "Données clients : identifiants, infos personnelles et localisation",
+    "raw_campaigns": "Historique des campagnes marketing et publicitaires",
+    "raw_entrepots": "Liste des entrepôts d’expédition ou de stockage",
+    "raw_details_commandes": "Détail des produits associés à chaque commande (lignes de commande)",
+    "raw_commandes": "",
+    "raw_entrepots_machine": "Association entre les machines industrielles et les entrepôts",
+    "raw_promotions": "Historique des promotions appliquées sur les produits",
+    "raw_posts": "Mentions sociales et sentiment analysis des publications sur les réseaux",
+    "raw_satisfaction": "Données de satisfaction client collectées suite aux commandes.",
 }
 
 

@@ -36,37 +36,37 @@ class RawSpec:
 
 
 RAW_SPECS: dict[str, RawSpec] = {
-    "carttrend_campaigns": RawSpec(
+    "raw_campaigns": RawSpec(
         ("id_campagne", "date", "evenement_oui_non", "evenement_type", "canal", "budget", "impressions", "clics",
          "conversions", "ctr"), ("id_campagne",), ("evenement_oui_non", "evenement_type", "canal"), "evenement_type"),
-    "carttrend_clients": RawSpec(
+    "raw_clients": RawSpec(
         ("id_client", "prenom_client", "nom_client", "email", "age", "genre", "frequence_visites",
          "numero_telephone", "favoris", "adresse_ip"), ("id_client",),
         ("prenom_client", "nom_client", "email", "genre", "numero_telephone", "adresse_ip"), "email"),
-    "carttrend_commandes": RawSpec(
+    "raw_commandes": RawSpec(
         ("id_commande", "id_client", "id_entrepot_depart", "date_commande", "statut_commande",
          "id_promotion_appliquee", "mode_de_paiement", "numero_tracking", "date_livraison_estimee"),
         ("id_commande",), ("id_client", "statut_commande", "mode_de_paiement", "numero_tracking"), "numero_tracking"),
-    "carttrend_details_commandes": RawSpec(
+    "raw_details_commandes": RawSpec(
         ("id_commande", "id_produit", "quantite", "emballage_special"), ("id_commande", "id_produit"),
         ("emballage_special",), "emballage_special"),
-    "carttrend_entrepots": RawSpec(
+    "raw_entrepots": RawSpec(
         ("id_entrepot", "localisation", "capacite_max", "volume_stocke", "taux_remplissage",
          "temperature_moyenne_entrepot"), ("id_entrepot",), ("localisation",), "localisation"),
-    "carttrend_entrepots_machine": RawSpec(
+    "raw_entrepots_machine": RawSpec(
         ("id", "id_machine", "id_entrepot", "type_machine", "etat_machine", "temps_d_arret", "volume_traite", "mois"),
         ("id",), ("id_machine", "id_entrepot", "type_machine", "etat_machine", "mois"), "type_machine"),
-    "carttrend_posts": RawSpec(
+    "raw_posts": RawSpec(
         ("id_post", "date_post", "canal_social", "volume_mentions", "sentiment_global", "contenu_post"),
         ("id_post",), ("canal_social", "sentiment_global", "contenu_post"), "contenu_post"),
-    "carttrend_produits": RawSpec(
+    "raw_produits": RawSpec(
         ("id", "categorie", "marque", "produit", "prix", "sous-categorie", "variation"), ("id",),
         ("categorie", "marque", "produit", "sous-categorie", "variation"), "marque"),
-    "carttrend_promotions": RawSpec(
+    "raw_promotions": RawSpec(
         ("id_promotion", "id_produit", "type_promotion", "valeur_promotion", "date_debut", "date_fin",
          "responsable_promotion"), ("id_promotion", "id_produit"), ("type_promotion", "responsable_promotion"),
         "responsable_promotion"),
-    "carttrend_satisfaction": RawSpec(
+    "raw_satisfaction": RawSpec(
         ("id_satisfaction", "id_commande", "note_client", "commentaire", "plainte", "temps_reponse_support",
          "type_plainte", "employe_support"), ("id_satisfaction",),
         ("commentaire", "type_plainte", "employe_support"), "employe_support"),
@@ -79,28 +79,28 @@ def _strings(df: DataFrame, mapping: dict[str, Column]) -> DataFrame:
 
 def _base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     col = F.col
-    if table == "carttrend_campaigns":
+    if table == "raw_campaigns":
         s = testdata.stg_campaigns(spark, sf_dir)
         return _strings(s, {n: col(n) for n in RAW_SPECS[table].columns[:-1]} | {"ctr": col("CTR")})
-    if table == "carttrend_clients":
+    if table == "raw_clients":
         return _strings(testdata.stg_clients(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
-    if table == "carttrend_commandes":
+    if table == "raw_commandes":
         return _strings(testdata.stg_commandes(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
-    if table == "carttrend_details_commandes":
+    if table == "raw_details_commandes":
         s = testdata.stg_details_commandes(spark, sf_dir)
         return _strings(s, {"id_commande": col("id_commande"), "id_produit": col("id_produit"),
                             "quantite": col("quantite"),
                             "emballage_special": F.when(col("emballage_special"), "oui").otherwise("non")})
-    if table == "carttrend_entrepots":
+    if table == "raw_entrepots":
         return _strings(testdata.stg_entrepots(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
-    if table == "carttrend_entrepots_machine":
+    if table == "raw_entrepots_machine":
         s = testdata.stg_entrepots_machine(spark, sf_dir)
         m = {n: col(n) for n in RAW_SPECS[table].columns[:-1]}
         m["mois"] = F.concat(col("annee").cast("string"), F.lit("-"), F.lpad(col("mois").cast("string"), 2, "0"))
         return _strings(s, m)
-    if table == "carttrend_posts":
+    if table == "raw_posts":
         return _strings(testdata.stg_posts(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
-    if table == "carttrend_produits":
+    if table == "raw_produits":
         s = testdata.stg_produits(spark, sf_dir)
         k = F.regexp_extract(col("id"), "[0-9]+", 0).cast("long")
         named = F.when((k % 3 == 0) & col("variation").isNotNull(),
@@ -108,9 +108,9 @@ def _base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         return _strings(s, {"id": col("id"), "categorie": col("categorie"), "marque": col("marque"),
                             "produit": named, "prix": col("prix"), "sous-categorie": col("sous_categorie"),
                             "variation": col("variation")})
-    if table == "carttrend_promotions":
+    if table == "raw_promotions":
         return _strings(testdata.stg_promotions(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
-    if table == "carttrend_satisfaction":
+    if table == "raw_satisfaction":
         return _strings(testdata.stg_satisfaction(spark, sf_dir), {n: col(n) for n in RAW_SPECS[table].columns})
     raise KeyError(table)
 
