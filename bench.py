@@ -56,8 +56,10 @@ def main() -> None:
     from vitrine.star import Star
 
     scratch = tempfile.mkdtemp(prefix="vitrine-bench-")
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="vitrine-bench",
-                          extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
+    extra = {"spark.sql.warehouse.dir": f"{scratch}/warehouse"}
+    extra.update(json.loads(os.environ.get("BENCH_SPARK_CONF", "{}")))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, 2 * cpus))),
+                          app="vitrine-bench", extra=extra)
     keys = a.keys or (list(KPI_FUNCTIONS) if a.all else list(HEADLINE))
 
     t0 = time.perf_counter()

@@ -6,6 +6,7 @@ from oracle.sql_star import SQL as _STAR
 from oracle.sql_quality import SQL as _DQ
 from oracle.sql_staging import SQL as _STG
 from oracle.sql_ingest import SQL as _INGEST
+from oracle.sql_blocks import SQL as _BLOCKS
 
 ORACLE_SQL: dict[str, str] = {}
 ORACLE_SQL.update(_STAR)
@@ -14,3 +15,4 @@ ORACLE_SQL.update(_OTHER_KPIS)
 ORACLE_SQL.update(_DQ)
 ORACLE_SQL.update(_STG)
 ORACLE_SQL.update(_INGEST)
+ORACLE_SQL.update(_BLOCKS)

@@ -126,3 +126,12 @@ def round_ratio(x: Column, digits: int = 2) -> Column:
 def safe_ratio(num: Column, den: Column) -> Column:
     """SAFE_DIVIDE on DOUBLE: NULL when the denominator is 0 or NULL."""
     return F.try_divide(num.cast("double"), den.cast("double"))
+
+
+def conditional_pivot(df: DataFrame, keys: list[str], label_col: str, value_col: str,
+                      labels: dict[str, str], default=0) -> DataFrame:
+    """One column per label: MAX(IF(label = x, value, default)) grouped by `keys`."""
+    dtype = df.schema[value_col].dataType
+    return df.groupBy(*keys).agg(*[
+        F.max(F.when(F.col(label_col) == lab, F.col(value_col)).otherwise(F.lit(default).cast(dtype))).alias(out)
+        for out, lab in labels.items()])

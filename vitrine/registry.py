@@ -297,3 +297,90 @@ QUERIES.update({
 # that bring their own star (the daily run, the bench on materialised staging).
 KPI_FUNCTIONS = {k: q.kpi for k, q in QUERIES.items() if hasattr(q, "kpi")}
 KPI_FUNCTIONS["sat_by_delivery_state"] = sat_by_delivery_state
+
+
+# --- shared building blocks of the KPIs, each over the whole test tables -------------------
+
+def _blocks() -> dict[str, Query]:
+    from pyspark.sql import functions as F
+
+    from vitrine.functions.pricing import (conditional_pivot, discounted_price_by_type, effective_price,
+                                           not_cancelled, promo_period_label, with_display_name)
+    from vitrine.functions.text import keyword_counts
+    from vitrine.plans.common import order_lines, promotions_with_dates, units_by_product_day
+    from vitrine.plans.marketing import _mentions_with_peak
+    from vitrine.plans.satisfaction import KEYWORDS_3, KEYWORDS_8
+
+    def star_of(spark, sf_dir):
+        return testdata_star(spark, sf_dir)
+
+    def exclude_cancelled(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        return star.facts_commandes.where(not_cancelled(F.col("statut_commande")))
+
+    def effective_price_q(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        lines = order_lines(star, exclude_cancelled=False).join(
+            star.dim_produits.select("id_produit", "prix"), F.col("id_details_produits") == F.col("id_produit"))
+        promos = promotions_with_dates(star).select(F.col("id_produit").alias("_pp"), "id_promotion",
+                                                    "valeur_promotion", "date_debut", "date_fin")
+        x = lines.join(promos, lines.id_produit == promos._pp, "left")
+        return x.select("id_commande", "id_details_produits", "id_promotion",
+                        effective_price(F.col("prix"), F.col("valeur_promotion"), F.col("date"), F.col("date_debut"),
+                                        F.col("date_fin")).cast("double").alias("prix_effectif"))
+
+    def effective_price_by_type(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        pr = star.dim_promotions
+        prods = star.dim_produits.select(F.col("id_produit").alias("_p"), "prix")
+        return pr.join(prods, pr.id_produit == prods._p).select(
+            "id_promotion", "id_produit", "type_promotion", "valeur_promotion",
+            discounted_price_by_type(F.col("prix"), F.col("type_promotion"), F.col("valeur_promotion"))
+            .cast("double").alias("prix_remise"))
+
+    def period_label(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        units = units_by_product_day(star)
+        promos = promotions_with_dates(star).select(F.col("id_produit").alias("_pp"), "id_promotion",
+                                                    "date_debut", "date_fin")
+        x = units.join(promos, (units.id_details_produits == promos._pp)
+                       & units.date.between(F.date_sub(promos.date_debut, 30), F.date_add(promos.date_fin, 30)))
+        return x.select(F.col("id_details_produits").alias("id_produit"), "date", "id_promotion",
+                        promo_period_label(F.col("date"), F.col("date_debut"), F.col("date_fin"), 30).alias("periode"))
+
+    def display_name(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        return with_display_name(star.dim_produits, out="produit_affiche").select(
+            "id_produit", "produit", "prix", "variation", "produit_affiche")
+
+    def zscore_peak_flag(spark, sf_dir):
+        return _mentions_with_peak(star_of(spark, sf_dir)).select("date_jour", "total_mentions", "pic_mention")
+
+    def keyword_counts_q(spark, sf_dir):
+        s = star_of(spark, sf_dir).dim_satisfaction.where(F.col("commentaire").isNotNull())
+        words = dict(KEYWORDS_3)
+        words.update(KEYWORDS_8)
+        return (s.groupBy(F.coalesce("type_plainte", F.lit("Aucune")).alias("type_plainte"))
+                .agg(F.count(F.lit(1)).alias("nb_commentaires"), *keyword_counts(F.col("commentaire"), words)))
+
+    def conditional_pivot_q(spark, sf_dir):
+        star = star_of(spark, sf_dir)
+        lines = order_lines(star, exclude_cancelled=False, order_cols=("statut_commande",))
+        per_status = (lines.groupBy("id_details_produits", "statut_commande")
+                      .agg(F.sum("quantite").alias("q")))
+        return conditional_pivot(per_status, ["id_details_produits"], "statut_commande", "q",
+                                 {"qte_livree": "Livrée", "qte_en_transit": "En transit", "qte_annulee": "Annulée"})
+
+    return {
+        "exclude_cancelled": exclude_cancelled,
+        "effective_price": effective_price_q,
+        "effective_price_by_type": effective_price_by_type,
+        "promo_period_label": period_label,
+        "display_name": display_name,
+        "zscore_peak_flag": zscore_peak_flag,
+        "keyword_counts": keyword_counts_q,
+        "conditional_pivot": conditional_pivot_q,
+    }
+
+
+QUERIES.update(_blocks())
