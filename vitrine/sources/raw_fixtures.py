@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.session import ensure_checkpoint_dir
 from vitrine.sources import testdata
 
 
@@ -150,8 +151,23 @@ def dirty(base: DataFrame, spec: RawSpec) -> DataFrame:
     return v0.unionByName(v1).unionByName(v2).unionByName(v3)
 
 
+_RAW_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return dirty(_base(spark, sf_dir, table), RAW_SPECS[table])
+    """The dirty raw table, materialised once per session like an export at rest.
+
+    The reliable checkpoint (shared checkpoint folder) also keeps the optimizer
+    from pushing a staging model's filters into this derivation, where they
+    would run once per source row instead of once per raw row.
+    """
+    key = (id(spark), sf_dir, table)
+    cached = _RAW_CACHE.get(key)
+    if cached is None or cached.sparkSession is not spark:
+        ensure_checkpoint_dir(spark)
+        cached = dirty(_base(spark, sf_dir, table), RAW_SPECS[table]).checkpoint(eager=True)
+        _RAW_CACHE[key] = cached
+    return cached
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
