@@ -61,3 +61,13 @@ def test_batch_log_keeps_going_after_a_failure(spark):
                            scratch_dir(spark, "test-raw"))
     got = {r.table_name: (r.status, r.rows) for r in log.collect()}
     assert got == {"good": ("success", 1), "missing": ("failed", 0)}
+
+
+def test_bucketing_only_for_balanced_keys(spark):
+    from vitrine.daily import is_balanced
+
+    even = spark.range(0, 400_000).select((F.col("id") % 50_000).cast("string").alias("k"))
+    hot = spark.range(0, 400_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50_000).cast("string")).alias("k"))
+    assert is_balanced(even, "k", 16)
+    assert not is_balanced(hot, "k", 16)

@@ -10,6 +10,11 @@ materialises staging as tables):
 * the three tables keyed by order (orders, order lines, reviews) are bucketed
   by `id_commande` into the same number of buckets, so the order-line / order
   join of every KPI reads co-located buckets and needs no shuffle;
+* a bucketed join has no shuffle stage, so AQE could not split a skewed
+  bucket: a table is bucketed only when the build has checked that no single
+  order holds more rows than an average bucket (`is_balanced`).  Otherwise it
+  is written unbucketed and the KPI joins shuffle, where AQE's skew-join
+  handling splits the hot order;
 * the other staging tables are plain Parquet.
 
 Everything is written under one folder; on a cluster it must be shared
@@ -31,6 +36,20 @@ ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_comm
                "stg_satisfaction": "id_commande"}
 
 
+HOT_KEY_MIN_ROWS = 100_000  # below this a key cannot make a task meaningfully slower
+
+
+def is_balanced(df: DataFrame, key: str, buckets: int) -> bool:
+    """True when no value of `key` holds more rows than an average bucket (one aggregate job)."""
+    from pyspark.sql import functions as F
+
+    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.sum("n").alias("total"), F.max("n").alias("top")).first())
+    if stats is None or stats["total"] is None:
+        return True
+    return stats["top"] <= max(HOT_KEY_MIN_ROWS, stats["total"] / buckets)
+
+
 def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], location: str,
                         buckets: int | None = None, database: str = "vitrine_staging") -> dict[str, DataFrame]:
     """Write the staging tables as catalog tables under `location`; return them re-read."""
@@ -38,7 +57,7 @@ def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], loca
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, df in staging.items():
         key = ORDER_KEYED.get(name)
-        if key:
+        if key and is_balanced(df, key, n):
             # One shuffle at build time: every bucket is written by one task, as one file.
             (df.repartition(n, key).write.mode("overwrite").format("parquet")
              .bucketBy(n, key).sortBy(key).saveAsTable(f"{database}.{name}"))
