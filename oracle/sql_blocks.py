@@ -62,7 +62,7 @@ JOIN (SELECT produit, COUNT(DISTINCT prix) AS nb_prix FROM dim_produits GROUP BY
 """
 
 SQL["zscore_peak_flag"] = with_star("facts_posts", "dim_date", extra=_PEAKS[:3]) + """
-SELECT date_jour, CAST(total_mentions AS BIGINT) AS total_mentions, pic_mention FROM mentions_avec_pic
+SELECT date_jour, CAST(total_mentions AS BIGINT) AS total_mentions, pic_mention FROM mentions_flagged
 """
 
 _WORDS = {"nb_average_quality": "average quality", "nb_long": "long", "nb_damaged": "damaged",
