@@ -71,3 +71,37 @@ def test_bucketing_only_for_balanced_keys(spark):
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50_000).cast("string")).alias("k"))
     assert is_balanced(even, "k", 16)
     assert not is_balanced(hot, "k", 16)
+
+
+def test_promo_match_in_window_keeps_units(spark):
+    """Units with promo_match='in_window' equal raw units when promotions do not overlap;
+    the reference's product-only match multiplies them by the number of promotions."""
+    from vitrine.plans.sales import sales_top_products
+    from vitrine.star import Star
+
+    d = dt.date(2020, 5, 10)
+    stg = {
+        "stg_commandes": spark.createDataFrame(
+            [("C1", "CL1", "E1", d, "Livrée", None, "Carte", "T", d), ("C2", "CL1", "E1", d.replace(day=20), "Livrée",
+                                                                        None, "Carte", "T", d.replace(day=20))],
+            "id_commande string, id_client string, id_entrepot_depart string, date_commande date, "
+            "statut_commande string, id_promotion_appliquee string, mode_de_paiement string, "
+            "numero_tracking string, date_livraison_estimee date"),
+        "stg_details_commandes": spark.createDataFrame(
+            [("C1", "P1", 3, True), ("C2", "P1", 4, True)],
+            "id_commande string, id_produit string, quantite long, emballage_special boolean"),
+        "stg_produits": spark.createDataFrame(
+            [("P1", "cat", "m", "mug", 10.0, "s", None)],
+            "id string, categorie string, marque string, produit string, prix double, sous_categorie string, "
+            "variation string"),
+        "stg_promotions": spark.createDataFrame(
+            [("A", "P1", "Pourcentage", "50%", dt.date(2020, 5, 1), dt.date(2020, 5, 12), "r"),
+             ("B", "P1", "Remise fixe", "€1.00", dt.date(2020, 6, 1), dt.date(2020, 6, 5), "r")],
+            "id_promotion string, id_produit string, type_promotion string, valeur_promotion string, "
+            "date_debut date, date_fin date, responsable_promotion string"),
+    }
+    star = Star(spark, stg, "2020-01-01", "2020-12-31")
+    ref = sales_top_products(star).collect()[0]
+    win = sales_top_products(star, promo_match="in_window").collect()[0]
+    assert ref.total_vendus == 14 and ref.chiffre_affaires == 3 * 5.0 + 3 * 10.0 + 4 * 10.0 * 2
+    assert win.total_vendus == 7 and win.chiffre_affaires == 3 * 5.0 + 4 * 10.0

@@ -89,15 +89,16 @@ def dim_produits(stg_produits: DataFrame) -> DataFrame:
 
 
 def promotions_dated(stg_promotions: DataFrame, cal: DataFrame) -> DataFrame:
-    """Promotions with both calendar ids and the calendar's dates (NULL outside the calendar)."""
-    d1 = cal.select(F.col("date").alias("_d1"), F.col("id_date").alias("id_date_debut"))
-    d2 = cal.select(F.col("date").alias("_d2"), F.col("id_date").alias("id_date_fin"))
-    return (stg_promotions.withColumnRenamed("date_debut", "_debut").withColumnRenamed("date_fin", "_fin")
-            .join(d1, F.col("_debut") == d1._d1, "left")
-            .join(d2, F.col("_fin") == d2._d2, "left")
-            .select("id_promotion", "type_promotion", "valeur_promotion", "responsable_promotion",
-                    "id_date_debut", "id_date_fin", "id_produit",
-                    F.col("_d1").alias("date_debut"), F.col("_d2").alias("date_fin")))
+    """Promotions with both calendar ids and the calendar's dates (NULL outside the calendar).
+
+    Both lookups join the same calendar frame (aliased), so the plan broadcasts it once.
+    """
+    p, d1, d2 = stg_promotions.alias("p"), cal.alias("d1"), cal.alias("d2")
+    return (p.join(d1, F.col("p.date_debut") == F.col("d1.date"), "left")
+            .join(d2, F.col("p.date_fin") == F.col("d2.date"), "left")
+            .select("p.id_promotion", "p.type_promotion", "p.valeur_promotion", "p.responsable_promotion",
+                    F.col("d1.id_date").alias("id_date_debut"), F.col("d2.id_date").alias("id_date_fin"),
+                    "p.id_produit", F.col("d1.date").alias("date_debut"), F.col("d2.date").alias("date_fin")))
 
 
 def dim_promotions(stg_promotions: DataFrame, cal: DataFrame) -> DataFrame:
@@ -126,18 +127,19 @@ def facts_campaigns(stg_campaigns: DataFrame, canal: DataFrame, cal: DataFrame)
 
 
 def orders_dated(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
-    """Orders inside the calendar, with their calendar ids and dates (inner joins, as the fact)."""
-    d1 = cal.select(F.col("date").alias("_d1"), F.col("id_date").alias("id_date_commande"))
-    d2 = cal.select(F.col("date").alias("_d2"), F.col("id_date").alias("id_date_livraison"))
-    return (stg_commandes
-            .join(d1, stg_commandes.date_commande == d1._d1)
-            .join(d2, stg_commandes.date_livraison_estimee == d2._d2)
-            .select("id_commande", "statut_commande",
-                    F.col("id_promotion_appliquee").alias("id_promotion"),
-                    "mode_de_paiement", F.col("numero_tracking").alias("id_tracking"),
-                    "id_client", F.col("id_entrepot_depart").alias("id_entrepot"),
-                    "id_date_commande", "id_date_livraison",
-                    F.col("_d1").alias("date_commande"), F.col("_d2").alias("date_livraison")))
+    """Orders inside the calendar, with their calendar ids and dates (inner joins, as the fact).
+
+    Both lookups join the same calendar frame (aliased), so the plan broadcasts it once.
+    """
+    o, d1, d2 = stg_commandes.alias("o"), cal.alias("d1"), cal.alias("d2")
+    return (o.join(d1, F.col("o.date_commande") == F.col("d1.date"))
+            .join(d2, F.col("o.date_livraison_estimee") == F.col("d2.date"))
+            .select("o.id_commande", "o.statut_commande",
+                    F.col("o.id_promotion_appliquee").alias("id_promotion"),
+                    "o.mode_de_paiement", F.col("o.numero_tracking").alias("id_tracking"),
+                    "o.id_client", F.col("o.id_entrepot_depart").alias("id_entrepot"),
+                    F.col("d1.id_date").alias("id_date_commande"), F.col("d2.id_date").alias("id_date_livraison"),
+                    F.col("d1.date").alias("date_commande"), F.col("d2.date").alias("date_livraison")))
 
 
 def facts_commandes(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:

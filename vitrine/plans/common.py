@@ -54,17 +54,27 @@ def with_products(units: DataFrame, products: DataFrame) -> DataFrame:
     return units.join(products, units.id_details_produits == products.id_produit)
 
 
-def priced_with_promotions(units: DataFrame, star: Star, products: DataFrame | None = None) -> DataFrame:
-    """Reference pricing: promotions LEFT JOINed on the product only.
-
-    A product with k promotions repeats each (product, day) row k times; each
-    copy is priced with the discount when the day lies inside that
-    promotion, with the catalogue price otherwise.  Adds `unit_price`.
+def priced_with_promotions(units: DataFrame, star: Star, products: DataFrame | None = None,
+                           promo_match: str = "product") -> DataFrame:
+    """Price (product, day) units against the product's promotions; adds `unit_price`.
+
+    promo_match="product" (the reference): promotions are LEFT JOINed on the
+    product only, so a product with k promotions repeats each row k times;
+    each copy is priced with the discount when the day lies inside that
+    promotion, with the catalogue price otherwise.
+    promo_match="in_window": a promotion joins only the days inside it, so a
+    day outside every promotion keeps one row at the catalogue price and units
+    are not multiplied (except on days where promotions overlap).
     """
+    if promo_match not in ("product", "in_window"):
+        raise ValueError(f"promo_match must be 'product' or 'in_window', not {promo_match!r}")
     prods = products if products is not None else star.dim_produits
     promos = promotions_with_dates(star).select(
         F.col("id_produit").alias("_promo_produit"), "valeur_promotion", "date_debut", "date_fin")
     x = with_products(units, prods)
-    x = x.join(promos, x.id_produit == promos._promo_produit, "left").drop("_promo_produit")
+    cond = x.id_produit == promos._promo_produit
+    if promo_match == "in_window":
+        cond = cond & x.date.between(promos.date_debut, promos.date_fin)
+    x = x.join(promos, cond, "left").drop("_promo_produit")
     return x.withColumn("unit_price", effective_price(F.col("prix"), F.col("valeur_promotion"), F.col("date"),
                                                       F.col("date_debut"), F.col("date_fin")))

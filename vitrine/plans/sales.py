@@ -20,9 +20,9 @@ from vitrine.plans.common import (order_lines, orders_with_date, priced_with_pro
 from vitrine.star import Star
 
 
-def sales_daily_revenue(star: Star) -> DataFrame:
-    """Promotion-aware revenue per order day (with the promotion fan-out)."""
-    priced = priced_with_promotions(units_by_product_day(star), star)
+def sales_daily_revenue(star: Star, promo_match: str = "product") -> DataFrame:
+    """Promotion-aware revenue per order day (with the reference's promotion fan-out by default)."""
+    priced = priced_with_promotions(units_by_product_day(star), star, promo_match=promo_match)
     daily = priced.groupBy("date").agg(F.sum(money(F.col("qty"), F.col("unit_price"))).alias("_ca"))
     return daily.select(
         F.col("date").alias("periode"),
@@ -33,10 +33,10 @@ def sales_daily_revenue(star: Star) -> DataFrame:
     ).orderBy("periode")
 
 
-def sales_top_products(star: Star) -> DataFrame:
+def sales_top_products(star: Star, promo_match: str = "product") -> DataFrame:
     """Revenue and units per category, display name and catalogue price (no LIMIT)."""
     prods = with_display_name(star.dim_produits, out="nom_affiche")
-    priced = priced_with_promotions(units_by_product_day(star), star, prods)
+    priced = priced_with_promotions(units_by_product_day(star), star, prods, promo_match=promo_match)
     return (priced.groupBy("categorie", F.col("nom_affiche").alias("produit"), "prix")
             .agg(F.sum("qty").alias("total_vendus"),
                  round_money(F.sum(money(F.col("qty"), F.col("unit_price")))).alias("chiffre_affaires"))
@@ -73,7 +73,7 @@ def _month_index(star: Star) -> DataFrame:
     return months.select("mois", F.row_number().over(Window.orderBy("mois")).alias("k"))
 
 
-def sales_declining_products(star: Star, run: int = 5) -> DataFrame:
+def sales_declining_products(star: Star, run: int = 5, promo_match: str = "product") -> DataFrame:
     """Products whose monthly promotion-aware revenue fell `run` months in a row.
 
     The reference zero-fills product x observed-month with a cross join and
@@ -93,7 +93,7 @@ def sales_declining_products(star: Star, run: int = 5) -> DataFrame:
     No product x month grid is materialised.
     """
     units = units_by_product_day(star)
-    priced = priced_with_promotions(units, star)
+    priced = priced_with_promotions(units, star, promo_match=promo_match)
     # Partition by product once: the monthly aggregate and the window then need no further shuffle.
     monthly = (priced.repartition("id_produit")
                .groupBy("id_produit", "categorie", F.trunc("date", "month").alias("mois"))
@@ -140,7 +140,7 @@ def age_band(age: F.Column) -> F.Column:
             .when(age.between(36, 45), "36-45").when(age.between(46, 60), "46-60").otherwise("60+"))
 
 
-def sales_by_age_band(star: Star) -> DataFrame:
+def sales_by_age_band(star: Star, promo_match: str = "product") -> DataFrame:
     """Units and promotion-aware revenue per age band, display name and category."""
     clients = star.dim_clients.select(F.col("id_client").alias("_cl"), age_band(F.col("age")).alias("tranche_age"))
     orders = orders_with_date(star).select("id_commande", "date", "id_client")
@@ -148,7 +148,7 @@ def sales_by_age_band(star: Star) -> DataFrame:
     lines = star.details.select("id_commande", "id_details_produits", "quantite").join(orders, "id_commande")
     units = lines.groupBy("id_details_produits", "date", "tranche_age").agg(F.sum("quantite").alias("qty"))
     prods = with_display_name(star.dim_produits, out="nom_affiche")
-    priced = priced_with_promotions(units, star, prods)
+    priced = priced_with_promotions(units, star, prods, promo_match=promo_match)
     return (priced.groupBy("tranche_age", F.col("nom_affiche").alias("produit"), "categorie")
             .agg(F.sum("qty").alias("quantite_vendue"),
                  round_money(F.sum(money(F.col("qty"), F.col("unit_price")))).alias("chiffre_affaires"))
