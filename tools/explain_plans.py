@@ -11,6 +11,8 @@ partial aggregates before every shuffle, pushed filters and pruned schemas.
 from __future__ import annotations
 
 import argparse
+import contextlib
+import io
 import os
 import sys
 import tempfile
@@ -42,8 +44,10 @@ def main() -> None:
     os.makedirs(a.out, exist_ok=True)
     for k in a.keys or HEADLINE:
         df = KPI_FUNCTIONS[k](star)
-        plan = df._jdf.queryExecution().explainString(
-            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="formatted")
+        plan = buf.getvalue()
         with open(os.path.join(a.out, f"{k}.txt"), "w") as f:
             f.write(plan)
         tree = plan.split("\n\n")[0]

@@ -37,7 +37,6 @@ def dedup_by_completeness(df: DataFrame, key: list[Column], score: Column, outpu
     orderable keys (see asc_nulls_last / desc_nulls_last).
     """
     src = df.where(where) if where is not None else df
-    names = [o._jc.toString() for o in outputs]  # noqa: SLF001  (only for a readable error below)
     staged = src.select(
         *[k.alias(f"_key{i}") for i, k in enumerate(key)],
         (-score).alias("_neg_score"),
@@ -46,7 +45,7 @@ def dedup_by_completeness(df: DataFrame, key: list[Column], score: Column, outpu
     )
     out_cols = staged.columns[len(key) + 1 + len(tiebreak or []):]
     if len(out_cols) != len(outputs):
-        raise ValueError(f"outputs must be aliased columns: {names}")
+        raise ValueError("outputs must be distinct aliased columns")
     order = F.struct(F.col("_neg_score"), *[F.col(f"_tb{i}") for i in range(len(tiebreak or []))],
                      *[asc_nulls_last(F.col(c)) for c in out_cols])
     best = (staged.groupBy(*[f"_key{i}" for i in range(len(key))])
