@@ -128,9 +128,10 @@ def sales_declining_products(star: Star, run: int = 5, promo_match: str = "produ
             .select("id_produit", "categorie", F.explode(F.array(cur, nxt)).alias("o"))
             .where(F.col("o").isNotNull())
             .select("id_produit", "categorie", "o.*"))
-    months = F.broadcast(midx.select(F.col("k").alias("k_out"), "mois"))
-    return (cand.join(months, "k_out")
-            .select("id_produit", "categorie", "mois", (F.col("cents") / 100.0).alias("ca_mensuel"),
+    months = F.broadcast(midx).alias("months")  # same frame as above: one broadcast, reused
+    return (cand.join(months, cand.k_out == F.col("months.k"))
+            .select("id_produit", "categorie", F.col("months.mois").alias("mois"),
+                    (F.col("cents") / 100.0).alias("ca_mensuel"),
                     *[(F.col(f"m{i}") / 100.0).alias(f"m{i}") for i in range(1, run + 1)])
             .orderBy("id_produit", "mois"))
 
