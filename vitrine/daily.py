@@ -23,6 +23,7 @@ storage (the session's checkpoint folder is used when no root is given).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.operators.quality import dq_report
@@ -34,6 +35,8 @@ from vitrine.star import Star
 
 ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_commande",
                "stg_satisfaction": "id_commande"}
+# Staging keeps one row per id_commande in the orders table: no order can be hot there.
+UNIQUE_BY_STAGING = {"stg_commandes"}
 
 
 HOT_KEY_MIN_ROWS = 100_000  # below this a key cannot make a task meaningfully slower
@@ -50,6 +53,12 @@ def is_balanced(df: DataFrame, key: str, buckets: int) -> bool:
     return stats["top"] <= max(HOT_KEY_MIN_ROWS, stats["total"] / buckets)
 
 
+def _write_bucketed(df: DataFrame, key: str, n: int, table: str) -> None:
+    # One shuffle at build time: every bucket is written by one task, as one file.
+    (df.repartition(n, key).write.mode("overwrite").format("parquet")
+     .bucketBy(n, key).sortBy(key).saveAsTable(table))
+
+
 def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], location: str,
                         buckets: int | None = None, database: str = "vitrine_staging") -> dict[str, DataFrame]:
     """Write the staging tables as catalog tables under `location`; return them re-read."""
@@ -57,12 +66,21 @@ def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], loca
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, df in staging.items():
         key = ORDER_KEYED.get(name)
-        if key and is_balanced(df, key, n):
-            # One shuffle at build time: every bucket is written by one task, as one file.
-            (df.repartition(n, key).write.mode("overwrite").format("parquet")
-             .bucketBy(n, key).sortBy(key).saveAsTable(f"{database}.{name}"))
-        else:
+        if not key:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+            continue
+        if name in UNIQUE_BY_STAGING:
+            _write_bucketed(df, key, n, f"{database}.{name}")
+            continue
+        # Computed once for the key check and the write (recomputed from lineage if an executor is lost).
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if is_balanced(df, key, n):
+                _write_bucketed(df, key, n, f"{database}.{name}")
+            else:
+                df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        finally:
+            df.unpersist()
     return {name: spark.table(f"{database}.{name}") for name in staging}
 
 
