@@ -13,10 +13,9 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values used by the reference queries.
-CANCELLED_STATUSES = ("annulée", "cancelled")
-PERCENT_TYPE = "Pourcentage"
-FIXED_TYPE = "Remise fixe"
+from vitrine.fixed_values import CANCELLED_STATUSES, PERIOD_LABELS_30D, PERIOD_OTHER_30D
+from vitrine.fixed_values import PROMO_TYPE_FIXED as FIXED_TYPE
+from vitrine.fixed_values import PROMO_TYPE_PERCENT as PERCENT_TYPE
 
 PRICE = "decimal(12,2)"        # catalogue price
 UNIT = "decimal(18,8)"         # a unit price after discount (exact: 2 + 4 + 2 decimals)
@@ -89,7 +88,7 @@ def round_money(total: Column, digits: int = 2) -> Column:
 
 
 def promo_period_label(on: Column, start: Column, end: Column, days: int,
-                       labels=("avant", "pendant", "apres"), other: str = "autre",
+                       labels=PERIOD_LABELS_30D, other: str = PERIOD_OTHER_30D,
                        before_end: Column | None = None) -> Column:
     """Label of `on` against a promotion: [start-days, start-1], [start, end], [end+1, end+days].
 

@@ -21,11 +21,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.fixed_values import CALENDAR_END, CALENDAR_START
 from vitrine.operators.surrogate import day_number_id, ordered_sequence_id
 
 # Calendar of the reference (dim_date); callers pass their own range.
-REFERENCE_CAL_START = "2019-01-01"
-REFERENCE_CAL_END = "2025-08-05"
+REFERENCE_CAL_START = CALENDAR_START
+REFERENCE_CAL_END = CALENDAR_END
 MAX_BROADCAST_DAYS = 200_000  # a calendar longer than ~550 years is not hinted
 
 

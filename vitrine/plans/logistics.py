@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.fixed_values import BREAKDOWN_STATES
+from vitrine.fixed_values import LATE_DELIVERY_COMMENT as LATE_COMMENT
 from vitrine.star import Star
 
-BREAKDOWN_STATES = ("En panne", "En maintenance")
-LATE_COMMENT = "Delivery took too long."
 
 
 def _machine_by_warehouse(star: Star, keys, aggs) -> DataFrame:

@@ -9,6 +9,7 @@ from vitrine.functions.pricing import (discounted_price_by_type, money, price, r
                                        safe_ratio)
 from vitrine.functions.text import bq_trim
 from vitrine.plans.common import orders_with_date, promotions_with_dates, units_by_product_day, with_products
+from vitrine.fixed_values import DAY_NO_PROMO, DAY_PROMO, PEAK_SIGMAS, SENTIMENTS
 from vitrine.star import Star
 
 BUDGET = "decimal(18,2)"
@@ -58,7 +59,7 @@ def mkt_promo_days_vs_others(star: Star) -> DataFrame:
                              & units.date.between(promos.date_debut, promos.date_fin))
                   .select(F.col("date").alias("_jour")).distinct())
     tagged = (units.join(promo_days, units.date == promo_days._jour, "left")
-              .withColumn("statut_jour", F.when(F.col("_jour").isNotNull(), "jour_promo").otherwise("jour_hors_promo")))
+              .withColumn("statut_jour", F.when(F.col("_jour").isNotNull(), DAY_PROMO).otherwise(DAY_NO_PROMO)))
     resume = (tagged.groupBy("statut_jour")
               .agg(F.sum(money(F.col("qty"), price(F.col("prix")))).alias("_ca"),
                    F.countDistinct("date").alias("nb_jours_vente"))
@@ -69,12 +70,12 @@ def mkt_promo_days_vs_others(star: Star) -> DataFrame:
         return F.max(F.when(F.col("statut_jour") == tag, F.col(c)))
 
     piv = resume.agg(
-        pick("jour_promo", "ca_total").cast("double").alias("ca_jour_promo"),
-        pick("jour_hors_promo", "ca_total").cast("double").alias("ca_jour_hors_promo"),
-        pick("jour_promo", "nb_jours_vente").alias("nb_jours_promo"),
-        pick("jour_hors_promo", "nb_jours_vente").alias("nb_jours_hors_promo"),
-        pick("jour_promo", "ca_moyen").alias("ca_moyen_jour_promo"),
-        pick("jour_hors_promo", "ca_moyen").alias("ca_moyen_jour_hors_promo"))
+        pick(DAY_PROMO, "ca_total").cast("double").alias("ca_jour_promo"),
+        pick(DAY_NO_PROMO, "ca_total").cast("double").alias("ca_jour_hors_promo"),
+        pick(DAY_PROMO, "nb_jours_vente").alias("nb_jours_promo"),
+        pick(DAY_NO_PROMO, "nb_jours_vente").alias("nb_jours_hors_promo"),
+        pick(DAY_PROMO, "ca_moyen").alias("ca_moyen_jour_promo"),
+        pick(DAY_NO_PROMO, "ca_moyen").alias("ca_moyen_jour_hors_promo"))
     return piv.select(
         "ca_jour_promo", "ca_jour_hors_promo", "nb_jours_promo", "nb_jours_hors_promo",
         "ca_moyen_jour_promo", "ca_moyen_jour_hors_promo",
@@ -152,7 +153,7 @@ def mkt_promo_effectiveness(star: Star) -> DataFrame:
     ).orderBy(F.desc("ca_promo"))
 
 
-SENTIMENT_VALUES = {"nb_positif": "positif", "nb_neutre": "neutre", "nb_negatif": "négatif"}
+SENTIMENT_VALUES = SENTIMENTS
 
 
 def mkt_sentiment_daily(star: Star) -> DataFrame:
@@ -174,7 +175,7 @@ def _mentions_with_peak(star: Star) -> DataFrame:
     daily = (p.join(cal, p.id_date == cal.id_date).groupBy(F.col("date").alias("date_jour"))
              .agg(F.sum("volume_mentions").alias("total_mentions")))
     # Mean + 2 sample standard deviations over all days: one scalar, not a global window.
-    threshold = daily.select(F.avg("total_mentions") + 2 * F.stddev_samp("total_mentions")).scalar()
+    threshold = daily.select(F.avg("total_mentions") + PEAK_SIGMAS * F.stddev_samp("total_mentions")).scalar()
     return daily.withColumn("pic_mention", F.when(F.col("total_mentions") > threshold, 1).otherwise(0))
 
 

@@ -17,8 +17,15 @@ from vitrine.functions.pricing import (money, not_cancelled, price, promo_period
                                        round_ratio, safe_ratio, with_display_name, effective_price)
 from vitrine.plans.common import (order_lines, orders_with_date, priced_with_promotions,
                                   promotions_with_dates, units_by_product_day)
+from vitrine.fixed_values import (AGE_BAND_OTHER, AGE_BANDS, DECLINE_RUN, LEAST_SOLD_LABEL, MONTH_NORMAL,
+                                  MONTH_STRONG, MONTH_STRONG_FACTOR, MONTH_WEAK, MONTH_WEAK_FACTOR,
+                                  PERIOD_LABELS_7D, PERIOD_OTHER_7D, PROMO_WINDOW_7D, PROMO_WINDOW_30D,
+                                  SENSITIVITY_HIGH, SENSITIVITY_HIGH_AT, SENSITIVITY_LOW, SENSITIVITY_LOW_AT,
+                                  SENSITIVITY_MID, UNSOLD_LABEL, PERIOD_LABELS_30D, PERIOD_OTHER_30D)
 from vitrine.star import Star
 
+BEFORE, DURING, AFTER = PERIOD_LABELS_30D
+
 
 def sales_daily_revenue(star: Star, promo_match: str = "product") -> DataFrame:
     """Promotion-aware revenue per order day (with the reference's promotion fan-out by default)."""
@@ -49,7 +56,7 @@ def sales_unsold_products(star: Star) -> DataFrame:
     sold = star.details.select(F.col("id_details_produits").alias("id_produit")).distinct()
     return (star.dim_produits.join(sold, "id_produit", "left_anti")
             .select("produit", F.lit(0).cast("long").alias("total_vendus"),
-                    F.lit("jamais_vendu").alias("type_resultat")))
+                    F.lit(UNSOLD_LABEL).alias("type_resultat")))
 
 
 def sales_least_sold(star: Star) -> DataFrame:
@@ -59,7 +66,7 @@ def sales_least_sold(star: Star) -> DataFrame:
     return (per_product.join(prods, per_product.id_details_produits == prods.id_produit)
             .groupBy("produit").agg(F.sum("_q").alias("total_vendus"))
             .where(F.col("total_vendus") > 0)
-            .select("produit", "total_vendus", F.lit("moins_vendus").alias("type_resultat"))
+            .select("produit", "total_vendus", F.lit(LEAST_SOLD_LABEL).alias("type_resultat"))
             .orderBy("total_vendus"))
 
 
@@ -73,7 +80,7 @@ def _month_index(star: Star) -> DataFrame:
     return months.select("mois", F.row_number().over(Window.orderBy("mois")).alias("k"))
 
 
-def sales_declining_products(star: Star, run: int = 5, promo_match: str = "product") -> DataFrame:
+def sales_declining_products(star: Star, run: int = DECLINE_RUN, promo_match: str = "product") -> DataFrame:
     """Products whose monthly promotion-aware revenue fell `run` months in a row.
 
     The reference zero-fills product x observed-month with a cross join and
@@ -137,8 +144,10 @@ def sales_declining_products(star: Star, run: int = 5, promo_match: str = "produ
 
 
 def age_band(age: F.Column) -> F.Column:
-    return (F.when(age.between(18, 25), "18-25").when(age.between(26, 35), "26-35")
-            .when(age.between(36, 45), "36-45").when(age.between(46, 60), "46-60").otherwise("60+"))
+    out = None
+    for low, high, label in AGE_BANDS:
+        out = (F.when if out is None else out.when)(age.between(low, high), label)
+    return out.otherwise(AGE_BAND_OTHER)
 
 
 def sales_by_age_band(star: Star, promo_match: str = "product") -> DataFrame:
@@ -220,9 +229,9 @@ def sales_month_peaks(star: Star) -> DataFrame:
     stats = monthly.agg(F.sum("ca").alias("s"), F.count(F.lit(1)).alias("n"))
     s, n = stats.select("s").scalar(), stats.select("n").scalar()
     # ca > avg * 1.3  <=>  ca * n > sum * 1.3  (exact in DECIMAL, n > 0)
-    variation = (F.when(F.col("ca") * n > s * F.lit(1.3).cast("decimal(2,1)"), "Mois fort")
-                 .when(F.col("ca") * n < s * F.lit(0.7).cast("decimal(2,1)"), "Mois faible")
-                 .otherwise("Normal"))
+    variation = (F.when(F.col("ca") * n > s * F.lit(MONTH_STRONG_FACTOR).cast("decimal(2,1)"), MONTH_STRONG)
+                 .when(F.col("ca") * n < s * F.lit(MONTH_WEAK_FACTOR).cast("decimal(2,1)"), MONTH_WEAK)
+                 .otherwise(MONTH_NORMAL))
     return monthly.select(
         F.concat(F.col("annee").cast("string"), F.lit("-"), F.lpad(F.col("mois").cast("string"), 2, "0")).alias("periode"),
         F.col("ca").cast("double").alias("chiffre_affaires"),
@@ -231,7 +240,7 @@ def sales_month_peaks(star: Star) -> DataFrame:
     ).orderBy("periode")
 
 
-PERIOD_RANK = {"Avant promo": 1, "Pendant promo": 2, "Après promo": 3}
+PERIOD_RANK = {label: i for i, label in enumerate(PERIOD_LABELS_7D, 1)}
 
 
 def _promo_lines(star: Star, days_before: int, days_after: int) -> DataFrame:
@@ -247,13 +256,13 @@ def _promo_lines(star: Star, days_before: int, days_after: int) -> DataFrame:
     return x.drop("_pp")
 
 
-def sales_promo_impact_7d(star: Star, days: int = 7) -> DataFrame:
+def sales_promo_impact_7d(star: Star, days: int = PROMO_WINDOW_7D) -> DataFrame:
     """Catalogue revenue, units and orders before / during / after each promotion (7 days)."""
     x = _promo_lines(star, days, days)
     prods = star.dim_produits.select("id_produit", "produit", "prix")
     x = x.join(prods, x.id_details_produits == prods.id_produit)
     label = promo_period_label(F.col("date"), F.col("date_debut"), F.col("date_fin"), days,
-                               ("Avant promo", "Pendant promo", "Après promo"), "Hors période")
+                               PERIOD_LABELS_7D, PERIOD_OTHER_7D)
     out = (x.groupBy(label.alias("periode_analyse"), "produit", F.col("date_debut").alias("debut_promo"),
                      F.col("date_fin").alias("fin_promo"), F.col("date").alias("date_commande"))
            .agg(round_money(F.sum(money(F.col("quantite"), price(F.col("prix"))))).alias("chiffre_affaires"),
@@ -263,7 +272,7 @@ def sales_promo_impact_7d(star: Star, days: int = 7) -> DataFrame:
     return out.orderBy("produit", rank)
 
 
-def sales_promo_variation_30d(star: Star, days: int = 30) -> DataFrame:
+def sales_promo_variation_30d(star: Star, days: int = PROMO_WINDOW_30D) -> DataFrame:
     """Per product x promotion: revenue and units before / during / after (30 days), and the
     % change of 'during' against the mean of 'before' and 'after'."""
     units = units_by_product_day(star)
@@ -283,9 +292,9 @@ def sales_promo_variation_30d(star: Star, days: int = 30) -> DataFrame:
         return F.max(F.when(F.col("periode") == p, F.col(c)).otherwise(F.lit(0).cast(agr.schema[c].dataType)))
 
     comp = (agr.groupBy("id_produit", "produit", "variation", "prix", "id_promotion")
-            .agg(pick("avant", "ca").alias("ca_avant"), pick("pendant", "ca").alias("ca_pendant"),
-                 pick("apres", "ca").alias("ca_apres"), pick("avant", "q").alias("qte_avant"),
-                 pick("pendant", "q").alias("qte_pendant"), pick("apres", "q").alias("qte_apres")))
+            .agg(pick(BEFORE, "ca").alias("ca_avant"), pick(DURING, "ca").alias("ca_pendant"),
+                 pick(AFTER, "ca").alias("ca_apres"), pick(BEFORE, "q").alias("qte_avant"),
+                 pick(DURING, "q").alias("qte_pendant"), pick(AFTER, "q").alias("qte_apres")))
     # COUNT(DISTINCT prix) OVER (PARTITION BY produit) over the surviving rows.
     nb = comp.groupBy("produit").agg(F.countDistinct("prix").alias("_nb"))
     comp = comp.join(nb, "produit")
@@ -304,7 +313,7 @@ def sales_promo_variation_30d(star: Star, days: int = 30) -> DataFrame:
     ).orderBy(F.desc("ca_pendant"))
 
 
-def sales_promo_sensitivity(star: Star, days: int = 30, before_end: str = "promo_end") -> DataFrame:
+def sales_promo_sensitivity(star: Star, days: int = PROMO_WINDOW_30D, before_end: str = "promo_end") -> DataFrame:
     """Per product: catalogue revenue and units before vs during promotions.
 
     As in the reference, "before" runs from start - 30 to **end - 1** and the
@@ -319,22 +328,22 @@ def sales_promo_sensitivity(star: Star, days: int = 30, before_end: str = "promo
     prods = star.dim_produits.select("id_produit", "produit", "prix")
     x = x.join(prods, x.id_details_produits == prods.id_produit)
     b_end = F.date_sub(F.col("date_fin"), 1) if before_end == "promo_end" else F.date_sub(F.col("date_debut"), 1)
-    periode = (F.when(F.col("date").between(F.date_sub(F.col("date_debut"), days), b_end), "avant")
-               .when(F.col("date").between(F.col("date_debut"), F.col("date_fin")), "pendant").otherwise("autre"))
+    periode = (F.when(F.col("date").between(F.date_sub(F.col("date_debut"), days), b_end), BEFORE)
+               .when(F.col("date").between(F.col("date_debut"), F.col("date_fin")), DURING).otherwise(PERIOD_OTHER_30D))
     x = x.withColumn("periode", periode).withColumn("_m", money(F.col("qty"), price(F.col("prix"))))
     # Both periods in one aggregation (the reference self-joins the per-period aggregate).
     comp = (x.groupBy("id_produit", "produit")
-            .agg(F.sum(F.when(F.col("periode") == "avant", F.col("_m"))).cast("double").alias("ca_avant"),
-                 F.sum(F.when(F.col("periode") == "pendant", F.col("_m"))).cast("double").alias("ca_pendant"),
-                 F.sum(F.when(F.col("periode") == "avant", F.col("qty"))).alias("qte_avant"),
-                 F.sum(F.when(F.col("periode") == "pendant", F.col("qty"))).alias("qte_pendant"),
-                 F.max((F.col("periode") == "avant").cast("int")).alias("_has_avant"),
-                 F.max((F.col("periode") == "pendant").cast("int")).alias("_has_pendant"))
+            .agg(F.sum(F.when(F.col("periode") == BEFORE, F.col("_m"))).cast("double").alias("ca_avant"),
+                 F.sum(F.when(F.col("periode") == DURING, F.col("_m"))).cast("double").alias("ca_pendant"),
+                 F.sum(F.when(F.col("periode") == BEFORE, F.col("qty"))).alias("qte_avant"),
+                 F.sum(F.when(F.col("periode") == DURING, F.col("qty"))).alias("qte_pendant"),
+                 F.max((F.col("periode") == BEFORE).cast("int")).alias("_has_avant"),
+                 F.max((F.col("periode") == DURING).cast("int")).alias("_has_pendant"))
             .where((F.col("_has_avant") == 1) & (F.col("_has_pendant") == 1)))
     r_ca = safe_ratio(F.col("ca_pendant") - F.col("ca_avant"), F.col("ca_avant"))
     r_q = safe_ratio(F.col("qte_pendant") - F.col("qte_avant"), F.col("qte_avant"))
-    interp = (F.when(r_ca >= 0.3, "Réagit très bien à la promo").when(r_ca <= 0.1, "Insensible à la promo")
-              .otherwise("Effet modéré"))
+    interp = (F.when(r_ca >= SENSITIVITY_HIGH_AT, SENSITIVITY_HIGH).when(r_ca <= SENSITIVITY_LOW_AT, SENSITIVITY_LOW)
+              .otherwise(SENSITIVITY_MID))
     return comp.select(
         "produit", "ca_avant", "ca_pendant", round_ratio(r_ca * 100).alias("variation_CA_pct"),
         "qte_avant", "qte_pendant", round_ratio(r_q * 100).alias("variation_qte_pct"),

@@ -16,13 +16,9 @@ from vitrine.functions.text import keyword_counts
 from vitrine.plans.common import orders_with_date
 from vitrine.star import Star
 
-# Fixed values used by the reference queries.
-NO_COMPLAINT = "Aucune"
-LATE_COMMENT = "Delivery took too long."
-KEYWORDS_3 = {"nb_average_quality": "average quality", "nb_long": "long", "nb_damaged": "damaged"}
-KEYWORDS_8 = {"nb_damaged": "damaged", "nb_very_happy": "very happy", "nb_delivery": "delivery",
-              "nb_quality": "quality", "nb_product": "product", "nb_not_great": "not great",
-              "nb_experience": "experience", "nb_service": "service"}
+from vitrine.fixed_values import (DELIVERY_CANCELLED, DELIVERY_LATE, DELIVERY_OK, KEYWORDS_3, KEYWORDS_8,
+                                  MIN_REVIEWS_MONTH, MIN_REVIEWS_WORST, NO_COMPLAINT, RESPONSE_BUCKETS,
+                                  RESPONSE_OVER, RESPONSE_UNKNOWN, STATUS_CANCELLED, STATUS_IN_TRANSIT)
 
 
 def mean_rating(sum_col: Column, count_col: Column) -> Column:
@@ -47,7 +43,7 @@ def sat_best_rated(star: Star) -> DataFrame:
             .orderBy(F.desc("note_moyenne")))
 
 
-def sat_worst_rated(star: Star, min_reviews: int = 5) -> DataFrame:
+def sat_worst_rated(star: Star, min_reviews: int = MIN_REVIEWS_WORST) -> DataFrame:
     per = _ratings_per_product(star)
     prods = star.dim_produits.select("id_produit", "categorie", "produit")
     return (per.join(prods, per.id_details_produits == prods.id_produit)
@@ -57,7 +53,7 @@ def sat_worst_rated(star: Star, min_reviews: int = 5) -> DataFrame:
             .orderBy("note_moyenne"))
 
 
-def sat_monthly_trend(star: Star, min_reviews: int = 10) -> DataFrame:
+def sat_monthly_trend(star: Star, min_reviews: int = MIN_REVIEWS_MONTH) -> DataFrame:
     sat = star.dim_satisfaction.where(F.col("note_client").isNotNull()).select("id_commande", "note_client")
     orders = orders_with_date(star).select("id_commande", "date")
     x = sat.join(orders, "id_commande")
@@ -81,8 +77,10 @@ def sat_by_complaint(star: Star) -> DataFrame:
 
 
 def response_time_bucket(hours: Column) -> Column:
-    return (F.when(hours.isNull(), "inconnu").when(hours <= 1, "≤ 1h").when(hours <= 4, "1-4h")
-            .when(hours <= 12, "4-12h").when(hours <= 24, "12-24h").otherwise("> 24h"))
+    out = F.when(hours.isNull(), RESPONSE_UNKNOWN)
+    for upper, label in RESPONSE_BUCKETS:
+        out = out.when(hours <= upper, label)
+    return out.otherwise(RESPONSE_OVER)
 
 
 def sat_by_response_time(star: Star) -> DataFrame:
@@ -101,8 +99,8 @@ def sat_by_delivery_state(star: Star, as_of: str | dt.date | None = None) -> Dat
     sat = star.dim_satisfaction.where(F.col("note_client").isNotNull()).select("id_commande", "note_client")
     x = c.join(sat, "id_commande")
     status = F.lower(F.col("statut_commande"))
-    situation = (F.when((status == "en transit") & (F.col("_dl") < today), "Retard probable")
-                 .when(status == "annulée", "Annulée").otherwise("Dans les délais ou terminée"))
+    situation = (F.when((status == STATUS_IN_TRANSIT) & (F.col("_dl") < today), DELIVERY_LATE)
+                 .when(status == STATUS_CANCELLED, DELIVERY_CANCELLED).otherwise(DELIVERY_OK))
     return (x.groupBy(F.date_format("_do", "yyyy-MM").alias("mois_commande"), situation.alias("situation_livraison"))
             .agg(mean_rating(F.sum("note_client"), F.count("note_client")).alias("note_moyenne"),
                  F.count(F.lit(1)).alias("nb_commandes"))

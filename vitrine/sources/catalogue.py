@@ -9,21 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from vitrine.fixed_values import SOURCE_DESCRIPTIONS
 from vitrine.sources.raw_fixtures import RAW_SPECS
 
-# Descriptions declared for the raw sources.
-DESCRIPTIONS = {
-    "raw_produits": "Contient la liste des produits référencés avec leurs caractéristiques",
-    "raw_clients": "Données clients : identifiants, infos personnelles et localisation",
-    "raw_campaigns": "Historique des campagnes marketing et publicitaires",
-    "raw_entrepots": "Liste des entrepôts d’expédition ou de stockage",
-    "raw_details_commandes": "Détail des produits associés à chaque commande (lignes de commande)",
-    "raw_commandes": "",
-    "raw_entrepots_machine": "Association entre les machines industrielles et les entrepôts",
-    "raw_promotions": "Historique des promotions appliquées sur les produits",
-    "raw_posts": "Mentions sociales et sentiment analysis des publications sur les réseaux",
-    "raw_satisfaction": "Données de satisfaction client collectées suite aux commandes.",
-}
+DESCRIPTIONS = {f"raw_{name}": text for name, text in SOURCE_DESCRIPTIONS.items()}
 
 
 def raw_schema(table: str) -> StructType:

@@ -18,12 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from vitrine.fixed_values import HEADER_ACCENTS, HEADER_PUNCTUATION
 from vitrine.session import ensure_checkpoint_dir
 
-# Header characters replaced by '_', then accent replacements, in this order.
-HEADER_PUNCTUATION = "’'\"/\\()[]{}:;,."
-HEADER_ACCENTS = (("é", "e"), ("è", "e"), ("ê", "e"), ("â", "a"), ("ô", "o"))
-
 CSV_READ_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "false"}
 CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
