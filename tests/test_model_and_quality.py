@@ -105,3 +105,13 @@ def test_promo_match_in_window_keeps_units(spark):
     win = sales_top_products(star, promo_match="in_window").collect()[0]
     assert ref.total_vendus == 14 and ref.chiffre_affaires == 3 * 5.0 + 3 * 10.0 + 4 * 10.0 * 2
     assert win.total_vendus == 7 and win.chiffre_affaires == 3 * 5.0 + 4 * 10.0
+
+
+def test_cluster_conf_sizes_partitions():
+    from vitrine.session import cluster_conf
+
+    big = cluster_conf(100 * 2**40, task_slots=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 40960        # 10 TB shuffled / 256 MB
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 2**20
+    small = cluster_conf(10 * 2**20, task_slots=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16          # two waves of the slots
