@@ -5,6 +5,10 @@ import pytest
 import __spark_entry__ as E
 from tools.check_oracle import digest, duck
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+                 "DoubleType()": "DOUBLE", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
+DUCK_NAMES = {"STRING": "VARCHAR", "NUMBER": "DOUBLE", "bool": "BOOLEAN"}
+
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
@@ -34,3 +38,6 @@ def test_query_matches_oracle(spark, sf_dir, con, key):
     assert sorted(sdf.columns) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert digest(sdf.columns, s_rows)[0] == digest(o_cols, o_rows)[0]
+    o_types = dict(zip(o_cols, (str(d[1]) for d in res.description)))
+    s_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+    assert s_types == {c: DUCK_NAMES.get(t, t) for c, t in o_types.items()}
