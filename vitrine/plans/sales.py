@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.functions.pricing import (money, not_cancelled, price, promo_period_label, round_money,
-                                       round_ratio, safe_ratio, with_display_name, effective_price)
+                                       round_ratio, safe_ratio, effective_price)
 from vitrine.plans.common import (order_lines, orders_with_date, priced_with_promotions,
                                   promotions_with_dates, units_by_product_day)
 from vitrine.fixed_values import (AGE_BAND_OTHER, AGE_BANDS, DECLINE_RUN, LEAST_SOLD_LABEL, MONTH_NORMAL,
@@ -42,7 +42,7 @@ def sales_daily_revenue(star: Star, promo_match: str = "product") -> DataFrame:
 
 def sales_top_products(star: Star, promo_match: str = "product") -> DataFrame:
     """Revenue and units per category, display name and catalogue price (no LIMIT)."""
-    prods = with_display_name(star.dim_produits, out="nom_affiche")
+    prods = star.products_display
     priced = priced_with_promotions(units_by_product_day(star), star, prods, promo_match=promo_match)
     return (priced.groupBy("categorie", F.col("nom_affiche").alias("produit"), "prix")
             .agg(F.sum("qty").alias("total_vendus"),
@@ -157,7 +157,7 @@ def sales_by_age_band(star: Star, promo_match: str = "product") -> DataFrame:
     orders = orders.join(clients, orders.id_client == clients._cl).select("id_commande", "date", "tranche_age")
     lines = star.details.select("id_commande", "id_details_produits", "quantite").join(orders, "id_commande")
     units = lines.groupBy("id_details_produits", "date", "tranche_age").agg(F.sum("quantite").alias("qty"))
-    prods = with_display_name(star.dim_produits, out="nom_affiche")
+    prods = star.products_display
     priced = priced_with_promotions(units, star, prods, promo_match=promo_match)
     return (priced.groupBy("tranche_age", F.col("nom_affiche").alias("produit"), "categorie")
             .agg(F.sum("qty").alias("quantite_vendue"),
@@ -195,7 +195,7 @@ def sales_product_pairs(star: Star) -> DataFrame:
     name are never paired.  A very large basket is a skewed join key, which
     AQE's skew-join handling splits across tasks.
     """
-    prods = with_display_name(star.dim_produits, out="nom_produit").select("id_produit", "categorie", "nom_produit")
+    prods = star.products_display.select("id_produit", "categorie", F.col("nom_affiche").alias("nom_produit"))
     orders = star.facts_commandes.select("id_commande", "id_client", "id_date_commande")
     lines = star.details.select("id_commande", "id_details_produits").join(orders, "id_commande")
     lines = lines.join(prods, lines.id_details_produits == prods.id_produit)

@@ -305,7 +305,7 @@ def _blocks() -> dict[str, Query]:
     from pyspark.sql import functions as F
 
     from vitrine.functions.pricing import (conditional_pivot, discounted_price_by_type, effective_price,
-                                           not_cancelled, promo_period_label, with_display_name)
+                                           not_cancelled, promo_period_label)
     from vitrine.functions.text import keyword_counts
     from vitrine.plans.common import order_lines, promotions_with_dates, units_by_product_day
     from vitrine.plans.marketing import _mentions_with_peak
@@ -350,8 +350,8 @@ def _blocks() -> dict[str, Query]:
 
     def display_name(spark, sf_dir):
         star = star_of(spark, sf_dir)
-        return with_display_name(star.dim_produits, out="produit_affiche").select(
-            "id_produit", "produit", "prix", "variation", "produit_affiche")
+        return star.products_display.select("id_produit", "produit", "prix", "variation",
+                                            F.col("nom_affiche").alias("produit_affiche"))
 
     def zscore_peak_flag(spark, sf_dir):
         return _mentions_with_peak(star_of(spark, sf_dir)).select("date_jour", "total_mentions", "pic_mention")

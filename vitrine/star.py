@@ -65,6 +65,17 @@ class Star:
     def dim_produits(self) -> DataFrame:
         return marts.dim_produits(self.stg["stg_produits"])
 
+    @cached_property
+    def products_display(self) -> DataFrame:
+        """dim_produits plus `nom_affiche`, the display name ('name - variation' when the name has
+        several prices).  Read by several KPIs, so it is materialised once per star (a reliable
+        checkpoint in the session's checkpoint folder) instead of recounting prices per name each time."""
+        from vitrine.functions.pricing import with_display_name
+        from vitrine.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        return with_display_name(self.dim_produits, out="nom_affiche").checkpoint(eager=True)
+
     @cached_property
     def promotions_dated(self) -> DataFrame:
         """dim_promotions plus the calendar dates of its two ids (internal)."""
