@@ -193,14 +193,17 @@ def sales_product_pairs(star: Star) -> DataFrame:
     weighted by the product of multiplicities.  That is exactly the set of
     (pair, basket) contributions the result is made of; duplicate lines of a
     name are never paired.  A very large basket is a skewed join key, which
-    AQE's skew-join handling splits across tasks.
+    AQE's skew-join handling splits across tasks.  The smallest id / category
+    are carried as order-preserving ranks (longs), so both aggregates stay
+    hash-based; the ranks are turned back into strings on the result rows.
     """
-    prods = star.products_display.select("id_produit", "categorie", F.col("nom_affiche").alias("nom_produit"))
+    prods = (star.products_display.select("id_produit", F.col("nom_affiche").alias("nom_produit"))
+             .join(star.product_ranks.select("id_produit", "id_rank", "cat_rank"), "id_produit"))
     orders = star.facts_commandes.select("id_commande", "id_client", "id_date_commande")
     lines = star.details.select("id_commande", "id_details_produits").join(orders, "id_commande")
     lines = lines.join(prods, lines.id_details_produits == prods.id_produit)
     basket = (lines.groupBy("id_client", "id_date_commande", "nom_produit")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("id_produit").alias("pid"), F.min("categorie").alias("cat")))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("id_rank").alias("pid"), F.min("cat_rank").alias("cat")))
     a = basket.select(F.col("id_client").alias("c"), F.col("id_date_commande").alias("d"),
                       F.col("nom_produit").alias("produit_A"), F.col("n").alias("nA"),
                       F.col("pid").alias("pidA"), F.col("cat").alias("catA"))
@@ -208,13 +211,24 @@ def sales_product_pairs(star: Star) -> DataFrame:
                       F.col("nom_produit").alias("produit_B"), F.col("n").alias("nB"),
                       F.col("pid").alias("pidB"), F.col("cat").alias("catB"))
     pairs = a.join(b, (a.c == b.c2) & (a.d == b.d2) & (a.produit_A < b.produit_B))
-    return (pairs.groupBy("produit_A", "produit_B")
-            .agg(F.min("pidA").alias("id_produit_A"), F.min("catA").alias("categorie_A"),
-                 F.min("pidB").alias("id_produit_B"), F.min("catB").alias("categorie_B"),
-                 F.sum(F.col("nA") * F.col("nB")).alias("nb_occurrences"))
-            .where(F.col("nb_occurrences") > 1)
-            .select("produit_A", "id_produit_A", "categorie_A", "produit_B", "id_produit_B", "categorie_B",
-                    "nb_occurrences")
+    counted = (pairs.groupBy("produit_A", "produit_B")
+               .agg(F.min("pidA").alias("rA"), F.min("catA").alias("kA"),
+                    F.min("pidB").alias("rB"), F.min("catB").alias("kB"),
+                    F.sum(F.col("nA") * F.col("nB")).alias("nb_occurrences"))
+               .where(F.col("nb_occurrences") > 1))
+    ids = star.product_ranks.select("id_rank", "id_produit").where(F.col("id_rank").isNotNull())
+    cats = star.product_ranks.select("cat_rank", "categorie").where(F.col("cat_rank").isNotNull()).distinct()
+
+    def decode(df, rank_col, dictionary, key, value, out):
+        d = dictionary.select(F.col(key).alias(f"_{out}_k"), F.col(value).alias(out))
+        return df.join(d, df[rank_col] == d[f"_{out}_k"], "left").drop(f"_{out}_k", rank_col)
+
+    out = decode(counted, "rA", ids, "id_rank", "id_produit", "id_produit_A")
+    out = decode(out, "rB", ids, "id_rank", "id_produit", "id_produit_B")
+    out = decode(out, "kA", cats, "cat_rank", "categorie", "categorie_A")
+    out = decode(out, "kB", cats, "cat_rank", "categorie", "categorie_B")
+    return (out.select("produit_A", "id_produit_A", "categorie_A", "produit_B", "id_produit_B", "categorie_B",
+                       "nb_occurrences")
             .orderBy(F.desc("nb_occurrences")))
 
 

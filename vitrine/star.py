@@ -76,6 +76,23 @@ class Star:
         ensure_checkpoint_dir(self.spark)
         return with_display_name(self.dim_produits, out="nom_affiche").checkpoint(eager=True)
 
+    @cached_property
+    def product_ranks(self) -> DataFrame:
+        """Per product: dense ranks of its id and of its category, in string order (NULL stays NULL).
+
+        MIN over the ranks equals MIN over the strings, and long buffers keep the
+        large aggregates hash-based instead of sort-based (product pairs)."""
+        from pyspark.sql import functions as F
+
+        from vitrine.operators.surrogate import ordered_sequence_id
+
+        prods = self.products_display.select("id_produit", "categorie")
+        ids = ordered_sequence_id(prods.select("id_produit").where(F.col("id_produit").isNotNull()).distinct(),
+                                  ["id_produit"], "id_rank")
+        cats = ordered_sequence_id(prods.select("categorie").where(F.col("categorie").isNotNull()).distinct(),
+                                   ["categorie"], "cat_rank")
+        return prods.join(ids, "id_produit", "left").join(cats, "categorie", "left").checkpoint(eager=True)
+
     @cached_property
     def promotions_dated(self) -> DataFrame:
         """dim_promotions plus the calendar dates of its two ids (internal)."""
