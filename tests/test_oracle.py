@@ -3,15 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
+from oracle import ORACLE_SQL as ORACLE
 from tools.check_oracle import digest, duck
+from vitrine.registry import QUERIES
 
 SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
                  "DoubleType()": "DOUBLE", "DateType()": "DATE", "BooleanType()": "BOOLEAN"}
 DUCK_NAMES = {"STRING": "VARCHAR", "NUMBER": "DOUBLE", "bool": "BOOLEAN"}
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
