@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import exact_dedup, mixing, ngram_join, url_reputation
+from vitrine.llm import exact_dedup, mixing, ngram_join, substring_dedup, url_reputation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (substring_dedup.repeated_spans(table(spark, sf_dir, "documents").select("doc_id", "text"), window=50)
+            .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=5, percent=80)
 
@@ -35,6 +40,7 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_reputation": op9_url_reputation,
