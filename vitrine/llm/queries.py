@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import exact_dedup, mixing, ngram_join, substring_dedup, url_reputation
+from vitrine.llm import bpe, exact_dedup, langid, mixing, ngram_join, substring_dedup, url_reputation
+
+#: the public rank file of op2; its place is a parameter, the file is never copied
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,10 +24,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
+def tokenizer() -> tuple[str, str]:
+    """Place of the rank file and the pattern that splits texts."""
+    import public_tokenizers
+
+    return public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer()
+    return bpe.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=5, percent=80)
 
 
+def op6_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="max")
 
@@ -41,7 +60,9 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op6_cross_parsing": op6_cross_parsing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_reputation": op9_url_reputation,
     "op10_entropy_mixing": op10_entropy_mixing,
