@@ -6,10 +6,9 @@ position, token); a recursive query joins neighbouring tokens with the merge
 table and contracts each word's leftmost pair of least rank, until no word has a
 pair left.  A match that is itself a token is that token, as in the rank-file
 format's library.  Matches longer than LONG bytes are contracted in a table that
-is replaced step by step, so that its rows don't add up, and every
-non-overlapping occurrence of the least pair goes at once.  That is the same
-result unless the merged token starts a pair of lesser rank; the few tokens that
-do are found when the file is read, and of theirs only the leftmost pair goes.
+is replaced step by step, so that its rows don't add up, and the occurrences of
+the least pair go together: from the left up to the first whose merged token
+makes a pair of lesser rank with a neighbour, which is the order one by one.
 Decoding joins token positions with the vocabulary and aggregates the bytes in
 order.
 
@@ -56,14 +55,21 @@ from steps join (select word, max(step) as step from steps group by word) using
 
 LEAST_PAIRS = """
 create or replace temp table hits as
-with pairs as (select word, pos, token, lead(token) over w as next, lead(pos) over w as next_pos from long_words window w as (partition by word order by pos)),
-     ranked as (select word, pos, next_pos, rank from pairs join merges on token = l and next = r),
+with pairs as (select word, pos, token, lead(token) over w as next, lead(pos) over w as next_pos, lag(token) over w as before,
+                      lead(token, 2) over w as after, lead(pos, 2) over w as after_pos
+               from long_words window w as (partition by word order by pos)),
+     ranked as (select pairs.*, rank from pairs join merges on token = l and next = r),
      least as (select * from ranked join (select word, min(rank) as rank from ranked group by word) using (word, rank)),
-     linked as (select *, coalesce(lag(next_pos) over (partition by word order by pos) = pos, false) as overlaps from least),
-     runs as (select *, sum(case when overlaps then 0 else 1 end) over (partition by word order by pos) as run from linked)
+     linked as (select *, coalesce(lag(next_pos) over (partition by word order by pos) = pos, false) as chained from least),
+     runs as (select *, sum(case when chained then 0 else 1 end) over (partition by word order by pos) as run from linked),
+     chosen as (select * from (select *, row_number() over (partition by word, run order by pos) as k from runs) where k % 2 = 1),
+     beside as (select *, case when lag(after_pos) over (partition by word order by pos) = pos then rank else before end as left_now from chosen),
+     turned as (select b.*, (x.rank is not null or y.rank is not null)::int as turns
+                from beside b left join merges x on x.l = left_now and x.r = b.rank and x.rank < b.rank
+                              left join merges y on y.l = b.rank and y.r = after and y.rank < b.rank)
 select word, pos, next_pos, rank
-from (select *, row_number() over (partition by word, run order by pos) as k, row_number() over (partition by word order by pos) as place from runs)
-where place = 1 or (k % 2 = 1 and rank not in (select rank from early))
+from (select *, sum(turns) over (partition by word order by pos rows between unbounded preceding and 1 preceding) as turns_before from turned)
+where coalesce(turns_before, 0) = 0
 """
 
 CONTRACT_ALL = """
@@ -97,7 +103,6 @@ class BytePairs:
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "600MB"})
         self._table("merges", dict(zip("l r rank".split(), (pa.array(x, pa.int32()) for x in zip(*merges)))))
-        self._table("early", {"rank": pa.array(sorted({x for l, r, m in merges for x in (l, r) if m < x}), pa.int32())})
         self._table("vocabulary", {"token": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
         self.known: dict[str, bytes] = {}
 
