@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import bpe, exact_dedup, langid, mixing, ngram_join, substring_dedup, url_reputation
+from vitrine.llm import assignment_secrets, bpe, class_lm, exact_dedup, langid, mixing, ngram_join, substring_dedup, url_reputation
 
 #: the public rank file of op2; its place is a parameter, the file is never copied
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -40,10 +40,19 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=5, percent=80)
 
 
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("perplexity")
+
+
 def op6_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op7_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (assignment_secrets.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+            .select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="max")
 
@@ -62,7 +71,9 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op5_class_lm": op5_class_lm,
     "op6_cross_parsing": op6_cross_parsing,
+    "op7_assignment_secrets": op7_assignment_secrets,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_reputation": op9_url_reputation,
     "op10_entropy_mixing": op10_entropy_mixing,
