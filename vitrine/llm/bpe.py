@@ -202,8 +202,8 @@ def _vocabulary(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, ids: the token ids of every text as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `carry` and ids: the token ids of every text as little-endian unsigned 32-bit integers."""
     lines = _vocabulary(docs, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,14 +211,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         for batch in batches:
             texts = batch.column("text")
             for a, b in _slices([t.as_buffer().size for t in texts], BLOCK):
-                yield pa.record_batch([batch.column("id")[a:b], pa.array(pairs.encode(texts[a:b].to_pylist()), pa.binary())], ["id", "ids"])
+                yield pa.record_batch([batch.column("row")[a:b], pa.array(pairs.encode(texts[a:b].to_pylist()), pa.binary())], ["row", "ids"])
 
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return base.mapInArrow(run, f"id {dict(base.dtypes)['id']}, ids binary").withColumnRenamed("id", id_col)
+    base = docs.select(F.struct(*carry).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return base.mapInArrow(run, f"row {dict(base.dtypes)['row']}, ids binary").select("row.*", "ids")
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """id, ids, decoded: the bytes that the ids stand for."""
+def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+    """The columns of encoded and decoded: the bytes that the ids stand for."""
     lines = _vocabulary(encoded, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,14 +226,14 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
         for batch in batches:
             ids = batch.column("ids")
             for a, b in _slices([x.as_buffer().size // 4 for x in ids], DECODE):
-                yield pa.record_batch([batch.column("id")[a:b], ids[a:b], pa.array(pairs.decode(ids[a:b].to_pylist()), pa.binary())], ["id", "ids", "decoded"])
+                yield pa.record_batch([batch.column("row")[a:b], pa.array(pairs.decode(ids[a:b].to_pylist()), pa.binary())], ["row", "decoded"])
 
-    base = encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
-    return base.mapInArrow(run, f"id {dict(base.dtypes)['id']}, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    base = encoded.select(F.struct(*encoded.columns).alias("row"), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
+    return base.mapInArrow(run, f"row {dict(base.dtypes)['row']}, decoded binary").select("row.*", "decoded")
 
 
-def token_digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    both = decode(encode(docs, ranks_path, pattern, id_col, text_col), ranks_path, pattern, id_col)
-    return both.select(id_col, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+def token_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `carry`, n_tokens, ids_sha256, decoded_sha256 of every row."""
+    both = decode(encode(docs, ranks_path, pattern, text_col, carry), ranks_path, pattern)
+    return both.select(*carry, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -301,3 +301,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (named.join(smallest, "component", "left")
             .select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"),
                     F.when((F.col("size") == 0) | F.col("smallest").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs that stay: of each component the row with the smallest id (every row with that id)."""
+    keep = near_components(docs, id_col, text_col, n, percent).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep"))
+    return docs.join(keep.distinct(), F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import assignment_secrets, bpe, class_lm, exact_dedup, langid, mixing, ngram_join, substring_dedup, url_reputation
+from vitrine.llm import assignment_secrets, bpe, class_lm, exact_dedup, langid, mixing, mtree, ngram_join, substring_dedup, url_reputation
 
 #: the public rank file of op2; its place is a parameter, the file is never copied
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -40,6 +40,11 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=5, percent=80)
 
 
+def op4_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return mtree.top_k(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("perplexity")
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_mtree_topk": op4_mtree_topk,
     "op5_class_lm": op5_class_lm,
     "op6_cross_parsing": op6_cross_parsing,
     "op7_assignment_secrets": op7_assignment_secrets,
