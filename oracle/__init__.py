@@ -1,7 +1,7 @@
 """Independent DuckDB formulations of the registered queries."""
 
-from oracle.sql_kpis import SQL as _SALES
-from oracle.sql_kpis2 import SQL as _OTHER_KPIS
+from oracle.kpi_sales import SQL as _SALES
+from oracle.kpi_other import SQL as _OTHER_KPIS
 from oracle.sql_star import SQL as _STAR
 from oracle.sql_quality import SQL as _DQ
 from oracle.sql_staging import SQL as _STG

@@ -2,85 +2,41 @@
 
 from __future__ import annotations
 
-from oracle.sql_kpis import discounted, effective, not_cancelled, price
-from oracle.sql_kpis2 import _PEAKS
+from oracle.kpi_other import DAILY_PEAKS, KEYWORDS, keyword_counts
+from oracle.kpi_sales import CATALOGUE, OFFERS, SALES_TABLES, SOLD, UNITS
+from oracle.money_sql import by_type, by_value, live, price, within
 from oracle.star_sql import with_star
 
 SQL: dict[str, str] = {}
 
-SQL["exclude_cancelled"] = with_star("facts_commandes") + f"""
-SELECT * FROM facts_commandes WHERE {not_cancelled("statut_commande")}
-"""
+SQL["exclude_cancelled"] = with_star("facts_commandes") + f"FROM facts_commandes WHERE {live('statut_commande')}"
 
-SQL["effective_price"] = with_star("facts_commandes", "dim_details_commandes", "dim_produits", "dim_promotions",
-                                   "dim_date") + f"""
-SELECT dc.id_commande, dc.id_details_produits, pr.id_promotion,
-       CAST({effective("p.prix", "pr.valeur_promotion", "dt.date", "d1.date", "d2.date")} AS DOUBLE) AS prix_effectif
-FROM dim_details_commandes dc
-JOIN facts_commandes c ON dc.id_commande = c.id_commande
-JOIN dim_date dt ON dt.id_date = c.id_date_commande
-JOIN dim_produits p ON dc.id_details_produits = p.id_produit
-LEFT JOIN dim_promotions pr ON pr.id_produit = p.id_produit
-LEFT JOIN dim_date d1 ON d1.id_date = pr.id_date_debut
-LEFT JOIN dim_date d2 ON d2.id_date = pr.id_date_fin
+SQL["effective_price"] = with_star(*SALES_TABLES, extra=[SOLD, OFFERS]) + f"""
+SELECT cmd AS id_commande, prod AS id_details_produits, offer AS id_promotion,
+       CAST({within("jour", "du", "au", by_value("prix", "worth"), price("prix"))} AS DOUBLE) AS prix_effectif
+FROM sold JOIN dim_produits ON id_produit = prod LEFT JOIN offers USING (prod)
 """
 
-_V = "regexp_replace(CAST(pr.valeur_promotion AS VARCHAR), '[%€]', '', 'g')"
 SQL["effective_price_by_type"] = with_star("dim_promotions", "dim_produits") + f"""
-SELECT pr.id_promotion, pr.id_produit, pr.type_promotion, pr.valeur_promotion,
-       CAST(CASE WHEN pr.type_promotion = 'Remise fixe'
-                 THEN CAST({price("p.prix")} - TRY_CAST({_V} AS DECIMAL(18,6)) AS DECIMAL(18,8))
-                 WHEN pr.type_promotion = 'Pourcentage'
-                 THEN CAST(({price("p.prix")} * (100 - TRY_CAST({_V} AS DECIMAL(9,4)))) * 0.01 AS DECIMAL(18,8))
-                 ELSE CAST({price("p.prix")} AS DECIMAL(18,8)) END AS DOUBLE) AS prix_remise
-FROM dim_promotions pr JOIN dim_produits p ON pr.id_produit = p.id_produit
+SELECT id_promotion, id_produit, type_promotion, valeur_promotion, CAST({by_type("prix", "type_promotion", "valeur_promotion")} AS DOUBLE) AS prix_remise
+FROM dim_promotions JOIN dim_produits USING (id_produit)
 """
 
-SQL["promo_period_label"] = with_star("facts_commandes", "dim_details_commandes", "dim_promotions", "dim_date") + f"""
-SELECT u.id_produit, u.date, pr.id_promotion,
-       CASE WHEN u.date BETWEEN d1.date - 30 AND d1.date - 1 THEN 'avant'
-            WHEN u.date BETWEEN d1.date AND d2.date THEN 'pendant'
-            WHEN u.date BETWEEN d2.date + 1 AND d2.date + 30 THEN 'apres'
-            ELSE 'autre' END AS periode
-FROM (SELECT DISTINCT dc.id_details_produits AS id_produit, dt.date
-      FROM dim_details_commandes dc
-      JOIN facts_commandes c ON dc.id_commande = c.id_commande
-      JOIN dim_date dt ON dt.id_date = c.id_date_commande
-      WHERE {not_cancelled("c.statut_commande")}) u
-JOIN dim_promotions pr ON pr.id_produit = u.id_produit
-JOIN dim_date d1 ON d1.id_date = pr.id_date_debut
-JOIN dim_date d2 ON d2.id_date = pr.id_date_fin
-WHERE u.date BETWEEN d1.date - 30 AND d2.date + 30
+SQL["promo_period_label"] = with_star(*SALES_TABLES, extra=[SOLD, UNITS, OFFERS]) + """
+SELECT prod AS id_produit, jour AS date, offer AS id_promotion, CASE WHEN jour < du THEN 'avant' WHEN jour > au THEN 'apres' ELSE 'pendant' END AS periode
+FROM units JOIN offers USING (prod) WHERE datediff('day', du, jour) >= -30 AND datediff('day', au, jour) <= 30
 """
 
-SQL["display_name"] = with_star("dim_produits") + """
-SELECT p.id_produit, p.produit, p.prix, p.variation,
-       CASE WHEN n.nb_prix > 1 AND p.variation IS NOT NULL THEN p.produit || ' - ' || p.variation
-            ELSE p.produit END AS produit_affiche
-FROM dim_produits p
-JOIN (SELECT produit, COUNT(DISTINCT prix) AS nb_prix FROM dim_produits GROUP BY produit) n ON n.produit = p.produit
-"""
+SQL["display_name"] = with_star("dim_produits", extra=[CATALOGUE]) + "SELECT prod AS id_produit, produit, prix, variation, shown AS produit_affiche FROM catalogue"
 
-SQL["zscore_peak_flag"] = with_star("facts_posts", "dim_date", extra=_PEAKS[:3]) + """
-SELECT date_jour, CAST(total_mentions AS BIGINT) AS total_mentions, pic_mention FROM mentions_flagged
-"""
+SQL["zscore_peak_flag"] = with_star("facts_posts", "dim_date", extra=DAILY_PEAKS) + "SELECT jour AS date_jour, n::BIGINT AS total_mentions, peak AS pic_mention FROM peaks"
 
-_WORDS = {"nb_average_quality": "average quality", "nb_long": "long", "nb_damaged": "damaged",
-          "nb_very_happy": "very happy", "nb_delivery": "delivery", "nb_quality": "quality",
-          "nb_product": "product", "nb_not_great": "not great", "nb_experience": "experience",
-          "nb_service": "service"}
-SQL["keyword_counts"] = with_star("dim_satisfaction") + "SELECT COALESCE(type_plainte, 'Aucune') AS type_plainte, " \
-    "COUNT(*) AS nb_commentaires, " + ", ".join(
-        f"CAST(SUM(CASE WHEN LOWER(commentaire) LIKE '%{w}%' THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
-        for n, w in _WORDS.items()) + " FROM dim_satisfaction WHERE commentaire IS NOT NULL GROUP BY 1"
+SQL["keyword_counts"] = keyword_counts("ifnull(type_plainte, 'Aucune') AS type_plainte", list(KEYWORDS))
 
 SQL["conditional_pivot"] = with_star("facts_commandes", "dim_details_commandes") + """
-SELECT id_details_produits,
-       MAX(IF(statut_commande = 'Livrée', q, 0)) AS qte_livree,
-       MAX(IF(statut_commande = 'En transit', q, 0)) AS qte_en_transit,
-       MAX(IF(statut_commande = 'Annulée', q, 0)) AS qte_annulee
-FROM (SELECT dc.id_details_produits, c.statut_commande, CAST(SUM(dc.quantite) AS BIGINT) AS q
-      FROM dim_details_commandes dc JOIN facts_commandes c ON dc.id_commande = c.id_commande
-      GROUP BY 1, 2)
+SELECT id_details_produits, coalesce(sum(quantite) FILTER (statut_commande = 'Livrée'), 0)::BIGINT AS qte_livree,
+       coalesce(sum(quantite) FILTER (statut_commande = 'En transit'), 0)::BIGINT AS qte_en_transit,
+       coalesce(sum(quantite) FILTER (statut_commande = 'Annulée'), 0)::BIGINT AS qte_annulee
+FROM dim_details_commandes JOIN facts_commandes USING (id_commande)
 GROUP BY id_details_produits
 """
