@@ -65,7 +65,7 @@ def main() -> None:
     t0 = time.perf_counter()
     staged = materialize_staging(spark, testdata.staging_from_testdata(spark, sf_dir), f"{scratch}/staging")
     build = round(time.perf_counter() - t0, 3)
-    star = Star(spark, staged, testdata.CAL_START, testdata.CAL_END)
+    star = Star(spark, staged, *testdata.calendar_bounds(spark, sf_dir))
 
     def kpi(k):
         fn = KPI_FUNCTIONS[k]

@@ -7,9 +7,10 @@ reference's window form (ROW_NUMBER() ... = 1) with a total tie-break.
 
 from __future__ import annotations
 
-from oracle.star_sql import with_star
+from oracle.star_sql import WAREHOUSES, with_star
 
 WS = "' ' || chr(9) || chr(10) || chr(13)"
+BLANKS = "' ' || chr(9) || chr(10) || chr(12) || chr(13)"
 FLOAT_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
@@ -38,11 +39,10 @@ def yes_no(x: str) -> str:
 
 
 def strip_suffix(produit: str, variation: str) -> str:
-    """The reference's per-row regular expression, with the variation escaped."""
-    esc = f"regexp_replace({tr(variation)}, '([\\[\\]\\(\\)\\.\\?\\*\\+\\^\\$\\|\\\\])', '\\\\\\1', 'g')"
-    pat = f"('\\s*-\\s*' || {esc} || '$')"
-    return (f"(CASE WHEN regexp_matches({tr(produit)}, {pat}) THEN regexp_replace({tr(produit)}, {pat}, '') "
-            f"ELSE {tr(produit)} END)")
+    """The name without a trailing dash and variation: compare the end, then take the dash and the blanks around it."""
+    name, end = tr(produit), tr(variation)
+    head = f"rtrim(left({name}, len({name}) - len({end})), {BLANKS})"
+    return f"(CASE WHEN suffix({name}, {end}) AND suffix({head}, '-') THEN rtrim(left({head}, len({head}) - 1), {BLANKS}) ELSE {name} END)"
 
 
 def q(name: str) -> str:
@@ -61,9 +61,9 @@ BASES = {
         SELECT id_client, prenom_client, nom_client, email, CAST(age AS VARCHAR) AS age, genre,
                CAST(frequence_visite AS VARCHAR) AS frequence_visites, numero_telephone, favoris, adresse_ip
         FROM dim_clients"""),
-    "raw_commandes": ((), """
+    "raw_commandes": ((), f"""
         SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS id_commande, 'CL' || CAST(o_custkey AS VARCHAR) AS id_client,
-               'E' || CAST(o_orderkey % 10 AS VARCHAR) AS id_entrepot_depart,
+               'E' || CAST(o_orderkey % {WAREHOUSES} AS VARCHAR) AS id_entrepot_depart,
                CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date_commande,
                CASE WHEN o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'Annulée'
                     WHEN o_orderstatus = 'P' THEN 'En transit' ELSE 'Livrée' END AS statut_commande,
@@ -82,9 +82,9 @@ BASES = {
                CAST(volume_stocke AS VARCHAR) AS volume_stocke, CAST(taux_remplissage AS VARCHAR) AS taux_remplissage,
                CAST(temp_moyenne AS VARCHAR) AS temperature_moyenne_entrepot
         FROM dim_entrepots"""),
-    "raw_entrepots_machine": (("machine_src",), """
+    "raw_entrepots_machine": (("machine_src",), f"""
         SELECT 'I' || CAST(m AS VARCHAR) || '-' || CAST(mo AS VARCHAR) || '-' || CAST(yr AS VARCHAR) AS id,
-               'M' || CAST(m AS VARCHAR) AS id_machine, 'E' || CAST(m % 10 AS VARCHAR) AS id_entrepot,
+               'M' || CAST(m AS VARCHAR) AS id_machine, 'E' || CAST(m % {WAREHOUSES} AS VARCHAR) AS id_entrepot,
                CASE m % 3 WHEN 0 THEN 'Convoyeur' WHEN 1 THEN 'Trieuse' ELSE 'Chariot' END AS type_machine,
                CASE m % 4 WHEN 0 THEN 'En panne' WHEN 1 THEN 'En maintenance' ELSE 'En service' END AS etat_machine,
                CAST(CAST(arret AS BIGINT) AS VARCHAR) AS temps_d_arret, CAST(CAST(vol AS BIGINT) AS VARCHAR) AS volume_traite,
@@ -94,13 +94,13 @@ BASES = {
         SELECT id_post, CAST(date_post AS VARCHAR) AS date_post, canal_social,
                CAST(volume_mentions AS VARCHAR) AS volume_mentions, sentiment_global, contenu_post
         FROM posts_src"""),
-    "raw_produits": ((), """
-        SELECT printf('P%05d', p_partkey) AS id, p_type AS categorie, p_brand AS marque,
+    "raw_produits": (("part_ids",), """
+        SELECT id, p_type AS categorie, p_brand AS marque,
                CASE WHEN p_partkey % 3 = 0 AND p_partkey % 10 <> 0 THEN p_name || ' - V' || CAST(p_size AS VARCHAR)
                     ELSE p_name END AS produit,
                CAST(p_retailprice AS VARCHAR) AS prix, p_type AS "sous-categorie",
                CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 'V' || CAST(p_size AS VARCHAR) END AS variation
-        FROM part"""),
+        FROM part_ids"""),
     "raw_promotions": (("promo_src",), """
         SELECT id_promotion, id_produit, type_promotion, valeur_promotion, CAST(date_debut AS VARCHAR) AS date_debut,
                CAST(date_fin AS VARCHAR) AS date_fin, responsable_promotion

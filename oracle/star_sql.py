@@ -12,26 +12,36 @@ engines produce bit-identical values regardless of summation order.
 
 from __future__ import annotations
 
-# Calendar bounds of the test mapping (the reference itself uses 2019-01-01..2025-08-05).
-CAL_START = "1995-01-01"
-CAL_END = "2001-12-31"
+PROMO_EPOCH = "1995-01-01"  # promotions of the test mapping are dated from this day
+WAREHOUSES = "(SELECT count(*) FROM supplier)"
 
 # Each CTE: name -> (dependencies, body).  Order of the dict is a valid topological order.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
-    "dim_date": ((), f"""
-        SELECT CAST(datediff('day', DATE '{CAL_START}', CAST(d AS DATE)) + 1 AS INTEGER) AS id_date,
-               CAST(d AS DATE) AS date
-        FROM (SELECT unnest(generate_series(DATE '{CAL_START}', DATE '{CAL_END}', INTERVAL 1 DAY)) AS d)
+    "cal_bounds": ((), """
+        SELECT min(low) AS low, max(high) AS high
+        FROM (SELECT CAST(o_orderdate AS DATE) AS low, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 + 1 AS INTEGER) AS high FROM orders
+              UNION ALL SELECT CAST(ts AS DATE) - 8766, CAST(ts AS DATE) - 8766 FROM events)
     """),
-    "dim_produits": ((), """
-        SELECT printf('P%05d', p_partkey) AS id_produit,
+    "dim_date": (("cal_bounds",), """
+        SELECT CAST(datediff('day', low, CAST(d AS DATE)) + 1 AS INTEGER) AS id_date, CAST(d AS DATE) AS date
+        FROM (SELECT low, unnest(generate_series(low, high, INTERVAL 1 DAY)) AS d FROM cal_bounds)
+    """),
+    "part_ids": ((), """
+        SELECT *, printf('P%05d', p_partkey) AS id FROM part
+        UNION ALL SELECT *, printf('NP%05d', p_partkey) FROM part WHERE p_partkey % 50 = 7
+    """),
+    "dim_produits": (("part_ids",), """
+        SELECT id AS id_produit,
                p_name AS produit,
                p_type AS categorie,
                p_retailprice AS prix,
                CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE 'V' || CAST(p_size AS VARCHAR) END AS variation
-        FROM part
+        FROM part_ids
+    """),
+    "promo_days": ((), f"""
+        SELECT p_partkey, CAST(DATE '{PROMO_EPOCH}' + CAST(p_partkey * 13 % 2300 + CASE WHEN p_partkey % 5 = 4 THEN 8000 ELSE 0 END AS INTEGER) AS DATE) AS first_day FROM part
     """),
-    "promo_src": ((), f"""
+    "promo_src": (("promo_days",), """
         SELECT printf('PR%d-0', p_partkey) AS id_promotion,
                printf('P%05d', p_partkey) AS id_produit,
                CASE WHEN p_partkey % 2 = 0 THEN 'Pourcentage' ELSE 'Remise fixe' END AS type_promotion,
@@ -39,18 +49,16 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN p_partkey % 3 = 0 THEN '€10,50'
                     ELSE '€' || CAST(p_partkey % 20 AS VARCHAR) || '.00' END AS valeur_promotion,
                'Equipe ' || CAST(p_partkey % 4 AS VARCHAR) AS responsable_promotion,
-               CAST(DATE '{CAL_START}' + CAST(p_partkey * 13 % 2300 AS INTEGER) AS DATE) AS date_debut,
-               CAST(DATE '{CAL_START}' + CAST(p_partkey * 13 % 2300 + 45 AS INTEGER) AS DATE) AS date_fin
-        FROM part WHERE p_partkey % 5 = 0
+               first_day AS date_debut, CAST(first_day + 45 AS DATE) AS date_fin
+        FROM promo_days
         UNION ALL
         SELECT printf('PR%d-1', p_partkey),
                printf('P%05d', p_partkey),
                'Pourcentage',
                '20%',
                'Equipe ' || CAST(p_partkey % 4 AS VARCHAR),
-               CAST(DATE '{CAL_START}' + CAST(p_partkey * 13 % 2300 + 20 AS INTEGER) AS DATE),
-               CAST(DATE '{CAL_START}' + CAST(p_partkey * 13 % 2300 + 65 AS INTEGER) AS DATE)
-        FROM part WHERE p_partkey % 20 = 0
+               CAST(first_day + 20 AS DATE), CAST(first_day + 65 AS DATE)
+        FROM promo_days WHERE p_partkey % 20 = 0
     """),
     "dim_promotions": (("promo_src", "dim_date"), """
         SELECT p.id_promotion, p.type_promotion, p.valeur_promotion, p.responsable_promotion,
@@ -59,7 +67,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN dim_date d1 ON p.date_debut = d1.date
         LEFT JOIN dim_date d2 ON p.date_fin = d2.date
     """),
-    "facts_commandes": (("dim_date",), """
+    "facts_commandes": (("dim_date",), f"""
         SELECT 'C' || CAST(o_orderkey AS VARCHAR) AS id_commande,
                CASE WHEN o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'Annulée'
                     WHEN o_orderstatus = 'P' THEN 'En transit'
@@ -68,7 +76,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE o_orderkey % 3 WHEN 0 THEN 'Carte' WHEN 1 THEN 'PayPal' ELSE 'Virement' END AS mode_de_paiement,
                'T' || CAST(o_orderkey AS VARCHAR) AS id_tracking,
                'CL' || CAST(o_custkey AS VARCHAR) AS id_client,
-               'E' || CAST(o_orderkey % 10 AS VARCHAR) AS id_entrepot,
+               'E' || CAST(o_orderkey % {WAREHOUSES} AS VARCHAR) AS id_entrepot,
                d1.id_date AS id_date_commande,
                d2.id_date AS id_date_livraison
         FROM orders o
@@ -81,7 +89,6 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(max(l_quantity) AS BIGINT) AS quantite,
                min(l_linenumber) = 1 AS emballage_special
         FROM lineitem
-        WHERE l_partkey % 50 <> 7
         GROUP BY l_orderkey, l_partkey
     """),
     "dim_clients": ((), """
@@ -118,7 +125,6 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                'EMP' || CAST(o_orderkey % 5 AS VARCHAR) AS employe_support,
                'C' || CAST(o_orderkey AS VARCHAR) AS id_commande
         FROM orders
-        WHERE o_orderkey % 3 = 0
     """),
     "dim_entrepots": ((), """
         SELECT 'E' || CAST(s_suppkey AS VARCHAR) AS id_entrepot,
@@ -128,10 +134,9 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
                CAST(50 + s_suppkey AS DOUBLE) / 100 AS taux_remplissage,
                CAST(10 + s_suppkey AS DOUBLE) AS temp_moyenne
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        WHERE s_suppkey < 10
     """),
-    "machine_src": ((), """
-        SELECT l_suppkey % 20 AS m,
+    "machine_src": ((), f"""
+        SELECT (l_suppkey + l_linenumber % 2 * {WAREHOUSES}) % (2 * {WAREHOUSES}) AS m,
                month(CAST(l_shipdate AS DATE)) AS mo,
                year(CAST(l_shipdate AS DATE)) AS yr,
                sum(l_linenumber) AS arret,
@@ -139,14 +144,14 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM lineitem
         GROUP BY 1, 2, 3
     """),
-    "facts_entrepots_machine": (("machine_src",), """
+    "facts_entrepots_machine": (("machine_src",), f"""
         SELECT 'I' || CAST(m AS VARCHAR) || '-' || CAST(mo AS VARCHAR) || '-' || CAST(yr AS VARCHAR) AS id_intervention_machine,
                CASE m % 4 WHEN 0 THEN 'En panne' WHEN 1 THEN 'En maintenance' ELSE 'En service' END AS etat_machine,
                CAST(arret AS BIGINT) AS temps_d_arret,
                CAST(vol AS BIGINT) AS volume_traite,
                CAST(mo AS BIGINT) AS mois,
                'M' || CAST(m AS VARCHAR) AS id_machine,
-               'E' || CAST(m % 10 AS VARCHAR) AS id_entrepot,
+               'E' || CAST(m % {WAREHOUSES} AS VARCHAR) AS id_entrepot,
                CAST(yr AS BIGINT) AS annee
         FROM machine_src
     """),

@@ -40,7 +40,7 @@ def main() -> None:
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     staged = materialize_staging(spark, testdata.staging_from_testdata(spark, a.sf_dir), f"{scratch}/staging")
-    star = Star(spark, staged, testdata.CAL_START, testdata.CAL_END)
+    star = Star(spark, staged, *testdata.calendar_bounds(spark, sf_dir))
     os.makedirs(a.out, exist_ok=True)
     for k in a.keys or HEADLINE:
         df = KPI_FUNCTIONS[k](star)

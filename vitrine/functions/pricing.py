@@ -17,9 +17,9 @@ from vitrine.fixed_values import CANCELLED_STATUSES, PERIOD_LABELS_30D, PERIOD_O
 from vitrine.fixed_values import PROMO_TYPE_FIXED as FIXED_TYPE
 from vitrine.fixed_values import PROMO_TYPE_PERCENT as PERCENT_TYPE
 
-PRICE = "decimal(12,2)"        # catalogue price
-UNIT = "decimal(18,8)"         # a unit price after discount (exact: 2 + 4 + 2 decimals)
-QTY = "decimal(18,0)"          # quantities entering a money product
+PRICE = "decimal(18,6)"        # catalogue price, unrounded
+UNIT = "decimal(26,12)"        # a unit price after discount (exact: 6 + 4 + 2 decimals)
+QTY = "decimal(11,0)"          # quantities entering a money product
 PCT = "decimal(9,4)"           # a percentage such as 12.5
 AMOUNT = "decimal(18,6)"       # a fixed discount amount such as 10.50
 
@@ -79,7 +79,7 @@ def discounted_price_by_type(prix: Column, type_promotion: Column, valeur: Colum
 
 
 def money(qty: Column, unit_price: Column) -> Column:
-    """qty * unit price as an exact DECIMAL(37,8)."""
+    """qty * unit price as an exact DECIMAL(38,12)."""
     return qty.cast(QTY) * unit_price.cast(UNIT)
 
 

@@ -3,7 +3,7 @@
 The reference writes ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY score
 DESC) = 1``.  A window sorts every row of a key in one task, so a key holding a
 large share of the rows would land on a single executor.  Here the choice is an
-aggregate instead: ``min_by(row, order)`` over a *total* order
+aggregate instead: the minimum of a *total* order
 
     (-score, extra tie-breaks..., then every output column ascending, NULLs last)
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 
 def asc_nulls_last(c: Column) -> Column:
-    return F.struct(c.isNull(), c)
+    return F.struct(c.isNull().alias("missing"), c.alias("value"))
 
 
 def desc_nulls_last(c: Column) -> Column:
@@ -47,7 +47,7 @@ def dedup_by_completeness(df: DataFrame, key: list[Column], score: Column, outpu
     if len(out_cols) != len(outputs):
         raise ValueError("outputs must be distinct aliased columns")
     order = F.struct(F.col("_neg_score"), *[F.col(f"_tb{i}") for i in range(len(tiebreak or []))],
-                     *[asc_nulls_last(F.col(c)) for c in out_cols])
-    best = (staged.groupBy(*[f"_key{i}" for i in range(len(key))])
-            .agg(F.min_by(F.struct(*[F.col(c) for c in out_cols]), order).alias("_best")))
-    return best.select(*[F.col(f"_best.{c}").alias(c) for c in out_cols])
+                     *[asc_nulls_last(F.col(c)).alias(f"_o{i}") for i, c in enumerate(out_cols)])
+    # the order holds every output column once; the winner's values are read back from it
+    best = staged.groupBy(*[f"_key{i}" for i in range(len(key))]).agg(F.min(order).alias("_best"))
+    return best.select(*[F.col(f"_best._o{i}.value").alias(c) for i, c in enumerate(out_cols)])

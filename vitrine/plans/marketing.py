@@ -12,7 +12,7 @@ from vitrine.plans.common import orders_with_date, promotions_with_dates, units_
 from vitrine.fixed_values import DAY_NO_PROMO, DAY_PROMO, PEAK_SIGMAS, SENTIMENTS
 from vitrine.star import Star
 
-BUDGET = "decimal(18,2)"
+BUDGET = "decimal(24,6)"
 
 
 def _campaigns_by_channel(star: Star) -> DataFrame:

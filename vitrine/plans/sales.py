@@ -167,7 +167,8 @@ def sales_by_age_band(star: Star, promo_match: str = "product") -> DataFrame:
 
 def wishlist_product_id(fav: F.Column) -> F.Column:
     """'P12' -> 'P00012' (LPAD also truncates to 5 characters, as in the reference)."""
-    return F.concat(F.lit("P"), F.lpad(F.substr(fav, F.lit(2)), 5, "0"))
+    digits = F.substr(fav, F.lit(2))
+    return F.concat(F.lit("P"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
 
 
 def sales_wishlist_counts(star: Star) -> DataFrame:

@@ -68,20 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cluster_conf(input_bytes: int, task_slots: int, shuffle_fraction: float = 0.1,
-                 partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+                 partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run; pass them to the session builder.
 
     * scans: `partition_bytes` per split (100 TB -> ~400k scan tasks of 256 MB);
     * shuffles: the widest shuffle of these plans moves the pruned columns of the
       order lines after partial aggregation, roughly `shuffle_fraction` of the
       input; it gets about `partition_bytes` per partition, at least two waves of
-      the task slots, at most `max_partitions` (AQE coalesces what turns out small
-      and splits skewed join partitions above the skew threshold);
+      the task slots (AQE coalesces what turns out small and splits skewed join
+      partitions above the skew threshold);
     * the broadcast threshold stays small: only measured-small sides are broadcast.
     """
     shuffle_bytes = int(input_bytes * shuffle_fraction)
     partitions = max(2 * task_slots, -(-shuffle_bytes // partition_bytes))
-    partitions = min(partitions, max_partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -5,8 +5,8 @@ tables (part, orders, lineitem, customer, supplier, nation, events) stand in
 for the ten cleaned staging tables; the star schema and every KPI are then
 built by the library's own builders, exactly as they would be from the
 retailer's CSV exports.  The modulo rules below decide *which* synthetic
-attribute a row gets (for example every fifth part carries a promotion); they
-are data-generation rules, not samples: every row of every input table is read.
+attribute a row gets; every row of every input table is read and mapped (the
+event type decides whether an event is a post or a campaign).
 """
 
 from __future__ import annotations
@@ -18,8 +18,7 @@ TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # Fixed values of the mapping (FIXTURES.md section 2).
-CAL_START = "1995-01-01"
-CAL_END = "2001-12-31"
+PROMO_EPOCH = "1995-01-01"  # promotions are dated from this day
 EVENT_DAY_SHIFT = 8766  # moves January 2024 onto January 2000, inside the order range
 COMMENTS = ("Delivery took too long.", "Product arrived damaged.", "Very happy with the service.",
             "Average quality, not great.", "Great experience.", "Too long a wait")
@@ -45,6 +44,20 @@ def _pick(key: Column, values: tuple, default=None) -> Column:
     return expr
 
 
+def supplier_count(spark: SparkSession, sf_dir: str) -> Column:
+    """Number of warehouses, as a scalar subquery (one value, no join)."""
+    return read_table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
+
+
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day of orders, their deliveries and events: one aggregate over each table."""
+    day = F.col("o_orderdate").cast("date")
+    orders = read_table(spark, sf_dir, "orders").select(day.alias("low"), F.date_add(day, (F.col("o_orderkey") % 10 + 1).cast("int")).alias("high"))
+    events = read_table(spark, sf_dir, "events").select(_event_date().alias("low"), _event_date().alias("high"))
+    low, high = orders.unionByName(events).agg(F.min("low"), F.max("high")).first()
+    return low.isoformat(), high.isoformat()
+
+
 def product_id(key: Column) -> Column:
     # Zero-padded to at least five digits, never truncated (keys stay unique at any scale).
     return F.format_string("P%05d", key)
@@ -52,8 +65,10 @@ def product_id(key: Column) -> Column:
 
 def stg_produits(spark, sf_dir) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return p.select(
-        product_id(F.col("p_partkey")).alias("id"),
+    # Every 50th part has a sister product that no order line names (never sold).
+    ids = F.when(F.col("p_partkey") % 50 == 7, F.array(product_id(F.col("p_partkey")), F.concat(F.lit("N"), product_id(F.col("p_partkey")))))
+    return p.withColumn("_id", F.explode(F.coalesce(ids, F.array(product_id(F.col("p_partkey")))))).select(
+        F.col("_id").alias("id"),
         F.col("p_type").alias("categorie"),
         F.col("p_brand").alias("marque"),
         F.col("p_name").alias("produit"),
@@ -67,8 +82,9 @@ def stg_produits(spark, sf_dir) -> DataFrame:
 def stg_promotions(spark, sf_dir) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey")
     k = F.col("p_partkey")
-    start = F.date_add(F.lit(CAL_START).cast("date"), (k * 13 % 2300).cast("int"))
-    first = p.where(k % 5 == 0).select(
+    # Parts with k % 5 = 4 get dates long after the calendar: promotions that are never active.
+    start = F.date_add(F.lit(PROMO_EPOCH).cast("date"), (k * 13 % 2300 + F.when(k % 5 == 4, 8000).otherwise(0)).cast("int"))
+    first = p.select(
         F.format_string("PR%d-0", k).alias("id_promotion"),
         product_id(k).alias("id_produit"),
         F.when(k % 2 == 0, "Pourcentage").otherwise("Remise fixe").alias("type_promotion"),
@@ -96,10 +112,11 @@ def stg_commandes(spark, sf_dir) -> DataFrame:
     k = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     pending = F.col("o_orderstatus") == "P"
+    warehouses = supplier_count(spark, sf_dir)
     return o.select(
         F.concat(F.lit("C"), _s(k)).alias("id_commande"),
         F.concat(F.lit("CL"), _s("o_custkey")).alias("id_client"),
-        F.concat(F.lit("E"), _s(k % 10)).alias("id_entrepot_depart"),
+        F.concat(F.lit("E"), _s(k % warehouses)).alias("id_entrepot_depart"),
         d.alias("date_commande"),
         F.when(pending & (k % 4 == 0), "Annulée").when(pending, "En transit").otherwise("Livrée")
          .alias("statut_commande"),
@@ -112,8 +129,7 @@ def stg_commandes(spark, sf_dir) -> DataFrame:
 
 def stg_details_commandes(spark, sf_dir) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_partkey") % 50 != 7)
-            .groupBy("l_orderkey", "l_partkey")
+    return (li.groupBy("l_orderkey", "l_partkey")
             .agg(F.max("l_quantity").cast("long").alias("quantite"),
                  (F.min("l_linenumber") == 1).alias("emballage_special"))
             .select(F.concat(F.lit("C"), _s("l_orderkey")).alias("id_commande"),
@@ -143,7 +159,7 @@ def stg_clients(spark, sf_dir) -> DataFrame:
 def stg_satisfaction(spark, sf_dir) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey")
     k = F.col("o_orderkey")
-    return o.where(k % 3 == 0).select(
+    return o.select(
         F.concat(F.lit("S"), _s(k)).alias("id_satisfaction"),
         F.concat(F.lit("C"), _s(k)).alias("id_commande"),
         F.when(k % 33 == 0, F.lit(None)).otherwise(1 + k % 5).cast("long").alias("note_client"),
@@ -159,8 +175,7 @@ def stg_entrepots(spark, sf_dir) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
     n = read_table(spark, sf_dir, "nation")
     k = F.col("s_suppkey")
-    return (s.where(k < 10)
-            .join(n, s.s_nationkey == n.n_nationkey)
+    return (s.join(n, s.s_nationkey == n.n_nationkey)
             .select(F.concat(F.lit("E"), _s(k)).alias("id_entrepot"),
                     F.col("n_name").alias("localisation"),
                     (1000 + 100 * k).cast("long").alias("capacite_max"),
@@ -172,14 +187,16 @@ def stg_entrepots(spark, sf_dir) -> DataFrame:
 def stg_entrepots_machine(spark, sf_dir) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     ship = F.col("l_shipdate").cast("date")
-    agg = (li.groupBy((F.col("l_suppkey") % 20).alias("m"),
+    warehouses = supplier_count(spark, sf_dir)
+    # two machines for each warehouse
+    agg = (li.groupBy(((F.col("l_suppkey") + F.col("l_linenumber") % 2 * warehouses) % (2 * warehouses)).alias("m"),
                       F.month(ship).alias("mo"), F.year(ship).alias("yr"))
            .agg(F.sum("l_linenumber").alias("arret"), F.sum("l_quantity").alias("vol")))
     m = F.col("m")
     return agg.select(
         F.concat(F.lit("I"), _s(m), F.lit("-"), _s("mo"), F.lit("-"), _s("yr")).alias("id"),
         F.concat(F.lit("M"), _s(m)).alias("id_machine"),
-        F.concat(F.lit("E"), _s(m % 10)).alias("id_entrepot"),
+        F.concat(F.lit("E"), _s(m % warehouses)).alias("id_entrepot"),
         _pick(m % 3, MACHINE_TYPES).alias("type_machine"),
         _pick(m % 4, MACHINE_STATES, "En service").alias("etat_machine"),
         F.col("arret").cast("long").alias("temps_d_arret"),

@@ -139,6 +139,6 @@ def testdata_star(spark: SparkSession, sf_dir: str) -> Star:
     key = (id(spark), sf_dir)
     star = _STAR_CACHE.get(key)
     if star is None or star.spark is not spark:
-        star = Star(spark, testdata.staging_from_testdata(spark, sf_dir), testdata.CAL_START, testdata.CAL_END)
+        star = Star(spark, testdata.staging_from_testdata(spark, sf_dir), *testdata.calendar_bounds(spark, sf_dir))
         _STAR_CACHE[key] = star
     return star
