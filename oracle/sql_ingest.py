@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from oracle.sql_staging import STG, q, with_raw
-from vitrine.sources.catalogue import DESCRIPTIONS
-from vitrine.sources.raw_fixtures import RAW_SPECS
+from oracle.sql_staging import RAW_SPECS, STG, q, with_raw
+
+DESCRIPTIONS = {
+    "raw_campaigns": "Advertising campaigns", "raw_clients": "Customers and their wishlists", "raw_commandes": "Orders", "raw_details_commandes": "Order lines",
+    "raw_entrepots": "Warehouses", "raw_entrepots_machine": "Machine interventions by warehouse and month", "raw_posts": "Social media mentions",
+    "raw_produits": "Product catalogue", "raw_promotions": "Promotions by product", "raw_satisfaction": "Customer reviews of orders",
+}
 
 
 def _csv_view(table: str) -> tuple[str, str]:

@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from oracle.star_sql import with_star
-from vitrine.operators.quality import DECLARED_CHECKS
+
+
+class Declared(NamedTuple):
+    model: str
+    column: str
+    test: str
+    to_model: str | None = None
+    to_column: str | None = None
+
+
+# model: its key (unique and not null), then column -> parent model
+_KEYS = {"dim_clients": "id_client", "dim_entrepots": "id_entrepot", "dim_machine": "id_machine", "dim_date": "id_date", "dim_canal": "id_canal",
+         "dim_produits": "id_produit", "dim_promotions": "id_promotion", "dim_details_commandes": "id", "facts_entrepots_machine": "id_intervention_machine",
+         "facts_posts": "id_post", "facts_campaigns": "id_campaign", "facts_commandes": "id_commande"}
+_PARENTS = {"dim_satisfaction": {"id_commande": "facts_commandes"}, "dim_promotions": {"id_produit": "dim_produits", "id_date_debut": "dim_date", "id_date_fin": "dim_date"},
+            "dim_details_commandes": {"id_details_produits": "dim_produits", "id_commande": "facts_commandes"},
+            "facts_entrepots_machine": {"id_entrepot": "dim_entrepots", "id_machine": "dim_machine"}, "facts_posts": {"id_canal": "dim_canal", "id_date": "dim_date"},
+            "facts_campaigns": {"id_canal_dim_canal": "dim_canal"},
+            "facts_commandes": {"id_client": "dim_clients", "id_promotion": "dim_promotions", "id_entrepot": "dim_entrepots", "id_date_commande": "dim_date", "id_date_livraison": "dim_date"}}
+DECLARED_CHECKS = ([Declared(m, k, t) for m, k in _KEYS.items() for t in ("unique", "not_null")] + [Declared("dim_satisfaction", "id_satisfaction", "unique")]
+                   + [Declared(m, c, "relationships", p, _KEYS[p]) for m, own in _PARENTS.items() for c, p in own.items()])
 
 _DETAILS_WITH_ID = ("dim_details_commandes_id", """
     SELECT CAST(ROW_NUMBER() OVER (ORDER BY id_commande, id_details_produits) AS BIGINT) AS id, *

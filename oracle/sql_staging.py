@@ -7,6 +7,8 @@ reference's window form (ROW_NUMBER() ... = 1) with a total tie-break.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from oracle.star_sql import WAREHOUSES, with_star
 
 WS = "' ' || chr(9) || chr(10) || chr(13)"
@@ -49,6 +51,36 @@ def q(name: str) -> str:
     return f'"{name}"'
 
 
+class Raw(NamedTuple):
+    columns: tuple[str, ...]
+    keys: tuple[str, ...]
+    text: tuple[str, ...]  # padded with blanks
+    alt: str               # differs in the equally complete copy
+
+
+def _raw(columns: str, keys: str, text: str, alt: str) -> Raw:
+    return Raw(tuple(columns.split()), tuple(keys.split()), tuple(text.split()), alt)
+
+
+RAW_SPECS = {
+    "raw_campaigns": _raw("id_campagne date evenement_oui_non evenement_type canal budget impressions clics conversions ctr", "id_campagne",
+                          "evenement_oui_non evenement_type canal", "evenement_type"),
+    "raw_clients": _raw("id_client prenom_client nom_client email age genre frequence_visites numero_telephone favoris adresse_ip", "id_client",
+                        "prenom_client nom_client email genre numero_telephone adresse_ip", "email"),
+    "raw_commandes": _raw("id_commande id_client id_entrepot_depart date_commande statut_commande id_promotion_appliquee mode_de_paiement numero_tracking "
+                          "date_livraison_estimee", "id_commande", "id_client statut_commande mode_de_paiement numero_tracking", "numero_tracking"),
+    "raw_details_commandes": _raw("id_commande id_produit quantite emballage_special", "id_commande id_produit", "emballage_special", "emballage_special"),
+    "raw_entrepots": _raw("id_entrepot localisation capacite_max volume_stocke taux_remplissage temperature_moyenne_entrepot", "id_entrepot", "localisation", "localisation"),
+    "raw_entrepots_machine": _raw("id id_machine id_entrepot type_machine etat_machine temps_d_arret volume_traite mois", "id",
+                                  "id_machine id_entrepot type_machine etat_machine mois", "type_machine"),
+    "raw_posts": _raw("id_post date_post canal_social volume_mentions sentiment_global contenu_post", "id_post", "canal_social sentiment_global contenu_post", "contenu_post"),
+    "raw_produits": _raw("id categorie marque produit prix sous-categorie variation", "id", "categorie marque produit sous-categorie variation", "marque"),
+    "raw_promotions": _raw("id_promotion id_produit type_promotion valeur_promotion date_debut date_fin responsable_promotion", "id_promotion id_produit",
+                           "type_promotion responsable_promotion", "responsable_promotion"),
+    "raw_satisfaction": _raw("id_satisfaction id_commande note_client commentaire plainte temps_reponse_support type_plainte employe_support", "id_satisfaction",
+                             "commentaire type_plainte employe_support", "employe_support"),
+}
+
 # --- raw tables: base rows as strings ------------------------------------------------------
 BASES = {
     "raw_campaigns": (("campaign_src",), """
@@ -113,8 +145,6 @@ BASES = {
 
 
 def _raw_ctes(table: str) -> tuple[tuple[str, ...], list[tuple[str, str]]]:
-    from vitrine.sources.raw_fixtures import RAW_SPECS  # column lists / key lists are plain data
-
     spec = RAW_SPECS[table]
     deps, base_sql = BASES[table]
     kexpr = " + ".join(f"COALESCE(TRY_CAST(regexp_extract({q(k)}, '[0-9]+', 0) AS BIGINT), 0)" for k in spec.keys)

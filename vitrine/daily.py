@@ -10,11 +10,10 @@ materialises staging as tables):
 * the three tables keyed by order (orders, order lines, reviews) are bucketed
   by `id_commande` into the same number of buckets, so the order-line / order
   join of every KPI reads co-located buckets and needs no shuffle;
-* a bucketed join has no shuffle stage, so AQE could not split a skewed
-  bucket: a table is bucketed only when the build has checked that no single
-  order holds more rows than an average bucket (`is_balanced`).  Otherwise it
-  is written unbucketed and the KPI joins shuffle, where AQE's skew-join
-  handling splits the hot order;
+* a bucketed join has no shuffle stage, so AQE cannot split a skewed bucket:
+  callers whose data may hold an order with a large share of all lines pass
+  `bucketed=False`; then these tables are plain Parquet too, the KPI joins
+  shuffle, and AQE's skew-join handling splits the hot order;
 * the other staging tables are plain Parquet.
 
 Everything is written under one folder; on a cluster it must be shared
@@ -23,92 +22,106 @@ storage (the session's checkpoint folder is used when no root is given).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import hashlib
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitrine.operators.quality import dq_report
+from vitrine.operators.quality import DECLARED_CHECKS, dq_report
 from vitrine.operators.staging import build_staging
 from vitrine.registry import STAR_KEYS
 from vitrine.sources.ingest import ingest_batch_log, ingest_overwrite_sink, scratch_dir
-from vitrine.sources.catalogue import register_sources
+from vitrine.sources.catalogue import SOURCES, register_sources
 from vitrine.star import Star
 
 ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_commande",
                "stg_satisfaction": "id_commande"}
-# Staging keeps one row per id_commande in the orders table: no order can be hot there.
-UNIQUE_BY_STAGING = {"stg_commandes"}
-
-
-HOT_KEY_MIN_ROWS = 100_000  # below this a key cannot make a task meaningfully slower
-
-
-def is_balanced(df: DataFrame, key: str, buckets: int) -> bool:
-    """True when no value of `key` holds more rows than an average bucket (one aggregate job)."""
-    from pyspark.sql import functions as F
-
-    stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.sum("n").alias("total"), F.max("n").alias("top")).first())
-    if stats is None or stats["total"] is None:
-        return True
-    return stats["top"] <= max(HOT_KEY_MIN_ROWS, stats["total"] / buckets)
-
-
 def _write_bucketed(df: DataFrame, key: str, n: int, table: str) -> None:
     # One shuffle at build time: every bucket is written by one task, as one file.
     (df.repartition(n, key).write.mode("overwrite").format("parquet")
      .bucketBy(n, key).sortBy(key).saveAsTable(table))
 
 
+def database_of(location: str) -> str:
+    """A database of its own for every folder."""
+    return "vitrine_" + hashlib.md5(location.encode()).hexdigest()[:16]
+
+
 def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], location: str,
-                        buckets: int | None = None, database: str = "vitrine_staging") -> dict[str, DataFrame]:
+                        buckets: int | None = None, bucketed: bool = True) -> dict[str, DataFrame]:
     """Write the staging tables as catalog tables under `location`; return them re-read."""
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    database = database_of(location)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, df in staging.items():
-        key = ORDER_KEYED.get(name)
-        if not key:
+        if bucketed and name in ORDER_KEYED:
+            _write_bucketed(df, ORDER_KEYED[name], n, f"{database}.{name}")
+        else:
             df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-            continue
-        if name in UNIQUE_BY_STAGING:
-            _write_bucketed(df, key, n, f"{database}.{name}")
-            continue
-        # Computed once for the key check and the write (recomputed from lineage if an executor is lost).
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if is_balanced(df, key, n):
-                _write_bucketed(df, key, n, f"{database}.{name}")
-            else:
-                df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
-        finally:
-            df.unpersist()
     return {name: spark.table(f"{database}.{name}") for name in staging}
 
 
-def star_models(star: Star) -> dict[str, DataFrame]:
-    models = {k: getattr(star, k) for k in STAR_KEYS if k != "dim_details_commandes"}
-    models["dim_details_commandes"] = star.dim_details_commandes()
-    return models
+def calendar_bounds(staging: dict[str, DataFrame]) -> tuple[str, str]:
+    """First and last day of the orders, deliveries, campaigns and posts that are there (today where there are none)."""
+    dated = {"stg_commandes": ("date_commande", "date_livraison_estimee"), "stg_campaigns": ("date", "date"), "stg_posts": ("date_post", "date_post")}
+    low, high = [], []
+    for name, (first, last) in dated.items():
+        if name in staging:
+            a, b, c = staging[name].agg(F.min(first), F.max(first), F.max(last)).first()
+            low += [a] if a else []
+            high += [x for x in (b, c) if x]
+    today = date.today()
+    return min(low, default=today).isoformat(), max(high, default=today).isoformat()
+
+
+class MissingSource(Exception):
+    """A model needs a staging table whose export failed."""
+
+
+class _Available(dict):
+    def __missing__(self, name):
+        raise MissingSource(name)
 
 
 def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = None,
-              cal_start: str = "2019-01-01", cal_end: str = "2025-08-05", as_of: str | None = None,
-              buckets: int | None = None) -> dict[str, DataFrame]:
+              cal_start: str | None = None, cal_end: str | None = None, as_of: str | None = None,
+              buckets: int | None = None, bucketed: bool = True) -> dict[str, DataFrame]:
     """Load every export, rebuild staging and the star, write every KPI and the quality report.
 
-    Returns the load log, the quality report and the KPI tables (re-read from storage).
+    A failed export is logged; what depends on it is left out and named in `skipped`
+    (result, missing table), the rest is built from this run's tables only.  The
+    calendar spans the loaded data unless its bounds are given
+    (`marts.REFERENCE_CAL_START`, `REFERENCE_CAL_END` are the reference's).
+    Returns the load log, the skipped results, the quality report and the KPI
+    tables (re-read from storage).
     """
     from vitrine.registry import KPI_FUNCTIONS
 
     root = (root or scratch_dir(spark, "daily")).rstrip("/")
     log = ingest_batch_log(spark, exports, f"{root}/raw")
-    raw = register_sources(spark, f"{root}/raw")
-    staging = materialize_staging(spark, build_staging(raw), f"{root}/staging", buckets)
-    star = Star(spark, staging, cal_start, cal_end)
-    out = {"load_log": log}
+    loaded = [r.table_name for r in log.where("status = 'success'").collect()]
+    raw = register_sources(spark, f"{root}/raw", [t for t in SOURCES if t in loaded])
+    staging = _Available(materialize_staging(spark, build_staging(raw), f"{root}/staging", buckets, bucketed))
+    low, high = calendar_bounds(staging)
+    star = Star(spark, staging, cal_start or low, cal_end or high)
+    out, skipped = {"load_log": log}, []
     for key, fn in KPI_FUNCTIONS.items():
-        df = fn(star, as_of) if key == "sat_by_delivery_state" else fn(star)
+        try:
+            df = fn(star, as_of) if key == "sat_by_delivery_state" else fn(star)
+        except MissingSource as missing:
+            skipped.append((key, str(missing)))
+            continue
         ingest_overwrite_sink(df, f"{root}/kpis/{key}")
         out[key] = spark.read.parquet(f"{root}/kpis/{key}")
-    ingest_overwrite_sink(dq_report(star_models(star)), f"{root}/quality/dq_report")
+    models = {}
+    for key in STAR_KEYS:
+        try:
+            models[key] = star.dim_details_commandes() if key == "dim_details_commandes" else getattr(star, key)
+        except MissingSource as missing:
+            skipped.append((key, str(missing)))
+    checks = [c for c in DECLARED_CHECKS if c.model in models and (c.to_model is None or c.to_model in models)]
+    ingest_overwrite_sink(dq_report(models, checks), f"{root}/quality/dq_report")
     out["dq_report"] = spark.read.parquet(f"{root}/quality/dq_report")
+    out["skipped"] = spark.createDataFrame(skipped, "result string, missing string")
     return out

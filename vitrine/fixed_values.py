@@ -50,16 +50,6 @@ DECLINE_RUN = 5
 # --- fixed values: calendar and ingest ----------------------------------------------------
 CALENDAR_START, CALENDAR_END = "2019-01-01", "2025-08-05"
 HEADER_PUNCTUATION = "’'\"/\\()[]{}:;,."             # each replaced by '_'
+MISSING_MARKERS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                   "NULL", "NaN", "None", "n/a", "nan", "null")  # fields that a CSV loader reads as missing
 HEADER_ACCENTS = (("é", "e"), ("è", "e"), ("ê", "e"), ("â", "a"), ("ô", "o"))
-SOURCE_DESCRIPTIONS = {
-    "produits": "Contient la liste des produits référencés avec leurs caractéristiques",
-    "clients": "Données clients : identifiants, infos personnelles et localisation",
-    "campaigns": "Historique des campagnes marketing et publicitaires",
-    "entrepots": "Liste des entrepôts d’expédition ou de stockage",
-    "details_commandes": "Détail des produits associés à chaque commande (lignes de commande)",
-    "commandes": "",
-    "entrepots_machine": "Association entre les machines industrielles et les entrepôts",
-    "promotions": "Historique des promotions appliquées sur les produits",
-    "posts": "Mentions sociales et sentiment analysis des publications sur les réseaux",
-    "satisfaction": "Données de satisfaction client collectées suite aux commandes.",
-}

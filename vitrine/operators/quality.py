@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -98,26 +98,38 @@ def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: st
     return values.join(keys, "value", "left_anti")
 
 
-def check_violations(models: dict[str, DataFrame], check: Check) -> DataFrame:
-    """One row (model, column, test, violations) for a declared check."""
-    df = models[check.model]
-    if check.test == "unique":
-        n = dq_unique(df, check.column).agg(F.count(F.lit(1)).alias("violations"))
-    elif check.test == "not_null":
-        n = dq_not_null(df, check.column).agg(F.count(F.lit(1)).alias("violations"))
-    elif check.test == "relationships":
-        n = (dq_relationships(df, check.column, models[check.to_model], check.to_column)
-             .agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("violations")))
-    else:
-        raise ValueError(f"unknown test {check.test}")
-    return n.select(F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"),
-                    F.lit(check.test).alias("test"), F.col("violations").cast("long").alias("violations"))
+def _row(check: Check, violations: Column) -> Column:
+    return F.struct(F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"), F.lit(check.test).alias("test"),
+                    violations.cast("long").alias("violations"))
+
+
+def _column_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """The unique and not_null checks of one column from one count per value."""
+    value, n = F.col("value"), F.col("n")
+    counts = df.groupBy(F.col(checks[0].column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    found = {"unique": F.count_if(value.isNotNull() & (n > 1)), "not_null": F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0))}
+    one = counts.agg(*[found[c.test].alias(c.test) for c in checks])
+    return one.select(F.explode(F.array(*[_row(c, F.col(c.test)) for c in checks])).alias("r")).select("r.*")
+
+
+def _orphans(models: dict[str, DataFrame], check: Check) -> DataFrame:
+    n = (dq_relationships(models[check.model], check.column, models[check.to_model], check.to_column)
+         .agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")))
+    return n.select(_row(check, F.col("n")).alias("r")).select("r.*")
 
 
 def dq_report(models: dict[str, DataFrame], checks=DECLARED_CHECKS, test: str | None = None) -> DataFrame:
     """All declared checks (optionally one test type), one row each."""
     selected = [c for c in checks if test is None or c.test == test]
-    parts = [check_violations(models, c) for c in selected]
+    unknown = {c.test for c in selected} - {"unique", "not_null", "relationships"}
+    if unknown:
+        raise ValueError(f"unknown tests {sorted(unknown)}")
+    columns: dict[tuple[str, str], list[Check]] = {}
+    for c in selected:
+        if c.test != "relationships":
+            columns.setdefault((c.model, c.column), []).append(c)
+    parts = [_column_violations(models[own[0].model], own) for own in columns.values()]
+    parts += [_orphans(models, c) for c in selected if c.test == "relationships"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

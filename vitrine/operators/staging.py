@@ -190,5 +190,5 @@ STAGING_MODELS = {
 
 
 def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staging tables from the raw tables (keyed by raw table name)."""
-    return {name: fn(raw[src]) for name, (src, fn) in STAGING_MODELS.items()}
+    """The staging tables whose raw tables are given (keyed by raw table name)."""
+    return {name: fn(raw[src]) for name, (src, fn) in STAGING_MODELS.items() if src in raw}

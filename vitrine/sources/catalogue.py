@@ -9,10 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vitrine.fixed_values import SOURCE_DESCRIPTIONS
 from vitrine.sources.raw_fixtures import RAW_SPECS
 
-DESCRIPTIONS = {f"raw_{name}": text for name, text in SOURCE_DESCRIPTIONS.items()}
+DESCRIPTIONS = {
+    "raw_produits": "Product catalogue",
+    "raw_clients": "Customers and their wishlists",
+    "raw_campaigns": "Advertising campaigns",
+    "raw_entrepots": "Warehouses",
+    "raw_details_commandes": "Order lines",
+    "raw_commandes": "Orders",
+    "raw_entrepots_machine": "Machine interventions by warehouse and month",
+    "raw_promotions": "Promotions by product",
+    "raw_posts": "Social media mentions",
+    "raw_satisfaction": "Customer reviews of orders",
+}
 
 
 def raw_schema(table: str) -> StructType:
@@ -22,10 +32,10 @@ def raw_schema(table: str) -> StructType:
 SOURCES: dict[str, StructType] = {t: raw_schema(t) for t in RAW_SPECS}
 
 
-def register_sources(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """Temp views over the raw Parquet tables written by the ingest (one folder per table)."""
+def register_sources(spark: SparkSession, raw_dir: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """Temp views over the raw Parquet tables written by the ingest (one folder per table); by default all ten."""
     out = {}
-    for table in SOURCES:
+    for table in SOURCES if tables is None else tables:
         df = spark.read.parquet(f"{raw_dir.rstrip('/')}/{table}")
         df.createOrReplaceTempView(table)
         out[table] = df

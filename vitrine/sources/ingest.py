@@ -6,7 +6,8 @@ distributed `spark.read.csv` (no schema inference: staging types the columns),
 headers are normalised on the driver (names only, never data), and the sink
 is an overwrite of a Parquet folder or catalog table.
 
-An empty CSV field reads as NULL, as with the reference's loader.
+An empty CSV field and the usual missing markers (`NA`, `null`, ...) read as
+NULL, as with the reference's loader.
 """
 
 from __future__ import annotations
@@ -16,13 +17,18 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from vitrine.fixed_values import HEADER_ACCENTS, HEADER_PUNCTUATION
+from vitrine.fixed_values import HEADER_ACCENTS, HEADER_PUNCTUATION, MISSING_MARKERS
 from vitrine.session import ensure_checkpoint_dir
 
-CSV_READ_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "false"}
-CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# Standard quoting: a quote inside a quoted field is doubled, and a field may span lines.
+# A file with quoted line breaks cannot be split, so one file is one task: large exports
+# are best delivered as several files of a folder.
+CSV_READ_OPTIONS = {"header": "true", "inferSchema": "false", "multiLine": "true", "quote": '"', "escape": '"'}
+CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+                     "quote": '"', "escape": '"'}
 
 
 def normalize_header(name: str) -> str:
@@ -38,12 +44,14 @@ def ingest_normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[normalize_header(c) for c in df.columns])
 
 
-def ingest_csv(spark: SparkSession, path: str, normalize: bool = True) -> DataFrame:
-    """Read one headed CSV file or folder; every column is a string."""
+def ingest_csv(spark: SparkSession, path: str, normalize: bool = True, missing: tuple[str, ...] = MISSING_MARKERS) -> DataFrame:
+    """Read one headed CSV file or folder; every column is a string, fields that are a missing marker are NULL."""
     reader = spark.read
     for k, v in CSV_READ_OPTIONS.items():
         reader = reader.option(k, v)
     df = reader.csv(path)
+    if missing:
+        df = df.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in df.columns])
     return ingest_normalize_headers(df) if normalize else df
 
 
