@@ -193,5 +193,5 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = base.mapInArrow(_scan, f"id {dict(base.dtypes)['id']}, findings array<struct<kind:string,start:long,end:long,name:string,score:double>>, spans string, base_sha256 string")
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"cast(size(filter(findings, f -> f.kind = '{k}')) as long)").alias(f"n_{k}") for k in KINDS]
     return out.select(F.col("id").alias(id_col), "findings", "spans", "base_sha256", *counts)

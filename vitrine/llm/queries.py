@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import assignment_secrets, bpe, class_lm, exact_dedup, langid, mixing, mtree, ngram_join, substring_dedup, url_reputation
+from vitrine.llm.sql import ORACLE_SQL  # noqa: F401
 
 #: the public rank file of op2; its place is a parameter, the file is never copied
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -84,5 +85,3 @@ QUERIES: dict[str, Query] = {
     "op9_url_reputation": op9_url_reputation,
     "op10_entropy_mixing": op10_entropy_mixing,
 }
-
-ORACLE_SQL: dict[str, str] = {}
