@@ -3,21 +3,23 @@
 A window is `window` consecutive words of one document.  A word goes when a
 window that covers it also starts in a document with a smaller id.
 
-1. Confirm recurring phrases.  Every window is named by its least half-window
-   phrase (64-bit hashes): equal windows have equal names, and a document has
-   about one name per half window.  Names are counted by partial aggregates; one
+1. Confirm recurring phrases.  Every window is named by the least of its phrases
+   of a fifth of its length (64-bit hashes): equal windows have equal names, and
+   a document has few names, about two for each window's length.  Names are counted by partial aggregates; one
    that two documents share is recurring and belongs to the shard of its
    smallest document.
 2. Route.  A document goes, once, to each shard that holds one of its recurring
    names.  Shards are sized by their words; one that a frequent passage makes
    too large is cut into parts by a hash of the document.
-3. Passages.  In every part, runs of windows with recurring names that no earlier
-   document of the part has are passages: text from a named first document.
+3. Passages.  Of the windows with recurring names those that two documents share
+   are confirmed (inside a shard's one group; for a shard of several parts by
+   partial sums of their distinct windows); runs of them are passages, text of
+   their first document.
 4. Locate.  The passages of a shard, compiled into Aho-Corasick automata (one
    letter per distinct word; patterns are the aligned half windows, one of which
    lies in any window), stream over every document of every part of the shard.
-   Each hit is extended to the left and right by comparing words, so what is
-   removed is proved on the words, not on hashes.
+   Each hit is extended by half a window to the left and right by comparing
+   words, so what is removed is proved on the words, not on hashes.
 
 Defined results: null text has no words; null ids neither remove nor lose words;
 rows that share an id are not each other's source; empty tables give no rows.
@@ -27,7 +29,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +41,17 @@ from vitrine.llm.shipping import ship_package
 from vitrine.llm.textwords import blocks, gram_hashes
 from vitrine.session import ensure_checkpoint_dir
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_COVERED = re.compile(rb"\x01+")
 #: words of a part of a shard, and of the passages in one automaton
 PART_WORDS, AUTOMATON_WORDS = 1_000_000, 800_000
 SPANS = "array<struct<start:int,end:int>>"
 
 
 def window_names(words: np.ndarray, window: int) -> np.ndarray:
-    """For every window the least hash of its phrases of half the window's length."""
-    half = window // 2
-    low = gram_hashes(words, half)
-    reach, need = 1, window - half + 1
+    """For every window the least hash of its phrases of a fifth of the window's length."""
+    phrase = max(1, window // 5)
+    low = gram_hashes(words, phrase)
+    reach, need = 1, window - phrase + 1
     if len(low) < need:
         return np.empty(0, np.uint64)
     while 2 * reach <= need:
@@ -87,62 +90,110 @@ def _profiles(window: int):
     return run
 
 
-def _passages(window: int):
-    """One part of a shard -> runs of windows with recurring names, each from its first document in the part."""
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+def _candidates(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+    """Windows with recurring names of a part's documents, by id: hash, document, position; and the documents' words."""
+    hashes, owner, at, texts = [], [], [], []
+    names = table.column("names").to_pylist()
+    row = 0
+    for chunk in table.column("text").chunks:
+        for a, b, block in blocks(chunk, lower=False):
+            words = block.word_hashes()
+            for k in range(b - a):
+                own = words[block.first[k]: block.first[k + 1]]
+                texts.append(block.text_words(k))
+                known = np.array(names[row], np.int64).view(np.uint64)
+                which = np.flatnonzero(np.isin(window_names(own, window), known))
+                hashes.append(gram_hashes(own, window)[which])
+                owner.append(np.full(len(which), row))
+                at.append(which)
+                row += 1
+    return np.concatenate(hashes), np.concatenate(owner), np.concatenate(at), texts
+
+
+def _firsts(h: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each window's first occurrence, in order, and whether more than one document has it."""
+    values, first, back = np.unique(h, return_index=True, return_inverse=True)
+    several = np.zeros(len(values), bool)
+    several[back[o != o[first][back]]] = True
+    order = np.argsort(first)
+    return first[order], several[order]
+
+
+def _runs(positions: np.ndarray, words: list[bytes], window: int) -> list[list[bytes]]:
+    """Passages that the windows at these (ascending) positions cover, one for each run of neighbours."""
+    cut = np.flatnonzero(positions[1:] != positions[:-1] + 1) + 1
+    return [words[run[0]: run[-1] + window] for run in np.split(positions, cut) if len(run)]
+
+
+def _within(window: int):
+    """All documents of a shard of one part -> removed spans: confirm, compile and locate in one group."""
+    def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("id", "ascending"), ("row", "ascending")])
-        hashes, owner, at, texts = [], [], [], []
-        names = table.column("names").to_pylist()
-        row = 0
-        for chunk in table.column("text").chunks:
-            for a, b, block in blocks(chunk, lower=False):
-                words = block.word_hashes()
-                for k in range(b - a):
-                    own = words[block.first[k]: block.first[k + 1]]
-                    texts.append(block.text_words(k))
-                    known = np.array(names[row], np.int64).view(np.uint64)
-                    which = np.flatnonzero(np.isin(window_names(own, window), known))
-                    hashes.append(gram_hashes(own, window)[which])
-                    owner.append(np.full(len(which), row))
-                    at.append(which)
-                    row += 1
-        h, o, p = np.concatenate(hashes), np.concatenate(owner), np.concatenate(at)
-        _, first = np.unique(h, return_index=True)
-        first.sort()
-        o, p = o[first], p[first]
+        h, o, p, texts = _candidates(table, window)
+        first, several = _firsts(h, o)
+        first = first[several]
         ids = table.column("id").to_pylist()
-        out_id, out_text = [], []
-        if len(o):
-            cut = np.flatnonzero((o[1:] != o[:-1]) | (p[1:] != p[:-1] + 1)) + 1
-            for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(o)]):
-                out_id.append(ids[o[a]])
-                out_text.append(b" ".join(texts[o[a]][p[a]: p[b - 1] + window]).decode())
-        return pa.table({"shard": pa.array([key[0].as_py()] * len(out_id), pa.int32()), "source": pa.array(out_id, table.schema.field("id").type),
-                         "passage": pa.array(out_text, pa.string())})
+        passages = [(ids[doc], run) for doc in np.unique(o[first]).tolist() for run in _runs(p[first[o[first] == doc]], texts[doc], window)]
+        return _removed(table, texts, passages, window)
+
+    return run
+
+
+def _part_windows(window: int):
+    """One of several parts of a shard -> its distinct windows: hash, first document and position, whether two documents share it."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([("id", "ascending"), ("row", "ascending")])
+        h, o, p, _ = _candidates(table, window)
+        first, several = _firsts(h, o)
+        doc = pa.array(o[first])
+        return pa.table({"shard": pa.array(np.full(len(first), key[0].as_py(), np.int32)), "hash": pa.array(h[first].view(np.int64)),
+                         "id": table.column("id").take(doc), "row": table.column("row").take(doc), "pos": pa.array(p[first].astype(np.int32)), "several": pa.array(several)})
+
+    return run
+
+
+def _cut_passages(window: int):
+    """(shard, id, text, positions of recurring windows) -> passages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {"shard": [], "source": [], "passage": []}
+            for shard, source, text, at in zip(*(batch.column(c).to_pylist() for c in ("shard", "id", "text", "positions"))):
+                found = _runs(np.sort(np.array(at, np.int64)), text.encode().split(), window)
+                out["passage"] += [b" ".join(words).decode() for words in found]
+                out["shard"] += [shard] * len(found)
+                out["source"] += [source] * len(found)
+            yield pa.record_batch([pa.array(out["shard"], pa.int32()), pa.array(out["source"], batch.schema.field("id").type), pa.array(out["passage"], pa.string())], list(out))
 
     return run
 
 
 class PhraseAutomaton:
-    """Passages as strings of one letter per distinct word, and an automaton over their aligned half windows."""
+    """Passages as strings of one letter per distinct word, and an automaton over their aligned half windows.
+
+    A half window carries its neighbourhoods (half a window to either side), each
+    with the smallest document that has it: any window around the hit lies inside.
+    """
 
     OTHER = "\U0010ffff"
 
     def __init__(self, passages: list[tuple[object, list[bytes]]], window: int):
         import ahocorasick
 
-        self.window, half = window, window // 2
+        self.window = window
+        self.half = half = window // 2
+        self.reach = window - half
         self.letters: dict[bytes, str] = {}
-        self.sources, self.texts = [s for s, _ in passages], []
-        found: dict[str, list[tuple[int, int]]] = {}
-        for k, (_, words) in enumerate(passages):
-            text = "".join(self._letter(w) for w in words)
-            self.texts.append(text)
+        found: dict[str, dict[tuple[str, str], object]] = {}
+        for source, words in passages:
+            text = "".join([self._letter(w) for w in words])
             for i in range(0, len(text) - half + 1, half):
-                found.setdefault(text[i: i + half], []).append((k, i))
+                around = found.setdefault(text[i: i + half], {})
+                sides = (text[max(0, i - self.reach): i], text[i + half: i + half + self.reach])
+                if sides not in around or source < around[sides]:
+                    around[sides] = source
         self.automaton = ahocorasick.Automaton()
-        for phrase, places in found.items():
-            self.automaton.add_word(phrase, places)
+        for phrase, around in found.items():
+            self.automaton.add_word(phrase, sorted(((s, left, right) for (left, right), s in around.items()), key=lambda x: x[0]))
         self.automaton.make_automaton()
 
     def _letter(self, word: bytes) -> str:
@@ -152,38 +203,35 @@ class PhraseAutomaton:
             have = self.letters[word] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
         return have
 
-    def spans(self, words: list[bytes], smaller_than) -> list[tuple[int, int]]:
-        """Runs of at least a window of `words` that a passage from a smaller id holds."""
+    def cover(self, words: list[bytes], smaller_than, covered: bytearray) -> None:
+        """Marks the words of runs of at least a window that a passage from a smaller id holds."""
         get, other = self.letters.get, self.OTHER
         text = "".join([get(w, other) for w in words])
-        half, out, done = self.window // 2, [], {}
-        for end, places in self.automaton.iter(text):
-            start = end - half + 1
-            for k, offset in places:
-                if not self.sources[k] < smaller_than or done.get((k, start - offset), -1) >= end:
-                    continue
-                passage = self.texts[k]
-                left = _run(text[:start][::-1], passage[:offset][::-1])
-                right = _run(text[end + 1:], passage[offset + half:])
-                done[k, start - offset] = end + right
-                if left + half + right >= self.window:
-                    out.append((start - left, end + 1 + right))
-        return out
-
-
-def _run(a: str, b: str) -> int:
+        for end, around in self.automaton.iter(text):
+            start, end = end - self.half + 1, end + 1
+            low, high = max(0, start - self.reach), min(len(text), end + self.reach)
+            before, after = text[low:start], text[end:high]
+            for source, left, right in around:
+                if not source < smaller_than or covered.find(0, low, high) < 0:
+                    break
+                a, b = _suffix(before, left), _prefix(after, right)
+                if a + self.half + b >= self.window:
+                    covered[start - a: end + b] = b"\1" * (a + self.half + b)
+
+
+def _prefix(a: str, b: str) -> int:
     """Length of the common prefix."""
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
         return n
-    low, high = 0, n  # a[:low] is common, a[:high] is not
-    while high - low > 1:
-        mid = (low + high) // 2
-        if a[low:mid] == b[low:mid]:
-            low = mid
-        else:
-            high = mid
-    return low
+    return next(k for k in range(n) if a[k] != b[k])
+
+
+def _suffix(a: str, b: str) -> int:
+    n = min(len(a), len(b))
+    if not n or a[-n:] == b[-n:]:
+        return n
+    return next(k for k in range(n) if a[-1 - k] != b[-1 - k])
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -196,32 +244,38 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _removed(docs: pa.Table, texts: list[list[bytes]], passages: Iterable[tuple[object, list[bytes]]], window: int) -> pa.Table:
+    """Streams the documents through automata over the passages, so many words at a time."""
+    ids = docs.column("id").to_pylist()
+    covered = [bytearray(len(t)) for t in texts]
+    held, size = [], 0
+
+    def stream():
+        if held:
+            automaton = PhraseAutomaton(held, window)
+            for words, own, cover in zip(texts, ids, covered):
+                automaton.cover(words, own, cover)
+
+    for source, words in passages:
+        if size + len(words) > AUTOMATON_WORDS:
+            stream()
+            held, size = [], 0
+        held.append((source, words))
+        size += len(words)
+    stream()
+    keep = [k for k, c in enumerate(covered) if 1 in c]
+    spans = [[{"start": m.start(), "end": m.end()} for m in _COVERED.finditer(covered[k])] for k in keep]
+    which = pa.array(keep, pa.int64())
+    return pa.table({"id": docs.column("id").take(which), "row": docs.column("row").take(which),
+                     "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))})
+
+
 def _locate(window: int):
     """Documents of a part, and the passages of its shard -> removed spans."""
     def run(docs: pa.Table, passages: pa.Table) -> pa.Table:
-        texts = [WORD.findall(t.as_py().encode()) for t in docs.column("text")]
-        ids = docs.column("id").to_pylist()
-        spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-        held, size = [], 0
-
-        def stream():
-            if held:
-                automaton = PhraseAutomaton(held, window)
-                for k, words in enumerate(texts):
-                    spans[k] += automaton.spans(words, ids[k])
-
-        for source, passage in zip(passages.column("source").to_pylist(), passages.column("passage").to_pylist()):
-            words = passage.encode().split(b" ")
-            if size + len(words) > AUTOMATON_WORDS:
-                stream()
-                held, size = [], 0
-            held.append((source, words))
-            size += len(words)
-        stream()
-        keep = [k for k, s in enumerate(spans) if s]
-        flat = [[{"start": a, "end": b} for a, b in union(spans[k])] for k in keep]
-        return pa.table({"id": docs.column("id").combine_chunks().take(pa.array(keep, pa.int64())), "row": docs.column("row").combine_chunks().take(pa.array(keep, pa.int64())),
-                         "spans": pa.array(flat, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))})
+        texts = [t.as_py().encode().split() for t in docs.column("text")]
+        found = ((s.as_py(), p.as_py().encode().split()) for s, p in zip(passages.column("source"), passages.column("passage")))
+        return _removed(docs, texts, found, window)
 
     return run
 
@@ -231,7 +285,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out, shas, removed = [], [], []
         for text, several in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            words = WORD.findall(text.encode())
+            words = text.encode().split()
             cut = union([(s["start"], s["end"]) for spans in several for s in spans])
             kept, at = [], 0
             for a, b in cut:
@@ -246,43 +300,53 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
-    """One row per row of docs: id, n_words, n_removed, kept_sha256, spans (removed words, [start, end) by word)."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    ship_package(docs.sparkSession)
+    """One row per row of docs: id, text_hash, n_words, n_removed, kept_sha256, spans (removed words, [start, end) by word)."""
+    spark = docs.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/substring-dedup-{uuid.uuid4().hex}"
+    ship_package(spark)
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
     kind = dict(base.dtypes)["id"]
     # words, digest and names of every document: read by three steps
-    profile = base.mapInArrow(_profiles(window), f"id {kind}, row long, n_words long, sha string, names array<long>").checkpoint()
-    named = profile.where("id is not null").select("id", "row", "n_words", F.explode("names").alias("name"))
+    base.mapInArrow(_profiles(window), f"id {kind}, row long, n_words long, sha string, names array<long>").write.parquet(f"{folder}/profile")
+    profile = spark.read.parquet(f"{folder}/profile")
+    named = profile.where("id is not null").select("id", F.explode("names").alias("name"))
     recurring = named.groupBy("name").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").select("name", "low")
-    met = named.join(recurring, "name").checkpoint()
-    words = met.select("id", "row", "n_words").distinct().agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    met = named.join(recurring, "name").select("id", "name", "low").checkpoint()
+    words = profile.join(met.select("id").distinct(), "id", "left_semi").agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     shards = 1 + int(words) // (PART_WORDS // 2)
-    routes = (met.withColumn("shard", F.pmod(F.xxhash64("low"), F.lit(shards)).cast("int"))
-              .groupBy("id", "row", "n_words", "shard").agg(F.collect_list("name").alias("names")).checkpoint())
-    parts = routes.groupBy("shard").agg(F.ceil(F.sum("n_words") / PART_WORDS).cast("int").alias("parts"))
-    routes = routes.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("id", "row"), "parts").cast("int"))
-
-    routed = (base.join(routes.groupBy("id", "row").agg(F.collect_list(F.struct("shard", "part", "parts", "names")).alias("to")), ["id", "row"])
-              .dropDuplicates(["id", "row"]).checkpoint())
-    placed = routed.select("id", "row", "text", F.explode("to").alias("t")).select("t.shard", "t.part", "t.names", "id", "row", "text")
-    passages = (placed.groupBy("shard", "part").applyInArrow(_passages(window), f"shard int, source {kind}, passage string")
-                .groupBy("shard", "passage").agg(F.min("source").alias("source")))
+    routes = (met.withColumn("shard", F.pmod(F.xxhash64("low"), F.lit(shards)).cast("int")).groupBy("id", "shard").agg(F.collect_list("name").alias("names")).checkpoint())
+    sized = profile.where("id is not null").groupBy("id").agg(F.sum("n_words").alias("n_words"))
+    parts = routes.select("id", "shard").join(sized, "id").groupBy("shard").agg(F.ceil(F.sum("n_words") / PART_WORDS).cast("int").alias("parts")).checkpoint()
+    routes = routes.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+
+    (base.join(routes.groupBy("id").agg(F.collect_list(F.struct("shard", "part", "parts", "names")).alias("to")), "id").write.parquet(f"{folder}/routed"))
+    routed = spark.read.parquet(f"{folder}/routed")
+    placed = routed.select("id", "row", "text", F.explode("to").alias("t")).select("t.shard", "t.part", "t.parts", "t.names", "id", "row", "text")
+    removed = f"id {kind}, row long, spans {SPANS}"
+    whole = placed.where("parts = 1").select("shard", "names", "id", "row", "text").groupBy("shard").applyInArrow(_within(window), removed)
+    # a shard of several parts: windows are added up over its parts first
+    large = placed.where("parts > 1").drop("parts")
+    windows = (large.groupBy("shard", "part").applyInArrow(_part_windows(window), f"shard int, hash long, id {kind}, row long, pos int, several boolean")
+               .groupBy("shard", "hash").agg(F.min(F.struct("id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("k"), F.max("several").alias("several"))
+               .where("k > 1 or several").groupBy("shard", "first.id", "first.row").agg(F.collect_list("first.pos").alias("positions")))
+    passages = (windows.join(routed.select("id", "row", "text").dropDuplicates(["id", "row"]), ["id", "row"]).select("shard", "id", "text", "positions")
+                .mapInArrow(_cut_passages(window), f"shard int, source {kind}, passage string").groupBy("shard", "passage").agg(F.min("source").alias("source")))
     # every part of a shard gets all its passages
     everywhere = passages.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "source", "passage")
-    located = (placed.drop("names").groupBy("shard", "part").cogroup(everywhere.groupBy("shard", "part"))
-               .applyInArrow(_locate(window), f"id {kind}, row long, spans {SPANS}"))
-    cut = (routed.select("id", "row", "text").join(located.groupBy("id", "row").agg(F.collect_list("spans").alias("spans")), ["id", "row"])
+    located = (large.drop("names").groupBy("shard", "part").cogroup(everywhere.groupBy("shard", "part")).applyInArrow(_locate(window), removed))
+    spans = whole.unionByName(located).groupBy("id", "row").agg(F.collect_list("spans").alias("spans"))
+    cut = (routed.select("id", "row", "text").dropDuplicates(["id", "row"]).join(spans, ["id", "row"])
            .mapInArrow(_kept, f"id {kind}, row long, n_removed long, sha string, spans {SPANS}").withColumnRenamed("sha", "kept_sha"))
     return (profile.join(cut, ["id", "row"], "left")
-            .select(F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
+            .select(F.col("id").alias(id_col), F.col("row").alias("text_hash"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce("kept_sha", "sha").alias("kept_sha256"), F.coalesce("spans", F.array().cast(SPANS)).alias("spans")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """docs with the words of repeated windows taken out of the text; untouched texts stay as they are."""
-    spans = repeated_spans(docs, id_col, text_col, window).where("n_removed > 0").select(F.col(id_col).alias("__id"), F.col("spans").alias("__spans"))
+    cut = (repeated_spans(docs, id_col, text_col, window).where("n_removed > 0").select(F.col(id_col).alias("__id"), "text_hash", "spans")
+           .withColumnRenamed("text_hash", "__hash").withColumnRenamed("spans", "__spans").dropDuplicates(["__id", "__hash"]))
     words = F.regexp_extract_all(F.col(text_col), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
     kept = F.filter(F.transform(words, lambda w, i: F.when(~F.exists("__spans", lambda s: (s["start"] <= i) & (i < s["end"])), w)), lambda w: w.isNotNull())
-    joined = docs.join(spans.dropDuplicates(["__id"]), F.col(id_col) == F.col("__id"), "left")
+    joined = docs.join(cut, (F.col(id_col) == F.col("__id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__hash")), "left")
     return joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(kept, " "))).select(*docs.columns)
