@@ -10,14 +10,17 @@ distinct n-word shingles (64-bit hashes; ASCII letters lower-cased).
    first |A| - ceil(percent |A|) + 1 shingles in that order; a shingle of these
    prefixes is a tile.  A tile of a frequent shingle is dealt out by its count.
    The order only decides how even the tiles are, never which links are found.
-3. Every node of a tile is compared with the tile's pivot; verified links give
-   first components.  A large group of near copies is a star here, not pairs.
+3. Each set has a bitmap of hashed shingles: a bit that only one side has set
+   proves a shingle that the other lacks, so bit counts bound the overlap from
+   above.  Every node of a tile meets the tile's pivot; of the pivots that its
+   bitmap allows it is compared with the likeliest, by intersecting the sorted
+   arrays.  The links give first components: a large group of near copies is a
+   star here, not pairs.
 4. What is left are pairs across components inside a tile.  Tiles are cut into
    size bands (partners differ by at most `percent` in size) and, where they are
-   large, into blocks.  Each set has a bitmap of hashed shingles: a bit that only
-   one side has set proves a shingle that the other lacks, so bit counts bound
-   the overlap from above.  Pairs that survive are verified by intersecting the
-   sorted arrays, and components are closed again.
+   large, into blocks.  In some rounds every node is compared with its likeliest
+   partner of another component, which joins the large groups; the last round
+   compares all pairs across components that the bitmaps still allow.
 
 Defined results: null and empty texts have an empty set and link with nothing;
 fewer than n words give one shingle of all words; repeated rows are copies; null
@@ -26,6 +29,7 @@ ids take part but never name a component that has another id.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,8 +44,8 @@ from vitrine.session import ensure_checkpoint_dir
 
 #: the order's list of frequent shingles: at most so many, seen so often within so many shingles
 FREQUENT, FREQUENT_IN_CHUNK, CHUNK = 1 << 16, 8, 1 << 22
-#: rows of a tile that meet in one comparison
-TILE_ROWS = 2048
+#: rows of a tile that meet in one comparison; rounds of likeliest pairs across components before the one over all pairs
+TILE_ROWS, ROUNDS = 2048, 1
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -108,34 +112,38 @@ def _prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarr
     return s[pick], count[pick]
 
 
-def _tile_rows(frequent: np.ndarray, n: int, percent: int):
-    """Documents -> (id, node, size, tiles): tiles only at a node's first document in a partition."""
-    kind = pa.list_(pa.struct([("tile", pa.int64()), ("part", pa.int32())]))
-
+def _members(frequent: np.ndarray, n: int, percent: int):
+    """Documents -> (id, node, size); bitmap, tiles and their parts (arrays as bytes) at a node's first document in a partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[tuple[int, int]] = set()
         for batch in batches:
-            nodes, sizes, offsets, tiles, parts = [], [], [0], [], []
+            out = {"node": [], "size": [], "bits": [], "tiles": [], "parts": []}
             for s in _sets(batch.column("text"), n):
-                node = _node(s)
-                nodes.append(node)
-                sizes.append(len(s))
-                total = offsets[-1]
+                node, row = _node(s), (None, None, None)
                 if len(s) and (node, len(s)) not in met:
                     met.add((node, len(s)))
                     h, c = _prefix(s, frequent, percent)
-                    tiles.append(h.view(np.int64))
-                    parts.append((abs(node) % (1 + c // TILE_ROWS)).astype(np.int32))
-                    total += len(h)
-                offsets.append(total)
-            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(tiles) if tiles else np.empty(0, np.int64)),
-                                               pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32))], ["tile", "part"])
-            yield pa.record_batch([batch.column("id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
-                                   pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat).cast(kind)], ["id", "node", "size", "tiles"])
+                    row = (_bits(s), h.tobytes(), (abs(node) % (1 + c // TILE_ROWS)).astype(np.int32).tobytes())
+                for name, x in zip(out, (node, len(s), *row)):
+                    out[name].append(x)
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.record_batch([batch.column("id"), *(pa.array(x, k) for x, k in zip(out.values(), kinds))], ["id", *out])
 
     return run
 
 
+def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, size, tiles, parts) -> one row for each tile."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            piece = batch.slice(at, 1000)
+            tiles = [np.frombuffer(x, np.int64) for x in piece.column("tiles").to_pylist()]
+            parts = [np.frombuffer(x, np.int32) for x in piece.column("parts").to_pylist()]
+            count = np.array([len(t) for t in tiles])
+            yield pa.record_batch({"tile": np.concatenate(tiles), "part": np.concatenate(parts), "node": np.repeat(piece.column("node").to_numpy(), count),
+                                   "size": np.repeat(piece.column("size").to_numpy(), count)})
+
+
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (tile, part, node) -> those of tiles with two or more nodes, with the first node as pivot.
 
@@ -166,15 +174,27 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (t[-1], p[-1], pivot[-1], psize[-1])
 
 
-def _bits(s: np.ndarray, width: int) -> np.ndarray:
-    """Bitmap of `width` bits (a power of two) of a set, as bytes."""
-    out = np.zeros(width, np.uint8)
-    out[(s & np.uint64(width - 1)).astype(np.int64)] = 1
-    return np.packbits(out)
+def _bits(s: np.ndarray) -> bytes:
+    """Bitmap of the set's shingles by their low bits; four to eight bits for each, a power of two."""
+    out = np.zeros(1 << max(9, int(4 * len(s)).bit_length()), np.uint8)
+    out[(s & np.uint64(len(out) - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").tobytes()
 
 
-def _width(size: int) -> int:
-    return 1 << max(8, int(2 * size).bit_length())
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    """The bitmap of the same set with `width` bytes (a power of two, not more than it has)."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) * 8 > width:
+        x = x[: len(x) // 2] | x[len(x) // 2:]
+    return x
+
+
+def _may_link(size: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bound of the overlap of a set with others (rows of bitmaps), and whether it allows a link."""
+    mine = np.bitwise_count(bits & ~others).sum(axis=1).astype(np.int64)
+    theirs = np.bitwise_count(others & ~bits).sum(axis=1).astype(np.int64)
+    common = np.minimum(size - mine, sizes - theirs)  # each bit that one side alone has is a shingle that the other lacks
+    return common, 100 * common >= percent * (size + sizes - common)
 
 
 def _set_rows(n: int):
@@ -208,95 +228,143 @@ def _verify(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (node, size, other, other_size) -> the linked ones (node, other)."""
+def size_checked(table: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A broadcast hint for a stored table of at most `rows` short rows; a shuffled join beyond."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
+def _links(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+    """pairs (node, size, other, other_size; stored) -> the linked ones (node, other): the sets of these nodes only are made again."""
+    both = pairs.select("node", "size").unionByName(pairs.select(F.col("other").alias("node"), F.col("other_size").alias("size"))).distinct()
+    one = nodes.join(both, ["node", "size"], "left_semi").groupBy("node", "size").agg(F.min("id").alias("id")).select("id").where("id is not null").checkpoint()
+    texts = base.join(size_checked(one), "id", "left_semi").unionByName(base.where("id is null"))
+    sets = texts.mapInArrow(_set_rows(n), "node long, size int, shingles binary").join(both, ["node", "size"], "left_semi").dropDuplicates(["node", "size"])
     other = sets.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("shingles").alias("other_shingles"))
     return (pairs.join(sets, ["node", "size"]).join(other, ["other", "other_size"])
             .select("node", "other", "shingles", "other_shingles").mapInArrow(_verify(percent), "node long, other long"))
 
 
-def _across(percent: int):
-    """One block of a banded tile -> pairs across components whose bitmaps allow a link.
+def _bounded(percent: int):
+    """(node, size, bits, other, other_size, other_bits) -> pairs whose bitmaps allow a link, with the bound of their similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, bound = [], []
+            for k, (a, x, b, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size", "bits", "other_size", "other_bits")))):
+                width = min(len(x), len(y))
+                common, ok = _may_link(a, _folded(x, width), np.array([b]), _folded(y, width)[None, :], percent)
+                if ok[0]:
+                    keep.append(k)
+                    bound.append(float(common[0] / (a + b - common[0])))
+            out = batch.select(["node", "size", "other", "other_size"]).take(pa.array(keep, pa.int64()))
+            yield pa.record_batch([*out.columns, pa.array(bound, pa.float64())], [*out.schema.names, "bound"])
+
+    return run
 
-    Rows: minor (of another component than the tile's pivot) or not; pairs are
+
+def _across(percent: int, best: bool):
+    """One block of a banded tile -> pairs across components whose bitmaps allow a link, with their bound.
+
+    Rows: minor (of another component than most of the tile) or not; pairs are
     minor against all others, minor pairs among themselves in block 0 only.
+    best: of every minor node its likeliest pair; else all pairs, each only in
+    the smallest tile that both nodes have.
     """
-    def run(table: pa.Table) -> pa.Table:
-        node, size, comp = (table.column(c).to_numpy() for c in ("node", "size", "component"))
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        node, comp = table.column("node").to_numpy(), table.column("component").to_numpy()
+        size = table.column("size").to_numpy().astype(np.int64)
         minor, block, own = (table.column(c).to_numpy(zero_copy_only=False) for c in ("minor", "block", "own"))
-        width = _width(int(size.max()))
-        bits = np.array([_bits(np.frombuffer(x, np.uint64), width) for x in table.column("shingles").to_pylist()])
-        words = bits.view(np.uint64)
+        raw = table.column("bits").to_pylist()
+        width = min(map(len, raw))
+        words = np.stack([_folded(x, width) for x in raw])
+        tile = key[0].as_py()
+        tiles = None if best else [np.sort(np.frombuffer(x, np.int64)) for x in table.column("tiles").to_pylist()]
         out = []
         for i in np.flatnonzero(minor).tolist():
             rest = np.flatnonzero((comp != comp[i]) & (own | own[i]) & (~minor | ((block == 0) & (np.arange(len(node)) > i)))
                                   & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+            top = None
             for at in range(0, len(rest), 4096):
                 r = rest[at: at + 4096]
-                only_i = np.bitwise_count(words[i] & ~words[r]).sum(axis=1).astype(np.int64)
-                only_r = np.bitwise_count(words[r] & ~words[i]).sum(axis=1).astype(np.int64)
-                common = np.minimum(size[i] - only_i, size[r] - only_r)  # at most
-                out += [(i, k) for k in r[100 * common >= percent * (size[i] + size[r] - common)].tolist()]
-        a, b = np.array(out, np.int64).reshape(-1, 2).T
-        return pa.table({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32)})
+                common, ok = _may_link(int(size[i]), words[i], size[r], words[r], percent)
+                r, bound = r[ok], (common / (size[i] + size[r] - common))[ok]
+                if best and len(r) and (top is None or bound.max() > top[2]):
+                    top = (i, int(r[bound.argmax()]), float(bound.max()))
+                elif not best:
+                    out += [(i, k, b) for k, b in zip(r.tolist(), bound.tolist()) if np.intersect1d(tiles[i], tiles[k], assume_unique=True)[0] == tile]
+            if top:
+                out.append(top)
+        a, b = np.array([x[0] for x in out], np.int64), np.array([x[1] for x in out], np.int64)
+        return pa.table({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32), "bound": np.array([x[2] for x in out], float)})
 
     return run
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: id, n_shingles, component_id (smallest id reachable by links, its own included)."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark)}/ngram-join-{uuid.uuid4().hex}"
+    ship_package(spark)
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    frequent = frequent_shingles(base, n)
-    id_type = dict(base.dtypes)["id"]
-    rows = base.mapInArrow(_tile_rows(frequent, n, percent), f"id {id_type}, node long, size int, tiles array<struct<tile:long,part:int>>")
-    tiles = rows.select("node", "size", F.explode("tiles").alias("t")).select("t.tile", "t.part", "node", "size")
-    member = base.mapInArrow(_tile_rows(np.empty((2, 0), np.int64), n, 100), f"id {id_type}, node long, size int, tiles array<struct<tile:long,part:int>>")
+    base.mapInArrow(_members(frequent_shingles(base, n), n, percent), f"id {dict(base.dtypes)['id']}, node long, size int, bits binary, tiles binary, parts binary").write.parquet(f"{folder}/nodes")
+    stored = spark.read.parquet(f"{folder}/nodes")
+    nodes = stored.select("id", "node", "size")
+    tiles = stored.where("tiles is not null").select("node", "size", "tiles", "parts").mapInArrow(_tile_rows, "tile long, part int, node long, size int")
     # tiles with two nodes or more
-    open_tiles = (tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "node", "size")
-                  .mapInArrow(_pivots, "tile long, part int, node long, size int, pivot long, pivot_size int").checkpoint())
-    nodes = member.drop("tiles").checkpoint()
-
-    # the shingles of every node that meets another one, once per node
-    met = (open_tiles.select("node", "size").unionByName(open_tiles.select(F.col("pivot").alias("node"), F.col("pivot_size").alias("size"))).distinct())
-    one = nodes.join(met, ["node", "size"], "left_semi").groupBy("node", "size").agg(F.min("id").alias("id")).where("id is not null")
-    texts = base.join(one.select("id"), "id", "left_semi").unionByName(base.where("id is null"))
-    sets = (texts.mapInArrow(_set_rows(n), "node long, size int, shingles binary")
-            .dropDuplicates(["node", "size"]).checkpoint())
-
-    fits = "100L * least(size, other_size) >= {0} * greatest(size, other_size)".format(percent)
+    (tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "node", "size")
+     .mapInArrow(_pivots, "tile long, part int, node long, size int, pivot long, pivot_size int").write.parquet(f"{folder}/tiles"))
+    open_tiles = spark.read.parquet(f"{folder}/tiles")
+    pivot = open_tiles.select("tile", F.col("pivot").alias("node"), F.col("pivot_size").alias("size"))
+    met = open_tiles.select("tile", "node", "size").unionByName(pivot)
+    (stored.where("bits is not null").join(met.select("node", "size").distinct(), ["node", "size"], "left_semi").select("node", "size", "bits", "tiles")
+     .dropDuplicates(["node", "size"]).write.parquet(f"{folder}/signatures"))
+    signatures = spark.read.parquet(f"{folder}/signatures")
+    bits = signatures.select("node", "size", "bits")
+
+    fits = f"100L * least(size, other_size) >= {percent} * greatest(size, other_size)"
     star = open_tiles.select("node", "size", F.col("pivot").alias("other"), F.col("pivot_size").alias("other_size"))
     # the pivots of a tile that was dealt out meet the smallest of them
     heads = open_tiles.groupBy("tile", "part").agg(F.min(F.struct("pivot", "pivot_size")).alias("h")).select("tile", "h.pivot", "h.pivot_size")
     top = heads.groupBy("tile").agg(F.min(F.struct("pivot", "pivot_size")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = star.unionByName(heads.join(top, "tile").select(F.col("pivot").alias("node"), F.col("pivot_size").alias("size"),
                                                            F.col("m.pivot").alias("other"), F.col("m.pivot_size").alias("other_size"))).where("node <> other")
-    first = _links(star.where(fits).distinct(), sets, percent).checkpoint()
+    other_bits = bits.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("bits").alias("other_bits"))
+    allowed = (star.where(fits).distinct().join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
+               .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double"))
+    # the likeliest pivot of every node; the other pairs come below where they still matter
+    likely = (allowed.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b"))
+              .select("node", "size", "b.other", "b.other_size").checkpoint())
+    first = _links(likely, base, nodes, n, percent).checkpoint()
     found = connected_components(first.toDF("a", "b"))
 
-    # pairs across first components
-    every = (open_tiles.select("tile", "node", "size").unionByName(open_tiles.select("tile", F.col("pivot").alias("node"), F.col("pivot_size").alias("size")))
-             .distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).checkpoint())
-    mixed = (every.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("tile")
-             .agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("rows"), F.max(F.struct("k", "component")).alias("major"))
-             .where("components > 1").withColumn("major", F.col("major.component")))
-    ratio = float(np.log(100 / percent))
-    left = (every.join(mixed.select("tile", "rows", "major"), "tile").withColumn("minor", F.col("component") != F.col("major"))
-            .withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
-            .withColumn("block", F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "blocks").cast("int"))))
-            .withColumn("block", F.explode("block")).withColumn("band", F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int"))
-            # a band's sets meet each other (own) and the larger ones of the next band
-            .withColumn("b", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
-                                               F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))))
-            .select("tile", F.col("b.band").alias("band"), F.col("b.own").alias("own"), "block", "minor", "node", "size", "component"))
-    alone = left.groupBy("tile", "band", "block").agg(F.max("own").alias("any_own"), F.max("minor").alias("any_minor"), F.count(F.lit(1)).alias("k")).where("any_own and any_minor and k > 1")
-    pairs = (left.join(alone.select("tile", "band", "block"), ["tile", "band", "block"]).join(sets, ["node", "size"])
-             .groupBy("tile", "band", "block").applyInArrow(_across(percent), "node long, size int, other long, other_size int").distinct())
-    second = _links(pairs, sets, percent)
-    final = connected_components(first.unionByName(second).toDF("a", "b"))
-
-    named = nodes.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # rounds over the likeliest pairs across components, then one over all that are left
+    links, ratio = first, float(np.log(100 / percent))
+    for best in [True] * ROUNDS + [False]:
+        every = met.distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).checkpoint()
+        mixed = (every.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("tile")
+                 .agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("rows"), F.max(F.struct("k", "component")).alias("major"))
+                 .where("components > 1").select("tile", "rows", F.col("major.component").alias("major")))
+        left = (every.join(mixed, "tile").withColumn("minor", F.col("component") != F.col("major"))
+                .withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
+                .withColumn("block", F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "blocks").cast("int"))))
+                .withColumn("block", F.explode("block")).withColumn("band", F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int"))
+                # a band's sets meet each other (own) and the larger ones of the next band
+                .withColumn("b", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
+                                                   F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))))
+                .select("tile", F.col("b.band").alias("band"), F.col("b.own").alias("own"), "block", "minor", "node", "size", "component"))
+        alive = left.groupBy("tile", "band", "block").agg(F.max("own").alias("any_own"), F.max("minor").alias("any_minor"), F.count(F.lit(1)).alias("k")).where("any_own and any_minor and k > 1")
+        signed = bits if best else signatures
+        pairs = (left.join(alive.select("tile", "band", "block"), ["tile", "band", "block"]).join(signed, ["node", "size"]).groupBy("tile", "band", "block")
+                 .applyInArrow(_across(percent, best), "node long, size int, other long, other_size int, bound double"))
+        if best:
+            pairs = pairs.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b")).select("node", "size", "b.other", "b.other_size")
+        pairs = pairs.drop("bound").distinct().checkpoint()
+        new = _links(pairs, base, nodes, n, percent).checkpoint()
+        if best and new.limit(1).count() == 0:
+            continue
+        links = links.unionByName(new)
+        found = connected_components(links.toDF("a", "b"))
+
+    named = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.where("size > 0").groupBy("component").agg(F.min("id").alias("smallest"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     return (named.join(smallest, "component", "left")
             .select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"),
