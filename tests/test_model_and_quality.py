@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.pricing import effective_price
 from vitrine.operators import marts
-from vitrine.operators.quality import Check, check_violations
+from vitrine.operators.quality import Check, dq_report
 from vitrine.operators.surrogate import ordered_sequence_id
 from vitrine.sources.ingest import ingest_batch_log, scratch_dir, write_csv
 
@@ -48,10 +48,11 @@ def test_quality_checks_find_seeded_violations(spark):
     parent = spark.createDataFrame([("a",), ("b",)], "id string")
     child = spark.createDataFrame([("x", "a"), ("x", "b"), (None, "z"), ("y", None)], "id string, ref string")
     models = {"child": child, "parent": parent}
-    got = {c.test: check_violations(models, c).collect()[0].violations for c in [
-        Check("child", "id", "unique"), Check("child", "id", "not_null"),
-        Check("child", "ref", "relationships", "parent", "id")]}
-    assert got == {"unique": 1, "not_null": 1, "relationships": 1}
+    checks = [Check("child", "id", "unique"), Check("child", "id", "not_null"),
+              Check("child", "ref", "relationships", "parent", "id"), Check("parent", "id", "unique")]
+    got = {(r.model, r.test): r.violations for r in dq_report(models, checks).collect()}
+    assert got == {("child", "unique"): 1, ("child", "not_null"): 1, ("child", "relationships"): 1, ("parent", "unique"): 0}
+    assert [r.violations for r in dq_report({"child": child.limit(0), "parent": parent}, checks, test="not_null").collect()] == [0]
 
 
 def test_batch_log_keeps_going_after_a_failure(spark):
@@ -63,14 +64,24 @@ def test_batch_log_keeps_going_after_a_failure(spark):
     assert got == {"good": ("success", 1), "missing": ("failed", 0)}
 
 
-def test_bucketing_only_for_balanced_keys(spark):
-    from vitrine.daily import is_balanced
+def test_prices_are_rounded_once(spark):
+    """A thousand units at 1.005 and a thousand at 2.004 make 3009.00: prices are not rounded before the sum."""
+    from vitrine.functions.pricing import money, price, round_money
 
-    even = spark.range(0, 400_000).select((F.col("id") % 50_000).cast("string").alias("k"))
-    hot = spark.range(0, 400_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50_000).cast("string")).alias("k"))
-    assert is_balanced(even, "k", 16)
-    assert not is_balanced(hot, "k", 16)
+    df = spark.createDataFrame([(1000, 1.005), (1000, 2.004)], "qty long, prix double")
+    assert df.agg(round_money(F.sum(money(F.col("qty"), price(F.col("prix")))))).first()[0] == 3009.0
+
+
+def test_layout_is_the_callers_choice(spark):
+    from vitrine.daily import database_of, materialize_staging
+
+    df = spark.createDataFrame([("C1", 1), ("C2", 2)], "id_commande string, quantite long")
+    for bucketed in (True, False):
+        root = scratch_dir(spark, "test-layout")
+        out = materialize_staging(spark, {"stg_details_commandes": df}, root, buckets=2, bucketed=bucketed)
+        assert sorted(tuple(r) for r in out["stg_details_commandes"].collect()) == [("C1", 1), ("C2", 2)]
+        described = spark.sql(f"DESCRIBE EXTENDED {database_of(root)}.stg_details_commandes").collect()
+        assert any(r.col_name == "Num Buckets" for r in described) == bucketed
 
 
 def test_promo_match_in_window_keeps_units(spark):
