@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.shipping import ship_package
 
 #: characters encoded together, words kept by a worker, words per recursive query, bytes of a long word, tokens decoded together
-BLOCK, CACHE, QUERY_WORDS, LONG, DECODE = 3 << 20, 400_000, 40_000, 64, 1 << 20
+BLOCK, CACHE, QUERY_WORDS, LONG, DECODE = 1 << 20, 150_000, 8_000, 64, 1 << 18
 
 CONTRACT = """
 with recursive steps(step, word, pos, token, next, next_pos) as (
@@ -96,15 +96,28 @@ class BytePairs:
         import duckdb
         import regex
 
-        self.ranks = ranks = read_ranks(lines)
+        self.ranks = read_ranks(lines)
         self.split = regex.compile(pattern).findall
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB"})
+        self.known: dict[str, bytes] = {}
+        self.tables: set[str] = set()
+
+    def _merge_table(self) -> None:
+        """Pairs of tokens whose bytes together are a token; made where a worker encodes."""
+        if "merges" in self.tables:
+            return
+        ranks = self.ranks
         merges = [(l, r, m) for token, m in ranks.items() for i in range(1, len(token))
                   if (l := ranks.get(token[:i])) is not None and (r := ranks.get(token[i:])) is not None]
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "600MB"})
         self._table("merges", dict(zip("l r rank".split(), (pa.array(x, pa.int32()) for x in zip(*merges)))))
-        self._table("vocabulary", {"token": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
-        self.known: dict[str, bytes] = {}
+        self.tables.add("merges")
+
+    def _vocabulary_table(self) -> None:
+        """Token and its bytes; made where a worker decodes."""
+        if "vocabulary" not in self.tables:
+            self._table("vocabulary", {"token": pa.array(list(self.ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in self.ranks])})
+            self.tables.add("vocabulary")
 
     def _table(self, name: str, columns: dict) -> None:
         rows = pa.table(columns)
@@ -126,6 +139,7 @@ class BytePairs:
 
     def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian 32 bit) of non-empty words, by recursive contraction."""
+        self._merge_table()
         out: list[bytes] = [b""] * len(words)
         one = [k for k, w in enumerate(words) if len(w) <= LONG]
         for at in range(0, len(one), QUERY_WORDS):
@@ -160,6 +174,7 @@ class BytePairs:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each list of ids."""
+        self._vocabulary_table()
         counts = np.array([len(x) // 4 for x in ids])
         tokens = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
