@@ -68,6 +68,15 @@ def test_near_components_with_small_tiles_and_no_order(spark, docs, rows, monkey
     assert _near(spark, docs) == want
 
 
+def test_near_copies_of_a_text_with_thousands_of_copies(spark):
+    """Every shared tile is dealt out to three parts by its copies, and most nodes are alone in theirs."""
+    w = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join(w), "en", "s") for k in range(100, 100 + 2 * ngram_join.TILE_ROWS + 4)]
+    rows += [(k, " ".join(w[: 79 - k] + [f"edit{k}"]), "en", "s") for k in range(6)]
+    assert {ngram_join._node(s) % 3 for s in ngram_join.shingle_sets([r[1] for r in rows[-7:]])} == {0, 1, 2}
+    assert set(_near(spark, frame(spark, rows)).values()) == {0}
+
+
 def test_links_of_a_chain_join_one_component(spark):
     """Neighbours link, the ends don't: still one component; sizes at the exact threshold link."""
     w = [f"w{k}" for k in range(130)]

@@ -112,6 +112,12 @@ def _prefix(s: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarr
     return s[pick], count[pick]
 
 
+def _parts(node: int, count: np.ndarray) -> np.ndarray:
+    """Part of each of a node's tiles by how often its shingle occurs; -1 for a tile that is not dealt out."""
+    parts = 1 + count // TILE_ROWS
+    return np.where(parts > 1, abs(node) % parts, -1).astype(np.int32)
+
+
 def _members(frequent: np.ndarray, n: int, percent: int):
     """Documents -> (id, node, size); bitmap, tiles and their parts (arrays as bytes) at a node's first document in a partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +129,7 @@ def _members(frequent: np.ndarray, n: int, percent: int):
                 if len(s) and (node, len(s)) not in met:
                     met.add((node, len(s)))
                     h, c = _prefix(s, frequent, percent)
-                    row = (_bits(s), h.tobytes(), (abs(node) % (1 + c // TILE_ROWS)).astype(np.int32).tobytes())
+                    row = (_bits(s), h.tobytes(), _parts(node, c).tobytes())
                 for name, x in zip(out, (node, len(s), *row)):
                     out[name].append(x)
             kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
@@ -147,7 +153,9 @@ def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (tile, part, node) -> those of tiles with two or more nodes, with the first node as pivot.
 
-    Streams: the state is the last row.
+    Of a tile that was dealt out the pivots have rows too, as their own pivot: a
+    node alone in its part still meets the other parts.  Streams: the state is
+    the last row.
     """
     names = ["tile", "part", "node", "size"]
     last = None  # the tile that is open: key, pivot, whether the pivot's own row is out
@@ -169,7 +177,7 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # copies of a node from several partitions are neighbours: one row is enough
         again = np.zeros(len(t), bool)
         again[1:] = (v[1:] == v[:-1]) & (s[1:] == s[:-1]) & ~new[1:]
-        keep = np.flatnonzero(other & ~again)
+        keep = np.flatnonzero((other & ~again) | (new & (p >= 0)))
         yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, pivot, psize)], ["tile", "part", "node", "size", "pivot", "pivot_size"])
         last = (t[-1], p[-1], pivot[-1], psize[-1])
 
