@@ -211,3 +211,30 @@ def test_tails_of_one_bare_value_score_like_the_literals():
     got = assignment_secrets._tail_weights(text, starts, len(text))
     assert {k: round(v, 9) for k, v in got.items()} == {k: round(assignment_secrets.literal_weight(text[k:]), 9) for k in starts}
     assert len(assignment_secrets.findings("token=" * 30_000)) > 0
+
+
+def test_gains_of_moves_are_differences_of_the_likelihood():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 6, (9, 9))  # 7 words, open, end
+    cls = np.array([0, 1, 2, 0, 1, 2, 3, 3, 4])  # word 6 is still in the open class
+    matrix = lambda c: np.array([[counts[np.ix_(c == x, c == y)].sum() for y in range(5)] for x in range(5)])
+    cells = [(w, s * 5 + d, int(sum(m[w, x] for x in range(9) if x != w and cls[x] == d))) for w in range(7) for s, m in enumerate((counts, counts.T)) for d in range(5)]
+    cells = [c for c in cells + [(w, 10, int(counts[w, w])) for w in range(7)] if c[2]]
+    gain = class_lm.move_gains(matrix(cls), cls[:7], *np.array(cells).T)
+    for w in range(7):
+        want = [class_lm.likelihood(matrix(np.where(np.arange(9) == w, c, cls))) for c in range(3)]
+        assert np.allclose(gain[w] - gain[w, 0], np.array(want) - want[0])
+
+
+def test_words_beyond_the_most_frequent_have_classes(spark):
+    """Rare words alternate between two kinds; with only the frequent words clustered a swapped order scored the same."""
+    import random
+
+    rng = random.Random(4)
+    a, b = [f"a{k}" for k in range(60)], [f"b{k}" for k in range(60)]
+    train = [(k, " ".join(x for _ in range(12) for x in ("le", rng.choice(a), "zu", rng.choice(b), rng.choice(a), rng.choice(b)))) for k in range(40)]
+    tests = [(100, "a1 b2 a3 b4 a5 b6"), (101, "a1 a3 a5 b2 b4 b6")]
+    docs = spark.createDataFrame(train + tests, "doc_id long, text string")
+    got = {r.doc_id: r for r in class_lm.score(docs, out=F.col("doc_id") >= 100, vocabulary=4, classes=4).collect()}
+    assert abs(got[100].base_score - got[101].base_score) < 1e-9
+    assert got[100].score > got[101].score + 1

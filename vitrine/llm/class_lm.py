@@ -3,17 +3,21 @@
 p(w_i | w_{i-1}) = p(class_i | class_{i-1}) * p(w_i | class_i).
 
 * Counts: documents are dealt into blocks of about BLOCK_BYTES by a hash of the
-  id; every block lists its distinct words with their training counts, one shuffle
-  by word adds them up over the corpus, and each block gets back the counts of
-  its own words as numbers.  No vocabulary is ever broadcast or collected.
-* Classes: the `vocabulary` most frequent training words are assigned to
-  `classes` classes by exchange clustering (a word moves to the class that raises
-  the class-bigram likelihood most, until a sweep moves none), over bigram counts
-  of the whole training corpus; the matrix is bounded by vocabulary + 2 squared.
-  All other words share one open class, the end of a text is a class by itself.
+  id; every block numbers its distinct words and keeps its texts as numbers.  One
+  shuffle by word adds the training counts up over the corpus, and each block
+  gets back the counts of its own words.  No vocabulary is ever broadcast or
+  collected.
+* Classes: every training word has one of `classes` classes.  The `vocabulary`
+  most frequent words only seed them, by exchange clustering on the driver.  Then
+  exchange sweeps run over all words as jobs: each block counts its words'
+  neighbours by class, the counts meet by word, and every word takes the class
+  that raises the class-bigram likelihood most, all against one matrix of classes
+  by classes.  Moves of a sweep are made together; a sweep that lowers the
+  likelihood is taken back.  The end of a text is a class by itself, and a word
+  that was never seen is in an open class.
 * Probabilities: class transitions are interpolated with the class unigram,
   emissions are additive over the class's words; the open class keeps one share
-  for a word that was never seen.
+  for a word that was never seen.  Words are joined by 64-bit hashes.
 
 The base score is the additive unigram model of the same counts.  Everything that
 is counted covers all training documents and grows with them.  Defined results:
@@ -24,15 +28,17 @@ repeated rows repeat their result and count twice.
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from vitrine.llm.shipping import ship_package
 from vitrine.session import ensure_checkpoint_dir
@@ -51,16 +57,148 @@ def held_out(id_: Column, folds: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(id_.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def _block_words(key: tuple, table: pa.Table) -> pa.Table:
-    """A block's distinct words in order, with their counts in its training texts."""
-    train: Counter[bytes] = Counter()
-    other: set[bytes] = set()
-    for text, out in zip(table.column("text"), table.column("held_out").to_pylist()):
-        (other if out else train).update(tokens(text.as_py()))
-    words = sorted(train.keys() | other)
-    n = len(words)
-    return pa.table({"block": pa.array(np.full(n, key[0].as_py(), np.int32)), "place": pa.array(np.arange(n, dtype=np.int32)), "word": pa.array(words, pa.binary()),
-                     "n": pa.array(np.fromiter(map(train.get, words, repeat(0)), np.int64, n))})
+def _packed(codes: np.ndarray) -> bytes:
+    """Numbers as two planes of 16 bits: the upper one is mostly zeros and compresses well."""
+    return codes.astype(np.uint16).tobytes() + (codes >> 16).astype(np.uint16).tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    low, high = np.frombuffer(raw, np.uint16).reshape(2, -1).astype(np.int64)
+    return low | high << 16
+
+
+def _encode(id_type: pa.DataType):
+    """A block -> a row for each document (texts as places of words), then one for each distinct word with its count in training texts."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        codes, train = [], []
+        for text, out in zip(table.column("text"), table.column("held_out").to_pylist()):
+            words = tokens(text.as_py())
+            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            codes.append(_packed(at))
+            if not out:
+                train.append(at.astype(np.int32))
+        n, docs = len(number), len(codes)
+        counts = np.bincount(np.concatenate(train), minlength=n) if train else np.zeros(n, np.int64)
+        none = lambda k, kind: pa.nulls(k, kind)
+        block = key[0].as_py()
+        d = pa.table({"block": pa.array(np.full(docs, block, np.int32)), "id": table.column("id"), "held_out": table.column("held_out"), "codes": pa.array(codes, pa.binary()),
+                      "place": none(docs, pa.int32()), "word": none(docs, pa.binary()), "n": none(docs, pa.int64())})
+        w = pa.table({"block": pa.array(np.full(n, block, np.int32)), "id": none(n, id_type), "held_out": none(n, pa.bool_()), "codes": none(n, pa.binary()),
+                      "place": pa.array(np.arange(n, dtype=np.int32)), "word": pa.array(list(number), pa.binary()), "n": pa.array(counts.astype(np.int64))})
+        return pa.concat_tables([d.cast(w.schema), w])
+
+    return run
+
+
+def _neighbours(size: int, words: bool):
+    """A block's training texts, and (place, key, class) of its words -> counts of neighbours by class.
+
+    words: for each word (key) and code: the class on its right, size + the class
+    on its left, 2 * size for the word itself; else (key null) the block's matrix
+    of classes by classes.  The last class is the end, the one before it open.
+    """
+    def run(docs: pa.Table, placed: pa.Table) -> pa.Table:
+        place, n = placed.column("place").to_numpy(), placed.num_rows
+        row = np.full(int(place.max()) + 2 if n else 1, n)  # the last one stands for the end
+        row[place] = np.arange(n)
+        cls = np.append(placed.column("class").to_numpy().astype(np.int64), size - 1)
+        codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        matrix = np.zeros(size * size, np.int64)
+
+        def added(held):
+            code, back = np.unique(np.concatenate([codes, *(h for h in held)]), return_inverse=True)
+            return code, np.bincount(back, np.concatenate([counts, np.ones(len(back) - len(counts), np.int64)])).astype(np.int64)
+
+        held, waiting = [], 0
+        for raw in docs.column("codes"):
+            at = np.concatenate([[len(row) - 1], _unpacked(raw.as_py()), [len(row) - 1]])
+            a, b = row[at[:-1]], row[at[1:]]
+            if not words:
+                code, k = np.unique(cls[a] * size + cls[b], return_counts=True)
+                matrix[code] += k
+                continue
+            same = (a == b) & (a < n)
+            right, left = (a < n) & ~same, (b < n) & ~same
+            width = 2 * size + 1
+            held += [a[right] * width + cls[b[right]], b[left] * width + size + cls[a[left]], a[same] * width + 2 * size]
+            waiting += 2 * len(a)
+            if waiting > 4_000_000:
+                codes, counts = added(held)
+                held, waiting = [], 0
+        if not words:
+            code = np.flatnonzero(matrix)
+            return pa.table({"key": pa.nulls(len(code), pa.int64()), "code": pa.array(code.astype(np.int32)), "n": pa.array(matrix[code])})
+        codes, counts = added(held)
+        keys = placed.column("key").to_numpy()
+        return pa.table({"key": pa.array(keys[codes // (2 * size + 1)]), "code": pa.array((codes % (2 * size + 1)).astype(np.int32)), "n": pa.array(counts)})
+
+    return run
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def move_gains(big: np.ndarray, cls: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(words, classes) likelihood gained by each word in each class, against its being left out.
+
+    big: matrix of classes by classes, the last two (open, end) take no words; cls: the
+    words' classes; (word, code, n): their neighbours as _neighbours counts them.
+    """
+    size, k, many = len(big), len(big) - 2, len(cls)
+    side, other = code // size, code % size
+    both = np.zeros((3, many, size))
+    both[side, word, other] = n
+    (right, left), own = both[:2], both[2, :, 0]
+    inside = cls < k  # words that have a class to be taken out of
+    at, w = cls[inside], np.flatnonzero(inside)
+    gain = np.zeros((many, k))
+    for mine, theirs, table in ((right, left, big), (left, right, big.T)):
+        i, d = np.nonzero(mine)
+        for start in range(0, len(i), 20_000):
+            p, q = i[start: start + 20_000], d[start: start + 20_000]
+            x = table[:k, q].T.astype(float)
+            meets = q == cls[p]
+            x[meets] -= theirs[p[meets], :k]
+            r = np.flatnonzero(inside[p])
+            x[r, cls[p[r]]] -= mine[p[r], q[r]] + own[p[r]] * meets[r]
+            x = np.maximum(x, 0)
+            add = _xlogx(x + mine[p, q][:, None]) - _xlogx(x)
+            c = np.flatnonzero(q < k)
+            add[c, q[c]] = 0  # the corner, below
+            np.add.at(gain, p, add)
+        total = mine.sum(axis=1) + own
+        sums = np.repeat(table.sum(axis=1)[None, :k].astype(float), many, axis=0)
+        sums[w, at] -= total[w]
+        gain -= _xlogx(sums + total[:, None]) - _xlogx(sums)
+    corner = right[:, :k] + left[:, :k] + own[:, None]
+    x = np.repeat(np.diagonal(big)[None, :k].astype(float), many, axis=0)
+    x[w, at] -= corner[w, at]
+    x = np.maximum(x, 0)
+    return gain + _xlogx(x + corner) - _xlogx(x)
+
+
+def _moved(big: np.ndarray):
+    """(key, class, cells) -> (key, class): the class with the largest gain."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(big) - 2
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                piece = batch.slice(start, 2000)
+                cells, cls = piece.column("cells"), piece.column("class").to_numpy().astype(np.int64)
+                flat, many = cells.flatten(), np.diff(cells.offsets.to_numpy())
+                gain = move_gains(big, cls, np.repeat(np.arange(len(cls)), many), flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy())
+                best, rows = gain.argmax(axis=1), np.arange(len(cls))
+                stays = (cls < k) & (gain[rows, best] <= gain[rows, np.minimum(cls, k - 1)] + 1e-9)
+                yield pa.record_batch({"key": piece.column("key"), "class": pa.array(np.where(stays, cls, best).astype(np.int16))})
+
+    return run
+
+
+def likelihood(big: np.ndarray) -> float:
+    return float(_xlogx(big).sum() - _xlogx(big.sum(axis=0)).sum() - _xlogx(big.sum(axis=1)).sum())
 
 
 def _bigrams(top: list[bytes]):
@@ -150,26 +288,36 @@ class ClassModel:
         size[self.open], types[self.open] = n_open, types_open + 1  # one share for what was never seen
         self.size, self.types, self.alpha = size, types, alpha
 
+    @classmethod
+    def of_classes(cls, big: np.ndarray, types: np.ndarray, alpha: float, beta: float) -> ClassModel:
+        """From the matrix of classes by classes and the number of words in each; every word seen has a class."""
+        model = cls([], np.arange(len(big)), big, int(big[:, -2].sum()), int(types[-2]), alpha, beta)
+        model.types[:-2] = types[:-2]
+        # never seen in training, so no class leads to the open one more than another: it keeps its share of the unigram
+        p, share = 10 ** model.transition, 1 / (big.sum() + len(big))
+        p *= (1 - share) / (1 - p[:, -2:-1])
+        p[:, -2] = share
+        model.transition = np.log10(p)
+        return model
+
     def emission(self, cls: np.ndarray, count: np.ndarray) -> np.ndarray:
         p = (count + self.alpha) / (self.size[cls] + self.alpha * self.types[cls])
         return np.where(cls == self.end, 0.0, np.log10(p))
 
 
 def _score(model: ClassModel, total: int, types: int, ends: int):
-    def run(docs: pa.Table, counted: pa.Table) -> pa.Table:
-        texts = [tokens(t.as_py()) for t in docs.column("text")]
-        words = sorted(set().union(*texts))
-        count = np.zeros(len(words) + 1, np.int64)
-        count[counted.column("place").to_numpy()] = counted.column("count").to_numpy()
-        count[-1] = ends
-        place = {w: k for k, w in enumerate(words)}
-        cls = np.fromiter(map(model.top.get, words, repeat(model.open)), np.int64, len(words))
-        cls = np.append(cls, model.end)
+    def run(docs: pa.Table, placed: pa.Table) -> pa.Table:
+        place = placed.column("place").to_numpy()
+        texts = [_unpacked(c.as_py()) for c in docs.column("codes")]
+        n = 1 + max((int(t.max()) for t in texts if len(t)), default=-1)
+        count, cls = np.zeros(n + 1, np.int64), np.full(n + 1, model.open)
+        count[place], cls[place] = placed.column("count").to_numpy(), placed.column("class").to_numpy()
+        count[-1], cls[-1] = ends, model.end
         base = np.log10((count + 1) / (total + types + 1))
         emit = model.emission(cls, count)
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for text in texts:
-            at = np.append(np.fromiter(map(place.__getitem__, text), np.int64, len(text)), len(words))
+            at = np.append(text, n)
             c = cls[at]
             out["n_tokens"].append(len(at))
             out["n_known"].append(int((count[at] > 0).sum()))
@@ -180,8 +328,14 @@ def _score(model: ClassModel, total: int, types: int, ends: int):
     return run
 
 
+def _release(spark: SparkSession) -> None:
+    """Results are stored: the driver forgets the shuffles that made them, and Spark's cleaner frees their disk."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: Column | None = None, vocabulary: int = 500, classes: int = 32,
-          alpha: float = 1.0, beta: float = 50.0) -> DataFrame:
+          alpha: float = 1.0, beta: float = 50.0, sweeps: int = 2) -> DataFrame:
     """One row per row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     out: boolean column, true for the rows that are not learned from (default: held_out(id)).
@@ -193,27 +347,67 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     size, ends = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
     n_blocks = 1 + int(size) // BLOCK_BYTES
     base = base.withColumn("block", F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(n_blocks)).cast("int"))
-    by_block = base.groupBy("block")
+    kind = dict(base.dtypes)["id"]
+    id_type = to_arrow_type(base.schema["id"].dataType)
+    (base.groupBy("block").applyInArrow(_encode(id_type), f"block int, id {kind}, held_out boolean, codes binary, place int, word binary, n long").write.parquet(f"{folder}/encoded"))
+    encoded = spark.read.parquet(f"{folder}/encoded")
+    texts = encoded.where("codes is not null").select("block", "id", "held_out", "codes")
+    train = texts.where(~F.col("held_out")).select("block", "codes")
     # a word has one row per block at most, however frequent it is
     over = Window.partitionBy("word").orderBy("block")
-    (by_block.applyInArrow(_block_words, "block int, place int, word binary, n long")
-     .withColumn("count", F.sum("n").over(Window.partitionBy("word"))).withColumn("word", F.when(F.row_number().over(over) == 1, F.col("word")))
-     .where("count > 0").select("block", "place", "count", "word").write.parquet(f"{folder}/counted"))
+    (encoded.where("word is not null").select("block", "place", "word", "n").withColumn("count", F.sum("n").over(Window.partitionBy("word"))).where("count > 0")
+     .withColumn("key", F.xxhash64("word")).withColumn("word", F.when(F.row_number().over(over) == 1, F.col("word")))
+     .select("block", "place", "count", "key", "word").write.parquet(f"{folder}/counted"))
     counted = spark.read.parquet(f"{folder}/counted")
     once = counted.where("word is not null")
     n_words, types = once.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
-    top = [bytes(r.word) for r in once.orderBy(F.desc("count"), "word").limit(vocabulary).select("word").collect()]
+    top = [(bytes(r.word), r.key) for r in once.orderBy(F.desc("count"), "word").limit(vocabulary).select("word", "key").collect()]
     width = len(top) + 2
     counts = np.zeros(width * width, np.int64)
-    cells = base.where(~F.col("held_out")).select("text").mapInArrow(_bigrams(top), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    cells = base.where(~F.col("held_out")).select("text").mapInArrow(_bigrams([w for w, _ in top]), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     for r in cells.collect():  # at most (vocabulary + 2) squared
         counts[r.code] = r.n
-    counts = counts.reshape(width, width)
-    n_open = int(counts[:, -2].sum())
-    model = ClassModel(top, exchange_classes(counts, len(top), classes), counts, n_open, int(types) - len(top), alpha, beta)
+    seeds = exchange_classes(counts.reshape(width, width), len(top), classes)
+    size = int(seeds.max()) + 1
+    big = np.zeros((size, size), np.int64)
+    np.add.at(big, (seeds[:, None], seeds[None, :]), counts.reshape(width, width))
+
+    def placed(of: DataFrame, *columns: str) -> DataFrame:
+        return (counted.select("block", "place", "key", *columns).join(of, "key", "left").withColumn("class", F.coalesce("class", F.lit(size - 2).cast("short")))
+                .select("block", "place", "key", "class", *columns))
+
+    def neighbours(of: DataFrame, words: bool) -> DataFrame:
+        return train.groupBy("block").cogroup(placed(of).groupBy("block")).applyInArrow(_neighbours(size, words), "key long, code int, n long")
+
+    def move(of: DataFrame, big: np.ndarray) -> DataFrame:
+        met = neighbours(of, True).repartition("key").groupBy("key", "code").agg(F.sum("n").alias("n")).groupBy("key").agg(F.collect_list(F.struct("code", "n")).alias("cells"))
+        return (met.join(of, "key", "left").select("key", F.coalesce("class", F.lit(size - 2).cast("short")).alias("class"), "cells")
+                .mapInArrow(_moved(big), "key long, class short").checkpoint())
+
+    def matrix(of: DataFrame) -> np.ndarray:
+        out = np.zeros(size * size, np.int64)
+        for r in neighbours(of, False).groupBy("code").agg(F.sum("n").alias("n")).collect():  # at most classes + 2 squared
+            out[r.code] = r.n
+        return out.reshape(size, size)
+
+    # seeds have a class, all other words come from the open one
+    found = spark.createDataFrame([(key, int(c)) for (_, key), c in zip(top, seeds)], "key long, class short")
+    for sweep in range(sweeps if top else 0):
+        _release(spark)
+        moved = move(found, big)
+        _release(spark)
+        after = matrix(moved)
+        if sweep and likelihood(after) <= likelihood(big):  # the first one takes the words out of the open class
+            break
+        found, big = moved, after
+    _release(spark)
+    n_types = np.zeros(size, np.int64)
+    for r in found.groupBy("class").agg(F.count(F.lit(1)).alias("n")).collect():
+        n_types[r["class"]] = r.n
+    model = ClassModel.of_classes(big, n_types, alpha, beta)
     train_tokens = int(n_words) + int(ends)
-    scored = (by_block.cogroup(counted.select("block", "place", "count").groupBy("block"))
+    scored = (texts.groupBy("block").cogroup(placed(found, "count").groupBy("block"))
               .applyInArrow(_score(model, train_tokens, int(types) + (ends > 0), int(ends)),
-                            f"id {dict(base.dtypes)['id']}, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+                            f"id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
     return scored.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score",
                          F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
