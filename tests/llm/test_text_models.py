@@ -238,3 +238,22 @@ def test_words_beyond_the_most_frequent_have_classes(spark):
     got = {r.doc_id: r for r in class_lm.score(docs, out=F.col("doc_id") >= 100, vocabulary=4, classes=4).collect()}
     assert abs(got[100].base_score - got[101].base_score) < 1e-9
     assert got[100].score > got[101].score + 1
+
+
+def test_every_label_is_learned_from_running_text_of_whole_documents(spark):
+    header = "licence header line " * 200  # 4,000 characters
+    rows = [(k, f"{header}{'der hund sieht die katze ' * 4000}", "de") for k in range(30)]
+    letters = "abcdefghijklmnopqrst"
+    rows += [(1000 + k, f"{letters[k // 20]}{letters[k % 20]}q " * 3, f"label{k}") for k in range(230)]
+    texts = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(texts) == {"de"} | {f"label{k}" for k in range(230)}
+    assert " hund sieht die katze der " in texts["de"]
+    assert len(texts["de"]) <= langid.AUTOMATON_CHARS
+    assert langid.language_text(["a b", "c d " * langid.AUTOMATON_CHARS]).startswith(" a b \n c d c d ")
+
+
+def test_word_order_tells_languages_apart():
+    words = ["ka", "lo", "mi", "ru", "te"]
+    texts = {"up": langid.language_text([" ".join(words * 20)]), "down": langid.language_text([" ".join(words[::-1] * 20)])}
+    judge = langid.Languages(texts).judge
+    assert judge(" ".join(words * 3))[0] == "up" and judge(" ".join(words[::-1] * 3))[0] == "down"

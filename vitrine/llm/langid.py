@@ -1,17 +1,18 @@
 """Language identification by cross-parsing entropy.
 
-For each language the distinct words of a bounded sample of labelled texts are
-joined to one text and compiled into a suffix automaton.  A text to judge is
-parsed greedily: the longest match that occurs anywhere in the language's text
-is one phrase, and an unknown character is a phrase by itself.  Few, long
-phrases mean a near language: the one with the least normalised phrase count
-(phrases times the bits of a position in the language's text, per character)
-wins.  Words are parsed one by one, with their borders, so that a word's phrase
-counts are the same wherever it stands and a worker keeps them.
-
-Bounds (parameters): languages, sampled rows per language, characters read of a
-sampled row, characters in an automaton.  Only the sample is bounded; every text
-is judged whole.  Judging is a map without a shuffle.
+For each language a bounded sample of labelled running text is compiled into a
+suffix automaton.  A text to judge is parsed greedily: the longest match that
+occurs anywhere in the language's text is one phrase, and an unknown character
+is a phrase by itself.  Few, long phrases mean a near language: the one with the
+least normalised phrase count (phrases times the bits of a position in the
+language's text, per character) wins.  Texts are lower-cased words with one space
+between them; phrases cross words, so order and context count.
+
+Bounds (parameters): sampled rows per language, characters of the window (placed
+by a hash of the id) that is read of a sampled row, characters in an automaton,
+shared out evenly among the language's windows.  Only the sample is bounded: every
+label is learned and every text is judged whole.  Judging is a map without a
+shuffle.
 
 Defined results: null text or a text without a letter is `und` with score 0, and
 so is every text where nothing could be learned; ties go to the smaller
@@ -24,20 +25,18 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.shipping import ship_package
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-#: bounds of the labelled sample and of the worker's memory of words
-LANGUAGES, SAMPLE_ROWS, SAMPLE_CHARS, AUTOMATON_CHARS, CACHE, LONGEST_KEPT = 200, 400, 2_000, 100_000, 400_000, 64
-_FIELD = 40  # bits of a phrase count inside a packed sum
+#: bounds of the labelled sample: rows of a language, characters of a row, characters in an automaton
+SAMPLE_ROWS, SAMPLE_CHARS, AUTOMATON_CHARS = 400, 2_000, 100_000
 
 
 class SuffixAutomaton:
@@ -88,46 +87,39 @@ def phrases(steps: dict[int, int], text: str) -> int:
     return n + (1 if state else 0)
 
 
-def language_text(samples: list[str]) -> str:
-    """Distinct words of the samples, the frequent ones first, between spaces."""
-    counts = Counter(w for s in samples for w in LETTERS.findall(s.lower()))
-    out, size = [], 0
-    for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0])):
-        size += len(w) + 1
-        if size > AUTOMATON_CHARS:
-            break
-        out.append(w)
-    return f" {' '.join(out)} " if out else ""
+def running(text: str) -> str:
+    """Lower-cased words with one space between them and at both ends; empty without a word."""
+    words = LETTERS.findall(text.lower())
+    return f" {' '.join(words)} " if words else ""
 
 
-class Languages:
-    """Automata of several languages and the phrase counts of the words met so far."""
+def language_text(samples: list[str]) -> str:
+    """Running text of all samples, one to a line; the automaton's characters are shared out evenly."""
+    texts = sorted(filter(None, map(running, samples)), key=lambda t: (len(t), t))
+    out, left = [], AUTOMATON_CHARS
+    for k, t in enumerate(texts):
+        share = left // (len(texts) - k)
+        if len(t) + 1 > share:
+            t = t[: t.rfind(" ", 0, max(share - 1, 0)) + 1]  # whole words
+        if len(t) > 1:
+            out.append(t)
+            left -= len(t) + 1
+    return "\n".join(out)
 
-    class _Counts(dict):
-        def __init__(self, automata: list[dict[int, int]]):
-            self.automata = automata
 
-        def __missing__(self, word: str) -> int:
-            text, packed = f" {word} ", 0
-            for k, steps in enumerate(self.automata):
-                packed |= phrases(steps, text) << (_FIELD * k)
-            if len(word) <= LONGEST_KEPT:
-                self[word] = packed
-            return packed
+class Languages:
+    """Automata of several languages."""
 
     def __init__(self, texts: dict[str, str]):
         self.names = sorted(texts)
-        self.counts = self._Counts([SuffixAutomaton(texts[n]).steps for n in self.names])
+        self.automata = [SuffixAutomaton(texts[n]).steps for n in self.names]
         self.bits = [math.log2(len(texts[n]) + 1) for n in self.names]
 
     def judge(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall(text.lower()) if text else []
-        if not words or not self.names:
+        spelled = running(text) if text else ""
+        if not spelled or not self.names:
             return UNKNOWN, 0.0
-        if len(self.counts) > CACHE:
-            self.counts.clear()
-        packed = sum(map(self.counts.__getitem__, words))
-        cost = [((packed >> (_FIELD * k)) & ((1 << _FIELD) - 1)) * b for k, b in enumerate(self.bits)]
+        cost = [phrases(steps, spelled) * b for steps, b in zip(self.automata, self.bits)]
         best = min(range(len(cost)), key=cost.__getitem__)
         second = min((c for k, c in enumerate(cost) if k != best), default=None)
         return self.names[best], 1.0 if second is None else 1.0 - cost[best] / second
@@ -137,19 +129,29 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """Language -> text of its automaton, from a bounded sample of the labelled rows.
 
     The sample takes rows by a hash of the id, at a rate set by each language's
-    count: one narrow aggregate, then one filtered scan.
+    count: one narrow aggregate, then one filtered scan.  Of a row it reads a
+    window whose place is another hash of the id.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "id is not null and text is not null and lang is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
-        return {}
-    each = max(20, min(SAMPLE_ROWS, 8 * SAMPLE_ROWS // len(counts)))
+    rates = rows.groupBy("lang").agg(F.least(F.lit(1.0), 1.5 * SAMPLE_ROWS / F.count(F.lit(1))).alias("rate"))
     share = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, 1.5 * each / n)))])
-    sample = (rows.where(share < rate[F.col("lang")]).select("lang", share.alias("u"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-              .orderBy("u", "text").limit(2 * each * len(counts)).collect())
-    return {lang: t for lang in counts if (t := language_text([r.text for r in sample if r.lang == lang]))}
+    room = F.greatest(F.char_length("text") - SAMPLE_CHARS, F.lit(0))
+    chosen = (rows.withColumn("u", share).join(F.broadcast(rates), "lang").where("u < rate")
+              .withColumn("at", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("window")), (room + 1).cast("long")).cast("int"))
+              .select("lang", "u", "id", F.expr(f"substring(text, at + 1, {SAMPLE_CHARS})").alias("text"), (F.col("at") > 0).alias("cut_before"), (F.col("at") < room).alias("cut_after")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("u", "id", "text"))
+    samples: dict[str, list[str]] = {}
+    for r in chosen.withColumn("place", place).where(F.col("place") <= SAMPLE_ROWS).orderBy("lang", "place").collect():
+        samples.setdefault(r.lang, []).append(_whole_words(r.text, r.cut_before, r.cut_after))
+    return {lang: t for lang, texts in samples.items() if (t := language_text(texts))}
+
+
+def _whole_words(text: str, cut_before: bool, cut_after: bool) -> str:
+    """A window of a text without the pieces of words at its cuts (all of it where it is one piece)."""
+    a = re.match(r"[^\W\d_]*+", text).end() if cut_before else 0
+    b = len(text) - (re.match(r"[^\W\d_]*+", text[::-1]).end() if cut_after else 0)
+    return text[a:b] if a < b else text
 
 
 _held: dict[str, Languages] = {}
@@ -166,7 +168,7 @@ def _worker_languages(texts: dict[str, str]) -> Languages:
 def predict(docs: DataFrame, texts: dict[str, str], text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """row (the columns `carry` of docs, by default all), lang_pred, score."""
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(texts)  # at most LANGUAGES x AUTOMATON_CHARS characters
+    shared = docs.sparkSession.sparkContext.broadcast(texts)  # at most AUTOMATON_CHARS characters for each label
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = _worker_languages(shared.value)
