@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import assignment_secrets, bpe, class_lm, exact_dedup, langid, mixing, mtree, ngram_join, substring_dedup, url_reputation
+from vitrine.llm import (assignment_secrets, bpe, class_lm, decontaminate, exact_dedup, langid, lloyd, merkle, mixing, mtree, ngram_join, substring_dedup,
+                         url_reputation)
 from vitrine.llm.sql import ORACLE_SQL  # noqa: F401
 
 #: the public rank file of op2; its place is a parameter, the file is never copied
@@ -73,6 +74,22 @@ def op10_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], tampered={"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1},
+                           tamper=F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0)
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), length=10)
+            .select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"))
+
+
+def op13_sharded_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.clusters(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16, rounds=3, dims=64)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -84,4 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_url_reputation": op9_url_reputation,
     "op10_entropy_mixing": op10_entropy_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_winnowing": op12_winnowing,
+    "op13_sharded_lloyd": op13_sharded_lloyd,
 }

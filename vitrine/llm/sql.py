@@ -110,3 +110,90 @@ closing AS (SELECT *, NOT extra AND size > 0 AND room > 0 AND size <= 2 * gap AN
 closed AS (SELECT *, may_close AND row_number() OVER (PARTITION BY source, may_close ORDER BY abs(gap - size), key, doc_id, size) = 1 AS closes FROM closing)
 SELECT doc_id, size, source_size, target, ((base + (extra OR closes)::INTEGER) * size)::BIGINT AS taken FROM closed
 """
+
+#: CRC-32 of a string of ASCII characters, bit by bit
+_CRC_STEP = "list_reduce([{x}] || [0, 0, 0, 0, 0, 0, 0, 0], lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)"
+_CRC = ("xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({}, ''), lambda ch: ascii(ch)::BIGINT), lambda a, b: "
+        + _CRC_STEP.format(x="xor(a, b)") + "), 4294967295)")
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR) || ':' || {value}::VARCHAR END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _climb(name: str, base: str) -> str:
+    """Nodes of all levels: grp, lvl, pos, d, n (nodes of the level)."""
+    return f"""
+{name}(grp, lvl, pos, d, n) AS (
+    SELECT grp, 0, pos, d, n FROM {base}
+    UNION ALL SELECT grp, lvl + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (n + 1) // 2 FROM {name} WHERE n > 1 GROUP BY grp, lvl, pos // 2, n)"""
+
+
+def _fold(name: str, base: str, nodes: str) -> str:
+    """acc folded from every row of base (key, grp, pos, acc, path, n) up to its root, and the siblings on the way."""
+    return f"""
+{name}(key, grp, lvl, pos, acc, path, n) AS (
+    SELECT key, grp, 0, pos, acc, path, n FROM {base}
+    UNION ALL SELECT key, f.grp, f.lvl + 1, f.pos // 2, sha256(CASE WHEN f.pos % 2 = 0 THEN acc || coalesce(s.d, '') ELSE s.d || acc END), path || coalesce(s.d, ''), (f.n + 1) // 2
+    FROM {name} f LEFT JOIN {nodes} s ON s.grp = f.grp AND s.lvl = f.lvl AND s.pos = xor(f.pos, 1) WHERE f.n > 1)"""
+
+
+ORACLE_SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS key, *, coalesce('=' || lang, '') AS grp, {_CRC.format("doc_id::VARCHAR")} % 7 = 0 AS tamper FROM documents),
+leaves AS (SELECT *, {_leaf("n_chars")} AS d, {_leaf("(n_chars + 1)")} AS bad FROM rows_),
+placed AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+{_climb("nodes", "placed")},
+subroots AS (SELECT '' AS grp, grp AS key, d, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+{_climb("tops", "subroots")},
+first_fold AS (SELECT key, grp, pos, CASE WHEN tamper THEN bad ELSE d END AS acc, '' AS path, n FROM placed),
+{_fold("folds", "first_fold", "nodes")},
+second_fold AS (SELECT f.key, '' AS grp, s.pos, acc, path, s.n FROM folds f JOIN subroots s ON s.key = f.grp WHERE f.n = 1),
+{_fold("lasts", "second_fold", "tops")}
+SELECT doc_id, p.d AS leaf, s.d AS subroot, r.d AS root, sha256(l.path) AS proof_sha256, l.acc AS folded_root, l.acc = r.d AS verified
+FROM placed p JOIN lasts l ON l.key = p.key AND l.n = 1 JOIN subroots s ON s.key = p.grp JOIN tops r ON r.n = 1
+"""
+
+_TOKENS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE_SQL["op12_winnowing"] = f"""
+WITH docs AS (SELECT doc_id, {_TOKENS} AS w FROM documents),
+items AS (SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_TOKENS} AS w FROM benchmark) WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+seen AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM items) WHERE len(w) >= n)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM seen JOIN wins USING (n, win)),
+marked AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def _assign(name: str, centroids: str) -> str:
+    return f"""
+{name} AS (SELECT r, vec_id, v, (best & 65535)::INTEGER AS cluster, (best >> 16)::BIGINT AS distance FROM (
+    SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min((list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT << 16) | cluster) AS best
+    FROM kept CROSS JOIN {centroids} GROUP BY r))"""
+
+
+def _move(name: str, assigned: str, old: str) -> str:
+    return f"""
+{name} AS (SELECT cluster, coalesce(m, c) AS c FROM {old} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS m FROM (
+        SELECT cluster, d, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM {assigned}) GROUP BY cluster, d)
+    GROUP BY cluster) USING (cluster))"""
+
+
+ORACLE_SQL["op13_sharded_lloyd"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1)::BIGINT AS cluster, v AS c FROM kept QUALIFY cluster < 16),
+{_assign("a0", "c0")}, {_move("c1", "a0", "c0")}, {_assign("a1", "c1")}, {_move("c2", "a1", "c1")}, {_assign("a2", "c2")}, {_move("c3", "a2", "c2")}, {_assign("a3", "c3")}
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia, sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN c3 USING (cluster)
+"""
