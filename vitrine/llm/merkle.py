@@ -90,31 +90,30 @@ def build(leaves: DataFrame, fanout: int = 2) -> Tree:
     top = leaves.agg(F.max("height")).first()[0] or 0
     passes, nodes = [], leaves
     for k in range(max(1, -(-top // levels))):
-        slot = F.pmod("pos", F.lit(span))
         spread = ["digest", "rider"] if k == 0 else ["digest"]
         table = nodes.groupBy("grp", "height", F.expr(f"pos div {span}").alias("pos")).agg(
-            *[F.max(F.when(slot == i, F.col(c))).alias(f"rider_{i}" if c == "rider" else f"node_0_{i}") for c in spread for i in range(span)])
+            *[F.expr(f"max(CASE WHEN pos % {span} = {i} THEN {c} END) AS {'rider' if c == 'rider' else 'node_0'}_{i}") for c in spread for i in range(span)])
         for m in range(levels):
-            table = table.withColumns({f"node_{m + 1}_{j}": _parent([F.col(f"node_{m}_{j * fanout + i}") for i in range(fanout)], k * levels + m)
-                                       for j in range(span // fanout ** (m + 1))})
+            table = table.selectExpr("*", *[f"{_parent([f'node_{m}_{j * fanout + i}' for i in range(fanout)], k * levels + m)} AS node_{m + 1}_{j}"
+                                            for j in range(span // fanout ** (m + 1))])
         passes.append(table.checkpoint())
         nodes = passes[-1].select("grp", "height", "pos", F.col(f"node_{levels}_0").alias("digest"))
     return Tree(passes, levels, fanout, nodes.select("grp", "digest"))
 
 
-def _parent(run: list[Column], level: int) -> Column:
+def _parent(run: list[str], level: int) -> str:
     """Digest of a run of nodes of a level; the root of a lower tree is passed on."""
-    return F.when(F.col("height") <= level, run[0]).otherwise(F.when(run[0].isNotNull(), F.sha2(F.concat_ws("", *run), 256)))
+    return f"CASE WHEN height <= {level} THEN {run[0]} WHEN {run[0]} IS NOT NULL THEN sha2(concat_ws('', {', '.join(run)}), 256) END"
 
 
-def _siblings(slot: int, tree: Tree, level: int) -> Column:
+def _siblings(slot: int, tree: Tree, level: int) -> str:
     """What stands left and right of a slot's node in its run, level by level, while the node isn't the root."""
     steps = []
     for m in range(tree.levels):
         place, first = slot // tree.fanout ** m, slot // tree.fanout ** (m + 1) * tree.fanout
-        sides = [F.concat_ws("", *[F.col(f"node_{m}_{j}") for j in part]) for part in (range(first, place), range(place + 1, first + tree.fanout))]
-        steps.append(F.when(F.col("height") > level + m, F.struct(sides[0].alias("l"), sides[1].alias("r"))))
-    return F.array_compact(F.array(*steps))
+        left, right = (", ".join(["''", *(f"node_{m}_{j}" for j in part)]) for part in (range(first, place), range(place + 1, first + tree.fanout)))
+        steps.append(f"CASE WHEN height > {level + m} THEN named_struct('l', concat_ws('', {left}), 'r', concat_ws('', {right})) END")
+    return f"array_compact(array({', '.join(steps)}))"
 
 
 def paths(tree: Tree, roots: DataFrame) -> DataFrame:
@@ -125,11 +124,10 @@ def paths(tree: Tree, roots: DataFrame) -> DataFrame:
     span = tree.fanout ** tree.levels
     state, carried = roots.withColumn("pos", F.lit(0).cast("long")), [c for c in roots.columns if c not in ("grp", "path")]
     for k in reversed(range(len(tree.passes))):
-        slots = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"node_0_{i}").alias("digest"), _siblings(i, tree, k * tree.levels).alias("steps"),
-                                   *([F.col(f"rider_{i}").alias("rider")] if k == 0 else [])) for i in range(span)])
-        state = (tree.passes[k].join(state, ["grp", "pos"]).select("grp", "pos", "path", *carried, F.explode(slots).alias("s")).where("s.digest is not null")
-                 .select("grp", (F.col("pos") * span + F.col("s.slot")).alias("pos"), F.concat("s.steps", "path").alias("path"), *carried,
-                         "s.digest", *(["s.rider"] if k == 0 else [])))
+        rider = [", 'rider', rider_{}", ""][k > 0]
+        slots = ", ".join(f"named_struct('slot', {i}, 'digest', node_0_{i}, 'steps', {_siblings(i, tree, k * tree.levels)}{rider.format(i)})" for i in range(span))
+        state = (tree.passes[k].join(state, ["grp", "pos"]).selectExpr("grp", "pos", "path", *carried, f"explode(array({slots})) AS s").where("s.digest IS NOT NULL")
+                 .selectExpr("grp", f"pos * {span} + s.slot AS pos", "concat(s.steps, path) AS path", *carried, "s.digest", *(["s.rider"] if k == 0 else [])))
     return state.drop("grp", "pos")
 
 
