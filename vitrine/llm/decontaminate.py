@@ -54,7 +54,8 @@ def with_fingerprints(rows: DataFrame, length: Column, k: int, out: str, words:
 def windows_of(items: DataFrame, length: int, k: int) -> DataFrame:
     """items: item, text -> every distinct window: win (its words), len, print, items (sorted names)."""
     words = items.select("item", words_of(F.col("text")).alias("words")).where(F.size("words") > 0).withColumn("len", F.least(F.lit(length), F.size("words")))
-    rows = (with_fingerprints(words, F.col("len"), k, "prints").select("item", "words", "len", F.posexplode("prints").alias("at", "print"))
+    # outer: a plain explode's inferred filter would work out the fingerprints again for every gram
+    rows = (with_fingerprints(words, F.col("len"), k, "prints").select("item", "words", "len", F.posexplode_outer("prints").alias("at", "print"))
             .select("item", "len", "print", F.array_join(F.slice("words", F.col("at") + 1, F.col("len")), " ").alias("win")))
     return rows.groupBy("win", "len", "print").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
@@ -89,7 +90,7 @@ def _met(texts: DataFrame, lengths: list[int], prints: DataFrame, small: bool) -
         hit = placed(texts).join(F.broadcast(prints.withColumn("met", F.lit(True))), "print", "left")
     else:
         every = F.array_distinct(F.flatten(F.array_compact(F.array(*[F.col(f"prints_{n}") for n in lengths]))))
-        met = texts.select("hash", F.explode(every).alias("print")).distinct().join(prints, "print", "left_semi").groupBy("hash").agg(F.collect_set("print").alias("met_prints"))
+        met = texts.select("hash", F.explode_outer(every).alias("print")).distinct().join(prints, "print", "left_semi").groupBy("hash").agg(F.collect_set("print").alias("met_prints"))
         hit = placed(texts.join(met, "hash", "left"), "met_prints").withColumn("met", F.array_contains("met_prints", F.col("print")))
     head = F.col("head") & (F.col("at") == 0)
     return (hit.where(head | (F.col("met") & (F.col("at") > 0)))
