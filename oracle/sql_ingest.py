@@ -35,6 +35,22 @@ SQL["source_catalogue"] = with_raw(*_ALL) + "\nUNION ALL\n".join(
     "SELECT '{t}' AS table_name, '{d}' AS description, CAST({n} AS BIGINT) AS n_columns, COUNT(*) AS rows FROM {t}"
     .format(t=t, d=DESCRIPTIONS[t].replace("'", "''"), n=len(RAW_SPECS[t].columns)) for t in _ALL)
 
+
+
+def _quarantine(table: str, value: str) -> tuple[tuple[str, str], str]:
+    """A view of the table's plain lines, and the rows of its load log and of its quarantine."""
+    columns = RAW_SPECS[table].columns
+    plain = {c: f"coalesce(translate({q(c)}, '\",' || chr(9) || chr(13) || chr(10), ''), '')" for c in columns}
+    wrong = f"regexp_matches({plain[columns[0]]}, '[37]$')"
+    line = " || ',' || ".join(f"{x} || CASE WHEN wrong THEN ',surplus' ELSE '' END" if c == value else x for c, x in plain.items())
+    view = (f"{table}_lines", f"SELECT {line} AS line, wrong FROM (SELECT *, {wrong} AS wrong FROM {table})")
+    return view, (f"SELECT '{table}' AS table_name, 'log' AS kind, NULL::VARCHAR AS record, count(*) FILTER (NOT wrong) AS rows, count(*) FILTER (wrong) AS quarantined FROM {view[0]}"
+                  f" UNION ALL SELECT '{table}', 'record', line, NULL, NULL FROM {view[0]} WHERE wrong")
+
+
+_SURPLUS = [_quarantine("raw_entrepots", "localisation"), _quarantine("raw_entrepots_machine", "type_machine")]
+SQL["ingest_quarantine"] = with_raw("raw_entrepots", "raw_entrepots_machine", extra=[v for v, _ in _SURPLUS]) + " UNION ALL ".join(rows for _, rows in _SURPLUS)
+
 _stg_raw, _stg_body = STG["stg_produits"]
 SQL["stg_table_sink"] = with_raw("raw_produits", extra=[
     _csv_view("raw_produits")]) + _stg_body.replace("FROM raw_produits WHERE", "FROM raw_produits_csv WHERE")

@@ -16,6 +16,9 @@ materialises staging as tables):
   shuffle, and AQE's skew-join handling splits the hot order;
 * the other staging tables are plain Parquet.
 
+Every table is replaced all at once (sources/store.py): a run that dies leaves
+the tables of the run before.
+
 Everything is written under one folder; on a cluster it must be shared
 storage (the session's checkpoint folder is used when no root is given).
 """
@@ -33,15 +36,11 @@ from vitrine.operators.staging import build_staging
 from vitrine.registry import STAR_KEYS
 from vitrine.sources.ingest import ingest_batch_log, ingest_overwrite_sink, scratch_dir
 from vitrine.sources.catalogue import SOURCES, register_sources
+from vitrine.sources.store import read_table, replace_catalog_table
 from vitrine.star import Star
 
 ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_commande",
                "stg_satisfaction": "id_commande"}
-def _write_bucketed(df: DataFrame, key: str, n: int, table: str) -> None:
-    # One shuffle at build time: every bucket is written by one task, as one file.
-    (df.repartition(n, key).write.mode("overwrite").format("parquet")
-     .bucketBy(n, key).sortBy(key).saveAsTable(table))
-
 
 def database_of(location: str) -> str:
     """A database of its own for every folder."""
@@ -55,10 +54,8 @@ def materialize_staging(spark: SparkSession, staging: dict[str, DataFrame], loca
     database = database_of(location)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, df in staging.items():
-        if bucketed and name in ORDER_KEYED:
-            _write_bucketed(df, ORDER_KEYED[name], n, f"{database}.{name}")
-        else:
-            df.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        # bucketed: one shuffle at build time, every bucket is written by one task as one file
+        replace_catalog_table(df, f"{database}.{name}", ORDER_KEYED.get(name) if bucketed else None, n)
     return {name: spark.table(f"{database}.{name}") for name in staging}
 
 
@@ -113,7 +110,7 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
             skipped.append((key, str(missing)))
             continue
         ingest_overwrite_sink(df, f"{root}/kpis/{key}")
-        out[key] = spark.read.parquet(f"{root}/kpis/{key}")
+        out[key] = read_table(spark, f"{root}/kpis/{key}")
     models = {}
     for key in STAR_KEYS:
         try:
@@ -122,6 +119,6 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
             skipped.append((key, str(missing)))
     checks = [c for c in DECLARED_CHECKS if c.model in models and (c.to_model is None or c.to_model in models)]
     ingest_overwrite_sink(dq_report(models, checks), f"{root}/quality/dq_report")
-    out["dq_report"] = spark.read.parquet(f"{root}/quality/dq_report")
+    out["dq_report"] = read_table(spark, f"{root}/quality/dq_report")
     out["skipped"] = spark.createDataFrame(skipped, "result string, missing string")
     return out

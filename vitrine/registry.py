@@ -230,11 +230,12 @@ def _ingest_one(table: str) -> Query:
 def _overwrite_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.sources.ingest import ingest_overwrite_sink, scratch_dir
     from vitrine.sources.raw_fixtures import raw_table
+    from vitrine.sources.store import read_table
 
     target = scratch_dir(spark, "sink") + "/raw_details_commandes"
     ingest_overwrite_sink(raw_table(spark, sf_dir, "raw_entrepots"), target)        # previous content
     ingest_overwrite_sink(raw_table(spark, sf_dir, "raw_details_commandes"), target)  # replaces it
-    return spark.read.parquet(target)
+    return read_table(spark, target)
 
 
 def _load_all(spark: SparkSession, sf_dir: str, missing: bool = False) -> tuple[DataFrame, str]:
@@ -276,14 +277,46 @@ def _source_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stg_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.operators.staging import stg_produits
     from vitrine.sources.ingest import ingest_csv, scratch_dir, stg_table_sink
+    from vitrine.sources.store import read_table
 
     raw = ingest_csv(spark, export_raw_csv(spark, sf_dir, "raw_produits", scratch_dir(spark, "export")))
     target = scratch_dir(spark, "staging") + "/stg_produits"
     stg_table_sink(stg_produits(raw), target)
-    return spark.read.parquet(target)
+    return read_table(spark, target)
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouses and machine interventions exported without quoting: a comma inside a value makes a field too many.
+
+    One row per file of the load log (rows loaded, records in quarantine) and one per quarantined record.
+    """
+    from pyspark.sql import functions as F
+
+    from vitrine.sources.ingest import ingest_batch_log, scratch_dir, write_csv
+    from vitrine.sources.raw_fixtures import raw_table
+    from vitrine.sources.store import read_table
+
+    exports, files = scratch_dir(spark, "export"), {}
+    for table, value in (("raw_entrepots", "localisation"), ("raw_entrepots_machine", "type_machine")):
+        raw = raw_table(spark, sf_dir, table)
+        plain = {c: F.coalesce(F.translate(c, '",\t\r\n', ""), F.lit("")) for c in raw.columns}
+        surplus = F.when(plain[raw.columns[0]].rlike("[37]$"), ",surplus").otherwise("")
+        line = F.concat_ws(",", *[F.concat(x, surplus) if c == value else x for c, x in plain.items()])
+        files[table] = f"{exports}/{table}.csv"
+        # a single column parted by tabs: its commas, and those of its name, stay bare
+        write_csv(raw.select(line.alias(",".join(raw.columns))), files[table], sep="\t")
+    target = scratch_dir(spark, "raw")
+    log = ingest_batch_log(spark, files, target)
+    out = log.select("table_name", F.lit("log").alias("kind"), F.lit(None).cast("string").alias("record"), "rows", "quarantined")
+    for table in files:
+        own = read_table(spark, f"{target}_quarantine/{table}")
+        out = out.unionByName(own.select(F.lit(table).alias("table_name"), F.lit("record").alias("kind"), "record",
+                                         F.lit(None).cast("long").alias("rows"), F.lit(None).cast("long").alias("quarantined")))
+    return out
 
 
 QUERIES.update({
+    "ingest_quarantine": _quarantine,
     "ingest_csv": _ingest_one("raw_clients"),
     "ingest_normalize_headers": _ingest_one("raw_produits"),
     "ingest_overwrite_sink": _overwrite_sink,

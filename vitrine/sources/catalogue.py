@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from vitrine.sources.raw_fixtures import RAW_SPECS
+from vitrine.sources.store import read_table
 
 DESCRIPTIONS = {
     "raw_produits": "Product catalogue",
@@ -33,10 +34,10 @@ SOURCES: dict[str, StructType] = {t: raw_schema(t) for t in RAW_SPECS}
 
 
 def register_sources(spark: SparkSession, raw_dir: str, tables: list[str] | None = None) -> dict[str, DataFrame]:
-    """Temp views over the raw Parquet tables written by the ingest (one folder per table); by default all ten."""
+    """Temp views over the raw Parquet tables written by the ingest (one target per table); by default all ten."""
     out = {}
     for table in SOURCES if tables is None else tables:
-        df = spark.read.parquet(f"{raw_dir.rstrip('/')}/{table}")
+        df = read_table(spark, f"{raw_dir.rstrip('/')}/{table}")
         df.createOrReplaceTempView(table)
         out[table] = df
     return out
