@@ -101,7 +101,7 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
     raw = register_sources(spark, f"{root}/raw", [t for t in SOURCES if t in loaded])
     staging = _Available(materialize_staging(spark, build_staging(raw), f"{root}/staging", buckets, bucketed))
     low, high = calendar_bounds(staging)
-    star = Star(spark, staging, cal_start or low, cal_end or high)
+    star = Star(spark, staging, cal_start or low, cal_end or high, root=f"{root}/star")
     out, skipped = {"load_log": log}, []
     for key, fn in KPI_FUNCTIONS.items():
         try:

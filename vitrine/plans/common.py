@@ -5,10 +5,11 @@ Physical plan notes (apply to every KPI built on these blocks):
 * Order lines join their order on `id_commande`: the only fact-to-fact join.
   Both sides are large, so it is a sort-merge join; AQE splits a skewed order.
 * Before any join on the product key, lines are *pre-aggregated* per
-  (product, day[, extra keys]).  That aggregate is map-side combined, so a hot
-  product (even a third of all lines) reaches the product / promotion joins as
-  at most one row per day instead of one row per line, and the promotion
-  fan-out multiplies aggregated rows, not lines.
+  (product, day).  That rollup is stored once per star (`Star.product_days`,
+  live and all units side by side) and read by every KPI on units instead of the
+  lines.  A hot product (even a third of all lines) reaches the product /
+  promotion joins as at most one row per day, and the promotion fan-out
+  multiplies aggregated rows, not lines.
 * The calendar is broadcast (bounded by its parameters); products and
   promotions are joined without hints and AQE chooses broadcast or
   sort-merge from their runtime size.
@@ -37,12 +38,12 @@ def order_lines(star: Star, exclude_cancelled: bool = True, order_cols: tuple[st
     return star.details.select("id_commande", "id_details_produits", "quantite").join(orders, "id_commande")
 
 
-def units_by_product_day(star: Star, exclude_cancelled: bool = True, extra: tuple[str, ...] = (),
-                         order_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Sum of quantities per (id_details_produits, date, *extra)."""
-    lines = order_lines(star, exclude_cancelled, order_cols)
-    return (lines.groupBy("id_details_produits", "date", *extra)
-            .agg(F.sum("quantite").alias("qty")))
+def units_by_product_day(star: Star, exclude_cancelled: bool = True) -> DataFrame:
+    """Sum of quantities per (id_details_produits, date), from the stored rollup."""
+    days = star.product_days.where(F.col("date").isNotNull())
+    if exclude_cancelled:
+        return days.where("live_n > 0").select("id_details_produits", "date", F.col("live_qty").alias("qty"))
+    return days.select("id_details_produits", "date", "qty")
 
 
 def promotions_with_dates(star: Star) -> DataFrame:

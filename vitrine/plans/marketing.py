@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vitrine.functions.pricing import (discounted_price_by_type, money, price, round_money, round_ratio,
                                        safe_ratio)
 from vitrine.functions.text import bq_trim
+from vitrine.operators.windows import days_inside, window_totals
 from vitrine.plans.common import orders_with_date, promotions_with_dates, units_by_product_day, with_products
 from vitrine.fixed_values import DAY_NO_PROMO, DAY_PROMO, PEAK_SIGMAS, SENTIMENTS
 from vitrine.star import Star
@@ -52,17 +53,16 @@ def mkt_cpa_converting(star: Star) -> DataFrame:
 
 
 def mkt_promo_days_vs_others(star: Star) -> DataFrame:
-    """Revenue on promotion days (a sold product was in promotion that day) against other days."""
-    units = with_products(units_by_product_day(star), star.dim_produits.select("id_produit", "prix"))
-    promos = promotions_with_dates(star).select(F.col("id_produit").alias("_pp"), "date_debut", "date_fin")
-    promo_days = (units.join(promos, (units.id_produit == promos._pp)
-                             & units.date.between(promos.date_debut, promos.date_fin))
-                  .select(F.col("date").alias("_jour")).distinct())
-    tagged = (units.join(promo_days, units.date == promo_days._jour, "left")
-              .withColumn("statut_jour", F.when(F.col("_jour").isNotNull(), DAY_PROMO).otherwise(DAY_NO_PROMO)))
-    resume = (tagged.groupBy("statut_jour")
-              .agg(F.sum(money(F.col("qty"), price(F.col("prix")))).alias("_ca"),
-                   F.countDistinct("date").alias("nb_jours_vente"))
+    """Revenue on promotion days (a sold product was in promotion that day) against other days.
+
+    One pass: a sweep over each product's promotions flags its days, and the flag
+    and the revenue of a day come out of the same aggregate.
+    """
+    units = with_products(units_by_product_day(star), star.dim_produits.select("id_produit", "prix")).select("id_produit", "date", "qty", "prix")
+    sold = days_inside(units, promotions_with_dates(star), "id_produit", "date", "date_debut", "date_fin")
+    per_day = sold.groupBy("date").agg(F.sum(money(F.col("qty"), price(F.col("prix")))).alias("_ca"), F.max("inside").alias("_promo"))
+    resume = (per_day.groupBy(F.when(F.col("_promo"), DAY_PROMO).otherwise(DAY_NO_PROMO).alias("statut_jour"))
+              .agg(F.sum("_ca").alias("_ca"), F.count("date").alias("nb_jours_vente"))
               .select("statut_jour", F.round("_ca", 2).alias("ca_total"), "nb_jours_vente",
                       round_ratio(safe_ratio(F.col("_ca"), F.col("nb_jours_vente"))).alias("ca_moyen")))
 
@@ -131,19 +131,18 @@ def mkt_promo_effectiveness(star: Star) -> DataFrame:
     """Per promotion x product: total vs in-promotion revenue and units (cancelled orders included)."""
     promos = (promotions_with_dates(star)
               .where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull() & F.col("id_produit").isNotNull())
-              .select("id_promotion", F.col("id_produit").alias("_pp"), "type_promotion",
+              .select("id_promotion", "id_produit", "type_promotion",
                       promo_numeric_value(F.col("valeur_promotion")).alias("valeur_promotion"),
                       "date_debut", "date_fin"))
     units = with_products(units_by_product_day(star, exclude_cancelled=False),
                           star.dim_produits.select("id_produit", "prix"))
     daily = units.select("id_produit", F.col("date").alias("date_commande"), F.col("qty").alias("quantite"),
                          F.round(money(F.col("qty"), price(F.col("prix"))), 2).alias("ca_jour"))
-    x = daily.join(promos, daily.id_produit == promos._pp)
-    en_promo = F.col("date_commande").between(F.col("date_debut"), F.col("date_fin"))
-    agg = (x.groupBy("id_promotion", "id_produit", "type_promotion", "valeur_promotion")
-           .agg(F.sum("ca_jour").alias("_tot"), F.sum(F.when(en_promo, F.col("ca_jour")).otherwise(0)).alias("_promo"),
-                F.sum("quantite").alias("quantite_total"),
-                F.sum(F.when(en_promo, F.col("quantite")).otherwise(0)).alias("quantite_promo"))
+    total = daily.groupBy("id_produit").agg(F.sum("ca_jour").alias("_ca"), F.sum("quantite").alias("_q"))
+    inside = window_totals(daily, promos, "id_produit", "date_commande", "date_debut", "date_fin", ("ca_jour", "quantite"))
+    agg = (inside.join(total, "id_produit").groupBy("id_promotion", "id_produit", "type_promotion", "valeur_promotion")
+           .agg(F.sum("_ca").alias("_tot"), F.sum(F.coalesce("ca_jour", F.lit(0))).alias("_promo"),
+                F.sum("_q").alias("quantite_total"), F.sum(F.coalesce("quantite", F.lit(0))).alias("quantite_promo"))
            .where(F.col("_tot") > 0))
     return agg.select(
         "id_promotion", "id_produit", "type_promotion", "valeur_promotion",

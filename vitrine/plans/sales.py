@@ -13,15 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.functions.pricing import (money, not_cancelled, price, promo_period_label, round_money,
-                                       round_ratio, safe_ratio, effective_price)
+from vitrine.functions.pricing import UNIT, discounted_price, money, price, promo_period_label, round_money, round_ratio, safe_ratio
+from vitrine.operators.windows import window_totals
 from vitrine.plans.common import (order_lines, orders_with_date, priced_with_promotions,
                                   promotions_with_dates, units_by_product_day)
 from vitrine.fixed_values import (AGE_BAND_OTHER, AGE_BANDS, DECLINE_RUN, LEAST_SOLD_LABEL, MONTH_NORMAL,
                                   MONTH_STRONG, MONTH_STRONG_FACTOR, MONTH_WEAK, MONTH_WEAK_FACTOR,
                                   PERIOD_LABELS_7D, PERIOD_OTHER_7D, PROMO_WINDOW_7D, PROMO_WINDOW_30D,
                                   SENSITIVITY_HIGH, SENSITIVITY_HIGH_AT, SENSITIVITY_LOW, SENSITIVITY_LOW_AT,
-                                  SENSITIVITY_MID, UNSOLD_LABEL, PERIOD_LABELS_30D, PERIOD_OTHER_30D)
+                                  SENSITIVITY_MID, UNSOLD_LABEL, PERIOD_LABELS_30D)
 from vitrine.star import Star
 
 BEFORE, DURING, AFTER = PERIOD_LABELS_30D
@@ -52,8 +52,7 @@ def sales_top_products(star: Star, promo_match: str = "product") -> DataFrame:
 
 def sales_unsold_products(star: Star) -> DataFrame:
     """Catalogue products without any order line."""
-    # Distinct product ids first: partial aggregation shrinks a hot product before the shuffle.
-    sold = star.details.select(F.col("id_details_produits").alias("id_produit")).distinct()
+    sold = star.product_days.select(F.col("id_details_produits").alias("id_produit")).distinct()
     return (star.dim_produits.join(sold, "id_produit", "left_anti")
             .select("produit", F.lit(0).cast("long").alias("total_vendus"),
                     F.lit(UNSOLD_LABEL).alias("type_resultat")))
@@ -61,7 +60,7 @@ def sales_unsold_products(star: Star) -> DataFrame:
 
 def sales_least_sold(star: Star) -> DataFrame:
     """Units per product name (cancelled orders included), > 0, ascending."""
-    per_product = star.details.groupBy("id_details_produits").agg(F.sum("quantite").alias("_q"))
+    per_product = star.product_days.groupBy("id_details_produits").agg(F.sum("qty").alias("_q"))
     prods = star.dim_produits.select("id_produit", "produit")
     return (per_product.join(prods, per_product.id_details_produits == prods.id_produit)
             .groupBy("produit").agg(F.sum("_q").alias("total_vendus"))
@@ -166,7 +165,7 @@ def sales_by_age_band(star: Star, promo_match: str = "product") -> DataFrame:
 
 
 def wishlist_product_id(fav: F.Column) -> F.Column:
-    """'P12' -> 'P00012' (LPAD also truncates to 5 characters, as in the reference)."""
+    """'P12' -> 'P00012'; a longer id keeps all its digits."""
     digits = F.substr(fav, F.lit(2))
     return F.concat(F.lit("P"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
 
@@ -271,6 +270,18 @@ def _promo_lines(star: Star, days_before: int, days_after: int) -> DataFrame:
     return x.drop("_pp")
 
 
+def _promo_windows(star: Star, windows: dict[str, tuple[F.Column, F.Column]], *columns: str) -> DataFrame:
+    """Units of each promotion's product in each of its windows that holds a sales day: id_produit, periode, columns, qty.
+
+    windows: label -> (first day, last day) from date_debut and date_fin.
+    """
+    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
+    spans = F.array(*[F.struct(F.lit(label).alias("periode"), a.alias("_first"), b.alias("_last")) for label, (a, b) in windows.items()])
+    asked = promos.select("id_produit", *columns, F.explode(spans).alias("w")).select("id_produit", *columns, "w.*")
+    units = units_by_product_day(star).withColumnRenamed("id_details_produits", "id_produit")
+    return window_totals(units, asked, "id_produit", "date", "_first", "_last", ("qty",)).where("n_days > 0").drop("_first", "_last", "n_days")
+
+
 def sales_promo_impact_7d(star: Star, days: int = PROMO_WINDOW_7D) -> DataFrame:
     """Catalogue revenue, units and orders before / during / after each promotion (7 days)."""
     x = _promo_lines(star, days, days)
@@ -290,17 +301,15 @@ def sales_promo_impact_7d(star: Star, days: int = PROMO_WINDOW_7D) -> DataFrame:
 def sales_promo_variation_30d(star: Star, days: int = PROMO_WINDOW_30D) -> DataFrame:
     """Per product x promotion: revenue and units before / during / after (30 days), and the
     % change of 'during' against the mean of 'before' and 'after'."""
-    units = units_by_product_day(star)
-    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
-    promos = promos.select(F.col("id_produit").alias("_pp"), "id_promotion", "valeur_promotion",
-                           "date_debut", "date_fin")
-    x = units.join(promos, (units.id_details_produits == promos._pp)
-                   & units.date.between(F.date_sub(promos.date_debut, days), F.date_add(promos.date_fin, days)))
+    start, end = F.col("date_debut"), F.col("date_fin")
+    windows = {BEFORE: (F.date_sub(start, days), F.least(F.date_sub(start, 1), F.date_add(end, days))), DURING: (start, end),
+               AFTER: (F.greatest(F.date_add(end, 1), start), F.date_add(end, days))}
+    x = _promo_windows(star, windows, "id_promotion", "valeur_promotion")
     prods = star.dim_produits.select("id_produit", "produit", "variation", "prix")
-    x = x.join(prods, x.id_details_produits == prods.id_produit)
-    periode = promo_period_label(F.col("date"), F.col("date_debut"), F.col("date_fin"), days)
-    unit = effective_price(F.col("prix"), F.col("valeur_promotion"), F.col("date"), F.col("date_debut"), F.col("date_fin"))
-    agr = (x.groupBy("id_produit", "produit", "variation", "prix", "id_promotion", periode.alias("periode"))
+    x = x.join(prods, "id_produit")
+    # a window has one price: a promotion's own days are the discounted ones
+    unit = F.when(F.col("periode") == DURING, discounted_price(F.col("prix"), F.col("valeur_promotion"))).otherwise(price(F.col("prix")).cast(UNIT))
+    agr = (x.groupBy("id_produit", "produit", "variation", "prix", "id_promotion", "periode")
            .agg(F.sum(money(F.col("qty"), unit)).cast("double").alias("ca"), F.sum("qty").alias("q")))
 
     def pick(p, c):
@@ -335,17 +344,12 @@ def sales_promo_sensitivity(star: Star, days: int = PROMO_WINDOW_30D, before_end
     first matching label wins, so "during" is only the promotion's last day.
     `before_end="promo_start"` ends "before" at start - 1 instead.
     """
-    units = units_by_product_day(star)
-    promos = promotions_with_dates(star).where(F.col("date_debut").isNotNull() & F.col("date_fin").isNotNull())
-    promos = promos.select(F.col("id_produit").alias("_pp"), "date_debut", "date_fin")
-    x = units.join(promos, (units.id_details_produits == promos._pp)
-                   & units.date.between(F.date_sub(promos.date_debut, days), promos.date_fin))
+    start, end = F.col("date_debut"), F.col("date_fin")
+    b_end = F.date_sub(end, 1) if before_end == "promo_end" else F.date_sub(start, 1)
+    windows = {BEFORE: (F.date_sub(start, days), F.least(b_end, end)), DURING: (F.greatest(start, F.date_add(b_end, 1)), end)}
+    x = _promo_windows(star, windows)
     prods = star.dim_produits.select("id_produit", "produit", "prix")
-    x = x.join(prods, x.id_details_produits == prods.id_produit)
-    b_end = F.date_sub(F.col("date_fin"), 1) if before_end == "promo_end" else F.date_sub(F.col("date_debut"), 1)
-    periode = (F.when(F.col("date").between(F.date_sub(F.col("date_debut"), days), b_end), BEFORE)
-               .when(F.col("date").between(F.col("date_debut"), F.col("date_fin")), DURING).otherwise(PERIOD_OTHER_30D))
-    x = x.withColumn("periode", periode).withColumn("_m", money(F.col("qty"), price(F.col("prix"))))
+    x = x.join(prods, "id_produit").withColumn("_m", money(F.col("qty"), price(F.col("prix"))))
     # Both periods in one aggregation (the reference self-joins the per-period aggregate).
     comp = (x.groupBy("id_produit", "produit")
             .agg(F.sum(F.when(F.col("periode") == BEFORE, F.col("_m"))).cast("double").alias("ca_avant"),

@@ -2,7 +2,8 @@
 
 A `Star` is built from the ten staging tables.  Nothing runs until a KPI
 result is written or collected, except the channel dimension's surrogate ids,
-which are checkpointed once per Star (see operators/surrogate.py).
+which are checkpointed once per Star (see operators/surrogate.py), and the two
+tables that many KPIs share: the display names and the product x day rollup.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from vitrine.operators import marts
 
 class Star:
     def __init__(self, spark: SparkSession, staging: dict[str, DataFrame],
-                 cal_start: str = marts.REFERENCE_CAL_START, cal_end: str = marts.REFERENCE_CAL_END):
+                 cal_start: str = marts.REFERENCE_CAL_START, cal_end: str = marts.REFERENCE_CAL_END, root: str | None = None):
+        """root: a folder for the star's shared tables; without it they lie in the session's checkpoint folder."""
         self.spark = spark
+        self.root = root
         self.stg = staging
         self.cal_start = cal_start
         self.cal_end = cal_end
@@ -93,6 +96,30 @@ class Star:
                                    ["categorie"], "cat_rank")
         return prods.join(ids, "id_produit", "left").join(cats, "categorie", "left").checkpoint(eager=True)
 
+    @cached_property
+    def product_days(self) -> DataFrame:
+        """Units per product and order day, stored once per star: every line, and the lines of orders that aren't cancelled.
+
+        id_details_produits, date (NULL: the line's order is unknown or outside the
+        calendar), qty and n (all lines), live_qty and live_n (lines of live orders).
+        The one line / order join of the KPIs on units; map-side combined, so a hot
+        product leaves a task as one row per day."""
+        from pyspark.sql import functions as F
+
+        from vitrine.functions.pricing import not_cancelled
+        from vitrine.sources.ingest import scratch_dir
+        from vitrine.sources.store import read_table, replace_table
+
+        orders = self.orders_dated.select("id_commande", F.col("date_commande").alias("date"),
+                                          F.coalesce(not_cancelled(F.col("statut_commande")), F.lit(False)).alias("live"))
+        lines = self.details.select("id_commande", "id_details_produits", "quantite").join(orders, "id_commande", "left")
+        rollup = lines.groupBy("id_details_produits", "date").agg(
+            F.sum("quantite").alias("qty"), F.count(F.lit(1)).alias("n"),
+            F.sum(F.when(F.col("live"), F.col("quantite"))).alias("live_qty"), F.count(F.when(F.col("live"), 1)).alias("live_n"))
+        target = f"{self.root or scratch_dir(self.spark, 'star')}/product_days"
+        replace_table(rollup, target)
+        return read_table(self.spark, target)
+
     @cached_property
     def promotions_dated(self) -> DataFrame:
         """dim_promotions plus the calendar dates of its two ids (internal)."""
