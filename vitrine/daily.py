@@ -26,21 +26,27 @@ storage (the session's checkpoint folder is used when no root is given).
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.operators.quality import DECLARED_CHECKS, dq_report
 from vitrine.operators.staging import build_staging
 from vitrine.registry import STAR_KEYS
-from vitrine.sources.ingest import ingest_batch_log, ingest_overwrite_sink, scratch_dir
+from vitrine.sources.ingest import ingest_batch_log, scratch_dir
 from vitrine.sources.catalogue import SOURCES, register_sources
-from vitrine.sources.store import read_table, replace_catalog_table
+from vitrine.sources.store import replace_catalog_table, replace_table
 from vitrine.star import Star
 
 ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_commande",
                "stg_satisfaction": "id_commande"}
+#: tables of the star that several KPIs read, stored or checkpointed when first used
+SHARED_TABLES = ("product_days", "products_display", "product_ranks", "dim_canal")
+
+
 
 def database_of(location: str) -> str:
     """A database of its own for every folder."""
@@ -83,12 +89,12 @@ class _Available(dict):
 
 def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = None,
               cal_start: str | None = None, cal_end: str | None = None, as_of: str | None = None,
-              buckets: int | None = None, bucketed: bool = True) -> dict[str, DataFrame]:
+              buckets: int | None = None, bucketed: bool = True, at_once: int = 4) -> dict[str, DataFrame]:
     """Load every export, rebuild staging and the star, write every KPI and the quality report.
 
     A failed export is logged; what depends on it is left out and named in `skipped`
     (result, missing table), the rest is built from this run's tables only.  The
-    calendar spans the loaded data unless its bounds are given
+    KPIs are built `at_once` at a time.  The calendar spans the loaded data unless its bounds are given
     (`marts.REFERENCE_CAL_START`, `REFERENCE_CAL_END` are the reference's).
     Returns the load log, the skipped results, the quality report and the KPI
     tables (re-read from storage).
@@ -103,14 +109,26 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
     low, high = calendar_bounds(staging)
     star = Star(spark, staging, cal_start or low, cal_end or high, root=f"{root}/star")
     out, skipped = {"load_log": log}, []
-    for key, fn in KPI_FUNCTIONS.items():
+    for shared in SHARED_TABLES:  # once, before the KPIs that read them are built side by side
+        try:
+            getattr(star, shared)
+        except MissingSource:
+            pass
+
+    def build(item):
+        key, fn = item
         try:
             df = fn(star, as_of) if key == "sat_by_delivery_state" else fn(star)
         except MissingSource as missing:
-            skipped.append((key, str(missing)))
-            continue
-        ingest_overwrite_sink(df, f"{root}/kpis/{key}")
-        out[key] = read_table(spark, f"{root}/kpis/{key}")
+            return key, None, str(missing)
+        return key, replace_table(df, f"{root}/kpis/{key}"), None
+
+    with ThreadPoolExecutor(at_once) as pool:
+        for key, df, missing in pool.map(inheritable_thread_target(spark)(build), KPI_FUNCTIONS.items()):
+            if df is None:
+                skipped.append((key, missing))
+            else:
+                out[key] = df
     models = {}
     for key in STAR_KEYS:
         try:
@@ -118,7 +136,6 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
         except MissingSource as missing:
             skipped.append((key, str(missing)))
     checks = [c for c in DECLARED_CHECKS if c.model in models and (c.to_model is None or c.to_model in models)]
-    ingest_overwrite_sink(dq_report(models, checks), f"{root}/quality/dq_report")
-    out["dq_report"] = read_table(spark, f"{root}/quality/dq_report")
+    out["dq_report"] = replace_table(dq_report(models, checks), f"{root}/quality/dq_report")
     out["skipped"] = spark.createDataFrame(skipped, "result string, missing string")
     return out

@@ -61,8 +61,11 @@ def switch(spark: SparkSession, target: str, run: str, keep: int = KEEP) -> None
             spark.range(0).write.mode("overwrite").parquet(f"{target}/{name}")
 
 
-def replace_table(df: DataFrame, target: str, keep: int = KEEP) -> None:
-    switch(df.sparkSession, target, write_run(df, target), keep)
+def replace_table(df: DataFrame, target: str, keep: int = KEEP) -> DataFrame:
+    """Write df as the target's table; returns it re-read."""
+    run = write_run(df, target)
+    switch(df.sparkSession, target, run, keep)
+    return df.sparkSession.read.parquet(f"{target.rstrip('/')}/{run}")
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:

@@ -108,7 +108,7 @@ class Star:
 
         from vitrine.functions.pricing import not_cancelled
         from vitrine.sources.ingest import scratch_dir
-        from vitrine.sources.store import read_table, replace_table
+        from vitrine.sources.store import replace_table
 
         orders = self.orders_dated.select("id_commande", F.col("date_commande").alias("date"),
                                           F.coalesce(not_cancelled(F.col("statut_commande")), F.lit(False)).alias("live"))
@@ -117,8 +117,7 @@ class Star:
             F.sum("quantite").alias("qty"), F.count(F.lit(1)).alias("n"),
             F.sum(F.when(F.col("live"), F.col("quantite"))).alias("live_qty"), F.count(F.when(F.col("live"), 1)).alias("live_n"))
         target = f"{self.root or scratch_dir(self.spark, 'star')}/product_days"
-        replace_table(rollup, target)
-        return read_table(self.spark, target)
+        return replace_table(rollup, target)
 
     @cached_property
     def promotions_dated(self) -> DataFrame:
