@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from oracle.sql_staging import STG, with_raw
 from oracle.star_sql import with_star
 
 
@@ -62,3 +63,27 @@ SQL = {
     "dq_relationships": _report("relationships"),
     "dq_report": _report(None),
 }
+
+_BUILT = ("stg_commandes", "stg_promotions", "stg_clients", "stg_produits")
+_WISHES = ("wishes", """
+    SELECT 'P' || repeat('0', greatest(0, 5 - len(digits))) || digits AS id
+    FROM (SELECT substr(unnest(string_split(favoris, ',')), 2) AS digits, id_client FROM stg_clients WHERE favoris IS NOT NULL) WHERE id_client IS NOT NULL
+""")
+_READ = "CASE WHEN v LIKE '%\\%' ESCAPE '\\' THEN TRY_CAST(replace(v, '%', '') AS DECIMAL(9, 4)) ELSE TRY_CAST(replace(replace(v, '€', ''), ',', '.') AS DECIMAL(18, 6)) END"
+_DAYS = """(SELECT low, make_date((year(high) - 1)::INTEGER, 6, 30) AS high FROM (
+    SELECT min(low) AS low, max(high) AS high
+    FROM (SELECT CAST(o_orderdate AS DATE) AS low, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 + 1 AS INTEGER) AS high FROM orders
+          UNION ALL SELECT CAST(ts AS DATE) - 8766, CAST(ts AS DATE) - 8766 FROM events)))"""
+
+
+def _outside(column: str, of: str) -> str:
+    return f"SELECT 'facts_commandes', '{column}', 'outside_calendar', count(*) FILTER ({of} IS NULL OR {of} < low OR {of} > high) FROM stg_commandes, {_DAYS}"
+
+
+SQL["dq_build_report"] = with_raw(*(STG[m][0] for m in _BUILT), extra=[(m, STG[m][1]) for m in _BUILT] + [_WISHES]) + f"""
+SELECT 'dim_promotions' AS model, 'valeur_promotion' AS column_name, 'unreadable' AS test, count(*) FILTER (v IS NOT NULL AND {_READ} IS NULL) AS violations
+FROM (SELECT valeur_promotion AS v FROM stg_promotions)
+UNION ALL {_outside("id_date_commande", "date_commande")}
+UNION ALL {_outside("id_date_livraison", "date_livraison_estimee")}
+UNION ALL SELECT 'wishlist', 'favoris', 'unmatched', count(*) FROM wishes WHERE id NOT IN (SELECT id FROM stg_produits WHERE id IS NOT NULL)
+"""

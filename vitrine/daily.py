@@ -33,7 +33,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.operators.quality import DECLARED_CHECKS, dq_report
+from vitrine.operators.quality import DECLARED_CHECKS, dq_build_report, dq_report
 from vitrine.operators.staging import build_staging
 from vitrine.registry import STAR_KEYS
 from vitrine.sources.ingest import ingest_batch_log, scratch_dir
@@ -44,7 +44,7 @@ from vitrine.star import Star
 ORDER_KEYED = {"stg_commandes": "id_commande", "stg_details_commandes": "id_commande",
                "stg_satisfaction": "id_commande"}
 #: tables of the star that several KPIs read, stored or checkpointed when first used
-SHARED_TABLES = ("product_days", "products_display", "product_ranks", "dim_canal")
+SHARED_TABLES = ("product_days", "products_display", "product_ranks", "canal_lookup")
 
 
 
@@ -137,5 +137,9 @@ def run_daily(spark: SparkSession, exports: dict[str, str], root: str | None = N
             skipped.append((key, str(missing)))
     checks = [c for c in DECLARED_CHECKS if c.model in models and (c.to_model is None or c.to_model in models)]
     out["dq_report"] = replace_table(dq_report(models, checks), f"{root}/quality/dq_report")
+    try:
+        out["dq_build_report"], _ = dq_build_report(star, f"{root}/star")
+    except MissingSource as missing:
+        skipped.append(("dq_build_report", str(missing)))
     out["skipped"] = spark.createDataFrame(skipped, "result string, missing string")
     return out

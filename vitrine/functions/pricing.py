@@ -46,6 +46,11 @@ def promo_amount(valeur: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(valeur, "€", ""), ",", ".").try_cast(AMOUNT)
 
 
+def unreadable_promotion(valeur: Column) -> Column:
+    """A promotion value that is there but is neither a percentage nor an amount."""
+    return valeur.isNotNull() & F.when(promo_value_is_percent(valeur), promo_percent(valeur).isNull()).otherwise(promo_amount(valeur).isNull())
+
+
 def discounted_price(prix: Column, valeur: Column) -> Column:
     """Catalogue price after the promotion value, floored at 0.
 

@@ -127,14 +127,14 @@ def facts_campaigns(stg_campaigns: DataFrame, canal: DataFrame, cal: DataFrame)
                     F.col("id_canal").alias("id_canal_dim_canal"), "id_date"))
 
 
-def orders_dated(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
-    """Orders inside the calendar, with their calendar ids and dates (inner joins, as the fact).
+def orders_in_calendar(stg_commandes: DataFrame, cal: DataFrame, how: str = "left") -> DataFrame:
+    """Orders with their calendar ids and dates, NULL where the calendar has no such day.
 
     Both lookups join the same calendar frame (aliased), so the plan broadcasts it once.
     """
     o, d1, d2 = stg_commandes.alias("o"), cal.alias("d1"), cal.alias("d2")
-    return (o.join(d1, F.col("o.date_commande") == F.col("d1.date"))
-            .join(d2, F.col("o.date_livraison_estimee") == F.col("d2.date"))
+    return (o.join(d1, F.col("o.date_commande") == F.col("d1.date"), how)
+            .join(d2, F.col("o.date_livraison_estimee") == F.col("d2.date"), how)
             .select("o.id_commande", "o.statut_commande",
                     F.col("o.id_promotion_appliquee").alias("id_promotion"),
                     "o.mode_de_paiement", F.col("o.numero_tracking").alias("id_tracking"),
@@ -143,6 +143,11 @@ def orders_dated(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
                     F.col("d1.date").alias("date_commande"), F.col("d2.date").alias("date_livraison")))
 
 
+def orders_dated(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
+    """Orders inside the calendar, with their calendar ids and dates (inner joins, as the fact)."""
+    return orders_in_calendar(stg_commandes, cal, "inner")
+
+
 def facts_commandes(stg_commandes: DataFrame, cal: DataFrame) -> DataFrame:
     return orders_dated(stg_commandes, cal).drop("date_commande", "date_livraison")
 

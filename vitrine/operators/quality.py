@@ -1,23 +1,28 @@
 """Declarative data-quality checks, re-aimed as Spark jobs that count violations.
 
 The reference declares column tests in YAML and runs them after the build.
-Here each test is one aggregate over the model:
+Here a report over any number of them is one job that reads every model once:
 
 * unique:        values (non-null) that occur more than once;
 * not_null:      rows whose value is NULL;
 * relationships: child rows whose non-null value has no parent row.
 
-Every check is a map-side-combined aggregate (a hot value is counted per
-partition before the shuffle), and the relationship check aggregates child
-values before the anti-join, so a skewed child key never reaches the join as
-many rows.  Violations are reported, never fixed.
+Every model sends its checked values, tagged with what they are checked for, into
+one union.  A tag is a domain (a key column, or a parent key with its children)
+and a slot in it (0 the key itself, 1.. the child columns); one aggregate per
+(domain, value) counts the slots side by side, and the violations of all checks
+are sums over its rows.  The aggregate is map-side combined, so a hot value
+leaves a task as one row.  Violations are reported, never fixed.  Values meet as
+text, so a child must write its key like its parent.
+
+`dq_build_report` has counts of another kind, taken while models are built.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -98,39 +103,89 @@ def dq_relationships(child: DataFrame, column: str, parent: DataFrame, field: st
     return values.join(keys, "value", "left_anti")
 
 
-def _row(check: Check, violations: Column) -> Column:
-    return F.struct(F.lit(check.model).alias("model"), F.lit(check.column).alias("column_name"), F.lit(check.test).alias("test"),
-                    violations.cast("long").alias("violations"))
+def _domains(checks: list[Check]) -> dict[tuple[str, str], list[tuple[str, str]]]:
+    """(model, column) of a key -> the columns counted in its domain: the key itself, then the children that refer to it."""
+    out: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for c in checks:
+        own = (c.model, c.column)
+        key = (c.to_model, c.to_column) if c.test == "relationships" else own
+        slots = out.setdefault(key, [key])
+        if own not in slots:
+            slots.append(own)
+    return out
 
 
-def _column_violations(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """The unique and not_null checks of one column from one count per value."""
-    value, n = F.col("value"), F.col("n")
-    counts = df.groupBy(F.col(checks[0].column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    found = {"unique": F.count_if(value.isNotNull() & (n > 1)), "not_null": F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0))}
-    one = counts.agg(*[found[c.test].alias(c.test) for c in checks])
-    return one.select(F.explode(F.array(*[_row(c, F.col(c.test)) for c in checks])).alias("r")).select("r.*")
+def _tagged(df: DataFrame, tags: list[tuple[int, int, str]]) -> DataFrame:
+    """One pass over a model: domain, slot, value for every tagged column of every row."""
+    rows = F.array(*[F.struct(F.lit(d).alias("domain"), F.lit(s).alias("slot"), F.col(c).cast("string").alias("value")) for d, s, c in tags])
+    return df.select(F.explode(rows).alias("t")).select("t.*")
 
 
-def _orphans(models: dict[str, DataFrame], check: Check) -> DataFrame:
-    n = (dq_relationships(models[check.model], check.column, models[check.to_model], check.to_column)
-         .agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("n")))
-    return n.select(_row(check, F.col("n")).alias("r")).select("r.*")
+def _violations(check: Check, domain: int, slots: list[tuple[str, str]]) -> Column:
+    here, value, key = F.col("domain") == domain, F.col("value"), F.coalesce("n0", F.lit(0))
+    if check.test == "unique":
+        return F.count_if(here & value.isNotNull() & (key > 1))
+    if check.test == "not_null":
+        return F.sum(F.when(here & value.isNull(), key))
+    own = F.col(f"n{slots.index((check.model, check.column))}")
+    return F.sum(F.when(here & value.isNotNull() & (key == 0), own))
 
 
 def dq_report(models: dict[str, DataFrame], checks=DECLARED_CHECKS, test: str | None = None) -> DataFrame:
-    """All declared checks (optionally one test type), one row each."""
+    """All declared checks (optionally one test type), one row each: model, column_name, test, violations."""
     selected = [c for c in checks if test is None or c.test == test]
     unknown = {c.test for c in selected} - {"unique", "not_null", "relationships"}
     if unknown:
         raise ValueError(f"unknown tests {sorted(unknown)}")
-    columns: dict[tuple[str, str], list[Check]] = {}
-    for c in selected:
-        if c.test != "relationships":
-            columns.setdefault((c.model, c.column), []).append(c)
-    parts = [_column_violations(models[own[0].model], own) for own in columns.values()]
-    parts += [_orphans(models, c) for c in selected if c.test == "relationships"]
-    out = parts[0]
+    domains = _domains(selected)
+    tags: dict[str, list[tuple[int, int, str]]] = {}
+    for d, slots in enumerate(domains.values()):
+        for s, (model, column) in enumerate(slots):
+            tags.setdefault(model, []).append((d, s, column))
+    parts = [_tagged(models[m], own) for m, own in tags.items()]
+    rows = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        rows = rows.unionByName(p)
+    counts = rows.groupBy("domain", "value").agg(*[F.count(F.when(F.col("slot") == s, 1)).alias(f"n{s}") for s in range(max(map(len, domains.values())))])
+    number = {key: d for d, key in enumerate(domains)}
+
+    def found(c: Check) -> Column:
+        key = (c.to_model, c.to_column) if c.test == "relationships" else (c.model, c.column)
+        return F.coalesce(_violations(c, number[key], domains[key]), F.lit(0)).cast("long")
+
+    one = counts.agg(*[found(c).alias(f"c{k}") for k, c in enumerate(selected)])
+    lines = F.array(*[F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), F.lit(c.test).alias("test"), F.col(f"c{k}").alias("violations"))
+                      for k, c in enumerate(selected)])
+    return one.select(F.explode(lines).alias("r")).select("r.*")
+
+
+def dq_build_report(star, root: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """What the models lose or cannot read, counted by the jobs that build them: (report, the models, stored under root).
+
+    * promotion values that are neither a percentage nor an amount (their discount is NULL);
+    * orders without a calendar day for their date, or for their estimated delivery (they are not in the fact);
+    * wishlist elements without a product.
+
+    The counts are observed metrics of the writes: no model is read a second time.
+    """
+    from vitrine.functions.pricing import unreadable_promotion
+    from vitrine.operators import marts
+    from vitrine.plans.sales import wishlist_matches
+    from vitrine.sources.store import replace_table
+
+    spark, models, lines = star.spark, {}, []
+
+    def build(name: str, observed: DataFrame, finish, metrics: dict[str, tuple[str, Column]]) -> None:
+        seen = Observation()
+        counted = observed.observe(seen, *[F.coalesce(x, F.lit(0)).cast("long").alias(c) for c, (_, x) in metrics.items()])
+        models[name] = replace_table(finish(counted), f"{root}/{name}")
+        lines.extend((name, c, test, seen.get[c]) for c, (test, _) in metrics.items())
+
+    build("dim_promotions", star.dim_promotions, lambda df: df, {"valeur_promotion": ("unreadable", F.count_if(unreadable_promotion(F.col("valeur_promotion"))))})
+    build("facts_commandes", marts.orders_in_calendar(star.stg["stg_commandes"], star.cal),
+          lambda df: df.where("date_commande IS NOT NULL AND date_livraison IS NOT NULL").drop("date_commande", "date_livraison"),
+          {"id_date_commande": ("outside_calendar", F.count_if(F.col("id_date_commande").isNull())),
+           "id_date_livraison": ("outside_calendar", F.count_if(F.col("id_date_livraison").isNull()))})
+    build("wishlist", wishlist_matches(star), lambda df: df.where("id_produit IS NOT NULL"),
+          {"favoris": ("unmatched", F.sum(F.when(F.col("id_produit").isNull(), F.col("nb_fois_ajoute"))))})
+    return spark.createDataFrame(lines, "model string, column_name string, test string, violations long"), models

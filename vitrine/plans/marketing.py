@@ -21,7 +21,7 @@ def _campaigns_by_channel(star: Star) -> DataFrame:
     per_id = (star.facts_campaigns.groupBy("id_canal_dim_canal")
               .agg(F.sum(F.col("budget").cast(BUDGET)).alias("_budget"),
                    F.sum("clics").alias("_clics"), F.sum("conversions").alias("_conv")))
-    canal = star.dim_canal
+    canal = star.canal_lookup
     return (per_id.join(canal, per_id.id_canal_dim_canal == canal.id_canal)
             .groupBy(F.col("nom_canal").alias("canal"))
             .agg(F.sum("_budget").alias("budget"), F.sum("_clics").alias("clics"), F.sum("_conv").alias("conv")))
@@ -104,7 +104,7 @@ def mkt_monthly_promo_vs_budget(star: Star) -> DataFrame:
     camp = star.facts_campaigns
     cal = star.cal.select(F.col("id_date").alias("_id"), F.col("date").alias("_d"))
     budget = (camp.join(cal, camp.id_date == cal._id)
-              .join(star.dim_canal, camp.id_canal_dim_canal == star.dim_canal.id_canal)
+              .join(star.canal_lookup, camp.id_canal_dim_canal == star.canal_lookup.id_canal)
               .groupBy(F.trunc("_d", "month").alias("b_mois"), "id_canal_dim_canal", "evenement_type", "nom_canal")
               .agg(F.round(F.sum(F.col("budget").cast(BUDGET)), 2).alias("b_budget"))
               .select("b_mois", F.col("nom_canal").alias("canal"), "evenement_type", "b_budget"))
@@ -158,7 +158,7 @@ SENTIMENT_VALUES = SENTIMENTS
 def mkt_sentiment_daily(star: Star) -> DataFrame:
     p = star.facts_posts
     cal = star.cal
-    x = p.join(cal, p.id_date == cal.id_date).join(star.dim_canal, p.id_canal == star.dim_canal.id_canal)
+    x = p.join(cal, p.id_date == cal.id_date).join(star.canal_lookup, p.id_canal == star.canal_lookup.id_canal)
     s = F.lower(bq_trim(F.col("sentiment_global")))
     return (x.groupBy("date", "nom_canal")
             .agg(F.count(F.lit(1)).alias("total_mentions"),

@@ -170,14 +170,19 @@ def wishlist_product_id(fav: F.Column) -> F.Column:
     return F.concat(F.lit("P"), F.when(F.length(digits) < 5, F.lpad(digits, 5, "0")).otherwise(digits))
 
 
-def sales_wishlist_counts(star: Star) -> DataFrame:
-    """Wishlist additions per product."""
+def wishlist_matches(star: Star) -> DataFrame:
+    """Wishlist additions per rebuilt product id, with its product (NULL where the catalogue has none): id_produit, produit, nb_fois_ajoute."""
     # Count per rebuilt id first (map-side combined), then join the catalogue.
     counts = (star.dim_favoris.where(F.col("id_client").isNotNull())
               .groupBy(wishlist_product_id(F.col("favoris")).alias("_pid"))
               .agg(F.count(F.lit(1)).alias("nb_fois_ajoute")))
     prods = star.dim_produits.select("id_produit", "produit")
-    return (prods.join(counts, prods.id_produit == counts._pid)
+    return counts.join(prods, prods.id_produit == counts._pid, "left").select("id_produit", "produit", "nb_fois_ajoute")
+
+
+def sales_wishlist_counts(star: Star) -> DataFrame:
+    """Wishlist additions per product."""
+    return (wishlist_matches(star).where(F.col("id_produit").isNotNull())
             .groupBy("id_produit", "produit").agg(F.sum("nb_fois_ajoute").alias("nb_fois_ajoute"))
             .select("produit", "nb_fois_ajoute")
             .orderBy(F.desc("nb_fois_ajoute")))

@@ -97,7 +97,22 @@ def _dq(test: str | None) -> Query:
     return run
 
 
+def _dq_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts taken while the models are built from the dirty raw tables, in a calendar that ends before the last orders."""
+    from vitrine.operators.quality import dq_build_report
+    from vitrine.operators.staging import build_staging
+    from vitrine.sources import testdata
+    from vitrine.sources.ingest import scratch_dir
+    from vitrine.sources.raw_fixtures import RAW_SPECS, raw_table
+    from vitrine.star import Star
+
+    staging = build_staging({t: raw_table(spark, sf_dir, t) for t in RAW_SPECS})
+    low, high = testdata.calendar_bounds(spark, sf_dir)
+    return dq_build_report(Star(spark, staging, low, f"{int(high[:4]) - 1}-06-30"), scratch_dir(spark, "models"))[0]
+
+
 QUERIES.update({
+    "dq_build_report": _dq_build,
     "dq_unique": _dq("unique"),
     "dq_not_null": _dq("not_null"),
     "dq_relationships": _dq("relationships"),

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.operators import marts
+from vitrine.operators.lookup import size_checked
 
 
 class Star:
@@ -40,6 +41,11 @@ class Star:
     def dim_canal(self) -> DataFrame:
         return marts.dim_canal(self.stg["stg_campaigns"], self.stg["stg_posts"])
 
+    @cached_property
+    def canal_lookup(self) -> DataFrame:
+        """dim_canal with a broadcast hint if its counted rows allow it: facts then meet it without an exchange on the channel name."""
+        return size_checked(self.dim_canal)
+
     @cached_property
     def dim_clients(self) -> DataFrame:
         return marts.dim_clients(self.stg["stg_clients"])
@@ -135,7 +141,7 @@ class Star:
     # --- facts ---------------------------------------------------------------------
     @cached_property
     def facts_campaigns(self) -> DataFrame:
-        return marts.facts_campaigns(self.stg["stg_campaigns"], self.dim_canal, self.cal)
+        return marts.facts_campaigns(self.stg["stg_campaigns"], self.canal_lookup, self.cal)
 
     @cached_property
     def orders_dated(self) -> DataFrame:
@@ -152,7 +158,7 @@ class Star:
 
     @cached_property
     def facts_posts(self) -> DataFrame:
-        return marts.facts_posts(self.stg["stg_posts"], self.cal, self.dim_canal)
+        return marts.facts_posts(self.stg["stg_posts"], self.cal, self.canal_lookup)
 
 
 _STAR_CACHE: dict[tuple[int, str], Star] = {}
