@@ -24,6 +24,8 @@ def test_stages_by_hand(spark):
     stage = dict(corpus_pipeline.STAGES)
     one = stage[names[0]](spark, docs, SF)
     assert {r.doc_id for r in one.collect()} == {i for i, r in rows.items() if any(c.isalpha() for c in r.text or "")}
+    predicted = {r.doc_id: r.lang_pred for r in queries.op6_cross_parsing(spark, SF).collect()}
+    assert all(r.lang == predicted[r.doc_id] for r in one.collect())  # the stage writes what it has found
     two = stage[names[1]](spark, one, SF)
     last = {}
     for r in one.collect():

@@ -257,3 +257,39 @@ def test_word_order_tells_languages_apart():
     texts = {"up": langid.language_text([" ".join(words * 20)]), "down": langid.language_text([" ".join(words[::-1] * 20)])}
     judge = langid.Languages(texts).judge
     assert judge(" ".join(words * 3))[0] == "up" and judge(" ".join(words[::-1] * 3))[0] == "down"
+
+
+def _parsed(languages, text):
+    """Language and score by one plain parse for each language."""
+    spelled = langid.running(text) if text else ""
+    if not spelled or not languages.names:
+        return "und", 0.0
+    cost = sorted((langid.phrases(steps, spelled) * b, n) for steps, b, n in zip(languages.automata, languages.bits, languages.names))
+    return cost[0][1], 1.0 if len(cost) == 1 else 1.0 - cost[0][0] / cost[1][0]
+
+
+def test_texts_parsed_side_by_side_equal_one_by_one(spark, rows, monkeypatch):
+    texts = [t for _, t, *_ in rows] + ["日本語 の テキスト", "½ ² ① Ⅷ", "zzz", "é", " a " * 500]
+    samples = {"en": [t for t in texts[:40]], "de": ["der hund sieht die katze und größe"], "ja": ["日本語 テキスト の 言葉"], "xx": ["a"]}
+    learned = {lang: langid.language_text([t or "" for t in x]) for lang, x in samples.items()}
+    for few, block, dense in ((96, 1 << 24, 1 << 26), (0, 1 << 24, 1 << 26), (0, 1 << 24, 0), (10, 500, 0), (10 ** 9, 1 << 24, 1 << 26)):
+        monkeypatch.setattr(langid, "FEW", few)
+        monkeypatch.setattr(langid, "BLOCK_CHARS", block)
+        languages = langid.Languages(learned, dense)
+        assert isinstance(languages.edges, langid.Edges) == (dense == 0)
+        assert languages.judge_all(texts) == [_parsed(languages, t) for t in texts]
+    one = langid.Languages({"en": learned["en"]})
+    assert one.judge_all(texts) == [_parsed(one, t) for t in texts]
+    assert langid.Languages({}).judge_all(["a", None]) == [("und", 0.0)] * 2 and languages.judge_all([]) == []
+
+
+def test_predictions_of_the_table_equal_a_plain_parse(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    languages = langid.Languages(langid.learn(table.where(~langid.held_out(F.col("doc_id")))))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(table).collect()}
+    assert got == {r.doc_id: _parsed(languages, r.text) for r in table.collect()}
+
+
+def test_only_letters_make_words():
+    assert [langid.running(t) for t in ("½ ² ① Ⅷ 12 ٣", "x² naïve’s", "हिन्दी", "e\u0301tat", "a\u2167b")] == ["", " x naïve s ", " हिन्दी ", " e\u0301tat ", " a b "]
+    assert langid.Languages({"en": " a b "}).judge("½ ² Ⅷ") == ("und", 0.0)
