@@ -19,7 +19,7 @@ from vitrine.session import ensure_checkpoint_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without any language (null, no letter) go."""
+    """Every text's language is found and written into lang; texts without any (null, no letter) go."""
     return langid.keep_identified(docs)
 
 
