@@ -67,9 +67,9 @@ FROM income FULL JOIN outlay USING (mois)
 SQL["mkt_promo_effectiveness"] = with_star(*SALES_TABLES, extra=[SOLD, OFFERS,
     ("takings", f"SELECT prod, jour, sum(q) AS q, round({_BASE}, 2) AS taken FROM sold JOIN dim_produits ON id_produit = prod GROUP BY prod, jour"),
     ("summed", """
-        SELECT offer, any_value(prod) AS prod, any_value(kind) AS kind, any_value(worth) AS worth, sum(taken) AS all_taken, sum(q) AS all_q,
+        SELECT offer, prod, any_value(kind) AS kind, any_value(worth) AS worth, sum(taken) AS all_taken, sum(q) AS all_q,
                coalesce(sum(taken) FILTER (jour >= du AND jour <= au), 0) AS taken_then, coalesce(sum(q) FILTER (jour >= du AND jour <= au), 0) AS q_then
-        FROM offers JOIN takings USING (prod) WHERE du IS NOT NULL AND au IS NOT NULL GROUP BY offer
+        FROM offers JOIN takings USING (prod) WHERE du IS NOT NULL AND au IS NOT NULL GROUP BY offer, prod
     """)]) + f"""
 SELECT offer AS id_promotion, prod AS id_produit, kind AS type_promotion,
        TRY_CAST(translate(translate(worth, '%€ ', ''), ',', '.') AS DOUBLE) AS valeur_promotion,

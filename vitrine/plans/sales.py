@@ -22,6 +22,7 @@ from vitrine.fixed_values import (AGE_BAND_OTHER, AGE_BANDS, DECLINE_RUN, LEAST_
                                   PERIOD_LABELS_7D, PERIOD_OTHER_7D, PROMO_WINDOW_7D, PROMO_WINDOW_30D,
                                   SENSITIVITY_HIGH, SENSITIVITY_HIGH_AT, SENSITIVITY_LOW, SENSITIVITY_LOW_AT,
                                   SENSITIVITY_MID, UNSOLD_LABEL, PERIOD_LABELS_30D)
+from vitrine.session import ensure_checkpoint_dir
 from vitrine.star import Star
 
 BEFORE, DURING, AFTER = PERIOD_LABELS_30D
@@ -324,7 +325,10 @@ def sales_promo_variation_30d(star: Star, days: int = PROMO_WINDOW_30D) -> DataF
             .agg(pick(BEFORE, "ca").alias("ca_avant"), pick(DURING, "ca").alias("ca_pendant"),
                  pick(AFTER, "ca").alias("ca_apres"), pick(BEFORE, "q").alias("qte_avant"),
                  pick(DURING, "q").alias("qte_pendant"), pick(AFTER, "q").alias("qte_apres")))
-    # COUNT(DISTINCT prix) OVER (PARTITION BY produit) over the surviving rows.
+    # COUNT(DISTINCT prix) OVER (PARTITION BY produit) over the surviving rows: one row per product
+    # and promotion, read twice, so worked out once.
+    ensure_checkpoint_dir(star.spark)
+    comp = comp.checkpoint()
     nb = comp.groupBy("produit").agg(F.countDistinct("prix").alias("_nb"))
     comp = comp.join(nb, "produit")
     name = F.when((F.col("_nb") > 1) & F.col("variation").isNotNull(),
