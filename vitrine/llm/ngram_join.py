@@ -18,9 +18,15 @@ distinct n-word shingles (64-bit hashes; ASCII letters lower-cased).
    star here, not pairs.
 4. What is left are pairs across components inside a tile.  Tiles are cut into
    size bands (partners differ by at most `percent` in size) and, where they are
-   large, into blocks.  In some rounds every node is compared with its likeliest
-   partner of another component, which joins the large groups; the last round
-   compares all pairs across components that the bitmaps still allow.
+   large, into cells: rows outside a tile's largest component (minors) and the
+   others are dealt into blocks, and a cell holds two blocks.  A tile's row
+   carries the shingle's place in the set's order, which bounds the overlap when
+   this tile is the pair's first, and a bitmap of fixed width; the whole bitmap is
+   met once for each pair that these allow.  In some rounds every node is compared
+   with its likeliest partner of another component, which joins the large groups;
+   the last round compares all pairs across components that are still allowed.
+5. Sets of pairs that are left travel once: the side with fewer pairs is sent to
+   the other one, whose senders are dealt out where they are many.
 
 Defined results: null and empty texts have an empty set and link with nothing;
 fewer than n words give one shingle of all words; repeated rows are copies; null
@@ -46,6 +52,8 @@ from vitrine.session import ensure_checkpoint_dir
 FREQUENT, FREQUENT_IN_CHUNK, CHUNK = 1 << 16, 8, 1 << 22
 #: rows of a tile that meet in one comparison; rounds of likeliest pairs across components before the one over all pairs
 TILE_ROWS, ROUNDS = 2048, 1
+#: bits of a tile row's bitmap; candidate pairs looked at together; senders that meet one receiver's set; routes that are broadcast
+COARSE, PAIRS, SENDERS, ROUTES = 1 << 10, 1 << 18, 4096, 200_000
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -138,6 +146,11 @@ def _members(frequent: np.ndarray, n: int, percent: int):
     return run
 
 
+def _ranges(count: np.ndarray) -> np.ndarray:
+    """0 to count - 1 for each count, one after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
 def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, size, tiles, parts) -> one row for each tile."""
     for batch in batches:
@@ -147,7 +160,7 @@ def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = [np.frombuffer(x, np.int32) for x in piece.column("parts").to_pylist()]
             count = np.array([len(t) for t in tiles])
             yield pa.record_batch({"tile": np.concatenate(tiles), "part": np.concatenate(parts), "node": np.repeat(piece.column("node").to_numpy(), count),
-                                   "size": np.repeat(piece.column("size").to_numpy(), count)})
+                                   "size": np.repeat(piece.column("size").to_numpy(), count), "place": _ranges(count).astype(np.int32)})
 
 
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +170,9 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     node alone in its part still meets the other parts.  Streams: the state is
     the last row.
     """
-    names = ["tile", "part", "node", "size"]
-    last = None  # the tile that is open: key, pivot, whether the pivot's own row is out
+    last = None  # the tile that is open: key and pivot
     for batch in batches:
-        t, p, v, s = (batch.column(c).to_numpy(zero_copy_only=False) for c in names)
+        t, p, v, s, at = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "part", "node", "size", "place"))
         if not len(t):
             continue
         new = np.empty(len(t), bool)
@@ -168,23 +180,25 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new[0] = last is None or (t[0], p[0]) != last[:2]
         begins = np.flatnonzero(new)
         group = np.cumsum(new) - 1
-        pivot, psize = np.empty(len(t), np.int64), np.empty(len(t), np.int32)
         own = group >= 0
-        pivot[own], psize[own] = v[begins][group[own]], s[begins][group[own]]
-        if not new[0]:
-            pivot[~own], psize[~own] = last[2], last[3]
+        pivot, psize, pplace = (np.empty(len(t), x.dtype) for x in (v, s, at))
+        for k, (x, source) in enumerate(((pivot, v), (psize, s), (pplace, at))):
+            x[own] = source[begins][group[own]]
+            if not new[0]:
+                x[~own] = last[2 + k]
         other = (v != pivot) | (s != psize)
         # copies of a node from several partitions are neighbours: one row is enough
         again = np.zeros(len(t), bool)
         again[1:] = (v[1:] == v[:-1]) & (s[1:] == s[:-1]) & ~new[1:]
         keep = np.flatnonzero((other & ~again) | (new & (p >= 0)))
-        yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, pivot, psize)], ["tile", "part", "node", "size", "pivot", "pivot_size"])
-        last = (t[-1], p[-1], pivot[-1], psize[-1])
+        yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, at, pivot, psize, pplace)],
+                              ["tile", "part", "node", "size", "place", "pivot", "pivot_size", "pivot_place"])
+        last = (t[-1], p[-1], pivot[-1], psize[-1], pplace[-1])
 
 
 def _bits(s: np.ndarray) -> bytes:
     """Bitmap of the set's shingles by their low bits; four to eight bits for each, a power of two."""
-    out = np.zeros(1 << max(9, int(4 * len(s)).bit_length()), np.uint8)
+    out = np.zeros(max(COARSE, 1 << int(4 * len(s)).bit_length()), np.uint8)
     out[(s & np.uint64(len(out) - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
 
@@ -197,21 +211,52 @@ def _folded(bits: bytes, width: int) -> np.ndarray:
     return x
 
 
-def _may_link(size: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Upper bound of the overlap of a set with others (rows of bitmaps), and whether it allows a link."""
+def _may_link(size: np.ndarray, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Upper bound of the overlap of sets with others (rows of bitmaps), and whether it allows a link."""
     mine = np.bitwise_count(bits & ~others).sum(axis=1).astype(np.int64)
     theirs = np.bitwise_count(others & ~bits).sum(axis=1).astype(np.int64)
     common = np.minimum(size - mine, sizes - theirs)  # each bit that one side alone has is a shingle that the other lacks
     return common, 100 * common >= percent * (size + sizes - common)
 
 
-def _set_rows(n: int):
-    """Documents -> (node, size, shingles): the sorted array as bytes."""
+def _coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, size, bits) with bitmaps of COARSE bits."""
+    for batch in batches:
+        bits = [_folded(x, COARSE // 8).tobytes() for x in batch.column("bits").to_pylist()]
+        yield pa.record_batch([batch.column("node"), batch.column("size"), pa.array(bits, pa.binary())], ["node", "size", "bits"])
+
+
+def _named_texts(n: int):
+    """(text) -> (text, node, size)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(_node(s), len(s)) for s in _sets(batch.column("text"), n)]
+            yield pa.record_batch([batch.column("text"), pa.array([a for a, _ in sets], pa.int64()), pa.array([b for _, b in sets], pa.int32())],
+                                  ["text", "node", "size"])
+
+    return run
+
+
+def _sent_sets(n: int, most: int = 16 << 20):
+    """(text, node, size, to) -> the sorted array as bytes, a row for each receiver; rows of at most `most` bytes at a time."""
+    names = ["dst", "dst_size", "part", "node", "size", "shingles"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held = [], 0
         for batch in batches:
-            sets = list(_sets(batch.column("text"), n))
-            yield pa.record_batch([pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()),
-                                   pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "size", "shingles"])
+            for k, (s, node, size) in enumerate(zip(_sets(batch.column("text"), n), batch.column("node").to_pylist(), batch.column("size").to_pylist())):
+                if len(s) != size or _node(s) != node:  # another text with the same id
+                    continue
+                raw = s.tobytes()
+                for x in batch.column("to")[k].as_py():
+                    out.append((x["dst"], x["dst_size"], x["part"], node, size, raw))
+                    held += len(raw) + 32
+                    if held >= most:
+                        yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
+                        out, held = [], 0
+        if out:
+            yield pa.record_batch([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names)
 
     return run
 
@@ -227,29 +272,49 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _verify(percent: int):
+    """Rows by receiver, its own set first -> senders (node) and receivers (other) that link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, mine = None, None
         for batch in batches:
-            a, b = batch.column("shingles").to_pylist(), batch.column("other_shingles").to_pylist()
-            keep = [k for k, (x, y) in enumerate(zip(a, b)) if _linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)]
-            yield batch.select(["node", "other"]).take(pa.array(keep, pa.int64()))
+            out, last = [], None
+            for *key, node, size, raw in zip(*(batch.column(c).to_pylist() for c in ("dst", "dst_size", "part", "node", "size", "shingles"))):
+                if (node, size) == tuple(key[:2]):
+                    held, mine = key, np.frombuffer(raw, np.uint64)
+                elif key == held and (key, node, size) != last and _linked(np.frombuffer(raw, np.uint64), mine, percent):
+                    out.append((node, key[0]))
+                last = (key, node, size)
+            yield pa.record_batch([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["node", "other"])
 
     return run
 
 
-def size_checked(table: DataFrame, rows: int = 200_000) -> DataFrame:
-    """A broadcast hint for a stored table of at most `rows` short rows; a shuffled join beyond."""
-    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
-
-
 def _links(pairs: DataFrame, base: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
-    """pairs (node, size, other, other_size; stored) -> the linked ones (node, other): the sets of these nodes only are made again."""
-    both = pairs.select("node", "size").unionByName(pairs.select(F.col("other").alias("node"), F.col("other_size").alias("size"))).distinct()
-    one = nodes.join(both, ["node", "size"], "left_semi").groupBy("node", "size").agg(F.min("id").alias("id")).select("id").where("id is not null").checkpoint()
-    texts = base.join(size_checked(one), "id", "left_semi").unionByName(base.where("id is null"))
-    sets = texts.mapInArrow(_set_rows(n), "node long, size int, shingles binary").join(both, ["node", "size"], "left_semi").dropDuplicates(["node", "size"])
-    other = sets.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("shingles").alias("other_shingles"))
-    return (pairs.join(sets, ["node", "size"]).join(other, ["other", "other_size"])
-            .select("node", "other", "shingles", "other_shingles").mapInArrow(_verify(percent), "node long, other long"))
+    """pairs (node, size, other, other_size; stored) -> the linked ones (node, other): the sets of these nodes only are made again.
+
+    The side with fewer pairs sends its set, so a node sends at most as many sets
+    as the square root of twice the pairs.
+    """
+    sides = pairs.select("node", "size").unionByName(pairs.select(F.col("other").alias("node"), F.col("other_size").alias("size")))
+    degree = sides.groupBy("node", "size").agg(F.count(F.lit(1)).alias("k"))
+    both = (pairs.join(degree, ["node", "size"])
+            .join(degree.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("k").alias("other_k")), ["other", "other_size"]))
+    a, b = F.struct("k", "node", "size"), F.struct(F.col("other_k").alias("k"), F.col("other").alias("node"), F.col("other_size").alias("size"))
+    sent = (both.select(F.least(a, b).alias("s"), F.greatest(a, b).alias("d"))
+            .select("s.node", "s.size", F.col("d.node").alias("dst"), F.col("d.size").alias("dst_size"), F.expr(f"1 + int(d.k div {SENDERS})").alias("parts"))
+            .withColumn("part", F.pmod(F.xxhash64("node", "size"), "parts").cast("int")))
+    own = (sent.select("dst", "dst_size", "parts").distinct()
+           .select(F.col("dst").alias("node"), F.col("dst_size").alias("size"), "dst", "dst_size", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+    to = (sent.drop("parts").unionByName(own).groupBy("node", "size").agg(F.collect_set(F.struct("dst", "dst_size", "part")).alias("to")))
+    ids = nodes.where("id is not null").groupBy("node", "size").agg(F.min("id").alias("id"))
+    route = to.join(ids, ["node", "size"], "left").checkpoint()
+    named, routes = route.where("id is not null"), route.agg(F.sum(F.size("to"))).first()[0] or 0
+    texts = (base.join(F.broadcast(named) if routes <= ROUTES else named, "id").select("text", "node", "size", "to")
+             .unionByName(base.where("id is null").select("text").mapInArrow(_named_texts(n), "text string, node long, size int")
+                          .join(route.where("id is null").drop("id"), ["node", "size"]).select("text", "node", "size", "to")))
+    return (texts.mapInArrow(_sent_sets(n), "dst long, dst_size int, part int, node long, size int, shingles binary")
+            .repartition("dst", "dst_size", "part")
+            .sortWithinPartitions("dst", "dst_size", "part", F.expr("node <> dst or size <> dst_size"), "node", "size")
+            .mapInArrow(_verify(percent), "node long, other long"))
 
 
 def _bounded(percent: int):
@@ -259,7 +324,7 @@ def _bounded(percent: int):
             keep, bound = [], []
             for k, (a, x, b, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("size", "bits", "other_size", "other_bits")))):
                 width = min(len(x), len(y))
-                common, ok = _may_link(a, _folded(x, width), np.array([b]), _folded(y, width)[None, :], percent)
+                common, ok = _may_link(np.array([a]), _folded(x, width)[None, :], np.array([b]), _folded(y, width)[None, :], percent)
                 if ok[0]:
                     keep.append(k)
                     bound.append(float(common[0] / (a + b - common[0])))
@@ -270,39 +335,72 @@ def _bounded(percent: int):
 
 
 def _across(percent: int, best: bool):
-    """One block of a banded tile -> pairs across components whose bitmaps allow a link, with their bound.
+    """Rows by (tile, band, cell) -> pairs across components that place, size and bitmap allow, with the bitmap's bound.
 
-    Rows: minor (of another component than most of the tile) or not; pairs are
-    minor against all others, minor pairs among themselves in block 0 only.
-    best: of every minor node its likeliest pair; else all pairs, each only in
-    the smallest tile that both nodes have.
+    Rows of side 0 meet each other and side 1, rows of side -1 meet side 1 only.
+    best: of every row of side 0 or -1 its likeliest pair in the cell.  Streams:
+    the state is the rows of the cell that is open.
     """
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        node, comp = table.column("node").to_numpy(), table.column("component").to_numpy()
-        size = table.column("size").to_numpy().astype(np.int64)
-        minor, block, own = (table.column(c).to_numpy(zero_copy_only=False) for c in ("minor", "block", "own"))
-        raw = table.column("bits").to_pylist()
-        width = min(map(len, raw))
-        words = np.stack([_folded(x, width) for x in raw])
-        tile = key[0].as_py()
-        tiles = None if best else [np.sort(np.frombuffer(x, np.int64)) for x in table.column("tiles").to_pylist()]
-        out = []
-        for i in np.flatnonzero(minor).tolist():
-            rest = np.flatnonzero((comp != comp[i]) & (own | own[i]) & (~minor | ((block == 0) & (np.arange(len(node)) > i)))
-                                  & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
-            top = None
-            for at in range(0, len(rest), 4096):
-                r = rest[at: at + 4096]
-                common, ok = _may_link(int(size[i]), words[i], size[r], words[r], percent)
-                r, bound = r[ok], (common / (size[i] + size[r] - common))[ok]
-                if best and len(r) and (top is None or bound.max() > top[2]):
-                    top = (i, int(r[bound.argmax()]), float(bound.max()))
-                elif not best:
-                    out += [(i, k, b) for k, b in zip(r.tolist(), bound.tolist()) if np.intersect1d(tiles[i], tiles[k], assume_unique=True)[0] == tile]
-            if top:
-                out.append(top)
-        a, b = np.array([x[0] for x in out], np.int64), np.array([x[1] for x in out], np.int64)
-        return pa.table({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32), "bound": np.array([x[2] for x in out], float)})
+    names = ["tile", "band", "cell", "side", "own", "node", "size", "place", "component"]
+
+    def compare(rows: dict[str, np.ndarray], begin: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """begin, end: bounds of each row's cell."""
+        node, size, place, comp, side, own, bits = (rows[c] for c in ("node", "size", "place", "component", "side", "own", "bits"))
+        left = np.flatnonzero((side <= 0) & (end - begin > 1))
+        width = (end - begin)[left]
+        upto = np.cumsum(width)
+        at = 0
+        while at < len(left):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+            a = np.repeat(left[at:to], width[at:to])
+            b = np.repeat(begin[left[at:to]], width[at:to]) + _ranges(width[at:to])
+            at = to
+            x, y = size[a], size[b]
+            common = np.minimum(x - place[a], y - place[b])
+            ok = ((comp[a] != comp[b]) & (own[a] | own[b]) & ((side[b] == 1) | ((side[a] == 0) & (side[b] == 0) & ((a < b) | best)))
+                  & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (100 * common >= percent * (x + y - common)))
+            a, b = a[ok], b[ok]
+            common, ok = _may_link(size[a], bits[a], size[b], bits[b], percent)
+            a, b, common = a[ok], b[ok], common[ok]
+            bound = common / (size[a] + size[b] - common)
+            if best and len(a):
+                order = np.lexsort((-bound, a))
+                order = order[np.r_[True, a[order][1:] != a[order][:-1]]]
+                a, b, bound = a[order], b[order], bound[order]
+            if len(a):
+                yield pa.record_batch({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32), "bound": bound})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+
+        def close(rows: dict[str, np.ndarray], begins: np.ndarray, total: int) -> Iterator[pa.RecordBatch]:
+            count = np.diff(np.r_[begins, total])
+            yield from compare(rows, np.repeat(begins, count), np.repeat(begins + count, count))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            rows["size"], rows["place"] = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+            rows["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            new = np.r_[True, np.any([rows[c][1:] != rows[c][:-1] for c in ("tile", "band", "cell")], axis=0)]
+            if held:
+                new[0] = any(rows[c][0] != held[-1][c][-1] for c in ("tile", "band", "cell"))
+            begins = np.flatnonzero(new)
+            if not len(begins):
+                held.append(rows)
+                continue
+            # the open cell ends here: it and the whole cells of this batch
+            cut = begins[-1]
+            if held or cut:
+                whole = {c: np.concatenate([*(h[c] for h in held), rows[c][:cut]]) for c in rows}
+                before = sum(len(h["tile"]) for h in held)
+                starts = begins[:-1] + before
+                yield from close(whole, np.r_[0, starts] if before and (not len(starts) or starts[0]) else starts, len(whole["tile"]))
+            held = [{c: x[cut:] for c, x in rows.items()}]
+        if held:
+            whole = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+            yield from close(whole, np.array([0]), len(whole["tile"]))
 
     return run
 
@@ -316,17 +414,17 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base.mapInArrow(_members(frequent_shingles(base, n), n, percent), f"id {dict(base.dtypes)['id']}, node long, size int, bits binary, tiles binary, parts binary").write.parquet(f"{folder}/nodes")
     stored = spark.read.parquet(f"{folder}/nodes")
     nodes = stored.select("id", "node", "size")
-    tiles = stored.where("tiles is not null").select("node", "size", "tiles", "parts").mapInArrow(_tile_rows, "tile long, part int, node long, size int")
+    tiles = stored.where("tiles is not null").select("node", "size", "tiles", "parts").mapInArrow(_tile_rows, "tile long, part int, node long, size int, place int")
     # tiles with two nodes or more
     (tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "node", "size")
-     .mapInArrow(_pivots, "tile long, part int, node long, size int, pivot long, pivot_size int").write.parquet(f"{folder}/tiles"))
+     .mapInArrow(_pivots, "tile long, part int, node long, size int, place int, pivot long, pivot_size int, pivot_place int").write.parquet(f"{folder}/tiles"))
     open_tiles = spark.read.parquet(f"{folder}/tiles")
-    pivot = open_tiles.select("tile", F.col("pivot").alias("node"), F.col("pivot_size").alias("size"))
-    met = open_tiles.select("tile", "node", "size").unionByName(pivot)
-    (stored.where("bits is not null").join(met.select("node", "size").distinct(), ["node", "size"], "left_semi").select("node", "size", "bits", "tiles")
+    pivot = open_tiles.select("tile", F.col("pivot").alias("node"), F.col("pivot_size").alias("size"), F.col("pivot_place").alias("place"))
+    met = open_tiles.select("tile", "node", "size", "place").unionByName(pivot)
+    (stored.where("bits is not null").join(met.select("node", "size").distinct(), ["node", "size"], "left_semi").select("node", "size", "bits")
      .dropDuplicates(["node", "size"]).write.parquet(f"{folder}/signatures"))
-    signatures = spark.read.parquet(f"{folder}/signatures")
-    bits = signatures.select("node", "size", "bits")
+    bits = spark.read.parquet(f"{folder}/signatures")
+    coarse = bits.mapInArrow(_coarse, "node long, size int, bits binary")
 
     fits = f"100L * least(size, other_size) >= {percent} * greatest(size, other_size)"
     star = open_tiles.select("node", "size", F.col("pivot").alias("other"), F.col("pivot_size").alias("other_size"))
@@ -347,25 +445,35 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # rounds over the likeliest pairs across components, then one over all that are left
     links, ratio = first, float(np.log(100 / percent))
     for best in [True] * ROUNDS + [False]:
-        every = met.distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).checkpoint()
-        mixed = (every.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("tile")
-                 .agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("rows"), F.max(F.struct("k", "component")).alias("major"))
-                 .where("components > 1").select("tile", "rows", F.col("major.component").alias("major")))
-        left = (every.join(mixed, "tile").withColumn("minor", F.col("component") != F.col("major"))
-                .withColumn("blocks", F.ceil(F.col("rows") / TILE_ROWS).cast("int"))
-                .withColumn("block", F.when(F.col("minor"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), "blocks").cast("int"))))
-                .withColumn("block", F.explode("block")).withColumn("band", F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int"))
-                # a band's sets meet each other (own) and the larger ones of the next band
-                .withColumn("b", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
-                                                   F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))))
-                .select("tile", F.col("b.band").alias("band"), F.col("b.own").alias("own"), "block", "minor", "node", "size", "component"))
-        alive = left.groupBy("tile", "band", "block").agg(F.max("own").alias("any_own"), F.max("minor").alias("any_minor"), F.count(F.lit(1)).alias("k")).where("any_own and any_minor and k > 1")
-        signed = bits if best else signatures
-        pairs = (left.join(alive.select("tile", "band", "block"), ["tile", "band", "block"]).join(signed, ["node", "size"]).groupBy("tile", "band", "block")
-                 .applyInArrow(_across(percent, best), "node long, size int, other long, other_size int, bound double"))
+        every = (met.distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                 .withColumn("band", F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int")).checkpoint())
+        mixed = (every.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("k"), F.max("band").alias("top")).groupBy("tile")
+                 .agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("rows"), F.max("top").alias("top"), F.max(F.struct("k", "component")).alias("major"))
+                 .where("components > 1")
+                 .select("tile", "top", F.col("major.component").alias("major"), F.expr(f"int(ceil((rows - major.k) / {TILE_ROWS}))").alias("m"),
+                         F.expr(f"int(ceil(major.k / {TILE_ROWS}))").alias("r")))
+        # cells: a block of minors with a block of the others (with the first one the minors meet each other, too), and two blocks of minors
+        cells = """CASE WHEN minor THEN
+            concat(transform(sequence(0, r - 1), j -> named_struct('cell', bigint(i) * r + j, 'side', CASE WHEN j = 0 THEN 0 ELSE -1 END)),
+                   transform(filter(sequence(0, m - 1), j -> j <> i),
+                             j -> named_struct('cell', -1 - (bigint(least(i, j)) * m + greatest(i, j)), 'side', CASE WHEN i < j THEN -1 ELSE 1 END)))
+            ELSE transform(sequence(0, m - 1), j -> named_struct('cell', bigint(j) * r + i, 'side', 1)) END"""
+        rows = (every.join(mixed, "tile").withColumn("minor", F.col("component") != F.col("major"))
+                .withColumn("i", F.expr("int(pmod(xxhash64(node, size), CASE WHEN minor THEN m ELSE r END))"))
+                .withColumn("c", F.explode(F.expr(cells)))
+                # a band's sets meet each other (own) and the smaller ones of the band below
+                .withColumn("b", F.explode(F.expr("""CASE WHEN band < top THEN array(named_struct('band', band, 'own', true), named_struct('band', band + 1, 'own', false))
+                                                     ELSE array(named_struct('band', band, 'own', true)) END""")))
+                .select("tile", "b.band", "c.cell", "c.side", "b.own", "node", "size", "place", "component"))
+        pairs = (rows.join(coarse, ["node", "size"]).repartition("tile", "band", "cell").sortWithinPartitions("tile", "band", "cell")
+                 .mapInArrow(_across(percent, best), "node long, size int, other long, other_size int, bound double"))
         if best:
             pairs = pairs.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b")).select("node", "size", "b.other", "b.other_size")
-        pairs = pairs.drop("bound").distinct().checkpoint()
+        pairs = (pairs.select(F.least(F.struct("node", "size"), F.struct(F.col("other").alias("node"), F.col("other_size").alias("size"))).alias("a"),
+                              F.greatest(F.struct("node", "size"), F.struct(F.col("other").alias("node"), F.col("other_size").alias("size"))).alias("b"))
+                 .select("a.node", "a.size", F.col("b.node").alias("other"), F.col("b.size").alias("other_size")).distinct())
+        pairs = (pairs.join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
+                 .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double").drop("bound").checkpoint())
         new = _links(pairs, base, nodes, n, percent).checkpoint()
         if best and new.limit(1).count() == 0:
             continue
