@@ -48,7 +48,7 @@ def op4_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return class_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("perplexity")
+    return class_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
