@@ -68,6 +68,18 @@ def test_near_components_with_small_tiles_and_no_order(spark, docs, rows, monkey
     assert _near(spark, docs) == want
 
 
+def test_near_copies_with_senders_dealt_out(spark, monkeypatch):
+    """A hub whose senders meet it in many parts; routes are joined by a shuffle."""
+    monkeypatch.setattr(ngram_join, "TILE_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "SENDERS", 2)
+    monkeypatch.setattr(ngram_join, "ROUTES", 0)
+    w = [f"w{k}" for k in range(80)]
+    rows = [(k, " ".join([*w[: 79 - k], f"edit{k}"]), "en", "s") for k in range(9)] + [(50 + k, " ".join(f"v{k}-{j}" for j in range(40)), "en", "s") for k in range(3)]
+    rows += [(None, " ".join(w), "en", "s"), (60, None, "en", "s")]
+    got = _near(spark, frame(spark, rows))
+    assert {i: c for (i, _), c in got.items() if i is not None} == {k: 0 for k in range(9)} | {50: 50, 51: 51, 52: 52, 60: 60}
+
+
 def test_near_copies_of_a_text_with_thousands_of_copies(spark):
     """Every shared tile is dealt out to three parts by its copies, and most nodes are alone in theirs."""
     w = [f"w{k}" for k in range(80)]
