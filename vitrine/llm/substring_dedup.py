@@ -11,15 +11,17 @@ window that covers it also starts in a document with a smaller id.
 2. Route.  A document goes, once, to each shard that holds one of its recurring
    names.  Shards are sized by their words; one that a frequent passage makes
    too large is cut into parts by a hash of the document.
-3. Passages.  Of the windows with recurring names those that two documents share
-   are confirmed (inside a shard's one group; for a shard of several parts by
-   partial sums of their distinct windows); runs of them are passages, text of
-   their first document.
-4. Locate.  The passages of a shard, compiled into Aho-Corasick automata (one
+3. Passages.  A map over the routed documents gives their windows with recurring
+   names; partial aggregates by window confirm those that two documents share.
+   Runs of them, cut into pieces that overlap by a window, are passages, text of
+   their first document.  A shard's passages are dealt into blocks by their own
+   hash, so that a task holds one part of the documents and one block.
+4. Locate.  A block of passages, compiled into Aho-Corasick automata (one
    letter per distinct word; patterns are the aligned half windows, one of which
-   lies in any window), stream over every document of every part of the shard.
+   lies in any window), streams over every document of every part of the shard.
    Each hit is extended by half a window to the left and right by comparing
-   words, so what is removed is proved on the words, not on hashes.
+   words, so what is removed is proved on the words, not on hashes.  Spans of a
+   document's shards and blocks are united.
 
 Defined results: null text has no words; null ids neither remove nor lose words;
 rows that share an id are not each other's source; empty tables give no rows.
@@ -42,8 +44,8 @@ from vitrine.llm.textwords import blocks, gram_hashes
 from vitrine.session import ensure_checkpoint_dir
 
 _COVERED = re.compile(rb"\x01+")
-#: words of a part of a shard, and of the passages in one automaton
-PART_WORDS, AUTOMATON_WORDS = 1_000_000, 800_000
+#: words of a part of a shard, of the passages in one automaton (and block), and of a passage's piece
+PART_WORDS, AUTOMATON_WORDS, PIECE_WORDS = 1_000_000, 800_000, 20_000
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -90,66 +92,40 @@ def _profiles(window: int):
     return run
 
 
-def _candidates(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Windows with recurring names of a part's documents, by id: hash, document, position; and the documents' words."""
-    hashes, owner, at, texts = [], [], [], []
-    names = table.column("names").to_pylist()
-    row = 0
-    for chunk in table.column("text").chunks:
-        for a, b, block in blocks(chunk, lower=False):
-            words = block.word_hashes()
-            for k in range(b - a):
-                own = words[block.first[k]: block.first[k + 1]]
-                texts.append(block.text_words(k))
-                known = np.array(names[row], np.int64).view(np.uint64)
-                which = np.flatnonzero(np.isin(window_names(own, window), known))
-                hashes.append(gram_hashes(own, window)[which])
-                owner.append(np.full(len(which), row))
-                at.append(which)
-                row += 1
-    return np.concatenate(hashes), np.concatenate(owner), np.concatenate(at), texts
-
-
-def _firsts(h: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of each window's first occurrence, in order, and whether more than one document has it."""
-    values, first, back = np.unique(h, return_index=True, return_inverse=True)
-    several = np.zeros(len(values), bool)
-    several[back[o != o[first][back]]] = True
-    order = np.argsort(first)
-    return first[order], several[order]
-
-
-def _runs(positions: np.ndarray, words: list[bytes], window: int) -> list[list[bytes]]:
-    """Passages that the windows at these (ascending) positions cover, one for each run of neighbours."""
-    cut = np.flatnonzero(positions[1:] != positions[:-1] + 1) + 1
-    return [words[run[0]: run[-1] + window] for run in np.split(positions, cut) if len(run)]
-
-
-def _within(window: int):
-    """All documents of a shard of one part -> removed spans: confirm, compile and locate in one group."""
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending"), ("row", "ascending")])
-        h, o, p, texts = _candidates(table, window)
-        first, several = _firsts(h, o)
-        first = first[several]
-        ids = table.column("id").to_pylist()
-        passages = [(ids[doc], run) for doc in np.unique(o[first]).tolist() for run in _runs(p[first[o[first] == doc]], texts[doc], window)]
-        return _removed(table, texts, passages, window)
+def _shared_windows(window: int):
+    """(id, row, text, to: shards and the names there) -> the windows with a recurring name, each once for a document and shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, row = batch.column("to").to_pylist(), 0
+            for a, b, block in blocks(batch.column("text"), lower=False):
+                words = block.word_hashes()
+                hashes, shards, owner, at = [], [], [], []
+                for k in range(b - a):
+                    own = words[block.first[k]: block.first[k + 1]]
+                    found, every = window_names(own, window), gram_hashes(own, window)
+                    for to in names[row + k]:
+                        which = np.flatnonzero(np.isin(found, np.array(to["names"], np.int64).view(np.uint64)))
+                        values, first = np.unique(every[which], return_index=True)
+                        hashes.append(values)
+                        shards.append(np.full(len(values), to["shard"], np.int32))
+                        owner.append(np.full(len(values), row + k))
+                        at.append(which[first])
+                row += b - a
+                if hashes:
+                    doc = pa.array(np.concatenate(owner))
+                    yield pa.record_batch([pa.array(np.concatenate(shards)), pa.array(np.concatenate(hashes).view(np.int64)), batch.column("id").take(doc),
+                                           batch.column("row").take(doc), pa.array(np.concatenate(at).astype(np.int32))], ["shard", "hash", "id", "row", "pos"])
 
     return run
 
 
-def _part_windows(window: int):
-    """One of several parts of a shard -> its distinct windows: hash, first document and position, whether two documents share it."""
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending"), ("row", "ascending")])
-        h, o, p, _ = _candidates(table, window)
-        first, several = _firsts(h, o)
-        doc = pa.array(o[first])
-        return pa.table({"shard": pa.array(np.full(len(first), key[0].as_py(), np.int32)), "hash": pa.array(h[first].view(np.int64)),
-                         "id": table.column("id").take(doc), "row": table.column("row").take(doc), "pos": pa.array(p[first].astype(np.int32)), "several": pa.array(several)})
-
-    return run
+def _runs(positions: np.ndarray, words: list[bytes], window: int) -> Iterator[list[bytes]]:
+    """Passages that the windows at these (ascending) positions cover, one for each run of neighbours, in pieces that overlap by a window."""
+    cut = np.flatnonzero(positions[1:] != positions[:-1] + 1) + 1
+    for run in np.split(positions, cut):
+        for k in range(0, len(run), PIECE_WORDS):
+            piece = run[k: k + PIECE_WORDS]
+            yield words[piece[0]: piece[-1] + window]
 
 
 def _cut_passages(window: int):
@@ -158,7 +134,7 @@ def _cut_passages(window: int):
         for batch in batches:
             out = {"shard": [], "source": [], "passage": []}
             for shard, source, text, at in zip(*(batch.column(c).to_pylist() for c in ("shard", "id", "text", "positions"))):
-                found = _runs(np.sort(np.array(at, np.int64)), text.encode().split(), window)
+                found = list(_runs(np.sort(np.array(at, np.int64)), text.encode().split(), window))
                 out["passage"] += [b" ".join(words).decode() for words in found]
                 out["shard"] += [shard] * len(found)
                 out["source"] += [source] * len(found)
@@ -271,7 +247,7 @@ def _removed(docs: pa.Table, texts: list[list[bytes]], passages: Iterable[tuple[
 
 
 def _locate(window: int):
-    """Documents of a part, and the passages of its shard -> removed spans."""
+    """Documents of a part, and a block of its shard's passages -> removed spans."""
     def run(docs: pa.Table, passages: pa.Table) -> pa.Table:
         texts = [t.as_py().encode().split() for t in docs.column("text")]
         found = ((s.as_py(), p.as_py().encode().split()) for s, p in zip(passages.column("source"), passages.column("passage")))
@@ -319,23 +295,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = routes.select("id", "shard").join(sized, "id").groupBy("shard").agg(F.ceil(F.sum("n_words") / PART_WORDS).cast("int").alias("parts")).checkpoint()
     routes = routes.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
 
-    (base.join(routes.groupBy("id").agg(F.collect_list(F.struct("shard", "part", "parts", "names")).alias("to")), "id").write.parquet(f"{folder}/routed"))
+    # one row for rows of one id and text
+    (base.join(routes.groupBy("id").agg(F.collect_list(F.struct("shard", "part", "names")).alias("to")), "id")
+     .dropDuplicates(["id", "row"]).write.parquet(f"{folder}/routed"))
     routed = spark.read.parquet(f"{folder}/routed")
-    placed = routed.select("id", "row", "text", F.explode("to").alias("t")).select("t.shard", "t.part", "t.parts", "t.names", "id", "row", "text")
-    removed = f"id {kind}, row long, spans {SPANS}"
-    whole = placed.where("parts = 1").select("shard", "names", "id", "row", "text").groupBy("shard").applyInArrow(_within(window), removed)
-    # a shard of several parts: windows are added up over its parts first
-    large = placed.where("parts > 1").drop("parts")
-    windows = (large.groupBy("shard", "part").applyInArrow(_part_windows(window), f"shard int, hash long, id {kind}, row long, pos int, several boolean")
-               .groupBy("shard", "hash").agg(F.min(F.struct("id", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("k"), F.max("several").alias("several"))
-               .where("k > 1 or several").groupBy("shard", "first.id", "first.row").agg(F.collect_list("first.pos").alias("positions")))
-    passages = (windows.join(routed.select("id", "row", "text").dropDuplicates(["id", "row"]), ["id", "row"]).select("shard", "id", "text", "positions")
-                .mapInArrow(_cut_passages(window), f"shard int, source {kind}, passage string").groupBy("shard", "passage").agg(F.min("source").alias("source")))
-    # every part of a shard gets all its passages
-    everywhere = passages.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "source", "passage")
-    located = (large.drop("names").groupBy("shard", "part").cogroup(everywhere.groupBy("shard", "part")).applyInArrow(_locate(window), removed))
-    spans = whole.unionByName(located).groupBy("id", "row").agg(F.collect_list("spans").alias("spans"))
-    cut = (routed.select("id", "row", "text").dropDuplicates(["id", "row"]).join(spans, ["id", "row"])
+    windows = (routed.mapInArrow(_shared_windows(window), f"shard int, hash long, id {kind}, row long, pos int")
+               .groupBy("shard", "hash").agg(F.min(F.struct("id", "row", "pos")).alias("first"), F.max("id").alias("last"))
+               .where("first.id <> last").groupBy("shard", "first.id", "first.row").agg(F.collect_list("first.pos").alias("positions")))
+    (windows.join(routed.select("id", "row", "text"), ["id", "row"]).select("shard", "id", "text", "positions")
+     .mapInArrow(_cut_passages(window), f"shard int, source {kind}, passage string").groupBy("shard", "passage").agg(F.min("source").alias("source"))
+     .write.parquet(f"{folder}/passages"))
+    passages = spark.read.parquet(f"{folder}/passages")
+    sizes = passages.groupBy("shard").agg(F.ceil(F.sum(F.length("passage") - F.length(F.replace("passage", F.lit(" "))) + 1) / AUTOMATON_WORDS).cast("int").alias("blocks"))
+    layout = parts.join(sizes, "shard").checkpoint()
+    # every part of a shard meets every block of its passages
+    dealt = (passages.join(layout, "shard").withColumn("block", F.pmod(F.xxhash64("passage"), "blocks").cast("int"))
+             .select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "block", "source", "passage"))
+    placed = (routed.select("id", "row", "text", F.explode("to").alias("t")).select(F.col("t.shard").alias("shard"), F.col("t.part").alias("part"), "id", "row", "text")
+              .join(layout, "shard").select("shard", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "row", "text"))
+    keys = ("shard", "part", "block")
+    located = placed.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInArrow(_locate(window), f"id {kind}, row long, spans {SPANS}")
+    spans = located.groupBy("id", "row").agg(F.collect_list("spans").alias("spans"))
+    cut = (routed.select("id", "row", "text").join(spans, ["id", "row"])
            .mapInArrow(_kept, f"id {kind}, row long, n_removed long, sha string, spans {SPANS}").withColumnRenamed("sha", "kept_sha"))
     return (profile.join(cut, ["id", "row"], "left")
             .select(F.col("id").alias(id_col), F.col("row").alias("text_hash"), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
