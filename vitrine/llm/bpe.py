@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -162,9 +163,10 @@ class BytePairs:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         split = [self.split(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
         known, ranks = self.known, self.ranks
+        if len(known) > CACHE:  # the older half goes
+            for piece in list(islice(known, CACHE // 2)):
+                del known[piece]
         new = list(dict.fromkeys(p for pieces in split for p in pieces if p not in known))
         raw = [p.encode() for p in new]
         merged = [k for k, w in enumerate(raw) if w not in ranks]
@@ -248,7 +250,19 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "id
 
 
 def token_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns `carry`, n_tokens, ids_sha256, decoded_sha256 of every row."""
-    both = decode(encode(docs, ranks_path, pattern, text_col, carry), ranks_path, pattern)
-    return both.select(*carry, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+    """The columns `carry`, n_tokens, ids_sha256, decoded_sha256 of every row: encoded, and decoded from the ids, in one pass."""
+    lines = _vocabulary(docs, ranks_path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = worker_pairs(lines.value, pattern)
+        for batch in batches:
+            texts = batch.column("text")
+            for a, b in _slices([t.as_buffer().size for t in texts], BLOCK):
+                ids = pairs.encode(texts[a:b].to_pylist())
+                decoded = [d for c, e in _slices([len(x) // 4 for x in ids], DECODE) for d in pairs.decode(ids[c:e])]
+                yield pa.record_batch([batch.column("row")[a:b], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                                       pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())], ["row", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    base = docs.select(F.struct(*carry).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return (base.mapInArrow(run, f"row {dict(base.dtypes)['row']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            .select("row.*", "n_tokens", "ids_sha256", "decoded_sha256"))
