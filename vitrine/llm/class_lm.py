@@ -36,7 +36,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -44,7 +44,7 @@ from vitrine.llm.shipping import ship_package
 from vitrine.session import ensure_checkpoint_dir
 
 #: bytes of text in a block
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
 
 
@@ -75,10 +75,10 @@ def _encode(id_type: pa.DataType):
         codes, train = [], []
         for text, out in zip(table.column("text"), table.column("held_out").to_pylist()):
             words = tokens(text.as_py())
-            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            at = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
             codes.append(_packed(at))
             if not out:
-                train.append(at.astype(np.int32))
+                train.append(at)
         n, docs = len(number), len(codes)
         counts = np.bincount(np.concatenate(train), minlength=n) if train else np.zeros(n, np.int64)
         none = lambda k, kind: pa.nulls(k, kind)
@@ -124,7 +124,7 @@ def _neighbours(size: int, words: bool):
             width = 2 * size + 1
             held += [a[right] * width + cls[b[right]], b[left] * width + size + cls[a[left]], a[same] * width + 2 * size]
             waiting += 2 * len(a)
-            if waiting > 4_000_000:
+            if waiting > 2_000_000:
                 codes, counts = added(held)
                 held, waiting = [], 0
         if not words:
@@ -353,10 +353,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out:
     encoded = spark.read.parquet(f"{folder}/encoded")
     texts = encoded.where("codes is not null").select("block", "id", "held_out", "codes")
     train = texts.where(~F.col("held_out")).select("block", "codes")
-    # a word has one row per block at most, however frequent it is
-    over = Window.partitionBy("word").orderBy("block")
-    (encoded.where("word is not null").select("block", "place", "word", "n").withColumn("count", F.sum("n").over(Window.partitionBy("word"))).where("count > 0")
-     .withColumn("key", F.xxhash64("word")).withColumn("word", F.when(F.row_number().over(over) == 1, F.col("word")))
+    # summed before the shuffle, so a frequent word costs no more than others; its first block holds the word itself
+    own = encoded.where("word is not null").select("block", "place", "word", "n")
+    totals = own.groupBy("word").agg(F.sum("n").alias("count"), F.min("block").alias("first")).where("count > 0")
+    (own.drop("n").join(totals, "word").withColumn("key", F.xxhash64("word")).withColumn("word", F.when(F.col("block") == F.col("first"), F.col("word")))
      .select("block", "place", "count", "key", "word").write.parquet(f"{folder}/counted"))
     counted = spark.read.parquet(f"{folder}/counted")
     once = counted.where("word is not null")
