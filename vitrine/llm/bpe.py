@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.shipping import ship_package
 
 #: characters encoded together, words kept by a worker, words per recursive query, bytes of a long word, tokens decoded together
-BLOCK, CACHE, QUERY_WORDS, LONG, DECODE = 1 << 20, 150_000, 8_000, 64, 1 << 18
+BLOCK, CACHE, QUERY_WORDS, LONG, DECODE = 1 << 20, 400_000, 16_000, 64, 1 << 18
 
 CONTRACT = """
 with recursive steps(step, word, pos, token, next, next_pos) as (
