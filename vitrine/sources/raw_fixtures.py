@@ -19,13 +19,15 @@ The same rules are written independently in SQL for the oracle.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.session import ensure_checkpoint_dir
 from vitrine.sources import testdata
+from vitrine.sources.ingest import scratch_dir
 
 
 @dataclass(frozen=True)
@@ -124,31 +126,38 @@ def _key_number(keys) -> Column:
 
 
 def dirty(base: DataFrame, spec: RawSpec) -> DataFrame:
-    b = base.withColumn("_k", _key_number(spec.keys))
-    k = F.col("_k")
-    cols = list(spec.columns)
+    """The dirty rows of `base` in one pass: a row leaves as its copies' numbers, and each copy takes its own values.
+
+    0: the base row; 1: the less complete duplicate; 2: the equally complete one; 3: the copy without a key.
+    """
+    k, copy = F.col("_k"), F.col("_copy")
+    first = spec.keys[0]
+    # one literal array per combination of the rules, so that a row's copies are looked up
+    rules = (F.when(k % 4 == 0, 1).otherwise(0) + F.when(k % 9 == 0, 2).otherwise(0)
+             + F.when((k % 50 == 1) | (k % 50 == 2), 4).otherwise(0))
+    copies = F.array(F.lit(0))
+    for m in range(1, 8):
+        numbers = [0] + [i + 1 for i in range(3) if m >> i & 1]
+        copies = F.when(F.col("_rules") == m, F.array(*[F.lit(n) for n in numbers])).otherwise(copies)
 
     def q(n):
         return F.col(f"`{n}`")
 
     def padded(n):
         if n not in spec.text and n not in spec.keys:
-            return q(n).alias(n)
+            return q(n)
         return (F.when((k % 7 == 0) & q(n).isNotNull(), F.concat(F.lit("  "), q(n), F.lit(" ")))
                 .when((k % 11 == 0) & q(n).isNotNull(), F.concat(q(n), F.lit("\t")))
-                .otherwise(q(n)).alias(n))
-
-    v0 = b.select(*[padded(n) for n in cols])
-    v1 = b.where(k % 4 == 0).select(*[
-        q(n).alias(n) if n in spec.keys
-        else F.when(k % 8 == 0, F.lit(None).cast("string")).otherwise(F.lit("")).alias(n) for n in cols])
-    v2 = b.where(k % 9 == 0).select(*[
-        F.concat(q(n), F.lit("Z")).alias(n) if n == spec.alt else q(n).alias(n) for n in cols])
-    first = spec.keys[0]
-    v3 = b.where((k % 50 == 1) | (k % 50 == 2)).select(*[
-        F.when(k % 50 == 1, F.lit(None).cast("string")).otherwise(F.lit("   ")).alias(n) if n == first
-        else q(n).alias(n) for n in cols])
-    return v0.unionByName(v1).unionByName(v2).unionByName(v3)
+                .otherwise(q(n)))
+
+    def value(n):
+        emptied = q(n) if n in spec.keys else F.when(k % 8 != 0, F.lit(""))
+        again = F.concat(q(n), F.lit("Z")) if n == spec.alt else q(n)
+        keyless = F.when(k % 50 == 2, F.lit("   ")) if n == first else q(n)
+        return F.when(copy == 0, padded(n)).when(copy == 1, emptied).when(copy == 2, again).otherwise(keyless).alias(n)
+
+    numbered = base.withColumn("_k", _key_number(spec.keys)).withColumn("_rules", rules).withColumn("_copy", F.explode(copies))
+    return numbered.select(*[value(n) for n in spec.columns])
 
 
 _RAW_CACHE: dict[tuple[int, str, str], DataFrame] = {}
@@ -157,18 +166,24 @@ _RAW_CACHE: dict[tuple[int, str, str], DataFrame] = {}
 def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """The dirty raw table, materialised once per session like an export at rest.
 
-    The reliable checkpoint (shared checkpoint folder) also keeps the optimizer
-    from pushing a staging model's filters into this derivation, where they
-    would run once per source row instead of once per raw row.
+    The stored table (Parquet under the shared checkpoint folder) also keeps the
+    optimizer from pushing a staging model's filters into this derivation, where
+    they would run once per source row instead of once per raw row.  It is stored
+    as it is, so that a split of the file holds rows in proportion to its size.
     """
     key = (id(spark), sf_dir, table)
     cached = _RAW_CACHE.get(key)
     if cached is None or cached.sparkSession is not spark:
-        ensure_checkpoint_dir(spark)
-        cached = dirty(_base(spark, sf_dir, table), RAW_SPECS[table]).checkpoint(eager=True)
+        made = dirty(_base(spark, sf_dir, table), RAW_SPECS[table])
+        target = f"{scratch_dir(spark, 'raw-export')}/{table}"
+        made.write.options(**{"compression": "none", "parquet.enable.dictionary": "false"}).parquet(target)
+        cached = spark.read.schema(made.schema).parquet(target)
         _RAW_CACHE[key] = cached
     return cached
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: raw_table(spark, sf_dir, t) for t in RAW_SPECS}
+def raw_tables(spark: SparkSession, sf_dir: str, at_once: int = 4) -> dict[str, DataFrame]:
+    """All ten raw tables, `at_once` made at a time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        made = pool.map(inheritable_thread_target(spark)(lambda t: raw_table(spark, sf_dir, t)), RAW_SPECS)
+        return dict(zip(RAW_SPECS, made))
