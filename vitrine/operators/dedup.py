@@ -37,8 +37,9 @@ def dedup_by_completeness(df: DataFrame, key: list[Column], score: Column, outpu
     orderable keys (see asc_nulls_last / desc_nulls_last).
     """
     src = df.where(where) if where is not None else df
+    keys = [f"_key{i}" for i in range(len(key))]
     staged = src.select(
-        *[k.alias(f"_key{i}") for i, k in enumerate(key)],
+        *[k.alias(n) for k, n in zip(key, keys)],
         (-score).alias("_neg_score"),
         *[t.alias(f"_tb{i}") for i, t in enumerate(tiebreak or [])],
         *outputs,
@@ -46,8 +47,10 @@ def dedup_by_completeness(df: DataFrame, key: list[Column], score: Column, outpu
     out_cols = staged.columns[len(key) + 1 + len(tiebreak or []):]
     if len(out_cols) != len(outputs):
         raise ValueError("outputs must be distinct aliased columns")
-    order = F.struct(F.col("_neg_score"), *[F.col(f"_tb{i}") for i in range(len(tiebreak or []))],
-                     *[asc_nulls_last(F.col(c)).alias(f"_o{i}") for i, c in enumerate(out_cols)])
-    # the order holds every output column once; the winner's values are read back from it
-    best = staged.groupBy(*[f"_key{i}" for i in range(len(key))]).agg(F.min(order).alias("_best"))
-    return best.select(*[F.col(f"_best._o{i}.value").alias(c) for i, c in enumerate(out_cols)])
+    # per output column: is it missing, then its value (NULLs last), side by side in one flat struct
+    ranked = [x for i, c in enumerate(out_cols) for x in (F.col(c).isNull().alias(f"_m{i}"), F.col(c).alias(f"_o{i}"))]
+    order = F.struct(F.col("_neg_score"), *[F.col(f"_tb{i}") for i in range(len(tiebreak or []))], *ranked)
+    # The aggregate sorts by its keys; a hash in front of them tells most rows apart by one number.
+    # The order holds every output column once; the winner's values are read back from it.
+    best = staged.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(F.min(order).alias("_best"))
+    return best.select(*[F.col(f"_best._o{i}").alias(c) for i, c in enumerate(out_cols)])
