@@ -140,3 +140,27 @@ def test_spans_name_the_removed_words_and_texts_lose_them(docs, rows):
     for r in out.where("doc_id is not null").collect():
         f = flags[r.doc_id]
         assert r.text == (" ".join(w.decode() for w, gone in zip(brute.words(texts[r.doc_id]), f) if not gone) if any(f) else texts[r.doc_id])
+
+
+def test_pivots_flag_tiles_of_two_nodes():
+    """Tile 1: two nodes; 2: three; 3: one; 4: two, dealt out; 5: two, but its rows lie across batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(1, -1, 10), (1, -1, 11), (1, -1, 11), (2, -1, 10), (2, -1, 11), (2, -1, 12), (3, -1, 10), (4, 0, 10), (4, 0, 12), (5, -1, 10), (5, -1, 13), (6, -1, 10)]
+    t, p, v = (np.array(c) for c in zip(*rows))
+    batch = pa.record_batch({"tile": t, "part": p.astype(np.int32), "node": v, "size": np.full(len(t), 9, np.int32), "place": np.zeros(len(t), np.int32)})
+    got = [r for b in ngram_join._pivots(iter([batch.slice(0, 10), batch.slice(10)])) for r in b.to_pylist()]
+    assert [(r["tile"], r["node"], r["pivot"], r["many"]) for r in got] == [
+        (1, 11, 10, False), (2, 11, 10, True), (2, 12, 10, True), (4, 10, 10, True), (4, 12, 10, True), (5, 13, 10, True)]
+
+
+def test_pairs_of_two_node_tiles_link_when_another_pivot_was_likelier(spark, monkeypatch):
+    """Texts 1 and 2 link only with 3, at different ends: each pair of nodes has tiles of its own."""
+    met = []
+    keep = ngram_join._across
+    monkeypatch.setattr(ngram_join, "_across", lambda percent, best: met.append(best) or keep(percent, best))
+    w = [f"w{k}" for k in range(104)]
+    rows = [(k, " ".join(w[a:b]), "en", "s") for k, (a, b) in enumerate(((0, 88), (8, 96), (16, 104)), 1)]
+    sets = [brute.shingles(t) for _, t, *_ in rows]
+    assert set(_near(spark, frame(spark, rows)).values()) == {[r[0] for r in rows][c] for c in brute.components(sets)} and met[-1] is False

@@ -16,8 +16,9 @@ distinct n-word shingles (64-bit hashes; ASCII letters lower-cased).
    bitmap allows it is compared with the likeliest, by intersecting the sorted
    arrays.  The links give first components: a large group of near copies is a
    star here, not pairs.
-4. What is left are pairs across components inside a tile.  Tiles are cut into
-   size bands (partners differ by at most `percent` in size) and, where they are
+4. What is left are pairs across components inside a tile.  Of a tile with two
+   nodes that is the pair of step 3, and it is left only if its bitmaps allow it:
+   such a tile sends no rows below.  The others are cut into size bands (partners differ by at most `percent` in size) and, where they are
    large, into cells: rows outside a tile's largest component (minors) and the
    others are dealt into blocks, and a cell holds two blocks.  A tile's row
    carries the shingle's place in the set's order, which bounds the overlap when
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.graph import connected_components
-from vitrine.llm.shipping import ship_package
+from vitrine.llm.shipping import release_shuffles, ship_package
 from vitrine.llm.textwords import blocks, gram_hashes, mix
 from vitrine.session import ensure_checkpoint_dir
 
@@ -167,8 +168,9 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (tile, part, node) -> those of tiles with two or more nodes, with the first node as pivot.
 
     Of a tile that was dealt out the pivots have rows too, as their own pivot: a
-    node alone in its part still meets the other parts.  Streams: the state is
-    the last row.
+    node alone in its part still meets the other parts.  many: false for a tile
+    that has just two nodes, its row and its pivot (one that lies across batches
+    counts as many).  Streams: the state is the last row.
     """
     last = None  # the tile that is open: key and pivot
     for batch in batches:
@@ -191,8 +193,11 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.zeros(len(t), bool)
         again[1:] = (v[1:] == v[:-1]) & (s[1:] == s[:-1]) & ~new[1:]
         keep = np.flatnonzero((other & ~again) | (new & (p >= 0)))
-        yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, at, pivot, psize, pplace)],
-                              ["tile", "part", "node", "size", "place", "pivot", "pivot_size", "pivot_place"])
+        others = np.bincount(group[keep][group[keep] >= 0], minlength=len(begins))
+        many = (p >= 0) | ~own | (group == len(begins) - 1)
+        many[own] |= others[group[own]] > 1
+        yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, at, pivot, psize, pplace, many)],
+                              ["tile", "part", "node", "size", "place", "pivot", "pivot_size", "pivot_place", "many"])
         last = (t[-1], p[-1], pivot[-1], psize[-1], pplace[-1])
 
 
@@ -417,36 +422,45 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tiles = stored.where("tiles is not null").select("node", "size", "tiles", "parts").mapInArrow(_tile_rows, "tile long, part int, node long, size int, place int")
     # tiles with two nodes or more
     (tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "node", "size")
-     .mapInArrow(_pivots, "tile long, part int, node long, size int, place int, pivot long, pivot_size int, pivot_place int").write.parquet(f"{folder}/tiles"))
+     .mapInArrow(_pivots, "tile long, part int, node long, size int, place int, pivot long, pivot_size int, pivot_place int, many boolean").write.parquet(f"{folder}/tiles"))
+    release_shuffles(spark)
     open_tiles = spark.read.parquet(f"{folder}/tiles")
-    pivot = open_tiles.select("tile", F.col("pivot").alias("node"), F.col("pivot_size").alias("size"), F.col("pivot_place").alias("place"))
-    met = open_tiles.select("tile", "node", "size", "place").unionByName(pivot)
-    (stored.where("bits is not null").join(met.select("node", "size").distinct(), ["node", "size"], "left_semi").select("node", "size", "bits")
+    pivot = F.col("pivot").alias("node"), F.col("pivot_size").alias("size")
+    met = open_tiles.select("node", "size").unionByName(open_tiles.select(*pivot)).distinct()
+    (stored.where("bits is not null").join(met, ["node", "size"], "left_semi").select("node", "size", "bits")
      .dropDuplicates(["node", "size"]).write.parquet(f"{folder}/signatures"))
+    release_shuffles(spark)
+    # tiles with more than one pair
+    many = open_tiles.where("many")
+    many = many.select("tile", "node", "size", "place").unionByName(many.select("tile", *pivot, F.col("pivot_place").alias("place"))).distinct()
     bits = spark.read.parquet(f"{folder}/signatures")
     coarse = bits.mapInArrow(_coarse, "node long, size int, bits binary")
 
     fits = f"100L * least(size, other_size) >= {percent} * greatest(size, other_size)"
     star = open_tiles.select("node", "size", F.col("pivot").alias("other"), F.col("pivot_size").alias("other_size"))
     # the pivots of a tile that was dealt out meet the smallest of them
-    heads = open_tiles.groupBy("tile", "part").agg(F.min(F.struct("pivot", "pivot_size")).alias("h")).select("tile", "h.pivot", "h.pivot_size")
+    heads = open_tiles.where("part >= 0").groupBy("tile", "part").agg(F.min(F.struct("pivot", "pivot_size")).alias("h")).select("tile", "h.pivot", "h.pivot_size")
     top = heads.groupBy("tile").agg(F.min(F.struct("pivot", "pivot_size")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = star.unionByName(heads.join(top, "tile").select(F.col("pivot").alias("node"), F.col("pivot_size").alias("size"),
                                                            F.col("m.pivot").alias("other"), F.col("m.pivot_size").alias("other_size"))).where("node <> other")
     other_bits = bits.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("bits").alias("other_bits"))
     allowed = (star.where(fits).distinct().join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
-               .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double"))
+               .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double").checkpoint())
+    release_shuffles(spark)
     # the likeliest pivot of every node; the other pairs come below where they still matter
     likely = (allowed.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b"))
               .select("node", "size", "b.other", "b.other_size").checkpoint())
     first = _links(likely, base, nodes, n, percent).checkpoint()
+    release_shuffles(spark)
     found = connected_components(first.toDF("a", "b"))
 
     # rounds over the likeliest pairs across components, then one over all that are left
     links, ratio = first, float(np.log(100 / percent))
     for best in [True] * ROUNDS + [False]:
-        every = (met.distinct().join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        release_shuffles(spark)
+        every = (many.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
                  .withColumn("band", F.floor(F.log(F.col("size").cast("double")) / ratio + 1e-9).cast("int")).checkpoint())
+        release_shuffles(spark)
         mixed = (every.groupBy("tile", "component").agg(F.count(F.lit(1)).alias("k"), F.max("band").alias("top")).groupBy("tile")
                  .agg(F.count(F.lit(1)).alias("components"), F.sum("k").alias("rows"), F.max("top").alias("top"), F.max(F.struct("k", "component")).alias("major"))
                  .where("components > 1")
@@ -467,6 +481,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .select("tile", "b.band", "c.cell", "c.side", "b.own", "node", "size", "place", "component"))
         pairs = (rows.join(coarse, ["node", "size"]).repartition("tile", "band", "cell").sortWithinPartitions("tile", "band", "cell")
                  .mapInArrow(_across(percent, best), "node long, size int, other long, other_size int, bound double"))
+        # the pivots that are left, the only pairs of tiles with two nodes
+        side = found.select(F.col("node").alias("other"), F.col("component").alias("other_component"))
+        pairs = pairs.unionByName(allowed.join(found, "node", "left").join(side, "other", "left")
+                                  .where(F.coalesce("component", "node") != F.coalesce("other_component", "other")).select(allowed.columns))
         if best:
             pairs = pairs.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b")).select("node", "size", "b.other", "b.other_size")
         pairs = (pairs.select(F.least(F.struct("node", "size"), F.struct(F.col("other").alias("node"), F.col("other_size").alias("size"))).alias("a"),
@@ -474,7 +492,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select("a.node", "a.size", F.col("b.node").alias("other"), F.col("b.size").alias("other_size")).distinct())
         pairs = (pairs.join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
                  .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double").drop("bound").checkpoint())
+        release_shuffles(spark)
         new = _links(pairs, base, nodes, n, percent).checkpoint()
+        release_shuffles(spark)
         if best and new.limit(1).count() == 0:
             continue
         links = links.unionByName(new)

@@ -1,7 +1,8 @@
-"""Makes this package importable in the executors' Python workers, whatever their PYTHONPATH is."""
+"""Makes this package importable in the executors' Python workers, whatever their PYTHONPATH is; frees the shuffle files of stored results."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -28,3 +29,9 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("vitrine", os.path.relpath(full, root)))
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Results are stored: the driver forgets the shuffles that made them, and Spark's cleaner frees their disk."""
+    gc.collect()
+    spark._jvm.System.gc()
