@@ -293,3 +293,48 @@ def test_predictions_of_the_table_equal_a_plain_parse(spark, sf_dir):
 def test_only_letters_make_words():
     assert [langid.running(t) for t in ("½ ² ① Ⅷ 12 ٣", "x² naïve’s", "हिन्दी", "e\u0301tat", "a\u2167b")] == ["", " x naïve s ", " हिन्दी ", " e\u0301tat ", " a b "]
     assert langid.Languages({"en": " a b "}).judge("½ ² Ⅷ") == ("und", 0.0)
+
+
+def test_blocks_and_buckets_exchange_one_row_for_each_two():
+    """The cells that reach the buckets are the counts of neighbours, and their rows don't grow with the words."""
+    import pyarrow as pa
+
+    size, buckets = 4, 3  # classes 0 and 1, open, end
+    texts = {0: ["a b a c", "d d a", ""], 1: ["c b", "a e e a"]}
+    met, posts, rows = {}, [], {}
+    for block, of in texts.items():
+        docs = pa.table({"id": pa.array(range(len(of)), pa.int64()), "text": of, "held_out": [False] * len(of)})
+        rows[block] = class_lm._encode(pa.int64(), buckets)((pa.scalar(block),), docs)
+    both = pa.concat_tables(rows.values()).to_pylist()
+    words = {}
+    for bucket in range(buckets):
+        own = [r for r in both if r["bucket"] == bucket]
+        if own:
+            got = class_lm._count(2)((pa.scalar(bucket),), pa.Table.from_pylist(own))
+            number = list(dict.fromkeys(w for r in own for w in r["words"].split(b" ")))
+            words |= {(bucket, k): w.decode() for k, w in enumerate(number)}
+            none = pa.table({"at": pa.array([], pa.binary()), "class": pa.array([], pa.binary())})
+            met[bucket] = class_lm._placed(2, True)(got, none).to_pylist()
+            posts += [(bucket, r["block"], class_lm._unpacked(r["at"]).tolist()) for r in got.to_pylist() if r["block"] >= 0]
+    at = {(b, k): v for b, k, v in posts}
+    found, n_rows = Counter(), 0
+    for block, table in rows.items():
+        placed = pa.Table.from_pylist([r for of in met.values() for r in of if r["block"] == block])
+        for r in class_lm._neighbours(size, True)(table, placed).to_pylist():
+            n_rows += 1
+            word = np.repeat(at[r["bucket"], block], class_lm._unpacked(r["many"]))
+            for w, code, n in zip(word.tolist(), class_lm._unpacked(r["code"]).tolist(), class_lm._unpacked(r["n"]).tolist()):
+                found[words[r["bucket"], w], code] += n
+    want = Counter()
+    for t in (t.split() for of in texts.values() for t in of):
+        for a, b in zip([None, *t], [*t, None]):
+            if a == b and a:
+                want[a, 2 * size] += 1
+                continue
+            if a:
+                want[a, 2 if b else 3] += 1
+            if b:
+                want[b, size + (2 if a else 3)] += 1
+    assert found == want and n_rows <= len(texts) * buckets
+    big = np.arange(70_000, dtype=np.int64) * 1000
+    assert (class_lm._unpacked(class_lm._packed(big)) == big).all() and not len(class_lm._unpacked(b""))
