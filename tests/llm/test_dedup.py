@@ -164,3 +164,21 @@ def test_pairs_of_two_node_tiles_link_when_another_pivot_was_likelier(spark, mon
     rows = [(k, " ".join(w[a:b]), "en", "s") for k, (a, b) in enumerate(((0, 88), (8, 96), (16, 104)), 1)]
     sets = [brute.shingles(t) for _, t, *_ in rows]
     assert set(_near(spark, frame(spark, rows)).values()) == {[r[0] for r in rows][c] for c in brute.components(sets)} and met[-1] is False
+
+
+def test_comparing_a_large_cell_takes_bounded_memory():
+    """Two million pairs of one cell, all allowed by place and size: their bitmaps are looked at in pieces."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n = 2000
+    rows = pa.record_batch({"tile": np.zeros(n, np.int64), "band": np.zeros(n, np.int32), "cell": np.zeros(n, np.int64), "side": np.zeros(n, np.int32), "own": np.ones(n, bool),
+                            "node": np.arange(n), "size": np.full(n, 100, np.int32), "place": np.zeros(n, np.int32), "component": np.arange(n),
+                            "bits": pa.array([np.random.default_rng(k).bytes(ngram_join.COARSE // 8) for k in range(n)], pa.binary())})
+    tracemalloc.start()
+    pairs = sum(b.num_rows for b in ngram_join._across(80, False)(iter([rows])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20 and pairs == 0

@@ -54,11 +54,11 @@ FREQUENT, FREQUENT_IN_CHUNK, CHUNK = 1 << 16, 8, 1 << 22
 #: rows of a tile that meet in one comparison; rounds of likeliest pairs across components before the one over all pairs
 TILE_ROWS, ROUNDS = 2048, 1
 #: bits of a tile row's bitmap; candidate pairs looked at together; senders that meet one receiver's set; routes that are broadcast
-COARSE, PAIRS, SENDERS, ROUTES = 1 << 10, 1 << 18, 4096, 200_000
+COARSE, PAIRS, SENDERS, ROUTES = 1 << 10, 1 << 16, 4096, 200_000
 
 
 def _sets(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
-    for _, _, block in blocks(texts, lower=True):
+    for _, _, block in blocks(texts, lower=True, most=1 << 19):  # some 100 bytes of arrays for each byte of text
         words = block.word_hashes()
         first = block.first.tolist()
         for a, b in zip(first, first[1:]):
@@ -242,7 +242,7 @@ def _named_texts(n: int):
     return run
 
 
-def _sent_sets(n: int, most: int = 16 << 20):
+def _sent_sets(n: int, most: int = 4 << 20):
     """(text, node, size, to) -> the sorted array as bytes, a row for each receiver; rows of at most `most` bytes at a time."""
     names = ["dst", "dst_size", "part", "node", "size", "shingles"]
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
@@ -282,7 +282,8 @@ def _verify(percent: int):
         held, mine = None, None
         for batch in batches:
             out, last = [], None
-            for *key, node, size, raw in zip(*(batch.column(c).to_pylist() for c in ("dst", "dst_size", "part", "node", "size", "shingles"))):
+            for *key, node, size, raw in (row for at in range(0, batch.num_rows, 200)
+                                          for row in zip(*(batch.column(c).slice(at, 200).to_pylist() for c in ("dst", "dst_size", "part", "node", "size", "shingles")))):
                 if (node, size) == tuple(key[:2]):
                     held, mine = key, np.frombuffer(raw, np.uint64)
                 elif key == held and (key, node, size) != last and _linked(np.frombuffer(raw, np.uint64), mine, percent):
