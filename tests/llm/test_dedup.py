@@ -182,3 +182,89 @@ def test_comparing_a_large_cell_takes_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 64 << 20 and pairs == 0
+
+
+def _cell_rows(rng, n):
+    """Rows of random cells, sorted as they arrive."""
+    import numpy as np
+
+    rows = {"tile": rng.integers(0, 4, n), "band": rng.integers(0, 2, n).astype(np.int32), "cell": rng.integers(-2, 2, n), "side": rng.integers(-1, 2, n).astype(np.int32),
+            "own": rng.random(n) < 0.7, "node": np.arange(n), "size": rng.integers(20, 60, n).astype(np.int32), "place": rng.integers(0, 6, n).astype(np.int32),
+            "component": rng.integers(0, 5, n)}
+    order = np.lexsort((rows["cell"], rows["band"], rows["tile"]))
+    return {c: x[order] for c, x in rows.items()}
+
+
+def test_rows_without_a_partner_get_no_bitmap():
+    """Only rows that place and size allow a partner are left, and they make the same pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    rows = pa.record_batch(_cell_rows(rng, 300))
+    bits = np.array([rng.integers(0, 256, ngram_join.COARSE // 8, dtype=np.uint8).tobytes() for _ in range(300)], object)
+
+    def pairs(batch, best):
+        whole = batch.append_column("bits", pa.array([bits[k] for k in batch.column("node").to_pylist()], pa.binary()))
+        return sorted((r["node"], r["other"]) for b in ngram_join._across(40, best)(iter([whole.slice(0, 70), whole.slice(70, 5), whole.slice(75)])) for r in b.to_pylist())
+
+    left = [b for b in ngram_join._partnered(40)(iter([rows.slice(0, 90), rows.slice(90, 3), rows.slice(93)]))]
+    left = pa.Table.from_batches(left).combine_chunks().to_batches()[0]
+    assert 0 < left.num_rows < 300 and left.schema.equals(rows.schema)
+    for best in (False, True):
+        assert pairs(left, best) == pairs(rows, best)
+    cells = {}
+    for r in rows.to_pylist():
+        cells.setdefault((r["tile"], r["band"], r["cell"]), []).append(r)
+    expected = set()
+    for cell in cells.values():
+        for i, a in enumerate(cell):
+            for b in cell[i + 1:]:
+                common = min(a["size"] - a["place"], b["size"] - b["place"])
+                if (a["component"] != b["component"] and (a["own"] or b["own"]) and sorted((a["side"], b["side"])) in ([0, 0], [0, 1], [-1, 1])
+                        and 100 * min(a["size"], b["size"]) >= 40 * max(a["size"], b["size"]) and 100 * common >= 40 * (a["size"] + b["size"] - common)):
+                    expected |= {a["node"], b["node"]}
+    assert set(left.column("node").to_pylist()) == expected
+
+
+def test_rows_that_no_other_row_of_their_tile_allows_stay_out_of_the_rounds():
+    """Tile 1: sizes 10, 11, 100 and 101 pair up, 50 stands alone; tile 2: the places of two sets leave no room for a link; tile 3 is not whole."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(1, 10, 10, 0), (1, 11, 11, 0), (1, 12, 50, 0), (1, 13, 100, 0), (1, 14, 101, 0), (2, 10, 20, 0), (2, 11, 20, 4), (2, 12, 21, 4), (2, 13, 25, 4), (3, 10, 10, 0), (3, 11, 90, 0)]
+    t, v, s, at = (np.array(c) for c in zip(*rows))
+    batch = pa.record_batch({"tile": t, "part": np.full(len(t), -1, np.int32), "node": v, "size": s.astype(np.int32), "place": at.astype(np.int32)})
+    got = {(r["tile"], r["node"]): r["many"] for b in ngram_join._pivots(iter([batch]), 80) for r in b.to_pylist()}
+
+    def allowed(a, b):
+        common = min(a[2] - a[3], b[2] - b[3])
+        return 100 * common >= 80 * (a[2] + b[2] - common)
+
+    for r in rows:
+        if r[1] != 10 and r[0] != 3:
+            assert got[r[0], r[1]] == any(allowed(r, x) for x in rows if x[0] == r[0] and x != r), r
+    assert got[1, 11] and not got[1, 12] and got[1, 14] and got[3, 11]
+
+
+def test_both_sides_of_a_pair_share_one_exchange_of_bitmaps(spark, docs, monkeypatch):
+    """The bitmaps of the pairs' first and second sides are dealt out once."""
+    plans = []
+    keep = type(docs).checkpoint
+
+    def seen(self, *a, **k):
+        plan = self._jdf.queryExecution().executedPlan().toString()
+        if "their_node" in plan:
+            plans.append(plan)
+        return keep(self, *a, **k)
+
+    monkeypatch.setattr(type(docs), "checkpoint", seen)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan shows reuse before it runs
+    try:
+        _near(spark, docs)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plans and all(any("ReusedExchange" in line and "their_node" in line for line in p.splitlines()) for p in plans)

@@ -22,7 +22,8 @@ distinct n-word shingles (64-bit hashes; ASCII letters lower-cased).
    large, into cells: rows outside a tile's largest component (minors) and the
    others are dealt into blocks, and a cell holds two blocks.  A tile's row
    carries the shingle's place in the set's order, which bounds the overlap when
-   this tile is the pair's first, and a bitmap of fixed width; the whole bitmap is
+   this tile is the pair's first.  Rows travel without bitmaps at first; those that meet
+   one whose size and place they allow come again, with a bitmap of fixed width, and the whole bitmap is
    met once for each pair that these allow.  In some rounds every node is compared
    with its likeliest partner of another component, which joins the large groups;
    the last round compares all pairs across components that are still allowed.
@@ -53,6 +54,8 @@ from vitrine.session import ensure_checkpoint_dir
 FREQUENT, FREQUENT_IN_CHUNK, CHUNK = 1 << 16, 8, 1 << 22
 #: rows of a tile that meet in one comparison; rounds of likeliest pairs across components before the one over all pairs
 TILE_ROWS, ROUNDS = 2048, 1
+#: rows of a tile whose pairs are looked at when the tile is made
+PAIRED = 64
 #: bits of a tile row's bitmap; candidate pairs looked at together; senders that meet one receiver's set; routes that are broadcast
 COARSE, PAIRS, SENDERS, ROUTES = 1 << 10, 1 << 16, 4096, 200_000
 
@@ -164,13 +167,33 @@ def _tile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                    "size": np.repeat(piece.column("size").to_numpy(), count), "place": _ranges(count).astype(np.int32)})
 
 
-def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _allowed(x: np.ndarray, p: np.ndarray, y: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes x and y allow a link of two sets whose first common shingle is at places p and q."""
+    common = np.minimum(x - p, y - q)
+    return (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (100 * common >= percent * (x + y - common))
+
+
+def _lone(begin: np.ndarray, end: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Rows of groups (begin, end: bounds of each row's group) that no other row of their group allows; none in groups over PAIRED rows."""
+    left = np.flatnonzero((end - begin > 1) & (end - begin <= PAIRED))
+    lone = np.zeros(len(begin), bool)
+    for at in range(0, len(left), PAIRS // PAIRED):
+        rows = left[at: at + PAIRS // PAIRED]
+        width = (end - begin)[rows]
+        a, b = np.repeat(rows, width), np.repeat(begin[rows], width) + _ranges(width)
+        ok = (a != b) & _allowed(size[a], place[a], size[b], place[b], percent)
+        lone[rows] = np.bincount(np.repeat(np.arange(len(rows)), width), ok, len(rows)) == 0
+    return lone
+
+
+def _pivots(batches: Iterator[pa.RecordBatch], percent: int = 0) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (tile, part, node) -> those of tiles with two or more nodes, with the first node as pivot.
 
     Of a tile that was dealt out the pivots have rows too, as their own pivot: a
     node alone in its part still meets the other parts.  many: false for a tile
     that has just two nodes, its row and its pivot (one that lies across batches
-    counts as many).  Streams: the state is the last row.
+    counts as many), and for a row that `percent` allows no link with any other row
+    of a small tile.  Streams: the state is the last row.
     """
     last = None  # the tile that is open: key and pivot
     for batch in batches:
@@ -196,6 +219,12 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         others = np.bincount(group[keep][group[keep] >= 0], minlength=len(begins))
         many = (p >= 0) | ~own | (group == len(begins) - 1)
         many[own] |= others[group[own]] > 1
+        # tiles that lie in this batch as a whole
+        whole = np.flatnonzero(own & (p < 0) & (group < len(begins) - 1) & many & ~again)
+        if percent and len(whole):
+            _, start, count = np.unique(group[whole], return_index=True, return_counts=True)
+            bounds = np.repeat(start, count), np.repeat(start + count, count)
+            many[whole] &= ~_lone(*bounds, s[whole].astype(np.int64), at[whole].astype(np.int64), percent)
         yield pa.record_batch([pa.array(x[keep]) for x in (t, p, v, s, at, pivot, psize, pplace, many)],
                               ["tile", "part", "node", "size", "place", "pivot", "pivot_size", "pivot_place", "many"])
         last = (t[-1], p[-1], pivot[-1], psize[-1], pplace[-1])
@@ -340,73 +369,95 @@ def _bounded(percent: int):
     return run
 
 
-def _across(percent: int, best: bool):
-    """Rows by (tile, band, cell) -> pairs across components that place, size and bitmap allow, with the bitmap's bound.
+CELL_ROW = ["tile", "band", "cell", "side", "own", "node", "size", "place", "component"]
 
-    Rows of side 0 meet each other and side 1, rows of side -1 meet side 1 only.
-    best: of every row of side 0 or -1 its likeliest pair in the cell.  Streams:
-    the state is the rows of the cell that is open.
-    """
-    names = ["tile", "band", "cell", "side", "own", "node", "size", "place", "component"]
-
-    def compare(rows: dict[str, np.ndarray], begin: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """begin, end: bounds of each row's cell."""
-        node, size, place, comp, side, own, bits = (rows[c] for c in ("node", "size", "place", "component", "side", "own", "bits"))
-        left = np.flatnonzero((side <= 0) & (end - begin > 1))
-        width = (end - begin)[left]
-        upto = np.cumsum(width)
-        at = 0
-        while at < len(left):
-            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
-            a = np.repeat(left[at:to], width[at:to])
-            b = np.repeat(begin[left[at:to]], width[at:to]) + _ranges(width[at:to])
-            at = to
-            x, y = size[a], size[b]
-            common = np.minimum(x - place[a], y - place[b])
-            ok = ((comp[a] != comp[b]) & (own[a] | own[b]) & ((side[b] == 1) | ((side[a] == 0) & (side[b] == 0) & ((a < b) | best)))
-                  & (100 * np.minimum(x, y) >= percent * np.maximum(x, y)) & (100 * common >= percent * (x + y - common)))
-            a, b = a[ok], b[ok]
-            common, ok = _may_link(size[a], bits[a], size[b], bits[b], percent)
-            a, b, common = a[ok], b[ok], common[ok]
-            bound = common / (size[a] + size[b] - common)
-            if best and len(a):
-                order = np.lexsort((-bound, a))
-                order = order[np.r_[True, a[order][1:] != a[order][:-1]]]
-                a, b, bound = a[order], b[order], bound[order]
-            if len(a):
-                yield pa.record_batch({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32), "bound": bound})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict[str, np.ndarray]] = []
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """Rows by (tile, band, cell) -> rows of whole cells, and the bounds of each row's cell.  Streams: the state is the rows of the cell that is open."""
+    held: list[dict[str, np.ndarray]] = []
 
-        def close(rows: dict[str, np.ndarray], begins: np.ndarray, total: int) -> Iterator[pa.RecordBatch]:
-            count = np.diff(np.r_[begins, total])
-            yield from compare(rows, np.repeat(begins, count), np.repeat(begins + count, count))
+    def close(rows: dict[str, np.ndarray], begins: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        count = np.diff(np.r_[begins, len(rows["tile"])])
+        return rows, np.repeat(begins, count), np.repeat(begins + count, count)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            rows["size"], rows["place"] = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in CELL_ROW}
+        rows["size"], rows["place"] = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+        if "bits" in batch.schema.names:
             rows["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            new = np.r_[True, np.any([rows[c][1:] != rows[c][:-1] for c in ("tile", "band", "cell")], axis=0)]
-            if held:
-                new[0] = any(rows[c][0] != held[-1][c][-1] for c in ("tile", "band", "cell"))
-            begins = np.flatnonzero(new)
-            if not len(begins):
-                held.append(rows)
-                continue
-            # the open cell ends here: it and the whole cells of this batch
-            cut = begins[-1]
-            if held or cut:
-                whole = {c: np.concatenate([*(h[c] for h in held), rows[c][:cut]]) for c in rows}
-                before = sum(len(h["tile"]) for h in held)
-                starts = begins[:-1] + before
-                yield from close(whole, np.r_[0, starts] if before and (not len(starts) or starts[0]) else starts, len(whole["tile"]))
-            held = [{c: x[cut:] for c, x in rows.items()}]
+        new = np.r_[True, np.any([rows[c][1:] != rows[c][:-1] for c in ("tile", "band", "cell")], axis=0)]
         if held:
-            whole = {c: np.concatenate([h[c] for h in held]) for c in held[0]}
-            yield from close(whole, np.array([0]), len(whole["tile"]))
+            new[0] = any(rows[c][0] != held[-1][c][-1] for c in ("tile", "band", "cell"))
+        begins = np.flatnonzero(new)
+        if not len(begins):
+            held.append(rows)
+            continue
+        # the open cell ends here: it and the whole cells of this batch
+        cut = begins[-1]
+        if held or cut:
+            whole = {c: np.concatenate([*(h[c] for h in held), rows[c][:cut]]) for c in rows}
+            before = sum(len(h["tile"]) for h in held)
+            starts = begins[:-1] + before
+            yield close(whole, np.r_[0, starts] if before and (not len(starts) or starts[0]) else starts)
+        held = [{c: x[cut:] for c, x in rows.items()}]
+    if held:
+        yield close({c: np.concatenate([h[c] for h in held]) for c in held[0]}, np.array([0]))
+
+
+def _meeting(rows: dict[str, np.ndarray], begin: np.ndarray, end: np.ndarray, percent: int, best: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of a cell, across components, that place and size allow, some at a time.
+
+    Rows of side 0 meet each other and side 1, rows of side -1 meet side 1 only.
+    best: two rows of side 0 are a pair of either.
+    """
+    size, place, comp, side, own = (rows[c] for c in ("size", "place", "component", "side", "own"))
+    left = np.flatnonzero((side <= 0) & (end - begin > 1))
+    width = (end - begin)[left]
+    upto = np.cumsum(width)
+    at = 0
+    while at < len(left):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, "right")))
+        a = np.repeat(left[at:to], width[at:to])
+        b = np.repeat(begin[left[at:to]], width[at:to]) + _ranges(width[at:to])
+        at = to
+        x, y = size[a], size[b]
+        ok = ((comp[a] != comp[b]) & (own[a] | own[b]) & ((side[b] == 1) | ((side[a] == 0) & (side[b] == 0) & ((a < b) | best)))
+              & _allowed(x, place[a], y, place[b], percent))
+        yield a[ok], b[ok]
+
+
+def _partnered(percent: int):
+    """Rows by (tile, band, cell) -> those that are in a pair which place and size allow."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begin, end in _cells(batches):
+            met = np.zeros(len(begin), bool)
+            for a, b in _meeting(rows, begin, end, percent, False):
+                met[a] = met[b] = True
+            yield pa.record_batch([pa.array(rows[c][met].astype(np.int32) if c in ("size", "place") else rows[c][met]) for c in CELL_ROW], CELL_ROW)
+
+    return run
+
+
+def _across(percent: int, best: bool):
+    """Rows by (tile, band, cell) -> pairs across components that place, size and bitmap allow, with the bitmap's bound.
+
+    best: of every row of side 0 or -1 its likeliest pair in the cell.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begin, end in _cells(batches):
+            node, size, bits = rows["node"], rows["size"], rows["bits"]
+            for a, b in _meeting(rows, begin, end, percent, best):
+                common, ok = _may_link(size[a], bits[a], size[b], bits[b], percent)
+                a, b, common = a[ok], b[ok], common[ok]
+                bound = common / (size[a] + size[b] - common)
+                if best and len(a):
+                    order = np.lexsort((-bound, a))
+                    order = order[np.r_[True, a[order][1:] != a[order][:-1]]]
+                    a, b, bound = a[order], b[order], bound[order]
+                if len(a):
+                    yield pa.record_batch({"node": node[a], "size": size[a].astype(np.int32), "other": node[b], "other_size": size[b].astype(np.int32), "bound": bound})
 
     return run
 
@@ -423,7 +474,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tiles = stored.where("tiles is not null").select("node", "size", "tiles", "parts").mapInArrow(_tile_rows, "tile long, part int, node long, size int, place int")
     # tiles with two nodes or more
     (tiles.repartition("tile", "part").sortWithinPartitions("tile", "part", "node", "size")
-     .mapInArrow(_pivots, "tile long, part int, node long, size int, place int, pivot long, pivot_size int, pivot_place int, many boolean").write.parquet(f"{folder}/tiles"))
+     .mapInArrow(lambda batches: _pivots(batches, percent), "tile long, part int, node long, size int, place int, pivot long, pivot_size int, pivot_place int, many boolean").write.parquet(f"{folder}/tiles"))
     release_shuffles(spark)
     open_tiles = spark.read.parquet(f"{folder}/tiles")
     pivot = F.col("pivot").alias("node"), F.col("pivot_size").alias("size")
@@ -433,20 +484,30 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release_shuffles(spark)
     # tiles with more than one pair
     many = open_tiles.where("many")
-    many = many.select("tile", "node", "size", "place").unionByName(many.select("tile", *pivot, F.col("pivot_place").alias("place"))).distinct()
+    (many.select("tile", "node", "size", "place").unionByName(many.select("tile", *pivot, F.col("pivot_place").alias("place"))).distinct()
+     .write.parquet(f"{folder}/many"))
+    many = spark.read.parquet(f"{folder}/many")
     bits = spark.read.parquet(f"{folder}/signatures")
     coarse = bits.mapInArrow(_coarse, "node long, size int, bits binary")
 
     fits = f"100L * least(size, other_size) >= {percent} * greatest(size, other_size)"
-    star = open_tiles.select("node", "size", F.col("pivot").alias("other"), F.col("pivot_size").alias("other_size"))
+    # a pair is allowed in the tile of its first common shingle at least
+    first_fits = f"{100 + percent}L * least(size - place, pivot_size - pivot_place) >= {percent} * (size + pivot_size)"
+    star = open_tiles.where(f"part >= 0 OR {first_fits}").select("node", "size", F.col("pivot").alias("other"), F.col("pivot_size").alias("other_size"))
     # the pivots of a tile that was dealt out meet the smallest of them
     heads = open_tiles.where("part >= 0").groupBy("tile", "part").agg(F.min(F.struct("pivot", "pivot_size")).alias("h")).select("tile", "h.pivot", "h.pivot_size")
     top = heads.groupBy("tile").agg(F.min(F.struct("pivot", "pivot_size")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1")
     star = star.unionByName(heads.join(top, "tile").select(F.col("pivot").alias("node"), F.col("pivot_size").alias("size"),
                                                            F.col("m.pivot").alias("other"), F.col("m.pivot_size").alias("other_size"))).where("node <> other")
-    other_bits = bits.select(F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("bits").alias("other_bits"))
-    allowed = (star.where(fits).distinct().join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
-               .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double").checkpoint())
+    # both sides name every column anew, so that their exchange is the same one
+    mine, theirs = bits.toDF("my_node", "my_size", "my_bits"), bits.toDF("their_node", "their_size", "other_bits")
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(mine, F.expr("node = my_node AND size = my_size")).join(theirs, F.expr("other = their_node AND other_size = their_size"))
+                .select("node", "size", F.col("my_bits").alias("bits"), "other", "other_size", "other_bits")
+                .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double"))
+
+    allowed = bounded(star.where(fits).distinct()).checkpoint()
     release_shuffles(spark)
     # the likeliest pivot of every node; the other pairs come below where they still matter
     likely = (allowed.groupBy("node", "size").agg(F.max(F.struct("bound", "other", "other_size")).alias("b"))
@@ -476,10 +537,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         rows = (every.join(mixed, "tile").withColumn("minor", F.col("component") != F.col("major"))
                 .withColumn("i", F.expr("int(pmod(xxhash64(node, size), CASE WHEN minor THEN m ELSE r END))"))
                 .withColumn("c", F.explode(F.expr(cells)))
-                # a band's sets meet each other (own) and the smaller ones of the band below
-                .withColumn("b", F.explode(F.expr("""CASE WHEN band < top THEN array(named_struct('band', band, 'own', true), named_struct('band', band + 1, 'own', false))
+                # a band's sets meet each other (own) and the smaller ones of the band below, if their place still allows the least size of the band
+                .withColumn("b", F.explode(F.expr(f"""CASE WHEN band < top AND (size - place) * {100 + percent} >= {percent} * (size + exp({ratio!r} * (band + 1)) * 0.999999D)
+                                                     THEN array(named_struct('band', band, 'own', true), named_struct('band', band + 1, 'own', false))
                                                      ELSE array(named_struct('band', band, 'own', true)) END""")))
                 .select("tile", "b.band", "c.cell", "c.side", "b.own", "node", "size", "place", "component"))
+        rows = (rows.repartition("tile", "band", "cell").sortWithinPartitions("tile", "band", "cell")
+                .mapInArrow(_partnered(percent), "tile long, band int, cell long, side int, own boolean, node long, size int, place int, component long"))
         pairs = (rows.join(coarse, ["node", "size"]).repartition("tile", "band", "cell").sortWithinPartitions("tile", "band", "cell")
                  .mapInArrow(_across(percent, best), "node long, size int, other long, other_size int, bound double"))
         # the pivots that are left, the only pairs of tiles with two nodes
@@ -491,8 +555,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pairs = (pairs.select(F.least(F.struct("node", "size"), F.struct(F.col("other").alias("node"), F.col("other_size").alias("size"))).alias("a"),
                               F.greatest(F.struct("node", "size"), F.struct(F.col("other").alias("node"), F.col("other_size").alias("size"))).alias("b"))
                  .select("a.node", "a.size", F.col("b.node").alias("other"), F.col("b.size").alias("other_size")).distinct())
-        pairs = (pairs.join(bits, ["node", "size"]).join(other_bits, ["other", "other_size"])
-                 .mapInArrow(_bounded(percent), "node long, size int, other long, other_size int, bound double").drop("bound").checkpoint())
+        pairs = bounded(pairs).drop("bound").checkpoint()
         release_shuffles(spark)
         new = _links(pairs, base, nodes, n, percent).checkpoint()
         release_shuffles(spark)
