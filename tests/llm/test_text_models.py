@@ -283,6 +283,40 @@ def test_texts_parsed_side_by_side_equal_one_by_one(spark, rows, monkeypatch):
     assert langid.Languages({}).judge_all(["a", None]) == [("und", 0.0)] * 2 and languages.judge_all([]) == []
 
 
+def test_judging_many_texts_takes_bounded_memory(rows):
+    """A worker keeps the table only, and arrays of a block's characters."""
+    import tracemalloc
+
+    text = langid.language_text([t or "" for _, t, *_ in rows])
+    tracemalloc.start()
+    languages = langid.Languages({"en": text, "xx": text[::2]})
+    held, made = tracemalloc.get_traced_memory()
+    table = languages.edges.nbytes if hasattr(languages.edges, "nbytes") else languages.edges.keys.nbytes + languages.edges.to.nbytes
+    assert held < table + (1 << 20)
+    tracemalloc.reset_peak()
+    texts = [text[k: k + 8000] for k in range(1000)]
+    out = languages.judge_all(texts)
+    peak = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert out[::100] == [_parsed(languages, t) for t in texts[::100]] and peak < 64 << 20
+
+
+def test_a_worker_keeps_one_model():
+    """Workers are reused by the stages of a pipeline: the next operator's model takes the place of the last one's."""
+    from vitrine.llm import shipping
+
+    languages = langid._worker_languages({"en": " a b "})
+    assert langid._worker_languages({"en": " a b "}) is languages and list(shipping._held.values()) == [languages]
+    pairs = bpe.worker_pairs(b"YQ== 0\n", "a")
+    assert bpe.worker_pairs(b"YQ== 0\n", "a") is pairs and list(shipping._held.values()) == [pairs]
+
+
+def test_a_text_that_comes_back_is_sent_once(spark, docs):
+    plan = langid.predict(docs, {})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("AS text#") == 0 and "AS row#" in plan
+    assert [r.lang_pred for r in langid.predict(docs, {}, carry=["doc_id"]).collect()] == ["und"] * docs.count()
+
+
 def test_predictions_of_the_table_equal_a_plain_parse(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     languages = langid.Languages(langid.learn(table.where(~langid.held_out(F.col("doc_id")))))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.shipping import ship_package
+from vitrine.llm.shipping import ship_package, worker_held
 
 #: characters encoded together, words kept by a worker, words per recursive query, bytes of a long word, tokens decoded together
 BLOCK, CACHE, QUERY_WORDS, LONG, DECODE = 1 << 20, 400_000, 16_000, 64, 1 << 18
@@ -190,16 +190,9 @@ class BytePairs:
         return out
 
 
-_held: dict[str, BytePairs] = {}
-
-
 def worker_pairs(lines: bytes, pattern: str) -> BytePairs:
     """The worker's one instance for a rank file and pattern."""
-    key = hashlib.sha256(lines + pattern.encode()).hexdigest()
-    if key not in _held:
-        _held.clear()
-        _held[key] = BytePairs(lines, pattern)
-    return _held[key]
+    return worker_held("byte pairs " + hashlib.sha256(lines + pattern.encode()).hexdigest(), lambda: BytePairs(lines, pattern))
 
 
 def _slices(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:

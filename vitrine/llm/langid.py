@@ -13,7 +13,8 @@ Parsing is sequential in a text, so the texts of a block are parsed side by side
 one step reads the next character of every text and looks up the transitions of
 all texts and languages at once, in one table of (language, state) x character.
 The longest texts come first, so those that have ended fall off the
-end of the arrays; when few are left, they are finished one by one.
+end of the arrays; when few are left, they are finished one by one.  A worker holds
+the table only, and of a batch the texts of one block at a time.
 
 Bounds (parameters): sampled rows per language, characters of the window (placed
 by a hash of the id) that is read of a sampled row, characters in an automaton,
@@ -36,11 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.shipping import ship_package
+from vitrine.llm.shipping import ship_package, worker_held
 from vitrine.operators.lookup import size_checked
 from vitrine.session import ensure_checkpoint_dir
 
@@ -52,9 +54,9 @@ PIECE = regex.compile(r"[\p{L}\p{M}]*+")
 #: bounds of the labelled sample: rows of a language, characters of a row, characters in an automaton
 SAMPLE_ROWS, SAMPLE_CHARS, AUTOMATON_CHARS = 400, 2_000, 100_000
 #: characters of a block of texts, and parses (texts x languages) below which texts are finished one by one
-BLOCK_CHARS, FEW = 16 << 20, 96
+BLOCK_CHARS, FEW = 4 << 20, 32
 #: cells up to which the transition table is an array (4 bytes a cell), beyond it is hashed
-DENSE = 1 << 26
+DENSE = 1 << 25
 
 
 class SuffixAutomaton:
@@ -130,9 +132,9 @@ class Edges:
     """Hash table of edges: key to the next state's row, 0 where there is none (no edge leads to row 0, a root)."""
 
     def __init__(self, keys: np.ndarray, to: np.ndarray):
-        bits = max(4, int(4 * len(keys)).bit_length())
+        bits = max(4, int(2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
         left, slot = np.arange(len(keys)), self._slot(keys)
         while len(left):
             free = left[self.keys[slot[left]] < 0]
@@ -145,6 +147,16 @@ class Edges:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
+    def one(self, key: int) -> int:
+        """`take` of one key."""
+        slot = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> int(self.shift)
+        keys = memoryview(self.keys)
+        while (found := keys[slot]) != key:
+            if found < 0:
+                return 0
+            slot = (slot + 1) & self.mask
+        return int(self.to[slot])
+
     def take(self, keys: np.ndarray) -> np.ndarray:
         flat = keys.ravel()
         slot = self._slot(flat)
@@ -161,17 +173,36 @@ class Edges:
         return to.reshape(keys.shape)
 
 
+class Steps:
+    """One language's transitions as `SuffixAutomaton.steps` names them, read from the table of all."""
+
+    def __init__(self, edges: np.ndarray | Edges, root: int, width: int, columns: dict[int, int]):
+        self.cell = memoryview(edges).__getitem__ if isinstance(edges, np.ndarray) else edges.one
+        self.root, self.width, self.columns = int(root), width, columns
+
+    def get(self, key: int) -> int | None:
+        column = self.columns.get(key & 0x1FFFFF)
+        if column is None:
+            return None
+        to = self.cell(((key >> 21) + self.root) * self.width + column)
+        return to - self.root if to else None
+
+
 class Languages:
     """Automata of several languages; their states are the rows of one transition table, their characters its columns (0: not known)."""
 
     def __init__(self, texts: dict[str, str], dense: int = DENSE):
         self.names = sorted(texts)
-        self.automata = [SuffixAutomaton(texts[n]).steps for n in self.names]
+        self.automata: list[Steps] = []
         self.bits = np.array([math.log2(len(texts[n]) + 1) for n in self.names])
         if not self.names:
             return
-        edges = [np.fromiter(steps.keys(), np.int64, len(steps)) for steps in self.automata]
-        to = [np.fromiter(steps.values(), np.int64, len(steps)) for steps in self.automata]
+        edges, to = [], []
+        for n in self.names:
+            steps = SuffixAutomaton(texts[n]).steps
+            edges.append(np.fromiter(steps.keys(), np.int64, len(steps)))
+            to.append(np.fromiter(steps.values(), np.int64, len(steps)))
+            del steps  # Python objects of one language at a time
         self.known = np.unique(np.concatenate(edges) & 0x1FFFFF)
         self.width = len(self.known) + 1
         rows = np.array([0] + [int(x.max()) + 1 for x in to])
@@ -183,18 +214,27 @@ class Languages:
             self.edges[keys] = to
         else:  # scripts of many characters
             self.edges = Edges(keys, to)
+        columns = {c: k + 1 for k, c in enumerate(self.known.tolist())}
+        self.automata = [Steps(self.edges, root, self.width, columns) for root in self.roots]
         # where a phrase that begins with a character stands, and whether that character is a phrase by itself
         begun = self.edges.take(self.roots * self.width + np.arange(self.width)[:, None])
         self.alone = begun == 0
         self.begun = np.where(self.alone, self.roots, begun)
 
+    def _columns(self, text: str, piece: int = 1 << 16) -> np.ndarray:
+        """Column of every character; a piece at a time."""
+        out = np.empty(len(text), np.int32)
+        for at in range(0, len(text), piece):
+            chars = np.frombuffer(text[at: at + piece].encode("utf-32-le"), "<i4")
+            column = np.searchsorted(self.known, chars)
+            out[at: at + piece] = np.where(self.known[np.minimum(column, len(self.known) - 1)] == chars, column + 1, 0)
+        return out
+
     def counts(self, texts: list[str]) -> np.ndarray:
         """Phrases of every text in every language, texts x languages; the longest text comes first."""
         n, languages = len(texts), len(self.automata)
         size = np.array([len(t) for t in texts])
-        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<i4")
-        place = np.searchsorted(self.known, chars).astype(np.int32)
-        place = np.where(self.known[np.minimum(place, len(self.known) - 1)] == chars, place + 1, 0).astype(np.int32)
+        place = self._columns("".join(texts))
         at = np.cumsum(size) - size
         state, count = np.tile(self.roots, (n, 1)), np.zeros((n, languages), np.int64)
         ended = np.searchsorted(-size, -np.arange(size[0] + 1), "left")  # texts longer than t
@@ -273,15 +313,18 @@ def _whole_words(text: str, cut_before: bool, cut_after: bool) -> str:
     return text[a:b] if a < b else text
 
 
-_held: dict[str, Languages] = {}
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose texts have BLOCK_CHARS bytes at most together, or one longer text."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(size, dtype=np.int64), 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BLOCK_CHARS, "right")))
+        yield at, to
+        at = to
 
 
 def _worker_languages(texts: dict[str, str]) -> Languages:
-    key = hashlib.sha256(repr(sorted(texts.items())).encode()).hexdigest()
-    if key not in _held:
-        _held.clear()
-        _held[key] = Languages(texts)
-    return _held[key]
+    return worker_held("languages " + hashlib.sha256(repr(sorted(texts.items())).encode()).hexdigest(), lambda: Languages(texts))
 
 
 def predict(docs: DataFrame, texts: dict[str, str], text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -292,11 +335,16 @@ def predict(docs: DataFrame, texts: dict[str, str], text_col: str = "text", carr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = _worker_languages(shared.value)
         for batch in batches:
-            found = languages.judge_all(batch.column("text").to_pylist())
-            yield pa.record_batch([batch.column("row"), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
-                                  ["row", "lang_pred", "score"])
-
-    base = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).alias("text"))
+            rows = batch.column("row")
+            texts = batch.column("text") if own else rows.field(place)
+            for a, b in _slices(texts):
+                found = languages.judge_all(texts[a:b].to_pylist())
+                yield pa.record_batch([rows[a:b], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
+                                      ["row", "lang_pred", "score"])
+
+    names = list(carry or docs.columns)
+    own, place = text_col not in names, names.index(text_col) if text_col in names else -1  # a text that comes back is sent once
+    base = docs.select(F.struct(*names).alias("row"), *[F.col(text_col).alias("text")] * own)
     return base.mapInArrow(run, f"row {dict(base.dtypes)['row']}, lang_pred string, score double")
 
 

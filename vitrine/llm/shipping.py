@@ -1,4 +1,4 @@
-"""Makes this package importable in the executors' Python workers, whatever their PYTHONPATH is; frees the shuffle files of stored results."""
+"""Makes this package importable in the executors' Python workers, whatever their PYTHONPATH is; keeps one model a worker; frees the shuffle files of stored results."""
 
 from __future__ import annotations
 
@@ -6,12 +6,15 @@ import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import SparkSession
 
 import vitrine
 
 _shipped: set[str] = set()
+_held: dict[str, object] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -31,6 +34,15 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def worker_held(key: str, make: Callable[[], Any]) -> Any:
+    """What `make` returns, kept by a Python worker until an operator asks for something else: workers outlive the stages."""
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        _held[key] = make()
+    return _held[key]
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Results are stored: the driver forgets the shuffles that made them, and Spark's cleaner frees their disk."""
     gc.collect()
