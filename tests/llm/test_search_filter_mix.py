@@ -82,6 +82,69 @@ def test_tree_spares_distances():
     assert sum(opened) < len(vec) / 2
 
 
+def _stored(vec, ids, top):
+    """A tree as it is stored: centre and part, the tree, vectors and ids in its order, largest squared norm."""
+    norm = (vec ** 2).sum(axis=1)
+    tree = mtree.MTree(mtree.lifted(vec, norm, top))
+    order = tree.in_order()
+    return tree, mtree._narrow(vec[order]), ids[order], float(norm.max())
+
+
+@pytest.mark.parametrize("spread, scale", [(2, 1), (60, 1), (60, 3_000), (60, 10_000_000)])  # clusters, none, and products beyond float32 and float64
+def test_block_of_queries_searches_trees_together(monkeypatch, spread, scale):
+    """A block of queries is scored against whole pages, gives what each query's own search gives, and spares far pages."""
+    rng = np.random.default_rng(6)
+    centres = rng.integers(-60, 60, (30, 8))
+    vec = np.concatenate([c + rng.integers(-spread, spread + 1, (100, 8)) for c in centres]) * scale
+    vec[5] = vec[9] = vec[700]
+    ids = np.arange(len(vec)) // 2 * 2  # every id twice
+    norm = (vec ** 2).sum(axis=1)
+    top = float(norm.max())
+    trees = [((0, p), *_stored(vec[p::3], ids[p::3], top)) for p in range(3)]
+    block = (ids[::20], mtree._narrow(vec[::20]), norm[::20], np.full(len(ids[::20]), mtree.NONE), np.full(len(ids[::20]), mtree.NO_ID), [])
+    monkeypatch.setattr(mtree, "HITS", 500)
+    monkeypatch.setattr(mtree, "SLICE", 30)
+    scored = []
+
+    class Watched(np.ndarray):
+        def __rmatmul__(self, queries):
+            scored.append(len(queries) * self.shape[1])
+            return queries @ np.asarray(self)
+
+    trees = [(at, tree, rows.view(Watched), *rest) for at, tree, rows, *rest in trees]
+    hits = mtree._visit(block, trees, top, 10)
+    got, want = {}, {}
+    for q, i, s in zip(hits.query.tolist(), hits.id.tolist(), hits.score.tolist()):
+        got.setdefault(q, []).append((-s, i))
+    for q, (own, x) in enumerate(zip(block[0].tolist(), vec[::20])):
+        want[q] = sorted((-s, i) for s, i in zip((vec @ x).tolist(), ids.tolist()) if i != own)[:10]
+    assert {q: sorted(x) for q, x in got.items()} == want
+    assert len(scored) > 3
+    if spread == 2:
+        assert sum(scored) < len(block[0]) * len(vec) / 2
+    again = mtree._visit((*block[:3], hits.floor, hits.edge, [t[0] for t in trees]), trees, top, 10)  # trees that were visited
+    assert not len(again.query)
+
+
+def test_top_k_of_many_trees_and_blocks(spark, monkeypatch):
+    """Blocks of queries and groups of trees meet in tasks; ids that repeat with other vectors share one ranking."""
+    rng = np.random.default_rng(8)
+    centres = rng.integers(-30, 31, (9, 5))
+    rows = [(k, ((centres[k % 9] + rng.integers(-2, 3, 5)) / 32).tolist()) for k in range(700)]
+    rows += [(k, (rng.integers(-9, 10, 5) / 16).tolist()) for k in range(0, 700, 35)] + rows[:40] + [(900 + k, [k / 8]) for k in range(5)]
+    for name, value in {"TREE_ROWS": 20, "QUERY_BLOCK": 4, "PAGE": 4, "SLAB": 5, "CHUNK": 2, "GROUP_ROWS": 50, "CENTRES": 6, "TREE_CELLS": 60}.items():
+        monkeypatch.setattr(mtree, name, value)
+    df = _vectors(spark, rows)
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in mtree.top_k(df, df.where("vec_id % 20 = 0"), k=6).collect())
+    ok = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows]
+    want = []
+    for q in sorted({i for i, _ in rows if i % 20 == 0}):
+        asked = {tuple(x) for i, x in ok if i == q}
+        best = sorted((-int(np.dot(x, y)), i) for x in asked for i, y in ok if i != q and len(x) == len(y))[:6]
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(best)]
+    assert got == want
+
+
 URLS = [("http://A.Example.COM/en/x?q#f", "a.example.com", "/en/x", "example.com/en/", "block"), ("https://www.example.com/en/", "www.example.com", "/en/", "www.example.com/en/", "allow"),
         ("https://x.www.example.com/en/a", "x.www.example.com", "/en/a", "www.example.com/en/", "allow"), ("http://b.com/", "b.com", "/", "com/", "allow"), ("http://b.com", "b.com", "", None, None),
         ("ftp://x.net/es/1", "x.net", "/es/1", "net/es/", "block"), ("http://notexample.com/en/1", "notexample.com", "/en/1", "com/", "allow"), ("http://x.net/fr", "x.net", "/fr", None, None),
