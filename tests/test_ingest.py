@@ -1,12 +1,14 @@
-"""Malformed records, and tables that are replaced all at once."""
+"""Malformed records, packed exports, and tables that are replaced all at once."""
 
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from vitrine.sources import store
-from vitrine.sources.ingest import ingest_batch_log, ingest_csv, ingest_overwrite_sink, quarantined
+from vitrine.registry import export_raw_csv
+from vitrine.sources import raw_fixtures, store
+from vitrine.sources.ingest import ingest_batch_log, ingest_csv, ingest_overwrite_sink, quarantined, write_csv
 
 EXPORT = '''id,Nom,note
 1,"a, ""b""",x
@@ -82,6 +84,25 @@ def test_a_file_can_be_refused_like_the_reference_does(spark, tmp_path):
         ingest_batch_log(spark, good, target, on_malformed="ignore")
 
 
+def test_an_export_is_packed_and_keeps_no_second_copy(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(raw_fixtures, "_RAW_CACHE", {})
+    rows = [(k, f'part, "{k}"\nof {k}' if k % 3 else None, "brand", "type", k % 9, k / 4) for k in range(1, 300)] + [(12, "again", "b", "t", 1, 2.5), (12, None, None, None, None, None)]
+    sf_dir = f"file://{tmp_path}"
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{sf_dir}/part.parquet")
+    path = export_raw_csv(spark, sf_dir, "raw_produits", f"{sf_dir}/packed")
+    assert not raw_fixtures._RAW_CACHE  # nothing was stored for the export
+    files = [f for f in os.listdir(f"{tmp_path}/packed/raw_produits.csv") if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    stored = raw_fixtures.raw_table(spark, sf_dir, "raw_produits")
+    write_csv(stored, f"{sf_dir}/plain.csv")
+    got, want = (sorted(map(repr, map(tuple, ingest_csv(spark, p).collect()))) for p in (path, f"{sf_dir}/plain.csv"))
+    assert got == want and len(got) > 300
+    again = export_raw_csv(spark, sf_dir, "raw_produits", f"{sf_dir}/again")  # from the stored rows
+    assert sorted(map(repr, map(tuple, ingest_csv(spark, again).collect()))) == want
+    (log,) = ingest_batch_log(spark, {"Raw_Produits": path}, f"{sf_dir}/raw").collect()
+    assert (log.status, log.rows, log.quarantined) == ("success", len(got), 0)
+
+
 def _dies(spark):
     """Rows whose job writes some partitions and then fails."""
     return spark.range(0, 1000, 1, 8).select(F.when(F.col("id") == 999, F.raise_error(F.lit("killed"))).otherwise(F.col("id")).cast("long").alias("id"))

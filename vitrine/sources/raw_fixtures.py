@@ -182,6 +182,15 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return cached
 
 
+def raw_rows(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The rows of the raw table for a reader that goes over all of them once, as an export does: stored ones if
+    the session has them, else as they are derived, so that no second copy of the export is kept."""
+    cached = _RAW_CACHE.get((id(spark), sf_dir, table))
+    if cached is not None and cached.sparkSession is spark:
+        return cached
+    return dirty(_base(spark, sf_dir, table), RAW_SPECS[table])
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, at_once: int = 4) -> dict[str, DataFrame]:
     """All ten raw tables, `at_once` made at a time."""
     with ThreadPoolExecutor(at_once) as pool:
