@@ -129,6 +129,15 @@ def test_a_write_that_dies_leaves_the_previous_table(spark, tmp_path):
     assert spark.read.parquet(f"{target}/current").count() == 3
 
 
+def test_runs_are_packed(spark, tmp_path):
+    target, rows = f"file://{tmp_path}/t", [(f"P{k % 90:05d}", None if k % 7 else "non", str(k)) for k in range(3000)]
+    ingest_overwrite_sink(spark.createDataFrame(rows, "id string, flag string, n string"), target)
+    (run,) = os.listdir(tmp_path / "t" / "runs")
+    files = [pq.ParquetFile(tmp_path / "t" / "runs" / run / f) for f in os.listdir(tmp_path / "t" / "runs" / run) if f.endswith(".parquet")]
+    assert files and {f.metadata.row_group(g).column(c).compression for f in files for g in range(f.num_row_groups) for c in range(3)} == {"ZSTD"}
+    assert sorted(map(repr, (tuple(r) for r in store.read_table(spark, target).collect()))) == sorted(map(repr, rows))
+
+
 def test_old_runs_are_emptied(spark, tmp_path):
     target = f"file://{tmp_path}/t"
     for n in range(1, 5):
